@@ -23,3 +23,8 @@ def safe_div(a: Column, b: Column) -> Column:
 def pct(part: Column, total: Column, digits: int = 1) -> Column:
     """``ROUND(100.0 * part / NULLIF(total, 0), digits)``."""
     return dround(F.lit(100.0) * safe_div(part, total), digits)
+
+
+def avg_exact(c: Column) -> Column:
+    """AVG of a decimal as DOUBLE: exact decimal sum divided by the count."""
+    return safe_div(F.sum(c), F.count(c))

@@ -1,49 +1,258 @@
-"""Query registry: key → callable(spark, sf_dir) -> DataFrame."""
+"""Query registry: key → callable(spark, sf_dir) -> DataFrame.
+
+Every entry reads the driver tables (through the derived market tables) so
+its work grows with the data; parameters are the defaults documented on
+each function.
+"""
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from marketlens.functions import jsonops as J
+from marketlens.functions import themes as T
+from marketlens.operators import quality as Qa
+from marketlens.operators import search as S
+from marketlens.operators.session_memory import session_memory
+from marketlens.plans import queries as Q
 from marketlens.plans import views as V
 from marketlens.sources import fixture as fx
+from marketlens.sources import places as P
+from marketlens.sources import store as St
+from marketlens.sources.tables import read_table
+from marketlens.streaming import jobs as SJ
 
 Query = Callable[[SparkSession, str], DataFrame]
+NOW = _dt.datetime(2025, 10, 1, 6, 0, 0)
+
+
+def _b(spark, d):
+    return fx.businesses(spark, d)
+
+
+def _r(spark, d):
+    return fx.reviews(spark, d)
 
 
-def _bv(fn):
-    def q(spark, sf_dir):
-        return fn(fx.businesses(spark, sf_dir))
-    return q
+def _bq(fn, **kw):
+    return lambda s, d: fn(_b(s, d), **kw)
 
 
-def _brv(fn, **kw):
-    def q(spark, sf_dir):
-        return fn(fx.businesses(spark, sf_dir), fx.reviews(spark, sf_dir), **kw)
-    return q
+def _brq(fn, **kw):
+    return lambda s, d: fn(_b(s, d), _r(s, d), **kw)
 
 
-def _exec_stats(spark, sf_dir):
-    b, r, e = fx.load_market(spark, sf_dir)
+def _exec_stats(spark, d):
+    b, r, e = fx.load_market(spark, d)
     return V.execution_stats(e, b, r)
 
 
+def _views(spark, d) -> dict[str, DataFrame]:
+    b, r = _b(spark, d), _r(spark, d)
+    return {
+        "niche_opportunities": V.niche_opportunities(b, ordered=False),
+        "customer_pain_points": V.customer_pain_points(b, r, ordered=False),
+        "market_leaders": V.market_leaders(b, r, ordered=False),
+        "vulnerable_players": V.vulnerable_players(b, r, ordered=False),
+        "review_velocity_trends": V.review_velocity_trends(b, r, ordered=False),
+        "niche_service_gaps": V.niche_service_gaps(b, r, ordered=False),
+        "business_model_opportunities": V.business_model_opportunities(b, r, ordered=False),
+        "niche_swot_analysis": V.niche_swot_analysis(b, r, ordered=False),
+    }
+
+
+# --- filtered view reads (Q24): one per view ------------------------------------
+VIEW_FILTERS = {
+    "niche_opportunities__score8": ("niche_opportunities", lambda: F.col("opportunity_score") >= 8),
+    "customer_pain_points__metro": ("customer_pain_points", lambda: F.col("city") == "METRO"),
+    "market_leaders__inc70": ("market_leaders", lambda: F.col("inc_score") >= 70),
+    "vulnerable_players__score60": ("vulnerable_players", lambda: F.col("vulnerability_score") >= 60),
+    "review_velocity_trends__growth": ("review_velocity_trends", lambda: F.col("momentum_ratio") >= 1.5),
+    "niche_service_gaps__critical": ("niche_service_gaps", lambda: F.col("gap_status") == "CRITICAL_GAP"),
+    "business_model_opportunities__viability50": ("business_model_opportunities",
+                                                  lambda: F.col("newsletter_viability_score") >= 50),
+    "niche_swot_analysis__metro_building": ("niche_swot_analysis",
+                                            lambda: (F.col("city") == "METRO") & (F.col("category") == "BUILDING")),
+}
+
+
+def _view_filter(key):
+    view, pred = VIEW_FILTERS[key]
+    return lambda s, d: VIEW_QUERIES[view](s, d).filter(pred())
+
+
 VIEW_QUERIES: dict[str, Query] = {
-    "niche_opportunities": _bv(V.niche_opportunities),
-    "customer_pain_points": _brv(V.customer_pain_points),
-    "market_leaders": _brv(V.market_leaders),
-    "vulnerable_players": _brv(V.vulnerable_players),
-    "review_velocity_trends": _brv(V.review_velocity_trends),
-    "niche_service_gaps": _brv(V.niche_service_gaps),
-    "business_model_opportunities": _brv(V.business_model_opportunities),
-    "niche_swot_analysis": _brv(V.niche_swot_analysis),
-    "business_summary": _brv(V.business_summary),
+    "niche_opportunities": _bq(V.niche_opportunities),
+    "customer_pain_points": _brq(V.customer_pain_points),
+    "market_leaders": _brq(V.market_leaders),
+    "vulnerable_players": _brq(V.vulnerable_players),
+    "review_velocity_trends": _brq(V.review_velocity_trends),
+    "niche_service_gaps": _brq(V.niche_service_gaps),
+    "business_model_opportunities": _brq(V.business_model_opportunities),
+    "niche_swot_analysis": _brq(V.niche_swot_analysis),
+    "business_summary": _brq(V.business_summary),
     "recent_executions": lambda s, d: V.recent_executions(_exec_stats(s, d)),
     "execution_stats": _exec_stats,
 }
 
+BUSINESS_QUERIES: dict[str, Query] = {
+    "biz_by_city": _bq(Q.biz_by_city),
+    "high_rated_low_reviews": _bq(Q.high_rated_low_reviews),
+    "biz_with_instagram": _bq(Q.biz_with_instagram),
+    "category_analysis": _bq(Q.category_analysis),
+    "category_city_stats": _bq(Q.category_city_stats),
+    "influencer_potential": _bq(Q.influencer_potential),
+    "social_gap": _bq(Q.social_gap),
+    "city_rating_filter": _bq(Q.city_rating_filter),
+    "city_stats": _bq(Q.city_stats),
+    "rating_buckets": _bq(Q.rating_buckets),
+    "name_prefix_search": _bq(Q.name_prefix_search),
+    "null_execution_probe": _bq(Q.null_execution_probe),
+    "busy_categories": _bq(Q.busy_categories),
+    "market_gap_labels": _bq(Q.market_gap_labels),
+    "first_businesses": _bq(Q.first_businesses),
+    "top_categories": _bq(Q.top_categories),
+    "worst_shop": _bq(Q.worst_shop),
+    "top_players": lambda s, d: V.top_players(
+        _b(s, d).filter(F.col("category").isNotNull()), ["category", "city"]),
+}
+
+REVIEW_QUERIES: dict[str, Query] = {
+    "reviews_with_business": _brq(Q.reviews_with_business),
+    "review_keyword_search": _brq(Q.review_keyword_search),
+    "reviews_of_business": _brq(Q.reviews_of_business),
+    "sentiment_by_category": _brq(Q.sentiment_by_category),
+    "sentiment_buckets": lambda s, d: Q.sentiment_buckets(_r(s, d)),
+    "complaint_themes": _brq(Q.complaint_themes, min_n=1),
+    "worst_shop_complaints": _brq(Q.worst_shop_complaints),
+    "success_factors": _brq(Q.success_factors),
+    "orphan_reviews": _brq(Q.orphan_reviews),
+    "businesses_with_reviews": _brq(Q.businesses_with_reviews),
+    "counts_per_parent": _brq(Q.counts_per_parent),
+    "rating_dispersion": _brq(Q.rating_dispersion),
+    "topic_complaints_per_business": _brq(Q.topic_complaints_per_business),
+    "load_summary": _brq(Q.load_summary),
+    "fts_term": _brq(S.fts_with_business, query="parking"),
+    "fts_boolean": _brq(S.fts_with_business, query="appointment & !weekend"),
+    "fts_phrase": _brq(S.fts_with_business, query="missed <-> appointment"),
+    "theme_flags": lambda s, d: _r(s, d).select(
+        "id", *[c.alias(k) for k, c in T.theme_flag_columns(F.col("review_text"), F.col("stars")).items()]),
+    "keyword_mentions": lambda s, d: V.keyword_mentions(_r(s, d)),
+    "service_supply": lambda s, d: V.service_supply(_b(s, d)),
+    "price_mentions": lambda s, d: _r(s, d).filter(F.col("review_text").rlike(T.HIGH_TICKET_AMOUNT))
+    .select("id", "business_id"),
+}
+
+RUN_QUERIES: dict[str, Query] = {
+    "execution_trends": lambda s, d: Q.execution_trends(fx.executions(s, d), _b(s, d)),
+    "executions_last_7d": lambda s, d: Q.executions_last_7d(fx.executions(s, d)),
+    "latest_runs": lambda s, d: Q.latest_runs(_exec_stats(s, d)),
+    "pipeline_rows": lambda s, d: Q.pipeline_rows(fx.executions(s, d), _b(s, d), _r(s, d)),
+    "pipeline_counts": lambda s, d: Q.pipeline_counts(_exec_stats(s, d), _b(s, d), _r(s, d)),
+}
+
+COMPOSITE_QUERIES: dict[str, Query] = {
+    "view_row_counts": lambda s, d: Q.view_row_counts(_views(s, d)),
+    "score_ranges": _brq(Q.score_ranges),
+    "market_report": _brq(Q.market_report),
+    "market_entry": _brq(Q.market_entry),
+    **{k: _view_filter(k) for k in VIEW_FILTERS},
+}
+
+
+def _incoming_rescrape(b: DataFrame) -> DataFrame:
+    """Two re-scrapes of every odd business; the later one must win."""
+    odd = b.filter(F.col("id") % 2 == 1).select("apify_place_id", "business_name", "review_count")
+    t1 = F.lit(NOW - _dt.timedelta(hours=1)).cast("timestamp_ntz")
+    t2 = F.lit(NOW - _dt.timedelta(minutes=10)).cast("timestamp_ntz")
+    return (odd.select("apify_place_id", "business_name", (F.col("review_count") + 1).alias("review_count"),
+                       t1.alias("scraped_at"))
+            .unionByName(odd.select("apify_place_id", "business_name",
+                                    (F.col("review_count") + 2).alias("review_count"), t2.alias("scraped_at"))))
+
+
+def _upsert(spark, d):
+    b = _b(spark, d)
+    existing = b.filter(F.col("id") % 4 != 3).select(
+        "id", "apify_place_id", "business_name", "review_count", "created_at",
+        F.col("created_at").alias("updated_at"))
+    out = St.upsert(existing, _incoming_rescrape(b), "apify_place_id", NOW)
+    return out.select("apify_place_id", "business_name", "review_count", "created_at", "updated_at")
+
+
+def _cascade(spark, d):
+    b, r, e = fx.load_market(spark, d)
+    e2, b2, r2 = St.cascade_delete(e, b, r, e.filter(F.col("status") == "failed"))
+    return Q.view_row_counts({"market_executions": e2, "businesses": b2, "business_reviews": r2})
+
+
+def _landed(spark, d):
+    return P.landed_items(spark, d)
+
+
+INGEST_QUERIES: dict[str, Query] = {
+    "ingest_places": lambda s, d: _landed(s, d).select(
+        "placeId", "title", "totalScore", "scrapedAt", F.size("reviews").cast("bigint").alias("n_reviews")),
+    "combine_business": lambda s, d: St.dedupe_latest(
+        P.combine_business(_landed(s, d)), "apify_place_id", "scraped_at").select(
+        "apify_place_id", "business_name", "category", "city", "rating", "review_count", "website", "phone"),
+    "flatten_reviews": lambda s, d: P.flatten_reviews(_landed(s, d)).select(
+        "apify_place_id", "review_id",
+        Qa.lenient_int(F.get_json_object("review_data", "$.stars")).alias("stars"),
+        Qa.lenient_date(F.get_json_object("review_data", "$.publishedAtDate")).alias("published_at")),
+    "resolve_business": lambda s, d: P.resolve_business(
+        P.flatten_reviews(P.place_items(s, d)), _b(s, d))[0].select("review_id", "business_id"),
+    "upsert_businesses": _upsert,
+    "open_execution": lambda s, d: St.open_execution(s, fx.executions(s, d), None, NOW),
+    "close_execution": lambda s, d: St.close_execution(fx.executions(s, d), 5, NOW),
+    "cascade_delete": _cascade,
+    "delete_by_query": lambda s, d: St.delete_by_query(_r(s, d), _b(s, d), fx.executions(s, d), "query_0")
+    .select("id"),
+    "generated_columns": lambda s, d: Qa.generated_columns(_b(s, d)),
+    "extract_review_fields": lambda s, d: Qa.extract_review_fields(fx.raw_reviews(s, d)),
+    "validate_stars": lambda s, d: Qa.validate_stars(Qa.extract_review_fields(fx.raw_reviews(s, d))),
+    "validate_status": lambda s, d: Qa.validate_status(fx.executions(s, d)),
+    "validate_not_null": lambda s, d: Qa.validate_not_null(_b(s, d)),
+    "fk_orphans": lambda s, d: Qa.fk_orphans(_r(s, d), _b(s, d), "business_id").select("id", "business_id"),
+    "unique_violations": lambda s, d: Qa.unique_violations(
+        read_table(s, d, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"]),
+    "dq_report": lambda s, d: Qa.dq_report(_b(s, d), Qa.extract_review_fields(fx.raw_reviews(s, d))),
+}
+
+JSON_QUERIES: dict[str, Query] = {
+    "json_paths": lambda s, d: read_table(s, d, "events").select(
+        "event_id", J.arrow_text(F.col("props"), "k").cast("int").alias("k")).filter(F.col("k") >= 90),
+    "json_has_key": lambda s, d: _b(s, d).filter(J.has_key(F.col("business_data"), "facebookPages", "social"))
+    .select("id"),
+    "json_any_all_keys": lambda s, d: _b(s, d).select(
+        "id",
+        J.has_any_key(F.col("business_data"), ["facebookPages", "twitters"], "social").alias("any_key"),
+        J.has_all_keys(F.col("business_data"), ["instagrams", "facebookPages"], "social").alias("all_keys")),
+    "json_contains": lambda s, d: read_table(s, d, "events").filter(J.contains(F.col("props"), {"k": 69}))
+    .select("event_id"),
+}
+
+SESSION_QUERIES: dict[str, Query] = {
+    "session_memory": lambda s, d: session_memory(read_table(s, d, "conversations")).select(
+        "conv_id", "turn", "role"),
+}
+
+STREAM_QUERIES: dict[str, Query] = {
+    "stream_run_counters": lambda s, d: SJ.run_to_table(SJ.run_counter_stream(s, d), "run_counters", "complete"),
+    "stream_velocity_windows": lambda s, d: SJ.run_to_table(
+        SJ.velocity_window_stream(s, d), "velocity_windows", "complete").select(
+        F.col("w.start").alias("window_start"), "event_type", "events"),
+    "stream_review_dedupe": lambda s, d: SJ.run_to_table(SJ.dedupe_review_stream(s, d), "review_dedupe"),
+}
+
 
 def all_queries() -> dict[str, Query]:
-    out = dict(VIEW_QUERIES)
+    out: dict[str, Query] = {}
+    for part in (VIEW_QUERIES, BUSINESS_QUERIES, REVIEW_QUERIES, RUN_QUERIES, COMPOSITE_QUERIES,
+                 INGEST_QUERIES, JSON_QUERIES, SESSION_QUERIES, STREAM_QUERIES):
+        out.update(part)
     return out

@@ -145,7 +145,12 @@ def _review_star_seed(oid: Column, bid: Column) -> Column:
 
 def reviews(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> DataFrame:
     """The ``business_reviews`` relation: one review per order."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return reviews_from_orders(read_table(spark, sf_dir, "orders"), as_of)
+
+
+def reviews_from_orders(orders: DataFrame, as_of: _dt.date = AS_OF) -> DataFrame:
+    """Row-wise review derivation; works on batch and streaming ``orders``."""
+    o = orders.select("o_orderkey", "o_custkey")
     oid, bid = F.col("o_orderkey"), F.col("o_custkey")
     s = _review_star_seed(oid, bid)
     stars = F.when(oid % 23 == 0, F.lit(None).cast("int")).otherwise((s + 1).cast("int"))
