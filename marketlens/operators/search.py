@@ -179,10 +179,18 @@ def tsquery(arr: Column, query: str) -> Column:
     return out
 
 
+def matches(text: Column, query: str) -> Column:
+    """Boolean column: ``to_tsvector(text) @@ to_tsquery(query)``.
+
+    The stem array is bound once through a one-element ``exists`` so the
+    compiled predicate can reference it many times without re-tokenising.
+    """
+    return F.coalesce(F.exists(F.array(stems(text)), lambda a: tsquery(a, query)), F.lit(False))
+
+
 def fts_match(df: DataFrame, query: str, text_col: str = "review_text") -> DataFrame:
     """Rows whose text matches the tsquery (NULL text never matches)."""
-    arr = stems(F.col(text_col))
-    return df.filter(F.col(text_col).isNotNull() & tsquery(arr, query))
+    return df.filter(F.col(text_col).isNotNull() & matches(F.col(text_col), query))
 
 
 def token_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
