@@ -137,6 +137,8 @@ def tsquery(arr: Column, query: str) -> Column:
 
     def take():
         nonlocal pos
+        if pos >= len(toks):
+            raise ValueError(f"unexpected end of tsquery {query!r}")
         pos += 1
         return toks[pos - 1]
 

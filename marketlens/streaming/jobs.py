@@ -87,13 +87,19 @@ def dedupe_review_stream(spark: SparkSession, sf_dir: str, duplicate_every: int
 
 
 def ingest_stream(spark: SparkSession, landing: str, snapshot_base: str, existing: DataFrame,
-                  now: _dt.datetime) -> str:
-    """Every micro-batch of landed place files is upserted as a new snapshot."""
+                  now: _dt.datetime, checkpoint: str | None = None) -> str:
+    """Every micro-batch of landed place files is upserted as a new snapshot.
+
+    Re-running with the same ``checkpoint`` processes only files not yet
+    committed, so a restarted job (or a lost executor) never re-applies a
+    batch; the snapshot write of a batch is its commit.
+    """
     from marketlens.sources import places as P
     from marketlens.sources import store as S
 
-    ckpt = os.path.join(checkpoint_dir(spark), "streams", "ingest-" + uuid.uuid4().hex[:10])
-    state = {"current": existing}
+    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "streams", "ingest-" + uuid.uuid4().hex[:10])
+    from marketlens.sources.store import latest_version, read_latest
+    state = {"current": read_latest(spark, snapshot_base) if latest_version(snapshot_base) else existing}
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         inc = P.combine_business(batch)
