@@ -181,6 +181,35 @@ def tsquery(arr: Column, query: str) -> Column:
     return out
 
 
+def required_substrings(query: str) -> list[str]:
+    """Substrings every matching text must contain (lower-cased).
+
+    A stem, minus an 'e' the stemmer may have added, is a prefix of every
+    word it came from; words under OR/NOT give no requirement.
+    """
+    toks = _lex(query)
+    if "|" in toks and "(" not in toks:
+        return []          # a top-level OR requires nothing
+    parts, cur, depth = [], [], 0
+    for t in toks:
+        depth += (t == "(") - (t == ")")
+        if t == "&" and depth == 0:
+            parts.append(cur)
+            cur = []
+        else:
+            cur.append(t)
+    parts.append(cur)
+    out = []
+    for part in parts:
+        if any(t in ("|", "!", "(", ")") for t in part):
+            continue       # negated or nested conjuncts give no requirement
+        for t in part:
+            if t != "<->":
+                st = stem_word(t)
+                out.append(st[:-1] if st.endswith("e") and len(st) > 1 else st)
+    return out
+
+
 def matches(text: Column, query: str) -> Column:
     """Boolean column: ``to_tsvector(text) @@ to_tsquery(query)``.
 
@@ -192,7 +221,11 @@ def matches(text: Column, query: str) -> Column:
 
 def fts_match(df: DataFrame, query: str, text_col: str = "review_text") -> DataFrame:
     """Rows whose text matches the tsquery (NULL text never matches)."""
-    return df.filter(F.col(text_col).isNotNull() & matches(F.col(text_col), query))
+    pre = F.col(text_col).isNotNull()
+    low = F.lower(F.col(text_col))
+    for sub in required_substrings(query):
+        pre = pre & F.contains(low, F.lit(sub))      # codegen'd pre-filter before tokenising
+    return df.filter(pre).filter(matches(F.col(text_col), query))
 
 
 def token_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -3,7 +3,7 @@
 Shape shared by every review-based view, chosen for 100 TB:
 
 1. project the few review columns needed (Parquet pruning) and compute
-   flags JSVM-side;
+   flags JVM-side;
 2. **pre-aggregate per ``business_id``** — partial aggregation combines
    map-side, so a business holding a third of all reviews collapses to one
    row per task before the shuffle;
@@ -135,43 +135,45 @@ PAIN_LABELS = (
 
 
 def customer_pain_points(businesses: DataFrame, reviews: DataFrame, ordered: bool = True) -> DataFrame:
+    """One scan of the negative reviews, one join, two roll-ups.
+
+    Reviews are pre-aggregated per (business, 1-star snippet) — theme counts
+    and the snippet multiplicity together — so the join carries one row per
+    business and distinct snippet, and the final collect per (category,
+    city) holds distinct snippets with counts, never one entry per review.
+    """
     keys = ["category", "city"]
     neg = reviews.select("business_id", "stars", "review_text").filter(
         (F.col("stars") <= 2) & F.col("review_text").isNotNull())
     text = F.col("review_text")
-    counts = [F.sum(T.flag(T.has_words(text, v))).alias(f"{k}_complaints")
-              for k, v in T.PAIN_THEMES.items()]
-    per_biz = _per_business(neg, counts + [F.count(F.lit(1)).alias("total_complaints")])
-    grp = _attach(per_biz, businesses, keys).groupBy(*keys).agg(
-        *[F.sum(f"{k}_complaints").cast("bigint").alias(f"{k}_complaints") for k in T.PAIN_THEMES],
-        F.sum("total_complaints").cast("bigint").alias("total_complaints"),
+    one_star = F.col("stars") == 1
+    snip = F.when(one_star, F.substring(text, 1, 100))
+    per = neg.groupBy("business_id", snip.alias("snippet")).agg(
+        *[F.sum(T.flag(T.has_words(text, v))).alias(f"{k}_complaints") for k, v in T.PAIN_THEMES.items()],
+        F.count(F.lit(1)).alias("total_complaints"),
+        F.count(F.when(one_star, 1)).alias("m"))
+    sums = [f"{k}_complaints" for k in T.PAIN_THEMES] + ["total_complaints", "m"]
+    by_snip = _attach(per, businesses, keys).groupBy(*keys, "snippet").agg(
+        *[F.sum(c).alias(c) for c in sums])
+    grp = by_snip.groupBy(*keys).agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in sums if c != "m"],
+        F.sort_array(F.collect_list(F.when(F.col("snippet").isNotNull(), F.struct("snippet", "m")))).alias("_s"),
     ).filter(F.col("total_complaints") >= 3)
-
-    # sample_complaints: 1-star snippets joined ' | ' in snippet order.  Snippets
-    # are counted per (business, snippet) first, so the join and the group
-    # collect carry distinct snippets with multiplicities, not review rows.
-    snip = F.substring(text, 1, 100)
-    s1 = (neg.filter(F.col("stars") == 1)
-          .groupBy("business_id", snip.alias("snippet")).agg(F.count(F.lit(1)).alias("m")))
-    s2 = _attach(s1, businesses, keys).groupBy(*keys, "snippet").agg(F.sum("m").alias("m"))
-    s3 = s2.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("snippet", "m"))).alias("_s"))
-    samples = s3.select(*keys, F.array_join(F.flatten(F.transform(
-        "_s", lambda x: F.array_repeat(x["snippet"], x["m"].cast("int")))), " | ").alias("sample_complaints"))
-
-    g = grp.join(samples, [grp[c].eqNullSafe(samples[c]) for c in keys], "left")
-    tot = grp["total_complaints"]
-    cols = [grp["category"], grp["city"], tot]
+    sample = F.when(F.size("_s") > 0, F.array_join(F.flatten(F.transform(
+        "_s", lambda x: F.array_repeat(x["snippet"], x["m"].cast("int")))), " | "))
+    tot = F.col("total_complaints")
+    cols = [F.col("category"), F.col("city"), tot]
     for k in T.PAIN_THEMES:
-        c = grp[f"{k}_complaints"]
+        c = F.col(f"{k}_complaints")
         cols += [c, pct(c, tot).alias(f"{k}_pct")]
-    allc = {k: grp[f"{k}_complaints"] for k in T.PAIN_THEMES}
+    allc = {k: F.col(f"{k}_complaints") for k in T.PAIN_THEMES}
     primary = None
     for k, label in PAIN_LABELS:
         others = [v for kk, v in allc.items() if kk != k]
         cond = allc[k] >= F.greatest(*others)
         primary = F.when(cond, label) if primary is None else primary.when(cond, label)
     primary = primary.otherwise("Availability & Hours")
-    out = g.select(*cols, primary.alias("primary_pain_point"), samples["sample_complaints"])
+    out = grp.select(*cols, primary.alias("primary_pain_point"), sample.alias("sample_complaints"))
     if ordered:
         out = out.orderBy(F.desc("total_complaints"))
     return out
