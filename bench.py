@@ -34,7 +34,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus,
                         extra={"spark.driver.memory": "16g"})
     qs = all_queries()
     keys = only or HEADLINE

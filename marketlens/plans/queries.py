@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from marketlens.functions import themes as T
 from marketlens.functions.scalar import avg_exact, dround, safe_div
 from marketlens.plans import views as V
+from marketlens.session import materialize
 from marketlens.sources.fixture import AS_OF
 
 DEFAULT_CITY = "METRO"
@@ -406,7 +407,9 @@ def market_report(b: DataFrame, r: DataFrame, category: str = DEFAULT_CATEGORY,
     reviews before any aggregation.
     """
     bs = b.filter((F.col("category") == category) & (F.col("city") == city))
-    rs = scope_reviews(r, bs)
+    # one scan of the review table for all three review-based views
+    rs = materialize(scope_reviews(r, bs).select("id", "business_id", "stars", "review_text", "published_at"),
+                     "report_reviews")
     keys = ["category", "city"]
     v1 = V.niche_opportunities(bs, ordered=False).select(*keys, "opportunity_score", "saturation_level",
                                                           "business_count")

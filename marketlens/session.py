@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session gets.  AQE re-plans joins from measured shuffle
 # sizes (size-checked broadcast with a sort-merge fallback), coalesces small
@@ -62,4 +63,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
+    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
+
+    Cuts lineage (a lost executor re-reads the table instead of recomputing
+    the upstream scan) and lets several consumers share one computation
+    without caching on executors.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
