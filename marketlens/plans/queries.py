@@ -383,13 +383,19 @@ def view_row_counts(views: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def shared_facts(r: DataFrame, as_of: _dt.date = AS_OF) -> DataFrame:
+    """Per-business review counters written once for several views (one review scan)."""
+    return materialize(V.review_facts(r, as_of), "review_facts")
+
+
 def score_ranges(b: DataFrame, r: DataFrame) -> DataFrame:
-    """MIN/MAX of each view's score column."""
+    """MIN/MAX of each view's score column (one shared review scan)."""
+    facts = shared_facts(r)
     parts = [
         ("opportunity_score", V.niche_opportunities(b, ordered=False)),
-        ("inc_score", V.market_leaders(b, r, ordered=False)),
-        ("vulnerability_score", V.vulnerable_players(b, r, ordered=False)),
-        ("newsletter_viability_score", V.business_model_opportunities(b, r, ordered=False)),
+        ("inc_score", V.market_leaders(b, r, ordered=False, facts=facts)),
+        ("vulnerability_score", V.vulnerable_players(b, r, ordered=False, facts=facts)),
+        ("newsletter_viability_score", V.business_model_opportunities(b, r, ordered=False, facts=facts)),
     ]
     out = None
     for col, df in parts:
@@ -429,11 +435,12 @@ def market_entry(b: DataFrame, r: DataFrame, min_opportunity: int = 7, min_momen
                  max_inc: float = 70.0) -> DataFrame:
     """Q26: underserved + growing + critical gap, excluding markets with a strong incumbent."""
     keys = ["category", "city"]
+    facts = shared_facts(r)
     v1 = V.niche_opportunities(b, ordered=False).filter(F.col("opportunity_score") >= min_opportunity) \
         .select(*keys, "opportunity_score")
-    v5 = V.review_velocity_trends(b, r, ordered=False).filter(F.col("momentum_ratio") >= min_momentum) \
+    v5 = V.review_velocity_trends(b, r, ordered=False, facts=facts).filter(F.col("momentum_ratio") >= min_momentum) \
         .select(*keys, "momentum_ratio")
     v6 = V.niche_service_gaps(b, r, ordered=False).filter(F.col("gap_status") == "CRITICAL_GAP") \
         .select(*keys, "specialty_type", "customer_demand")
-    strong = V.market_leaders(b, r, ordered=False).filter(F.col("inc_score") >= max_inc).select(*keys)
+    strong = V.market_leaders(b, r, ordered=False, facts=facts).filter(F.col("inc_score") >= max_inc).select(*keys)
     return v1.join(v5, keys).join(v6, keys).join(strong, keys, "left_anti")

@@ -110,11 +110,6 @@ def niche_opportunities(businesses: DataFrame, ordered: bool = True) -> DataFram
 # ---------------------------------------------------------------------------
 # helpers shared by review views
 # ---------------------------------------------------------------------------
-def _per_business(reviews: DataFrame, aggs: list[Column], pre_filter: Column | None = None) -> DataFrame:
-    r = reviews if pre_filter is None else reviews.filter(pre_filter)
-    return r.groupBy("business_id").agg(*aggs)
-
-
 def _attach(per_biz: DataFrame, businesses: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
     """Join a one-row-per-business aggregate to business attributes."""
     b = businesses.select(F.col("id").alias("business_id"), *cols)
@@ -123,6 +118,64 @@ def _attach(per_biz: DataFrame, businesses: DataFrame, cols: list[str], how: str
     return per_biz.join(b, "business_id", "inner")
 
 
+# Per-business counters each view needs.  ``review_facts`` computes all of
+# them in one grouped scan of the review table; a view given ``facts`` skips
+# its own scan.  Names are unique across views so one table serves all.
+def _agg_common() -> list[Column]:
+    s = F.col("stars")
+    return [F.count(F.lit(1)).alias("n_reviews"), F.sum(s).alias("stars_sum"), F.count(s).alias("stars_n")]
+
+
+def _agg_time(as_of: _dt.date) -> list[Column]:
+    d, s = F.col("published_at"), F.col("stars")
+    c90, c180 = _cutoff(as_of, 90), _cutoff(as_of, 180)
+    recent, hist = d >= c90, d < c90
+    return [
+        F.count(F.when(recent, 1)).alias("recent_n"),                       # V3, V4, V5
+        F.sum(F.when(recent, s)).alias("recent_stars_sum"), F.count(F.when(recent, s)).alias("recent_stars_n"),
+        F.sum(F.when(hist, s)).alias("hist_stars_sum"), F.count(F.when(hist, s)).alias("hist_stars_n"),
+        F.count(F.when(recent & (s <= 2), 1)).alias("recent_negative_n"),
+        F.count(F.when((d >= c180) & (d < c90), 1)).alias("previous_n"),    # V5
+    ]
+
+
+def _agg_model() -> list[Column]:
+    text, stars = F.col("review_text"), F.col("stars")
+    hi = T.flag(text.rlike(T.HIGH_TICKET_AMOUNT) | T.has_words(text, T.HIGH_TICKET_WORDS))
+    return [
+        F.sum(hi).alias("high_ticket_n"),
+        F.sum(T.flag(T.has_words(text, T.B2B_WORDS))).alias("b2b_n"),
+        F.sum(T.flag(T.has_words(text, T.B2C_WORDS))).alias("b2c_n"),
+        F.sum(T.flag((stars <= 2) & T.has_words(text, T.TRUST_WORDS))).alias("trust_n"),
+    ]
+
+
+def _agg_swot() -> list[Column]:
+    text, stars = F.col("review_text"), F.col("stars")
+    pos, neg = stars >= 4, stars <= 3
+    aggs = [F.sum(T.flag(pos & T.has_words(text, T.STRENGTH_THEMES[k]))).alias(f"p_{k}") for k in _THEMES4]
+    aggs.append(F.count(F.when(pos, 1)).alias("p_total"))
+    aggs += [F.sum(T.flag(neg & T.has_words(text, T.WEAKNESS_THEMES[k]))).alias(f"n_{k}") for k in _THEMES4]
+    aggs.append(F.count(F.when(neg, 1)).alias("n_total"))
+    return aggs
+
+
+def _per(reviews: DataFrame, facts: DataFrame | None, aggs: list[Column]) -> DataFrame:
+    return facts if facts is not None else reviews.groupBy("business_id").agg(*aggs)
+
+
+def review_facts(reviews: DataFrame, as_of: _dt.date = AS_OF) -> DataFrame:
+    """One row per business with every counter of V3, V4, V5, V7, V8 and V9.
+
+    A single grouped scan of the (large) review table — partial aggregation
+    map-side, one shuffle of at most one row per business per task — that
+    multi-view consumers share instead of scanning reviews once per view.
+    """
+    return (reviews.select("business_id", "stars", "review_text", "published_at")
+            .groupBy("business_id")
+            .agg(*_agg_common(), *_agg_time(as_of), *_agg_model(), *_agg_swot()))
+
+
 # ---------------------------------------------------------------------------
 # V2 customer_pain_points
 # ---------------------------------------------------------------------------
@@ -194,11 +247,9 @@ def parse_document(businesses: DataFrame) -> Column:
 
 
 def market_leaders(businesses: DataFrame, reviews: DataFrame, as_of: _dt.date = AS_OF,
-                   ordered: bool = True) -> DataFrame:
-    recent = _per_business(
-        reviews.select("business_id", "id", "published_at"),
-        [F.count("id").alias("recent_reviews_90d")],
-        F.col("published_at") >= _cutoff(as_of, 90))
+                   ordered: bool = True, facts: DataFrame | None = None) -> DataFrame:
+    recent = _per(reviews.select("business_id", "published_at"), facts,
+                  [F.count(F.when(F.col("published_at") >= _cutoff(as_of, 90), 1)).alias("recent_n")])
     b = businesses.select("id", "business_name", "category", "city", "rating", "review_count",
                           "website", "phone", parse_document(businesses).alias("_doc"))
     b = b.filter(F.col("review_count") >= 20)   # WHERE on a group column: push below the join
@@ -211,7 +262,7 @@ def market_leaders(businesses: DataFrame, reviews: DataFrame, as_of: _dt.date =
         term = dev * dev * F.coalesce(dist[key].cast("int"), F.lit(0))
         ssq = term if ssq is None else ssq + term
     variance = F.coalesce(F.sqrt(ssq.cast("double") / F.nullif(F.col("review_count"), F.lit(0))), _d(0.5))
-    rec = F.coalesce(F.col("recent_reviews_90d"), F.lit(0)).cast("bigint")
+    rec = F.coalesce(F.col("recent_n"), F.lit(0)).cast("bigint")
     social = F.col("_doc.social")
     digital = (F.when(social["instagrams"].isNotNull(), 1).otherwise(0)
                + F.when(social["facebookPages"].isNotNull(), 1).otherwise(0)
@@ -239,29 +290,20 @@ def market_leaders(businesses: DataFrame, reviews: DataFrame, as_of: _dt.date =
 # V4 vulnerable_players
 # ---------------------------------------------------------------------------
 def vulnerable_players(businesses: DataFrame, reviews: DataFrame, as_of: _dt.date = AS_OF,
-                       ordered: bool = True) -> DataFrame:
-    cut = _cutoff(as_of, 90)
-    d, s = F.col("published_at"), F.col("stars")
-    is_recent = d >= cut
-    is_hist = d < cut
-    per = _per_business(reviews.select("business_id", "stars", "published_at"), [
-        F.sum(F.when(is_recent, s)).alias("_rs"), F.count(F.when(is_recent, s)).alias("_rn"),
-        F.sum(F.when(is_hist, s)).alias("_hs"), F.count(F.when(is_hist, s)).alias("_hn"),
-        F.count(F.when(is_recent, 1)).alias("recent_review_count"),
-        F.count(F.when(is_recent & (s <= 2), 1)).alias("recent_negative_reviews"),
-        F.count(F.lit(1)).alias("_rows"),
-    ])
+                       ordered: bool = True, facts: DataFrame | None = None) -> DataFrame:
+    per = _per(reviews.select("business_id", "stars", "published_at"), facts,
+               [F.count(F.lit(1)).alias("n_reviews"), *_agg_time(as_of)])
     j = _attach(per, businesses, ["business_name", "category", "city", "rating", "review_count"], "left")
     # LEFT JOIN + COUNT(*): a business without reviews still counts one row
-    rows = F.greatest(F.coalesce(F.col("_rows"), F.lit(0)), F.lit(1))
+    rows = F.greatest(F.coalesce(F.col("n_reviews"), F.lit(0)), F.lit(1))
     j = j.filter(rows >= 10)
     base = j.select(
         F.col("business_id").alias("id"), "business_name", "category", "city",
         F.col("rating").alias("overall_rating"), "review_count",
-        safe_div(F.col("_rs"), F.col("_rn")).alias("recent_rating_90d"),
-        safe_div(F.col("_hs"), F.col("_hn")).alias("historical_rating"),
-        F.coalesce(F.col("recent_review_count"), F.lit(0)).alias("recent_review_count"),
-        F.coalesce(F.col("recent_negative_reviews"), F.lit(0)).alias("recent_negative_reviews"),
+        safe_div(F.col("recent_stars_sum"), F.col("recent_stars_n")).alias("recent_rating_90d"),
+        safe_div(F.col("hist_stars_sum"), F.col("hist_stars_n")).alias("historical_rating"),
+        F.coalesce(F.col("recent_n"), F.lit(0)).alias("recent_review_count"),
+        F.coalesce(F.col("recent_negative_n"), F.lit(0)).alias("recent_negative_reviews"),
     )
     rec, hist = F.col("recent_rating_90d"), F.col("historical_rating")
     base = base.filter((rec < hist - 0.2) | (rec < 3.5))
@@ -287,22 +329,22 @@ def vulnerable_players(businesses: DataFrame, reviews: DataFrame, as_of: _dt.dat
 # V5 review_velocity_trends
 # ---------------------------------------------------------------------------
 def review_velocity_trends(businesses: DataFrame, reviews: DataFrame, as_of: _dt.date = AS_OF,
-                           ordered: bool = True) -> DataFrame:
+                           ordered: bool = True, facts: DataFrame | None = None) -> DataFrame:
     keys = ["category", "city"]
     d = F.col("published_at")
     c90, c180 = _cutoff(as_of, 90), _cutoff(as_of, 180)
-    per = _per_business(reviews.select("business_id", "published_at"), [
-        F.count(F.when(d >= c90, 1)).alias("_cur"),
-        F.count(F.when((d >= c180) & (d < c90), 1)).alias("_prev"),
-        F.count(F.lit(1)).alias("_rows"),
+    per = _per(reviews.select("business_id", "published_at"), facts, [
+        F.count(F.when(d >= c90, 1)).alias("recent_n"),
+        F.count(F.when((d >= c180) & (d < c90), 1)).alias("previous_n"),
+        F.count(F.lit(1)).alias("n_reviews"),
     ])
     b = businesses.filter(F.col("category").isNotNull())
     j = _attach(per, b, keys, "left")
     g = j.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("business_count"),   # one row per business id
-        F.sum(F.greatest(F.coalesce(F.col("_rows"), F.lit(0)), F.lit(1))).cast("bigint").alias("total_reviews"),
-        F.sum(F.coalesce(F.col("_cur"), F.lit(0))).cast("bigint").alias("reviews_current_90d"),
-        F.sum(F.coalesce(F.col("_prev"), F.lit(0))).cast("bigint").alias("reviews_previous_90d"),
+        F.sum(F.greatest(F.coalesce(F.col("n_reviews"), F.lit(0)), F.lit(1))).cast("bigint").alias("total_reviews"),
+        F.sum(F.coalesce(F.col("recent_n"), F.lit(0))).cast("bigint").alias("reviews_current_90d"),
+        F.sum(F.coalesce(F.col("previous_n"), F.lit(0))).cast("bigint").alias("reviews_previous_90d"),
     ).filter((F.col("business_count") >= 3) & (F.col("reviews_previous_90d") > 0))
     cur = F.col("reviews_current_90d").cast("double")
     n = F.col("business_count")
@@ -389,32 +431,25 @@ def niche_service_gaps(businesses: DataFrame, reviews: DataFrame, ordered: bool
 # V7 business_model_opportunities
 # ---------------------------------------------------------------------------
 def business_model_opportunities(businesses: DataFrame, reviews: DataFrame,
-                                 ordered: bool = True) -> DataFrame:
+                                 ordered: bool = True, facts: DataFrame | None = None) -> DataFrame:
     keys = ["category", "city"]
-    text, stars = F.col("review_text"), F.col("stars")
-    hi = T.flag(text.rlike(T.HIGH_TICKET_AMOUNT) | T.has_words(text, T.HIGH_TICKET_WORDS))
-    per = _per_business(reviews.select("business_id", "stars", "review_text"), [
-        F.sum(hi).alias("_hi"),
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(T.flag(T.has_words(text, T.B2B_WORDS))).alias("_b2b"),
-        F.sum(T.flag(T.has_words(text, T.B2C_WORDS))).alias("_b2c"),
-        F.sum(T.flag((stars <= 2) & T.has_words(text, T.TRUST_WORDS))).alias("_trust"),
-    ])
+    per = _per(reviews.select("business_id", "stars", "review_text"), facts,
+               [F.count(F.lit(1)).alias("n_reviews"), *_agg_model()])
     j = _attach(per, businesses, keys + ["rating"])
     # stddev of b.rating over joined review rows, from exact integer moments:
     # x = 10·rating is integral; Σn, Σn·x, Σn·x² are decimal(38,0) sums.
     x = (F.col("rating") * 10).cast("decimal(38,0)")
-    nn = F.col("_n").cast("decimal(38,0)")
+    nn = F.col("n_reviews").cast("decimal(38,0)")
     g = j.groupBy(*keys).agg(
-        F.sum("_hi").cast("bigint").alias("high_ticket_mentions"),
-        F.sum("_n").cast("bigint").alias("total_reviews"),
+        F.sum("high_ticket_n").cast("bigint").alias("high_ticket_mentions"),
+        F.sum("n_reviews").cast("bigint").alias("total_reviews"),
         F.count(F.lit(1)).alias("provider_count"),
         F.sum(F.when(x.isNotNull(), nn)).alias("_m0"),
         F.sum(nn * x).alias("_m1"),
         F.sum(nn * x * x).alias("_m2"),
-        F.sum("_b2b").cast("bigint").alias("b2b_signals"),
-        F.sum("_b2c").cast("bigint").alias("b2c_signals"),
-        F.sum("_trust").cast("bigint").alias("trust_issues"),
+        F.sum("b2b_n").cast("bigint").alias("b2b_signals"),
+        F.sum("b2c_n").cast("bigint").alias("b2c_signals"),
+        F.sum("trust_n").cast("bigint").alias("trust_issues"),
     ).filter(F.col("total_reviews") >= 20)
     m0, m1, m2 = F.col("_m0"), F.col("_m1"), F.col("_m2")
     var_num = (m0 * m2 - m1 * m1).cast("double")
@@ -487,7 +522,8 @@ def _first_max(cols: list[Column], labels) -> Column:
     return out.otherwise(labels[3])
 
 
-def niche_swot_analysis(businesses: DataFrame, reviews: DataFrame, ordered: bool = True) -> DataFrame:
+def niche_swot_analysis(businesses: DataFrame, reviews: DataFrame, ordered: bool = True,
+                        facts: DataFrame | None = None) -> DataFrame:
     """Positive (stars ≥4) and negative (stars ≤3) halves in one pass.
 
     The reference full-joins two grouped halves USING (category, city); NULL
@@ -495,17 +531,9 @@ def niche_swot_analysis(businesses: DataFrame, reviews: DataFrame, ordered: bool
     both halves in one aggregate and split NULL-key groups with ``stack``.
     """
     keys = ["category", "city"]
-    text, stars = F.col("review_text"), F.col("stars")
-    pos, neg = stars >= 4, stars <= 3
-    aggs = []
-    for k in _THEMES4:
-        aggs.append(F.sum(T.flag(pos & T.has_words(text, T.STRENGTH_THEMES[k]))).alias(f"p_{k}"))
-    aggs.append(F.count(F.when(pos, 1)).alias("p_total"))
-    for k in _THEMES4:
-        aggs.append(F.sum(T.flag(neg & T.has_words(text, T.WEAKNESS_THEMES[k]))).alias(f"n_{k}"))
-    aggs.append(F.count(F.when(neg, 1)).alias("n_total"))
-    per = _per_business(reviews.select("business_id", "stars", "review_text"), aggs,
-                        F.col("stars").isNotNull())
+    # NULL stars are neither positive nor negative; a business whose reviews
+    # are all unrated contributes zeros and its group is dropped below
+    per = _per(reviews.select("business_id", "stars", "review_text"), facts, _agg_swot())
     sums = [F.sum(c).cast("bigint").alias(c) for c in
             [f"p_{k}" for k in _THEMES4] + ["p_total"] + [f"n_{k}" for k in _THEMES4] + ["n_total"]]
     g = _attach(per, businesses, keys).groupBy(*keys).agg(*sums)
@@ -550,16 +578,15 @@ def niche_swot_analysis(businesses: DataFrame, reviews: DataFrame, ordered: bool
 # ---------------------------------------------------------------------------
 # V9 business_summary, V10 recent_executions
 # ---------------------------------------------------------------------------
-def business_summary(businesses: DataFrame, reviews: DataFrame) -> DataFrame:
-    per = _per_business(reviews.select("business_id", "id", "stars"), [
-        F.count("id").alias("_n"), F.sum("stars").alias("_ss"), F.count("stars").alias("_sn")])
+def business_summary(businesses: DataFrame, reviews: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    per = _per(reviews.select("business_id", "stars"), facts, _agg_common())
     b = businesses.select("id", "business_name", "city", "category", "rating", "review_count", "phone",
                           "website", "created_at", parse_document(businesses).alias("_doc"))
     j = b.join(per.withColumnRenamed("business_id", "id"), "id", "left")
     return j.select(
         "id", "business_name", "city", "category", "rating", "review_count", "phone", "website",
-        F.coalesce(F.col("_n"), F.lit(0)).alias("stored_reviews"),
-        safe_div(F.col("_ss"), F.col("_sn")).alias("avg_review_rating"),
+        F.coalesce(F.col("n_reviews"), F.lit(0)).alias("stored_reviews"),
+        safe_div(F.col("stars_sum"), F.col("stars_n")).alias("avg_review_rating"),
         F.col("_doc.social.instagrams").alias("instagram"),
         F.col("_doc.social.facebooks").alias("facebook"),
         "created_at",

@@ -106,3 +106,16 @@ def test_market_leaders_variance_default_and_digital_score(spark):
     assert row["inc_score"] == pytest.approx(40 + 3.0 + 20 + 0.5)
     b0 = biz(spark, [(2, "B", "HVAC", "P", 5.0, 0, doc)])
     assert V.market_leaders(b0, rev(spark, [])).count() == 0    # review_count >= 20 filter
+
+
+@pytest.mark.parametrize("view", ["market_leaders", "vulnerable_players", "review_velocity_trends",
+                                  "business_model_opportunities", "niche_swot_analysis", "business_summary"])
+def test_shared_facts_equal_standalone(spark, sf_dir, view):
+    from marketlens.sources import fixture as fx
+    b, r = fx.businesses(spark, sf_dir), fx.reviews(spark, sf_dir)
+    facts = V.review_facts(r)
+    fn = getattr(V, view)
+    kw = {} if view == "business_summary" else {"ordered": False}
+    a = fn(b, r, **kw)
+    c = fn(b, r, facts=facts, **kw)
+    assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
