@@ -41,18 +41,25 @@ def lenient_date(text: Column) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), (F.substring(text, 1, 10)).try_cast("date"))
 
 
+REVIEW_DOC = "struct<reviewerName:string,stars:string,text:string,publishedAtDate:string>"
+
+
 def extract_review_fields(raw: DataFrame) -> DataFrame:
-    """Typed review columns from ``review_data`` plus bad-value flags."""
-    d = F.col("review_data")
-    stars_txt = F.get_json_object(d, "$.stars")
-    date_txt = F.get_json_object(d, "$.publishedAtDate")
+    """Typed review columns from ``review_data`` plus bad-value flags.
+
+    One ``from_json`` parse per row with string leaves (a JSON number or
+    string becomes its text, JSON null becomes NULL — the ``->>`` rule), then
+    the defensive casts.
+    """
+    j = raw.select("id", "business_id", F.from_json("review_data", REVIEW_DOC).alias("_d"))
+    stars_txt, date_txt = F.col("_d.stars"), F.col("_d.publishedAtDate")
     stars = lenient_int(stars_txt)
     pub = lenient_date(date_txt)
-    return raw.select(
+    return j.select(
         "id", "business_id",
-        F.get_json_object(d, "$.reviewerName").alias("reviewer_name"),
+        F.col("_d.reviewerName").alias("reviewer_name"),
         stars.alias("stars"),
-        F.get_json_object(d, "$.text").alias("review_text"),
+        F.col("_d.text").alias("review_text"),
         pub.alias("published_at"),
         (stars_txt.isNotNull() & stars.isNull()).alias("bad_stars"),
         (date_txt.isNotNull() & pub.isNull()).alias("bad_date"),
@@ -96,16 +103,22 @@ def unique_violations(df: DataFrame, keys: list[str]) -> DataFrame:
             .filter(F.col("occurrences") > 1))
 
 
+BUSINESS_DOC = ("struct<overview:struct<city:string,category:string>,"
+                "rating:struct<totalScore:string,reviewsCount:string>,"
+                "contact:struct<website:string,phone:string>>")
+
+
 def _generated_exprs(strict: bool = False) -> dict[str, Column]:
-    d = F.col("business_data")
+    """The six generated columns from one ``from_json`` parse of the document."""
+    d = F.from_json(F.col("business_data"), BUSINESS_DOC)
     cast = (lambda c, t: c.cast(t)) if strict else (lambda c, t: c.try_cast(t))
     return {
-        "city": F.get_json_object(d, "$.overview.city"),
-        "category": F.get_json_object(d, "$.overview.category"),
-        "rating": cast(F.get_json_object(d, "$.rating.totalScore"), "decimal(3,1)"),
-        "review_count": cast(F.get_json_object(d, "$.rating.reviewsCount"), "int"),
-        "website": F.get_json_object(d, "$.contact.website"),
-        "phone": F.get_json_object(d, "$.contact.phone"),
+        "city": d["overview"]["city"],
+        "category": d["overview"]["category"],
+        "rating": cast(d["rating"]["totalScore"], "decimal(3,1)"),
+        "review_count": cast(d["rating"]["reviewsCount"], "int"),
+        "website": d["contact"]["website"],
+        "phone": d["contact"]["phone"],
     }
 
 

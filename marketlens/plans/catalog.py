@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import SparkSession
 
 from marketlens.plans import views as V
-from marketlens.sources import fixture as fx
+from marketlens.sources import warehouse as fx
 from marketlens.session import materialize
 from marketlens.sources.fixture import AS_OF
 

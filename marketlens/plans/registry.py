@@ -21,6 +21,7 @@ from marketlens.operators.session_memory import session_memory
 from marketlens.plans import queries as Q
 from marketlens.plans import views as V
 from marketlens.sources import fixture as fx
+from marketlens.sources import warehouse as W
 from marketlens.sources import places as P
 from marketlens.sources import store as St
 from marketlens.sources.tables import read_table
@@ -31,11 +32,19 @@ NOW = _dt.datetime(2025, 10, 1, 6, 0, 0)
 
 
 def _b(spark, d):
-    return fx.businesses(spark, d)
+    return W.businesses(spark, d)
 
 
 def _r(spark, d):
-    return fx.reviews(spark, d)
+    return W.reviews(spark, d)
+
+
+def _e(spark, d):
+    return W.executions(spark, d)
+
+
+def _raw(spark, d):
+    return fx.raw_reviews_from(W.reviews(spark, d))
 
 
 def _bq(fn, **kw):
@@ -47,7 +56,7 @@ def _brq(fn, **kw):
 
 
 def _exec_stats(spark, d):
-    b, r, e = fx.load_market(spark, d)
+    b, r, e = W.load_market(spark, d)
     return V.execution_stats(e, b, r)
 
 
@@ -149,10 +158,10 @@ REVIEW_QUERIES: dict[str, Query] = {
 }
 
 RUN_QUERIES: dict[str, Query] = {
-    "execution_trends": lambda s, d: Q.execution_trends(fx.executions(s, d), _b(s, d)),
-    "executions_last_7d": lambda s, d: Q.executions_last_7d(fx.executions(s, d)),
+    "execution_trends": lambda s, d: Q.execution_trends(_e(s, d), _b(s, d)),
+    "executions_last_7d": lambda s, d: Q.executions_last_7d(_e(s, d)),
     "latest_runs": lambda s, d: Q.latest_runs(_exec_stats(s, d)),
-    "pipeline_rows": lambda s, d: Q.pipeline_rows(fx.executions(s, d), _b(s, d), _r(s, d)),
+    "pipeline_rows": lambda s, d: Q.pipeline_rows(_e(s, d), _b(s, d), _r(s, d)),
     "pipeline_counts": lambda s, d: Q.pipeline_counts(_exec_stats(s, d), _b(s, d), _r(s, d)),
 }
 
@@ -186,7 +195,7 @@ def _upsert(spark, d):
 
 
 def _cascade(spark, d):
-    b, r, e = fx.load_market(spark, d)
+    b, r, e = W.load_market(spark, d)
     e2, b2, r2 = St.cascade_delete(e, b, r, e.filter(F.col("status") == "failed"))
     return Q.view_row_counts({"market_executions": e2, "businesses": b2, "business_reviews": r2})
 
@@ -208,20 +217,20 @@ INGEST_QUERIES: dict[str, Query] = {
     "resolve_business": lambda s, d: P.resolve_business(
         P.flatten_reviews(P.place_items(s, d)), _b(s, d))[0].select("review_id", "business_id"),
     "upsert_businesses": _upsert,
-    "open_execution": lambda s, d: St.open_execution(s, fx.executions(s, d), None, NOW),
-    "close_execution": lambda s, d: St.close_execution(fx.executions(s, d), 5, NOW),
+    "open_execution": lambda s, d: St.open_execution(s, _e(s, d), None, NOW),
+    "close_execution": lambda s, d: St.close_execution(_e(s, d), 5, NOW),
     "cascade_delete": _cascade,
-    "delete_by_query": lambda s, d: St.delete_by_query(_r(s, d), _b(s, d), fx.executions(s, d), "query_0")
+    "delete_by_query": lambda s, d: St.delete_by_query(_r(s, d), _b(s, d), _e(s, d), "query_0")
     .select("id"),
     "generated_columns": lambda s, d: Qa.generated_columns(_b(s, d)),
-    "extract_review_fields": lambda s, d: Qa.extract_review_fields(fx.raw_reviews(s, d)),
-    "validate_stars": lambda s, d: Qa.validate_stars(Qa.extract_review_fields(fx.raw_reviews(s, d))),
-    "validate_status": lambda s, d: Qa.validate_status(fx.executions(s, d)),
+    "extract_review_fields": lambda s, d: Qa.extract_review_fields(_raw(s, d)),
+    "validate_stars": lambda s, d: Qa.validate_stars(Qa.extract_review_fields(_raw(s, d))),
+    "validate_status": lambda s, d: Qa.validate_status(_e(s, d)),
     "validate_not_null": lambda s, d: Qa.validate_not_null(_b(s, d)),
     "fk_orphans": lambda s, d: Qa.fk_orphans(_r(s, d), _b(s, d), "business_id").select("id", "business_id"),
     "unique_violations": lambda s, d: Qa.unique_violations(
         read_table(s, d, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"]),
-    "dq_report": lambda s, d: Qa.dq_report(_b(s, d), Qa.extract_review_fields(fx.raw_reviews(s, d))),
+    "dq_report": lambda s, d: Qa.dq_report(_b(s, d), Qa.extract_review_fields(_raw(s, d))),
 }
 
 JSON_QUERIES: dict[str, Query] = {

@@ -199,7 +199,11 @@ def raw_reviews(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> Da
     upstream keys; stars/date are sometimes unparseable so the extraction
     rules (S18) have something to reject.
     """
-    r = reviews(spark, sf_dir, as_of)
+    return raw_reviews_from(reviews(spark, sf_dir, as_of))
+
+
+def raw_reviews_from(r: DataFrame) -> DataFrame:
+    """``raw_reviews`` of an existing ``business_reviews`` DataFrame."""
     rid = F.col("id")
     stars_json = (F.when(rid % 37 == 0, F.lit('"five"'))
                   .when(rid % 41 == 0, F.lit("99"))

@@ -23,7 +23,7 @@ from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType,
                                StructType)
 
 from marketlens.session import checkpoint_dir
-from marketlens.sources import fixture as fx
+from marketlens.sources import warehouse as fx
 
 REVIEW_PAGE = 1000
 
