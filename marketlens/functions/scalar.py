@@ -28,3 +28,20 @@ def pct(part: Column, total: Column, digits: int = 1) -> Column:
 def avg_exact(c: Column) -> Column:
     """AVG of a decimal as DOUBLE: exact decimal sum divided by the count."""
     return safe_div(F.sum(c), F.count(c))
+
+
+def ntz_lit(value) -> Column:
+    """TIMESTAMP_NTZ literal from a Python datetime, independent of any time zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def ntz_from_instant(ts: Column) -> Column:
+    """UTC wall time of a TIMESTAMP instant as TIMESTAMP_NTZ (session-tz free)."""
+    return F.timestamp_add("SECOND", F.unix_seconds(ts), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+def instant_from_ntz(ts: Column) -> Column:
+    """TIMESTAMP instant of a TIMESTAMP_NTZ read as UTC wall time (session-tz free)."""
+    secs = (F.unix_date(F.to_date(ts)).cast("long") * 86400 + F.hour(ts) * 3600
+            + F.minute(ts) * 60 + F.second(ts))
+    return F.timestamp_seconds(secs)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions import themes as T
-from marketlens.functions.scalar import avg_exact, dround, safe_div
+from marketlens.functions.scalar import avg_exact, dround, ntz_lit, safe_div
 from marketlens.plans import views as V
 from marketlens.session import materialize
 from marketlens.sources.fixture import AS_OF
@@ -341,7 +341,7 @@ def execution_trends(e: DataFrame, b: DataFrame) -> DataFrame:
 
 def executions_last_7d(e: DataFrame, now: _dt.datetime = DEFAULT_NOW) -> DataFrame:
     """Q15: runs created in the 7 days before ``now``."""
-    cut = F.lit(now).cast("timestamp_ntz") - F.expr("INTERVAL 7 DAYS")
+    cut = ntz_lit(now) - F.expr("INTERVAL 7 DAYS")
     return e.filter(F.col("created_at") > cut).select("id", "created_at", "status", "search_query")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions import jsonops as J
 from marketlens.functions import themes as T
+from marketlens.functions.scalar import ntz_lit
 from marketlens.operators import quality as Qa
 from marketlens.operators import search as S
 from marketlens.operators.session_memory import session_memory
@@ -177,8 +178,8 @@ COMPOSITE_QUERIES: dict[str, Query] = {
 def _incoming_rescrape(b: DataFrame) -> DataFrame:
     """Two re-scrapes of every odd business; the later one must win."""
     odd = b.filter(F.col("id") % 2 == 1).select("apify_place_id", "business_name", "review_count")
-    t1 = F.lit(NOW - _dt.timedelta(hours=1)).cast("timestamp_ntz")
-    t2 = F.lit(NOW - _dt.timedelta(minutes=10)).cast("timestamp_ntz")
+    t1 = ntz_lit(NOW - _dt.timedelta(hours=1))
+    t2 = ntz_lit(NOW - _dt.timedelta(minutes=10))
     return (odd.select("apify_place_id", "business_name", (F.col("review_count") + 1).alias("review_count"),
                        t1.alias("scraped_at"))
             .unionByName(odd.select("apify_place_id", "business_name",
@@ -255,7 +256,7 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_run_counters": lambda s, d: SJ.run_to_table(SJ.run_counter_stream(s, d), "run_counters", "complete"),
     "stream_velocity_windows": lambda s, d: SJ.run_to_table(
         SJ.velocity_window_stream(s, d), "velocity_windows", "complete").select(
-        F.col("w.start").alias("window_start"), "event_type", "events"),
+        "window_start", "event_type", "events"),
     "stream_review_dedupe": lambda s, d: SJ.run_to_table(SJ.dedupe_review_stream(s, d), "review_dedupe"),
 }
 

@@ -611,8 +611,7 @@ def execution_stats(executions: DataFrame, businesses: DataFrame, reviews: DataF
 
 def recent_executions(executions_with_totals: DataFrame, n: int = 50) -> DataFrame:
     e = executions_with_totals
-    secs = F.unix_timestamp(F.col("completed_at").cast("timestamp")) - \
-        F.unix_timestamp(F.col("created_at").cast("timestamp"))
+    secs = F.timestamp_diff("SECOND", F.col("created_at"), F.col("completed_at"))
     return (e.select("id", "created_at", "completed_at", "status", "search_query", "total_businesses",
                      "total_reviews", dround(secs.cast("double") / 60, 2).alias("duration_minutes"))
             .orderBy(F.desc_nulls_first("created_at")).limit(n))

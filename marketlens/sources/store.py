@@ -15,6 +15,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlens.functions.scalar import ntz_lit
 from marketlens.operators.quality import enforce, stars_ok
 
 
@@ -85,7 +86,7 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, now: _dt.datetime
     j = e.join(i, F.col(f"e.{key}") == F.col(f"i.{key}"), "full_outer")
     matched_i = F.col(f"i.{key}").isNotNull()
     matched_e = F.col(f"e.{key}").isNotNull()
-    now_lit = F.lit(now).cast("timestamp_ntz")
+    now_lit = ntz_lit(now)
     cols = [F.coalesce(F.col(f"e.{key}"), F.col(f"i.{key}")).alias(key)]
     for c in existing.columns:
         if c == key:
@@ -120,7 +121,7 @@ def open_execution(spark: SparkSession, executions: DataFrame, search_query: str
     """Add a 'running' run with the next id (``max(id)+1`` is one aggregate)."""
     nxt = executions.agg(F.coalesce(F.max("id") + 1, F.lit(1)).cast("bigint").alias("id"))
     row = nxt.select(
-        "id", F.lit(now).cast("timestamp_ntz").alias("created_at"),
+        "id", ntz_lit(now).alias("created_at"),
         F.lit(None).cast("timestamp_ntz").alias("completed_at"), F.lit("running").alias("status"),
         F.lit(search_query or "Manual execution").alias("search_query"))
     return executions.select(*row.columns).unionByName(row)
@@ -131,7 +132,7 @@ def close_execution(executions: DataFrame, run_id: int, now: _dt.datetime,
     """Stamp status/completed_at of one run (projection, no join)."""
     hit = F.col("id") == F.lit(run_id)
     return executions.select(
-        *[F.when(hit, F.lit(now).cast("timestamp_ntz")).otherwise(F.col(c)).alias(c) if c == "completed_at"
+        *[F.when(hit, ntz_lit(now)).otherwise(F.col(c)).alias(c) if c == "completed_at"
           else F.when(hit, F.lit(status)).otherwise(F.col(c)).alias(c) if c == "status"
           else F.col(c) for c in executions.columns])
 

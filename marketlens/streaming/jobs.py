@@ -25,6 +25,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlens.functions.scalar import instant_from_ntz, ntz_from_instant
 from marketlens.session import checkpoint_dir
 from marketlens.sources import fixture as fx
 from marketlens.sources.tables import table_path
@@ -67,11 +68,15 @@ def run_counter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def velocity_window_stream(spark: SparkSession, sf_dir: str, window: str = "1 day",
                            watermark: str = "2 days") -> DataFrame:
     """T4: tumbling-window event counts per type with a watermark."""
+    # event time must be a TIMESTAMP instant; read the NTZ wall time as UTC so
+    # windows do not move with the session time zone
     ev = (table_stream(spark, sf_dir, "events")
-          .withColumn("ts", F.col("ts").cast("timestamp"))      # event time must be TIMESTAMP (session tz UTC)
-          .withWatermark("ts", watermark))
-    return (ev.groupBy(F.window("ts", window).alias("w"), "event_type")
-            .agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("value_sum")))
+          .withColumn("event_time", instant_from_ntz(F.col("ts")))
+          .withWatermark("event_time", watermark))
+    return (ev.groupBy(F.window("event_time", window).alias("w"), "event_type")
+            .agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("value_sum"))
+            .select(ntz_from_instant(F.col("w.start")).alias("window_start"), "event_type", "events",
+                    "value_sum"))
 
 
 def dedupe_review_stream(spark: SparkSession, sf_dir: str, duplicate_every: int = 19,
