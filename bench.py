@@ -26,6 +26,7 @@ HEADLINE = [
     "business_summary", "recent_executions", "biz_by_city", "category_city_stats", "sentiment_by_category",
     "review_keyword_search", "fts_term", "fts_phrase", "theme_flags", "complaint_themes", "success_factors",
     "market_report", "market_entry", "upsert_businesses", "dq_report", "session_memory",
+    "document_term_frequencies",
 ]
 
 

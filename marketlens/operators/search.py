@@ -229,10 +229,15 @@ def fts_match(df: DataFrame, query: str, text_col: str = "review_text") -> DataF
 
 
 def token_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, pos, stem) for every non-stop-word token, positions 1-based."""
-    return (df.select(id_col, F.posexplode(stems(F.col(text_col))).alias("pos", "stem"))
-            .filter(F.col("stem").isNotNull())
-            .select(id_col, (F.col("pos") + 1).alias("pos"), "stem"))
+    """(id, pos, stem) for every non-stop-word token, positions 1-based.
+
+    Tokens are exploded first and stemmed as a plain column expression, so
+    the stemmer runs inside whole-stage codegen (a lambda would not).
+    """
+    toks = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0)
+    return (df.select(id_col, F.posexplode(toks).alias("pos", "tok"))
+            .filter(~F.col("tok").isin(*STOP_WORDS))
+            .select(id_col, (F.col("pos") + 1).alias("pos"), stem(F.col("tok")).alias("stem")))
 
 
 def fts_with_business(b: DataFrame, r: DataFrame, query: str) -> DataFrame:

@@ -247,6 +247,12 @@ JSON_QUERIES: dict[str, Query] = {
     .select("event_id"),
 }
 
+TEXT_QUERIES: dict[str, Query] = {
+    # X1 token table over whole documents (up to 20k words each), aggregated per stem
+    "document_term_frequencies": lambda s, d: S.term_frequencies(
+        read_table(s, d, "documents").select("doc_id", "text"), "doc_id", "text"),
+}
+
 SESSION_QUERIES: dict[str, Query] = {
     "session_memory": lambda s, d: session_memory(read_table(s, d, "conversations")).select(
         "conv_id", "turn", "role"),
@@ -264,6 +270,6 @@ STREAM_QUERIES: dict[str, Query] = {
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for part in (VIEW_QUERIES, BUSINESS_QUERIES, REVIEW_QUERIES, RUN_QUERIES, COMPOSITE_QUERIES,
-                 INGEST_QUERIES, JSON_QUERIES, SESSION_QUERIES, STREAM_QUERIES):
+                 INGEST_QUERIES, JSON_QUERIES, TEXT_QUERIES, SESSION_QUERIES, STREAM_QUERIES):
         out.update(part)
     return out

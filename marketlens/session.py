@@ -41,7 +41,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001  (Spark Connect)
+        pass
     return spark
 
 
@@ -51,12 +54,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; only when it is unset
     (local tests) do we create one under the system temp dir.
     """
-    conf = spark.sparkContext.getConf()
-    d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:                                   # classic session; Spark Connect has no SparkContext
+        sc = spark.sparkContext
+        d = d or sc.getConf().get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001
+        sc = None
     if not d:
         d = tempfile.mkdtemp(prefix="marketlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d
 
 

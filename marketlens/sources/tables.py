@@ -36,9 +36,12 @@ def ensure_parallelism(df: DataFrame, key: str) -> DataFrame:
     The split count comes from planning the scan, not from running it.
     """
     spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
+    try:
+        target = spark.sparkContext.defaultParallelism
+        if key not in _SPLITS:
+            _SPLITS[key] = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (Spark Connect: no RDD API; leave the scan as planned)
+        return df
     return df.repartition(target) if _SPLITS[key] < target else df
 
 

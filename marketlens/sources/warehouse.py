@@ -29,7 +29,11 @@ _STORED: dict[tuple, DataFrame] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str, as_of: _dt.date) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir, name, as_of)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001  (Spark Connect)
+        app = spark.conf.get("spark.app.id", None) or id(spark)
+    return (app, sf_dir, name, as_of)
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, as_of: _dt.date, build) -> DataFrame:
