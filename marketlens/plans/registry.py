@@ -202,10 +202,37 @@ def _cascade(spark, d):
 
 
 def _landed(spark, d):
-    return P.landed_items(spark, d)
+    return W.landed_places(spark, d)
+
+
+def _proj(struct_fn, fields):
+    """One S2–S8 projection of the landed items, flattened to columns."""
+    def q(s, d):
+        items = _landed(s, d)
+        st = struct_fn(items)
+        return items.select(P.place_key(items).alias("apify_place_id"), F.col("scrapedAt"),
+                            *[st[f].alias(f) for f in fields])
+    return q
 
 
 INGEST_QUERIES: dict[str, Query] = {
+    "ingest_overview": _proj(P.overview, ["title", "category", "city", "url", "street", "postalCode",
+                                          "countryCode", "rank", "isAdvertisement", "temporarilyClosed",
+                                          "permanentlyClosed"]),
+    "ingest_contact": _proj(P.contact, ["phone", "phoneUnformatted", "website", "email", "claimThisBusiness"]),
+    "ingest_social": _proj(P.social, ["facebookPages", "instagrams", "twitters"]),
+    "ingest_rating": _proj(lambda items: F.struct(
+        P.rating(items)["totalScore"].alias("totalScore"), P.rating(items)["reviewsCount"].alias("reviewsCount"),
+        F.col("reviewsDistribution.oneStar").alias("oneStar"), F.col("reviewsDistribution.fiveStar").alias("fiveStar")),
+        ["totalScore", "reviewsCount", "oneStar", "fiveStar"]),
+    "ingest_tags": lambda s, d: _landed(s, d).select(
+        P.place_key(_landed(s, d)).alias("apify_place_id"), "scrapedAt",
+        F.coalesce("tags", F.array().cast("array<string>")).alias("tags")),
+    "ingest_lead": lambda s, d: _landed(s, d).select(
+        P.place_key(_landed(s, d)).alias("apify_place_id"), "scrapedAt", "placeId", "cid",
+        F.round("location.lat", 6).alias("lat"), F.round("location.lng", 6).alias("lng")),
+    "merge_dimensions": lambda s, d: P.combine_business(_landed(s, d)).select(
+        "apify_place_id", "business_name", "search_string", "scraped_at", "category", "city"),
     "ingest_places": lambda s, d: _landed(s, d).select(
         "placeId", "title", "totalScore", "scrapedAt", F.size("reviews").cast("bigint").alias("n_reviews")),
     "combine_business": lambda s, d: St.dedupe_latest(

@@ -57,3 +57,14 @@ def executions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_market(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF):
     return businesses(spark, sf_dir), reviews(spark, sf_dir, as_of), executions(spark, sf_dir)
+
+
+def landed_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place items landed once as JSON lines and read back with the declared schema."""
+    from marketlens.sources import places as P
+
+    k = _key(spark, sf_dir, "landed_places", AS_OF)
+    if k not in _STORED:
+        path = P.land_places(P.place_items(spark, sf_dir), P.landing_path(spark))
+        _STORED[k] = P.read_places(spark, path)
+    return _STORED[k]
