@@ -166,6 +166,36 @@ RUN_QUERIES: dict[str, Query] = {
     "pipeline_counts": lambda s, d: Q.pipeline_counts(_exec_stats(s, d), _b(s, d), _r(s, d)),
 }
 
+def _cols(view: str, *cols: str) -> Query:
+    """A view narrowed to some columns; Catalyst prunes the work they don't need."""
+    return lambda s, d: VIEW_QUERIES[view](s, d).select(*cols)
+
+
+PART_QUERIES: dict[str, Query] = {
+    "inc_score": _cols("market_leaders", "id", "inc_score", "market_position"),                 # F8
+    "rating_consistency": _cols("market_leaders", "id", "rating_variance"),                     # F7
+    "pain_theme_counts": _cols("customer_pain_points", "category", "city", "total_complaints",  # A5
+                               *[f"{k}_complaints" for k in T.PAIN_THEMES]),
+    "pain_pct": _cols("customer_pain_points", "category", "city",                               # F10
+                      *[f"{k}_pct" for k in T.PAIN_THEMES]),
+    "sample_complaints": _cols("customer_pain_points", "category", "city", "sample_complaints"),  # A8
+    "positioning": _cols("niche_service_gaps", "category", "city", "specialty_type",            # F3
+                         "positioning_strategy"),
+    "strength_list": _cols("niche_swot_analysis", "category", "city", "strength_list",          # F16
+                           "weakness_list"),
+}
+
+
+def _append_reviews(spark, d):
+    """Validate the extracted batch, append accepted rows, read the table back."""
+    from marketlens.session import scratch_path
+    ext = Qa.extract_review_fields(_raw(spark, d)).select("id", "business_id", "reviewer_name", "stars",
+                                                           "review_text", "published_at")
+    path = scratch_path(spark, "business_reviews_append")
+    St.append_reviews(ext, path)
+    return spark.read.parquet(path)
+
+
 COMPOSITE_QUERIES: dict[str, Query] = {
     "view_row_counts": lambda s, d: Q.view_row_counts(_views(s, d)),
     "score_ranges": _brq(Q.score_ranges),
@@ -216,6 +246,10 @@ def _proj(struct_fn, fields):
 
 
 INGEST_QUERIES: dict[str, Query] = {
+    "ingest_popular_times": lambda s, d: _landed(s, d).select(
+        P.place_key(_landed(s, d)).alias("apify_place_id"), "scrapedAt",
+        F.nullif(F.col("popularTimesHistogram"), F.lit("")).alias("popularTimesHistogram")),
+    "append_reviews": _append_reviews,
     "ingest_overview": _proj(P.overview, ["title", "category", "city", "url", "street", "postalCode",
                                           "countryCode", "rank", "isAdvertisement", "temporarilyClosed",
                                           "permanentlyClosed"]),
@@ -296,7 +330,7 @@ STREAM_QUERIES: dict[str, Query] = {
 
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for part in (VIEW_QUERIES, BUSINESS_QUERIES, REVIEW_QUERIES, RUN_QUERIES, COMPOSITE_QUERIES,
+    for part in (VIEW_QUERIES, PART_QUERIES, BUSINESS_QUERIES, REVIEW_QUERIES, RUN_QUERIES, COMPOSITE_QUERIES,
                  INGEST_QUERIES, JSON_QUERIES, TEXT_QUERIES, SESSION_QUERIES, STREAM_QUERIES):
         out.update(part)
     return out
