@@ -166,6 +166,7 @@ RUN_QUERIES: dict[str, Query] = {
     "pipeline_counts": lambda s, d: Q.pipeline_counts(_exec_stats(s, d), _b(s, d), _r(s, d)),
 }
 
+
 def _cols(view: str, *cols: str) -> Query:
     """A view narrowed to some columns; Catalyst prunes the work they don't need."""
     return lambda s, d: VIEW_QUERIES[view](s, d).select(*cols)
