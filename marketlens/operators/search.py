@@ -29,10 +29,20 @@ STOP_WORDS = (
 )
 
 
+def _cut(s: Column, k: int) -> Column:
+    """``s`` without its last ``k`` characters."""
+    return F.substring(s, F.lit(1), F.length(s) - k)
+
+
+def _has_vowel(s: Column) -> Column:
+    return F.length(F.translate(s, "aeiouy", "")) < F.length(s)
+
+
 def _fix_ending(s: Column) -> Column:
-    n = F.length(s)
-    return (F.when(s.rlike("(at|bl|iz)$"), F.concat(s, F.lit("e")))
-            .when(s.rlike(r"([^aeiouylsz])\1$"), F.substring(s, F.lit(1), n - 1))
+    last = F.substring(s, -1, 1)
+    double = (F.length(s) >= 2) & (last == F.substring(s, -2, 1)) & ~last.isin(*"aeiouylsz")
+    return (F.when(s.endswith("at") | s.endswith("bl") | s.endswith("iz"), F.concat(s, F.lit("e")))
+            .when(double, _cut(s, 1))
             .otherwise(s))
 
 
@@ -41,18 +51,21 @@ def stem(w: Column) -> Column:
 
     parking/parked/parks → park, missed → miss, agreed → agree, hopping → hop.
     Documents and queries go through the same function, so matching is
-    consistent whatever the word.
+    consistent whatever the word.  Suffix tests are ``endswith``/``substring``
+    string operations (no regex), so the whole stemmer compiles into the
+    surrounding whole-stage codegen.
     """
     n = F.length(w)
-    a = (F.when(w.rlike("sses$"), F.regexp_replace(w, "sses$", "ss"))
-         .when(w.rlike("ies$") & (n > 4), F.regexp_replace(w, "ies$", "i"))
-         .when(w.rlike("ss$"), w)
-         .when(w.rlike("[^su]s$") & (n > 3), F.regexp_replace(w, "s$", ""))
+    a = (F.when(w.endswith("sses"), _cut(w, 2))
+         .when(w.endswith("ies") & (n > 4), F.concat(_cut(w, 3), F.lit("i")))
+         .when(w.endswith("ss"), w)
+         .when(w.endswith("s") & ~w.endswith("us") & (n > 3), _cut(w, 1))
          .otherwise(w))
     m = F.length(a)
-    return (F.when(a.rlike("eed$"), F.when(m > 4, F.regexp_replace(a, "eed$", "ee")).otherwise(a))
-            .when(a.rlike("[aeiouy].*ing$") & (m >= 5), _fix_ending(F.regexp_replace(a, "ing$", "")))
-            .when(a.rlike("[aeiouy].*ed$") & (m >= 4), _fix_ending(F.regexp_replace(a, "ed$", "")))
+    ing, ed = _cut(a, 3), _cut(a, 2)
+    return (F.when(a.endswith("eed"), F.when(m > 4, _cut(a, 1)).otherwise(a))
+            .when(a.endswith("ing") & (m >= 5) & _has_vowel(ing), _fix_ending(ing))
+            .when(a.endswith("ed") & (m >= 4) & _has_vowel(ed), _fix_ending(ed))
             .otherwise(a))
 
 
