@@ -323,7 +323,7 @@ SESSION_QUERIES: dict[str, Query] = {
 STREAM_QUERIES: dict[str, Query] = {
     "stream_run_counters": lambda s, d: SJ.run_to_table(SJ.run_counter_stream(s, d), "run_counters", "complete"),
     "stream_velocity_windows": lambda s, d: SJ.run_to_table(
-        SJ.velocity_window_stream(s, d), "velocity_windows", "complete").select(
+        SJ.velocity_window_stream(s, d), "velocity_windows", "update").select(
         "window_start", "event_type", "events"),
     "stream_review_dedupe": lambda s, d: SJ.run_to_table(SJ.dedupe_review_stream(s, d), "review_dedupe"),
 }

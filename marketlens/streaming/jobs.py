@@ -67,7 +67,13 @@ def run_counter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def velocity_window_stream(spark: SparkSession, sf_dir: str, window: str = "1 day",
                            watermark: str = "2 days") -> DataFrame:
-    """T4: tumbling-window event counts per type with a watermark."""
+    """T4: tumbling-window event counts per type with a watermark.
+
+    Run in ``update`` mode: each micro-batch emits the windows it changed and
+    state for windows older than the watermark is dropped, so state stays
+    bounded on an endless stream (late rows beyond the watermark are not
+    counted; the batch views remain the source of truth).
+    """
     # event time must be a TIMESTAMP instant; read the NTZ wall time as UTC so
     # windows do not move with the session time zone
     ev = (table_stream(spark, sf_dir, "events")
