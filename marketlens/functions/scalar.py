@@ -25,9 +25,16 @@ def pct(part: Column, total: Column, digits: int = 1) -> Column:
     return dround(F.lit(100.0) * safe_div(part, total), digits)
 
 
-def avg_exact(c: Column) -> Column:
-    """AVG of a decimal as DOUBLE: exact decimal sum divided by the count."""
-    return safe_div(F.sum(c), F.count(c))
+def avg_exact(c: Column, scale: int = 1) -> Column:
+    """AVG of a decimal(p, ``scale``) as the correctly rounded DOUBLE.
+
+    PostgreSQL averages NUMERIC exactly.  The unscaled sum is an exact
+    integer, so one floating division by ``count · 10^scale`` rounds the
+    exact average once.
+    """
+    unit = 10 ** scale
+    unscaled = F.sum((c * unit).cast("long")).cast("double")
+    return unscaled / F.nullif(F.count(c) * unit, F.lit(0)).cast("double")
 
 
 def ntz_lit(value) -> Column:

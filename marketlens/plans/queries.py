@@ -330,12 +330,14 @@ def load_summary(b: DataFrame, r: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 def execution_trends(e: DataFrame, b: DataFrame) -> DataFrame:
     """Q13: businesses found per search query and run day."""
-    per = b.groupBy("execution_id").agg(F.count("id").alias("_n"), F.sum("rating").alias("_rs"),
+    per = b.groupBy("execution_id").agg(F.count("id").alias("_n"),
+                                        F.sum((F.col("rating") * 10).cast("long")).alias("_rs10"),
                                         F.count("rating").alias("_rn"))
     j = e.join(per.withColumnRenamed("execution_id", "id"), "id")
+    # exact average of the decimal rating: one division of the unscaled integer sum
     return (j.groupBy("search_query", F.to_date("created_at").alias("execution_date"))
             .agg(F.sum("_n").cast("bigint").alias("businesses_found"),
-                 safe_div(F.sum("_rs"), F.sum("_rn")).alias("avg_rating"))
+                 safe_div(F.sum("_rs10"), F.sum("_rn") * 10).alias("avg_rating"))
             .orderBy(F.desc("execution_date")))
 
 
