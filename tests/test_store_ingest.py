@@ -3,7 +3,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from marketlens.operators.session_memory import session_memory
