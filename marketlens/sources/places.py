@@ -278,19 +278,27 @@ def resolve_business(flat_reviews: DataFrame, businesses: DataFrame) -> tuple[Da
     """Attach business ids to flattened reviews → (resolved, unresolved).
 
     Match on the place key first; else on the place url (stored in the
-    document); else on the name only when exactly one business has it.  Two
-    equi-joins and a coalesce — never an OR join.
+    document); else on the name only when exactly one business has it.
+    Resolution runs on the *distinct place descriptors* (at most one row per
+    place, deduplicated map-side), with equi-joins and a coalesce — never an
+    OR join — and the result is joined back to the reviews once.
     """
+    desc_cols = ["apify_place_id", "place_url", "place_name"]
+    places = flat_reviews.select(*desc_cols).distinct()
     keyed = businesses.select(F.col("id").alias("_kid"), F.col("apify_place_id"))
     by_url = businesses.select(F.col("id").alias("_uid"),
                                F.get_json_object("business_data", "$.overview.url").alias("place_url")) \
         .filter(F.col("place_url").isNotNull())
     names = businesses.groupBy(F.col("business_name").alias("place_name")).agg(
         F.count(F.lit(1)).alias("_n"), F.min("id").alias("_nid")).filter(F.col("_n") == 1).drop("_n")
-    j = (flat_reviews.join(keyed, "apify_place_id", "left")
-         .join(by_url, "place_url", "left")
-         .join(names, "place_name", "left"))
-    j = j.withColumn("business_id", F.coalesce("_kid", "_uid", "_nid")).drop("_kid", "_uid", "_nid")
+    resolved = (places.join(keyed, "apify_place_id", "left")
+                .join(by_url, "place_url", "left")
+                .join(names, "place_name", "left")
+                .select(*desc_cols, F.coalesce("_kid", "_uid", "_nid").alias("business_id")))
+    r = resolved.alias("p")
+    f = flat_reviews.alias("f")
+    j = f.join(r, [F.col(f"f.{c}").eqNullSafe(F.col(f"p.{c}")) for c in desc_cols], "left") \
+         .select("f.*", F.col("p.business_id"))
     return j.filter(F.col("business_id").isNotNull()), j.filter(F.col("business_id").isNull())
 
 

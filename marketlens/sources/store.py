@@ -70,40 +70,46 @@ def dedupe_latest(incoming: DataFrame, key: str, order_col: str) -> DataFrame:
 def upsert(existing: DataFrame, incoming: DataFrame, key: str, now: _dt.datetime,
            keep_cols: tuple[str, ...] = ("id", "created_at"), order_col: str = "scraped_at",
            payload_cols: list[str] | None = None) -> DataFrame:
-    """``INSERT … ON CONFLICT (key) DO UPDATE`` as a full outer join.
+    """``INSERT … ON CONFLICT (key) DO UPDATE`` without a table format.
 
     * matched: keep the existing ``keep_cols`` (surrogate id, created_at),
       take the incoming payload, ``updated_at = now``;
     * incoming only: new row, ``created_at = updated_at = now``; its id is
       ``xxhash64(key)`` (no sequences on a cluster);
-    * existing only: unchanged.
-    NULL keys never match (UNIQUE admits many NULLs) and pass through.
+    * existing only: unchanged.  NULL keys never match (UNIQUE admits many
+      NULLs) and pass through.
+
+    Plan: the big existing table is only *filtered* by the incoming keys — a
+    left-anti join for the untouched rows and a left-semi join for the
+    matched ones — so when a batch's keys are small AQE broadcasts them and
+    the existing table is never shuffled (a full outer join would shuffle it
+    every batch).  Only the matched rows meet the incoming payload.
     """
     inc = dedupe_latest(incoming.filter(F.col(key).isNotNull()), key, order_col)
     payload = payload_cols or [c for c in inc.columns if c not in (key, order_col)]
-    e = existing.alias("e")
-    i = inc.alias("i")
-    j = e.join(i, F.col(f"e.{key}") == F.col(f"i.{key}"), "full_outer")
-    matched_i = F.col(f"i.{key}").isNotNull()
-    matched_e = F.col(f"e.{key}").isNotNull()
+    keys = inc.select(key)
+    untouched = existing.join(keys, key, "left_anti")
+    matched = existing.join(keys, key, "left_semi")
     now_lit = ntz_lit(now)
-    cols = [F.coalesce(F.col(f"e.{key}"), F.col(f"i.{key}")).alias(key)]
+    o = matched.alias("o")
+    i = inc.alias("i")
+    j = i.join(o, F.col(f"i.{key}") == F.col(f"o.{key}"), "left")
+    hit = F.col(f"o.{key}").isNotNull()
+    cols = []
     for c in existing.columns:
         if c == key:
-            continue
-        if c == "id":
-            cols.append(F.coalesce(F.col("e.id"), F.xxhash64(F.col(f"i.{key}"))).alias("id"))
+            cols.append(F.col(f"i.{key}").alias(key))
+        elif c == "id":
+            cols.append(F.coalesce(F.col("o.id"), F.xxhash64(F.col(f"i.{key}"))).alias("id"))
         elif c == "created_at":
-            cols.append(F.when(matched_e, F.col("e.created_at")).otherwise(now_lit).alias("created_at"))
+            cols.append(F.when(hit, F.col("o.created_at")).otherwise(now_lit).alias("created_at"))
         elif c == "updated_at":
-            cols.append(F.when(matched_i, now_lit).otherwise(F.col("e.updated_at")).alias("updated_at"))
+            cols.append(now_lit.alias("updated_at"))
         elif c in payload and c not in keep_cols:
-            cols.append(F.when(matched_i, F.col(f"i.{c}")).otherwise(F.col(f"e.{c}")).alias(c))
+            cols.append(F.col(f"i.{c}").alias(c))
         else:
-            cols.append(F.col(f"e.{c}").alias(c))
-    out = j.select(*cols)
-    nulls = existing.filter(F.col(key).isNull())
-    return out.filter(F.col(key).isNotNull()).unionByName(nulls)
+            cols.append(F.col(f"o.{c}").alias(c))
+    return untouched.unionByName(j.select(*cols))
 
 
 # ---------------------------------------------------------------------------
