@@ -13,7 +13,6 @@ collects one place's reviews into a single unbounded array.
 
 from __future__ import annotations
 
-import datetime as _dt
 import os
 import uuid
 
@@ -241,18 +240,6 @@ def combine_business(items: DataFrame) -> DataFrame:
     )
 
 
-def latest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
-    """Keep the newest row per key (dedupe before upsert).
-
-    ``max_by`` over a struct is a partial aggregate, so a key repeated in many
-    items combines map-side instead of sorting all copies in one task.
-    """
-    other = [c for c in df.columns if c != key]
-    agg = df.groupBy(key).agg(F.max_by(F.struct(*other), F.struct(order_col, *[c for c in other if c != order_col]))
-                              .alias("_row"))
-    return agg.select(key, *[F.col("_row")[c].alias(c) for c in other])
-
-
 # ---------------------------------------------------------------------------
 # S12 flatten reviews, S13 resolve business
 # ---------------------------------------------------------------------------
@@ -302,16 +289,6 @@ def resolve_business(flat_reviews: DataFrame, businesses: DataFrame) -> tuple[Da
     return j.filter(F.col("business_id").isNotNull()), j.filter(F.col("business_id").isNull())
 
 
-def landed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Derive items, land them as JSON, read them back (S1 end to end)."""
-    path = land_places(place_items(spark, sf_dir), landing_path(spark))
-    return read_places(spark, path)
-
-
-def ingest_date() -> _dt.datetime:
-    return _dt.datetime.fromisoformat(SCRAPE_TIME)
-
-
 __all__ = ["PLACE", "REVIEW_ITEM", "place_items", "land_places", "read_places", "combine_business",
-           "latest_per_key", "flatten_reviews", "resolve_business", "landed_items"]
+           "flatten_reviews", "resolve_business"]
 
