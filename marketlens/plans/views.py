@@ -528,7 +528,7 @@ def niche_swot_analysis(businesses: DataFrame, reviews: DataFrame, ordered: bool
 
     The reference full-joins two grouped halves USING (category, city); NULL
     keys never match there, so a NULL-key group yields two rows.  We compute
-    both halves in one aggregate and split NULL-key groups with ``stack``.
+    both halves in one aggregate and split NULL-key groups in two with ``explode``.
     """
     keys = ["category", "city"]
     # NULL stars are neither positive nor negative; a business whose reviews
