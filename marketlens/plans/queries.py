@@ -353,7 +353,7 @@ def latest_runs(e_with_totals: DataFrame, n: int = 5) -> DataFrame:
             .select("id", "created_at", "search_query", "total_businesses", "total_reviews", "status"))
 
 
-def pipeline_rows(e: DataFrame, b: DataFrame, r: DataFrame) -> DataFrame:
+def run_review_rows(e: DataFrame, b: DataFrame, r: DataFrame) -> DataFrame:
     """Run → business → review inner chain, counted per run."""
     per = r.groupBy("business_id").agg(F.count(F.lit(1)).alias("_n"))
     j = per.join(b.select(F.col("id").alias("business_id"), "execution_id"), "business_id")
@@ -361,7 +361,7 @@ def pipeline_rows(e: DataFrame, b: DataFrame, r: DataFrame) -> DataFrame:
     return e.join(k.withColumnRenamed("execution_id", "id"), "id").select("id", "search_query", "review_rows")
 
 
-def pipeline_counts(e_with_totals: DataFrame, b: DataFrame, r: DataFrame) -> DataFrame:
+def run_totals_check(e_with_totals: DataFrame, b: DataFrame, r: DataFrame) -> DataFrame:
     """J7 / test 7.1: recorded vs actual businesses and reviews per run."""
     per = r.groupBy("business_id").agg(F.count("id").alias("_n"))
     bb = b.select(F.col("id").alias("business_id"), "execution_id").join(per, "business_id", "left")

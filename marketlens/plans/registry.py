@@ -162,8 +162,8 @@ RUN_QUERIES: dict[str, Query] = {
     "execution_trends": lambda s, d: Q.execution_trends(_e(s, d), _b(s, d)),
     "executions_last_7d": lambda s, d: Q.executions_last_7d(_e(s, d)),
     "latest_runs": lambda s, d: Q.latest_runs(_exec_stats(s, d)),
-    "pipeline_rows": lambda s, d: Q.pipeline_rows(_e(s, d), _b(s, d), _r(s, d)),
-    "pipeline_counts": lambda s, d: Q.pipeline_counts(_exec_stats(s, d), _b(s, d), _r(s, d)),
+    "run_review_rows": lambda s, d: Q.run_review_rows(_e(s, d), _b(s, d), _r(s, d)),
+    "run_totals_check": lambda s, d: Q.run_totals_check(_exec_stats(s, d), _b(s, d), _r(s, d)),
 }
 
 

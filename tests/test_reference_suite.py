@@ -50,7 +50,7 @@ def test_1_8_full_text_search_finds_parking(spark, sf_dir):
 
 # 2 data collection -----------------------------------------------------------------
 def test_2_1_and_2_6_run_counters_equal_actual_rows(spark, sf_dir):
-    rows = q(spark, sf_dir, "pipeline_counts").collect()
+    rows = q(spark, sf_dir, "run_totals_check").collect()
     assert all(r["total_businesses"] == r["actual_businesses"] for r in rows)
     stats = {r["id"]: r["total_reviews"] for r in q(spark, sf_dir, "execution_stats").collect()}
     assert all(stats[r["id"]] == r["actual_reviews"] for r in rows)
@@ -134,8 +134,8 @@ def test_6_5_aggregates_are_partial_before_shuffle(spark, sf_dir):
 
 
 # 7 end to end ------------------------------------------------------------------------
-def test_7_1_pipeline_rows_per_run(spark, sf_dir):
-    assert q(spark, sf_dir, "pipeline_rows").agg(F.sum("review_rows")).first()[0] == \
+def test_7_1_run_review_rows_per_run(spark, sf_dir):
+    assert q(spark, sf_dir, "run_review_rows").agg(F.sum("review_rows")).first()[0] == \
         W.reviews(spark, sf_dir).count()
 
 
