@@ -320,7 +320,20 @@ SESSION_QUERIES: dict[str, Query] = {
         "conv_id", "turn", "role"),
 }
 
+def _stream_ingest(spark, d):
+    """Landed place files → streaming upsert into versioned snapshots → latest snapshot."""
+    from marketlens.session import scratch_path
+    landing = P.land_places(P.place_items(spark, d), P.landing_path(spark, "stream"))
+    base = scratch_path(spark, "businesses_snapshots")
+    empty = spark.createDataFrame([], "id long, apify_place_id string, business_name string, review_count int, "
+                                      "created_at timestamp_ntz, updated_at timestamp_ntz")
+    SJ.ingest_stream(spark, landing, base, empty, NOW)
+    return St.read_latest(spark, base).select("apify_place_id", "business_name", "review_count",
+                                              "created_at", "updated_at")
+
+
 STREAM_QUERIES: dict[str, Query] = {
+    "stream_ingest_places": _stream_ingest,
     "stream_run_counters": lambda s, d: SJ.run_to_table(SJ.run_counter_stream(s, d), "run_counters", "complete"),
     "stream_velocity_windows": lambda s, d: SJ.run_to_table(
         SJ.velocity_window_stream(s, d), "velocity_windows", "update").select(
