@@ -19,11 +19,17 @@ def test_no_nested_loop_or_cartesian(spark, sf_dir, key):
     assert "CartesianProduct" not in plan
 
 
-def test_orders_scan_is_pruned(spark, sf_dir):
+def test_review_scan_is_pruned(spark, sf_dir):
+    """V4 reads only business_id, stars and published_at of the stored reviews."""
+    import re
     df = E.queries()["vulnerable_players"](spark, sf_dir)
     df.collect()
     plan = _plan(df)
-    assert "o_totalprice" not in plan and "o_orderpriority" not in plan
+    schemas = re.findall(r"market-business_reviews[^\n]*?ReadSchema: (struct<[^>]*>)", plan)
+    assert schemas, plan[:2000]
+    for sch in schemas:
+        assert "review_text" not in sch and "reviewer_name" not in sch
+        assert "stars" in sch and "published_at" in sch
 
 
 def test_city_filter_reaches_customer_scan(spark, sf_dir):
@@ -33,3 +39,54 @@ def test_city_filter_reaches_customer_scan(spark, sf_dir):
     text = df._jdf.queryExecution().optimizedPlan().toString()
     # city is derived from c_custkey, so the predicate sits right above the scan
     assert "METRO" in text
+
+
+@pytest.mark.parametrize("key", ["customer_pain_points", "market_leaders", "vulnerable_players",
+                                 "review_velocity_trends", "niche_service_gaps", "business_model_opportunities",
+                                 "niche_swot_analysis", "business_summary", "sentiment_by_category"])
+def test_reviews_are_aggregated_before_any_join(spark, sf_dir, key):
+    """The review scan meets a (partial) aggregate before it meets a join: no review-grain join."""
+    assert _first_consumer_of_reviews(spark, sf_dir, key) == {"Aggregate"}
+
+
+def test_plan_walk_detects_review_grain_join(spark, sf_dir):
+    """Control: the review-grain listing query does join raw reviews."""
+    assert "Join" in _first_consumer_of_reviews(spark, sf_dir, "reviews_with_business")
+
+
+def _kids(node):
+    cls = node.getClass().getSimpleName()
+    if cls == "AdaptiveSparkPlanExec":
+        return [node.executedPlan()]
+    if cls.endswith("QueryStageExec"):
+        return [node.plan()]
+    if cls == "ReusedExchangeExec":
+        return [node.child()]
+    ch = node.children()
+    return [ch.apply(i) for i in range(ch.size())]
+
+
+def _first_consumer_of_reviews(spark, sf_dir, key):
+    """For every scan of the stored reviews, the first aggregate-or-join above it."""
+    df = E.queries()[key](spark, sf_dir)
+    df.collect()
+    seen = set()
+
+    def walk(node, path):
+        cls = node.getClass().getSimpleName()
+        if cls == "FileSourceScanExec" and "market-business_reviews" in node.toString():
+            kind = "none"
+            for anc in reversed(path):
+                if "Aggregate" in anc:
+                    kind = "Aggregate"
+                    break
+                if "Join" in anc:
+                    kind = "Join"
+                    break
+            seen.add(kind)
+        for k in _kids(node):
+            walk(k, path + [cls])
+
+    walk(df._jdf.queryExecution().executedPlan(), [])
+    assert seen, "no scan of the stored reviews found"
+    return seen
