@@ -446,3 +446,45 @@ def market_entry(b: DataFrame, r: DataFrame, min_opportunity: int = 7, min_momen
         .select(*keys, "specialty_type", "customer_demand")
     strong = V.market_leaders(b, r, ordered=False, facts=facts).filter(F.col("inc_score") >= max_inc).select(*keys)
     return v1.join(v5, keys).join(v6, keys).join(strong, keys, "left_anti")
+
+
+def competitive_intel(b: DataFrame, r: DataFrame) -> DataFrame:
+    """Q26 use case 2: leaders, vulnerable targets, SWOT weakness and pain point per market.
+
+    V3/V4/V8 share one per-business facts scan; V2 needs its own snippet-level
+    pass.  Everything meets at (category, city) with plain equi-joins (NULL
+    keys drop out, as in the reference's USING joins).
+    """
+    keys = ["category", "city"]
+    facts = shared_facts(r)
+    leaders = (V.market_leaders(b, r, ordered=False, facts=facts)
+               .groupBy(*keys).agg(
+                   F.count(F.when(F.col("market_position").isin("DOMINANT_LEADER", "STRONG_INCUMBENT"), 1))
+                   .alias("strong_incumbents"),
+                   F.max("inc_score").alias("top_inc_score")))
+    vulnerable = (V.vulnerable_players(b, r, ordered=False, facts=facts)
+                  .groupBy(*keys).agg(F.count(F.lit(1)).alias("vulnerable_targets")))
+    swot = V.niche_swot_analysis(b, r, ordered=False, facts=facts).select(
+        *keys, "primary_weakness", "strategic_opportunity")
+    pain = V.customer_pain_points(b, r, ordered=False).select(*keys, "primary_pain_point")
+    return (leaders.join(swot, keys).join(pain, keys, "left").join(vulnerable, keys, "left")
+            .select(*keys, "strong_incumbents", "top_inc_score",
+                    F.coalesce("vulnerable_targets", F.lit(0)).alias("vulnerable_targets"),
+                    "primary_weakness", "strategic_opportunity", "primary_pain_point"))
+
+
+def model_validation(b: DataFrame, r: DataFrame, min_viability: float = 60.0) -> DataFrame:
+    """Q26 use case 3: viable newsletter markets with their arbitrage and ICP profile."""
+    return (V.business_model_opportunities(b, r, ordered=False)
+            .filter(F.col("newsletter_viability_score") >= min_viability)
+            .select("category", "city", "newsletter_viability_score", "arbitrage_potential",
+                    "market_fragmentation", "ticket_classification", "customer_type"))
+
+
+def product_development(b: DataFrame, r: DataFrame) -> DataFrame:
+    """Q26 use case 4: critical specialty gaps with the market's primary pain point."""
+    keys = ["category", "city"]
+    gaps = V.niche_service_gaps(b, r, ordered=False).filter(F.col("gap_status") == "CRITICAL_GAP").select(
+        *keys, "specialty_type", "customer_demand", "sentiment_when_mentioned", "positioning_strategy")
+    pain = V.customer_pain_points(b, r, ordered=False).select(*keys, "primary_pain_point")
+    return gaps.join(pain, keys, "left")

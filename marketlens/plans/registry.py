@@ -202,6 +202,9 @@ COMPOSITE_QUERIES: dict[str, Query] = {
     "score_ranges": _brq(Q.score_ranges),
     "market_report": _brq(Q.market_report),
     "market_entry": _brq(Q.market_entry),
+    "competitive_intel": _brq(Q.competitive_intel),
+    "model_validation": _brq(Q.model_validation),
+    "product_development": _brq(Q.product_development),
     **{k: _view_filter(k) for k in VIEW_FILTERS},
 }
 
