@@ -20,6 +20,7 @@ from marketlens.operators import quality as Qa
 from marketlens.operators import search as S
 from marketlens.operators.session_memory import session_memory
 from marketlens.plans import queries as Q
+from marketlens.plans.doc_reads import DOC_READS
 from marketlens.plans import views as V
 from marketlens.sources import fixture as fx
 from marketlens.sources import warehouse as W
@@ -197,7 +198,20 @@ def _append_reviews(spark, d):
     return spark.read.parquet(path)
 
 
+def _doc_read(key: str) -> Query:
+    view, pred, cols, order, limit = DOC_READS[key]
+
+    def q(s, d):
+        df = VIEW_QUERIES[view](s, d).filter(F.expr(pred))
+        if limit:
+            df = df.orderBy(*[F.desc_nulls_last(c) if o == "desc" else F.asc_nulls_first(c) for c, o in order])
+            df = df.limit(limit)
+        return df.select(*cols)
+    return q
+
+
 COMPOSITE_QUERIES: dict[str, Query] = {
+    **{k: _doc_read(k) for k in DOC_READS},
     "view_row_counts": lambda s, d: Q.view_row_counts(_views(s, d)),
     "score_ranges": _brq(Q.score_ranges),
     "market_report": _brq(Q.market_report),
