@@ -67,6 +67,10 @@ DOC_READS = {
         "niche_service_gaps", "specialty_type IN ('custom', 'design', 'consultation') AND current_providers <= 2",
         ["category", "city", "specialty_type", "customer_demand", "sentiment_when_mentioned",
          "positioning_strategy"], [], None),
+    "business_model_opportunities__viability70": (
+        "business_model_opportunities", "newsletter_viability_score >= 70",
+        ["category", "city", "newsletter_viability_score", "arbitrage_potential", "ticket_classification",
+         "customer_type", "business_model_recommendation"], [], None),
     "business_model_opportunities__b2b_high_ticket": (
         "business_model_opportunities",
         "ticket_classification IN ('PREMIUM_PRICING', 'HIGH_TICKET') AND customer_type IN ('B2B_FOCUSED', 'B2B_LEANING')",
