@@ -38,17 +38,6 @@ def scope_reviews(reviews: DataFrame, businesses: DataFrame) -> DataFrame:
     return reviews.join(businesses.select(F.col("id").alias("business_id")), "business_id", "left_semi")
 
 
-def repeat_join(pairs: DataFrame, keys: list[str], value: str, count: str, sep: str, alias: str) -> DataFrame:
-    """STRING_AGG(value, sep ORDER BY value) from (keys, value, count) pairs.
-
-    Inputs are pre-counted distinct values, so the per-group collect holds
-    distinct values with multiplicities instead of one entry per row.
-    """
-    g = pairs.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(value, count))).alias("_s"))
-    s = F.array_join(F.flatten(F.transform("_s", lambda x: F.array_repeat(x[value], x[count].cast("int")))), sep)
-    return g.select(*keys, s.alias(alias))
-
-
 # ---------------------------------------------------------------------------
 # business queries
 # ---------------------------------------------------------------------------
@@ -222,17 +211,29 @@ def sentiment_buckets(r: DataFrame) -> DataFrame:
     return r.groupBy(bucket.alias("sentiment")).agg(F.count(F.lit(1)).alias("review_count"))
 
 
+def _joined_values(pairs_col: str, sep: str) -> Column:
+    """STRING_AGG text from a sorted array of (value, count) structs; NULL when empty."""
+    arr = F.col(pairs_col)
+    return F.when(F.size(arr) > 0, F.array_join(F.flatten(F.transform(
+        arr, lambda x: F.array_repeat(x["v"], x["m"].cast("int")))), sep))
+
+
 def complaint_themes(b: DataFrame, r: DataFrame, kw: str = "fee", min_n: int = 3) -> DataFrame:
-    """Q11: per business, ≤2-star reviews containing kw; texts joined ' | '."""
+    """Q11: per business, ≤2-star reviews containing kw; texts joined ' | '.
+
+    One pass: matching reviews are counted per (business, text), named, then a
+    single aggregate per business name yields the count and the sorted
+    distinct texts with multiplicities; HAVING filters that aggregate.
+    """
     hits = r.filter((F.col("stars") <= 2) & F.col("review_text").ilike(f"%{kw}%"))
     pairs = hits.groupBy("business_id", "review_text").agg(F.count(F.lit(1)).alias("m"))
     named = pairs.join(b.select(F.col("id").alias("business_id"), "business_name"), "business_id") \
                  .groupBy("business_name", "review_text").agg(F.sum("m").alias("m"))
-    counts = named.groupBy("business_name").agg(F.sum("m").cast("bigint").alias("complaint_count")) \
-                  .filter(F.col("complaint_count") > min_n)
-    texts = repeat_join(named.join(counts.select("business_name"), "business_name", "left_semi"),
-                        ["business_name"], "review_text", "m", " | ", "sample_complaints")
-    return counts.join(texts, "business_name").select("business_name", "complaint_count", "sample_complaints")
+    g = named.groupBy("business_name").agg(
+        F.sum("m").cast("bigint").alias("complaint_count"),
+        F.sort_array(F.collect_list(F.struct(F.col("review_text").alias("v"), "m"))).alias("_s"),
+    ).filter(F.col("complaint_count") > min_n)
+    return g.select("business_name", "complaint_count", _joined_values("_s", " | ").alias("sample_complaints"))
 
 
 def worst_shop_complaints(b: DataFrame, r: DataFrame, category_like: str = "auto",
@@ -253,7 +254,12 @@ def worst_shop(b: DataFrame, category_like: str = "auto") -> DataFrame:
 
 
 def success_factors(b: DataFrame, r: DataFrame, min_rating: float = 4.7) -> DataFrame:
-    """High performers → positive reviews → first-match factor tags."""
+    """High performers → positive reviews → first-match factor tags.
+
+    One aggregate per business name gives the review count and the sorted
+    factor tags with multiplicities (reviews without a tag count but add no
+    tag, as STRING_AGG skips NULLs).
+    """
     hp = b.filter(F.col("rating") > min_rating)
     pos = scope_reviews(r, hp).filter(F.col("stars") >= 4)
     text = F.col("review_text")
@@ -264,11 +270,11 @@ def success_factors(b: DataFrame, r: DataFrame, min_rating: float = 4.7) -> Data
     per = pos.groupBy("business_id", factor.alias("factor")).agg(F.count(F.lit(1)).alias("m"))
     named = per.join(hp.select(F.col("id").alias("business_id"), "business_name"), "business_id") \
                .groupBy("business_name", "factor").agg(F.sum("m").alias("m"))
-    counts = named.groupBy("business_name").agg(F.sum("m").cast("bigint").alias("positive_review_count"))
-    facs = repeat_join(named.filter(F.col("factor").isNotNull()), ["business_name"], "factor", "m", ", ",
-                       "success_factors")
-    return (counts.join(facs, "business_name", "left")
-            .select("business_name", "positive_review_count", "success_factors")
+    g = named.groupBy("business_name").agg(
+        F.sum("m").cast("bigint").alias("positive_review_count"),
+        F.sort_array(F.collect_list(F.when(F.col("factor").isNotNull(),
+                                           F.struct(F.col("factor").alias("v"), "m")))).alias("_s"))
+    return (g.select("business_name", "positive_review_count", _joined_values("_s", ", ").alias("success_factors"))
             .orderBy(F.desc("positive_review_count")))
 
 
