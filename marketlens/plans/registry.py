@@ -295,7 +295,7 @@ INGEST_QUERIES: dict[str, Query] = {
         Qa.lenient_int(F.get_json_object("review_data", "$.stars")).alias("stars"),
         Qa.lenient_date(F.get_json_object("review_data", "$.publishedAtDate")).alias("published_at")),
     "resolve_business": lambda s, d: P.resolve_business(
-        P.flatten_reviews(P.place_items(s, d)), _b(s, d))[0].select("review_id", "business_id"),
+        P.flatten_reviews(_landed(s, d)), _b(s, d))[0].select("review_id", "business_id"),
     "upsert_businesses": _upsert,
     "open_execution": lambda s, d: St.open_execution(s, _e(s, d), None, NOW),
     "close_execution": lambda s, d: St.close_execution(_e(s, d), 5, NOW),
