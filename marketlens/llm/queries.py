@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import chat, classifier, quality_rules
-from marketlens.llm.common import id_crc32, table
+from marketlens.llm import bpe, chat, classifier, licenses, quality_rules, records
+from marketlens.llm.common import id_crc32, shared_path, table
+
+END_ID = 2
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.default_vocabulary(spark)
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +29,16 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_examples(rows))
 
 
+def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "op3-records")
+    records.write_records(table(spark, sf_dir, "documents"), bpe.default_vocabulary(spark), path, end_id=END_ID)
+    return records.write_index(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
 
