@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, chat, classifier, licenses, quality_rules, records, simhash
+from marketlens.llm import bpe, chat, classifier, licenses, line_dedup, quality_rules, records, simhash
 from marketlens.llm.common import id_crc32, shared_path, table
 
 END_ID = 2
@@ -35,6 +35,13 @@ def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.write_index(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), name="op4")
+    return cleaned.select(
+        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),
+        F.array_join("removed", ",").alias("removed_lines"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
