@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, chat, classifier, licenses, line_dedup, quality_rules, records, simhash
+from marketlens.llm import bpe, chat, classifier, decontaminate, licenses, line_dedup, quality_rules, records, simhash
 from marketlens.llm.common import id_crc32, shared_path, table
 
 END_ID = 2
@@ -54,6 +54,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.decontaminate(docs, benchmark, name="op8")
+    return found.select("doc_id", "contaminated", F.size("item_ids").cast("long").alias("n_items"), F.array_join("item_ids", ",").alias("item_ids"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
