@@ -283,22 +283,21 @@ def duplicate_lines(docs: DataFrame, limits: Limits = Limits(), name: str = "lin
     return places, gone.groupBy("row").agg(F.sort_array(F.collect_list("line")).alias("removed"))   # a document's lines
 
 
-def dedup_lines(docs: DataFrame, limits: Limits = Limits(), name: str = "lines") -> DataFrame:
-    """``doc_id, n_lines, removed, text`` per input row: texts without duplicate lines.
+def dedup_lines(docs: DataFrame, limits: Limits = Limits(), keep: tuple[str, ...] = ("doc_id",), name: str = "lines") -> DataFrame:
+    """The columns in ``keep``, ``n_lines``, ``removed`` (line numbers) and ``text`` without them, per input row.
 
     ``docs`` must be a stored table (its rows are numbered in every pass);
-    other columns are ignored.  Blank lines neither count as duplicates nor
-    go.  A null text counts as empty and comes back empty; null ids come
-    before others, so their lines stay; of repeated rows the first in
-    reading order keeps its lines; equal places are broken by row number; an
-    empty table gives an empty result.  Lines travel as digests; texts only of
-    lines that share a segment with another.
+    columns not in ``keep`` are ignored, except doc_id and text.  Blank lines
+    neither count as duplicates nor go.  A null text counts as empty and
+    comes back empty; null ids come before others, so their lines stay; of
+    repeated rows the first in reading order keeps its lines; an empty table
+    gives an empty result.  Lines travel as digests; texts only of lines that
+    share a segment with another.
     """
     gone = bounded_broadcast(stored(duplicate_lines(docs, limits, name)[1], f"{name}-gone"), BROADCAST_ROWS // 4)
-    rows = rows_of(docs).withColumnRenamed("row", "at")
-    both = rows.join(gone, rows["at"] == gone["row"], "left")
-    removed = F.coalesce("removed", F.array().cast("array<int>"))
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    left = F.when(F.col("removed").isNull(), F.coalesce("text", F.lit(""))).otherwise(
-        F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("removed"), i)), "\n"))
-    return both.select("doc_id", F.size(lines).alias("n_lines"), removed.alias("removed"), left.alias("text"))
+    rows = docs.select(*keep, docs["text"].cast("string").alias("own text"), F.monotonically_increasing_id().alias("own row"))
+    both = rows.join(gone, rows["own row"] == gone["row"], "left")
+    text, removed = F.coalesce("own text", F.lit("")), F.coalesce("removed", F.array().cast("array<int>"))
+    lines = F.split(text, "\n", -1)
+    left = F.when(F.col("removed").isNull(), text).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("removed"), i)), "\n"))
+    return both.select(*[rows[c] for c in keep], F.size(lines).alias("n_lines"), removed.alias("removed"), left.alias("text"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, chat, classifier, decontaminate, licenses, line_dedup, quality_rules, records, simhash
+from marketlens.llm import bpe, chat, classifier, decontaminate, language_model, licenses, line_dedup, quality_rules, records, simhash
 from marketlens.llm.common import id_crc32, shared_path, table
 
 END_ID = 2
@@ -47,7 +47,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"), name="op6")
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), name="op6").select("doc_id", "fingerprint", "component_id")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +60,12 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "contaminated", F.size("item_ids").cast("long").alias("n_items"), F.array_join("item_ids", ",").alias("item_ids"))
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = language_model.score(docs, id_crc32(F.col("doc_id")) % 10 == 0, name="op9")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")

@@ -52,14 +52,15 @@ def fingerprint(text: bytes | None, size: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) of every whole text."""
+    """``doc_id, row, fp`` (number of the row, the 64 bits as a signed long) of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.fromiter((fingerprint(t, size) for t in b.column(1).cast(pa.binary()).to_pylist()), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fp.view(np.int64))], names=["doc_id", "row", "fp"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+    return rows.mapInArrow(run, "doc_id long, row long, fp long")
 
 
 def remainder(x: int) -> int:
@@ -174,23 +175,28 @@ def links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, name: str = "simhash") -> DataFrame:
-    """``doc_id, fingerprint, component_id``, one row per input row.
+    """``doc_id, fingerprint, component_id, row, stays``, one row per input row.
 
     Words are runs of signs other than space and \\x09-\\x0D, A-Z lowered; a
     text with fewer words than a shingle is one shingle, one without words
     (null texts too) has fingerprint zero, which links like any other.
     ``component_id`` is the smallest doc_id reachable over links of up to
-    ``max_bits`` differing bits.  Null ids are carried (a component of none
-    but null ids has a null component_id), repeated ids and rows stay rows;
-    other columns are ignored; an empty table gives an empty result.  Copies
-    share a fingerprint and are compared once; groups emit connecting links,
-    not all pairs.  A place's group is held by one task as 8 bytes a
-    distinct fingerprint.
+    ``max_bits`` differing bits; ``row`` numbers the rows of ``docs``, and one
+    row of each component ``stays``: the first by doc_id (null ids last),
+    then row.  Null ids are carried (a component of none but null ids has a
+    null component_id), repeated ids and rows stay rows; other columns are
+    ignored; an empty table gives an empty result.  Copies share a
+    fingerprint and are compared once; groups emit connecting links, not all
+    pairs.  A place's group is held by one task as 8 bytes a distinct
+    fingerprint.
     """
     marked = stored(fingerprints(docs, shingle), f"{name}-fingerprints")
-    each = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    place = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row")
+    each = marked.groupBy("fp").agg(F.min(place).alias("first"))
     reached = components(links(each, max_bits), name)
-    rooted = each.join(reached, each["fp"] == reached["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    component = rooted.join(lowest, "root").select(F.col("fp").alias("of"), "component_id")
-    return marked.join(component, marked["fp"] == component["of"], "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    rooted = each.join(reached, each["fp"] == reached["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    lowest = rooted.groupBy("root").agg(F.min("first").alias("lowest"))
+    component = rooted.join(lowest, "root").select(F.col("fp").alias("of"), "lowest")
+    return marked.join(component, marked["fp"] == component["of"], "left").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("lowest.doc_id").alias("component_id"),
+        "row", (F.col("row") == F.col("lowest.row")).alias("stays"))
