@@ -28,12 +28,12 @@ def unescape(text: Column) -> Column:
 
 
 def escape_role(role: Column) -> Column:
-    """As :func:`escape`, and a line feed becomes ``\\|n`` (the role ends at the first line feed)."""
-    return F.replace(escape(role), F.lit("\n"), F.lit("\\|n"))
+    """As :func:`escape`, and a line feed becomes ``<``, one backslash, ``n`` (a role ends at the first line feed)."""
+    return F.replace(escape(role), F.lit("\n"), F.lit("<\\n"))
 
 
 def unescape_role(role: Column) -> Column:
-    return unescape(F.replace(role, F.lit("\\|n"), F.lit("\n")))
+    return unescape(F.replace(role, F.lit("<\\n"), F.lit("\n")))
 
 
 def format_examples(conversations: DataFrame) -> DataFrame:
