@@ -9,8 +9,8 @@ to the id-to-piece table, whose size the vocabulary bounds.
 from __future__ import annotations
 
 import json
-import os
 import re
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,11 +21,26 @@ from pyspark.sql import functions as F
 from marketlens.llm import blocks as B
 
 #: Unicode white space, which ends a word.
-WHITE = "\t-\r \x85\xa0  -     　"
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A cut here is always a cut of the byte-level pattern: it never joins a sign to white space
 #: behind it, nor more than one space to a sign behind that.
 CUT = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-FLUSH = 100_000   # words whose ids are packed into rows at a time
+#: Texts with none of these are cut by plain replacement.
+ODD = re.compile("[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\x01]|[ \n][ \n]")
+PLAIN = "\x01"   # begins the key of a word that has no space before it; other keys stand for a space and themselves
+
+
+def cut(text: str) -> list[str]:
+    """Keys of the words of a text without special strings."""
+    if not text:
+        return []
+    if ODD.search(text) is None and text[0] not in " \n" and text[-1] not in " \n":
+        return (PLAIN + text.replace("\n", " \n " + PLAIN)).split(" ")
+    return [w[1:] if w[0] == " " and len(w) > 1 and w[1] not in "\n" + PLAIN and not w[1].isspace() else w if w == "\n" else PLAIN + w for w in CUT.findall(text)]
+
+
+def word_of(key: str) -> str:
+    return key[1:] if key[0] == PLAIN else key if key == "\n" else " " + key
 
 
 class Vocabulary:
@@ -43,35 +58,31 @@ class Vocabulary:
         self.pieces |= {i: s.encode() for s, i in self.special.items()}
 
     def cutter(self) -> Callable[[bytes], list[str]]:
-        """A function from a text to words, which join to the text and encode independently."""
-        find, special = CUT.findall, sorted(self.special, key=len, reverse=True)
+        """A function from a text to keys of words, which join to the text and encode independently."""
+        special = sorted(self.special, key=len, reverse=True)
         if not special:
-            return lambda text: find(text.decode("utf-8", "replace"))
+            return lambda text: cut(text.decode("utf-8", "replace"))
         marks = [s.encode() for s in special]
         split = re.compile("(" + "|".join(map(re.escape, special)) + ")").split
 
-        def cut(text: bytes) -> list[str]:
+        def keys(text: bytes) -> list[str]:
             s = text.decode("utf-8", "replace")
             if not any(m in text for m in marks):
-                return find(s)
-            return [w for k, part in enumerate(split(s)) for w in ([part] if k % 2 else find(part))]
+                return cut(s)
+            return [w for k, part in enumerate(split(s)) for w in ([PLAIN + part] if k % 2 else cut(part))]
 
-        return cut
+        return keys
 
-    def encoder(self) -> Callable[[list[str]], list[list[int]]]:
-        spec = self.json
+    def coder(self):
+        """The same vocabulary and merge order in tiktoken, which encodes single words faster."""
+        import tiktoken
 
-        def encode(words: list[str], kept: list = []) -> list[list[int]]:  # noqa: B006  (loaded once a task)
-            if not kept:
-                os.environ["TOKENIZERS_PARALLELISM"] = "false"
-                from tokenizers import Tokenizer
+        ranks = {piece: i for i, piece in self.pieces.items() if i not in self.special.values()}
+        return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
 
-                kept.append(Tokenizer.from_str(spec))
-                kept[0].no_truncation()
-                kept[0].no_padding()
-            return [e.ids for e in kept[0].encode_batch_fast(words, add_special_tokens=False)]
 
-        return encode
+#: Fixed value: the pattern by which byte-level files of the tokenizers library cut words.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_of_sign() -> dict[str, int]:
@@ -82,65 +93,59 @@ def byte_of_sign() -> dict[str, int]:
 
 
 ROW = "block long, kind int, data binary"
+BLOCK_BYTES = 32 << 20   # text of a block
+REMEMBERED = 2_000_000   # words whose ids a task remembers at a time
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int = BLOCK_BYTES, buckets: int | None = None) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of every whole text, special strings in texts included.
 
     ``docs`` must be a stored table (see :mod:`blocks`); columns besides
     doc_id and text are ignored.  A null text counts as empty and gives an
     empty array; null and repeated ids are carried row by row; equal texts
     are encoded through the same words; an empty table gives an empty
-    result.  A task holds one block's distinct words with their ids.
+    result.  Words meet in ``buckets`` of their hash, by default two for each
+    input split and 4,096 at most; a task holds one block's distinct words
+    with their ids, or a bounded number of words of a bucket.
     """
-    cut, encoder = vocabulary.cutter(), vocabulary.encoder()
+    keys = vocabulary.cutter()
     rows = B.rows_of(docs)
+    buckets = buckets or min(4096, 2 * max(1, rows.rdd.getNumPartitions()))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in B.blocks(batches, cut, block_bytes):
-            found = list(block.words)
-            for at in range(0, len(found), 50_000):
-                part = found[at:at + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array(np.full(len(part), block.key)), pa.array(np.arange(at, at + len(part), dtype=np.int32))], names=["word", "block", "number"])
+        for block in B.blocks(batches, keys, block_bytes):
+            found = [w.encode("utf-8", "replace") for w in block.words]
+            bucket = np.fromiter(map(zlib.crc32, found), np.uint32, len(found)) % buckets
+            order = np.argsort(bucket, kind="stable")
+            names, starts = np.unique(bucket[order], return_index=True)
+            for name, mine in zip(names.tolist(), np.split(order, starts[1:])):
+                part = [found[i] for i in mine.tolist()]
+                data = B.pack(np.diff(mine, prepend=0).astype(np.uint32), np.array([len(w) for w in part], np.uint32), np.frombuffer(b"".join(part), np.uint8))
+                yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([block.key], pa.int64()), pa.array([data], pa.binary())], names=["bucket", "block", "data"])
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in B.blocks(batches, cut, block_bytes):
+        for block in B.blocks(batches, keys, block_bytes):
             for data in B.chunks(block):
                 yield pa.RecordBatch.from_arrays([pa.array([block.key], pa.int64()), pa.array([1], pa.int32()), pa.array([data], pa.binary())], names=["block", "kind", "data"])
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, code = None, np.zeros(0, np.uint16)
-        held: list[tuple] = []
-        n = 0
-
-        def packed() -> Iterator[pa.RecordBatch]:
-            block = np.concatenate([h[0] for h in held])
-            number = np.concatenate([h[1] for h in held])
-            codes = [c for h in held for c in h[2]]
-            order = np.argsort(block, kind="stable")
-            keys, starts = np.unique(block[order], return_index=True)
-            out = []
-            for part in np.split(order, starts[1:]):
-                mine = [codes[i] for i in part.tolist()]
-                out.append(B.pack(number[part], np.array([len(c) for c in mine], np.int32), np.concatenate(mine).astype(np.uint32)))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.zeros(len(keys), np.int32)), pa.array(out, pa.binary())], names=["block", "kind", "data"])
-
+        coder = vocabulary.coder()
+        known: dict[bytes, np.ndarray] = {}
         for b in batches:
-            found = b.column(0).to_pylist()
-            new = [w for w, before in zip(found, [last, *found]) if w != before]   # rows come sorted by word
-            fresh = iter([np.array(x, np.uint32) for x in encoder(new)] if new else [])
-            codes = []
-            for w in found:
-                if w != last:
-                    last, code = w, next(fresh)
-                codes.append(code)
-            held.append((b.column(1).to_numpy(), b.column(2).to_numpy(), codes))
-            n += len(found)
-            if n >= FLUSH:
-                yield from packed()
-                held, n = [], 0
-        if held:
-            yield from packed()
+            for block, data in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                number, size, text = B.unpack(data)
+                if len(known) > REMEMBERED:
+                    known.clear()
+                text, codes, at = text.tobytes(), [], 0
+                for n in size.tolist():
+                    w = text[at:at + n]
+                    at += n
+                    code = known.get(w)
+                    if code is None:
+                        code = known[w] = np.array(coder.encode(word_of(w.decode()), allowed_special="all"), np.uint32)
+                    codes.append(code)
+                packed = B.pack(np.cumsum(number, dtype=np.int64).astype(np.uint32), np.fromiter(map(len, codes), np.uint32, len(codes)), np.concatenate(codes))
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([0], pa.int32()), pa.array([packed], pa.binary())], names=["block", "kind", "data"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts, lookup = None, [], None
@@ -167,8 +172,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int = B.BLOCK_B
                 array = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(values).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), array], names=["doc_id", "ids"])
 
-    coded = (rows.mapInArrow(words, "word string, block long, number int")
-             .repartition("word").sortWithinPartitions("word").mapInArrow(ids, ROW))
+    coded = rows.mapInArrow(words, "bucket long, block long, data binary").repartition("bucket").mapInArrow(ids, ROW)
     return (coded.union(rows.mapInArrow(documents, ROW))
             .repartition("block").sortWithinPartitions("block", "kind").mapInArrow(place, "doc_id long, ids array<int>"))
 
@@ -196,17 +200,17 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = table.value
-        lookup = [pieces.get(i, b"") for i in range(max(pieces, default=-1) + 1)]
-        for b in batches:
-            lists = b.column(1)
-            texts = []
-            for k in range(len(lists)):
-                v = lists[k].values
-                ids = v.to_pylist() if v is not None else []
-                if ids and (min(ids) < 0 or max(ids) >= len(lookup)):
-                    ids = [i for i in ids if i is not None and 0 <= i < len(lookup)]
-                texts.append(b"".join(map(lookup.__getitem__, ids)).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([b.column(0), lists, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+        lookup = [pieces.get(i, b"") for i in range(max(pieces, default=-1) + 1)] + [b""]
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                b = whole.slice(at, 1000)
+                lists = b.column(1)
+                flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+                sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                ends = np.cumsum(sizes)
+                flat = np.where((flat >= 0) & (flat < len(lookup) - 1), flat, len(lookup) - 1).tolist()
+                texts = [b"".join(map(lookup.__getitem__, flat[end - n:end])).decode("utf-8", "replace") for n, end in zip(sizes.tolist(), ends.tolist())]
+                yield pa.RecordBatch.from_arrays([b.column(0), lists, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(run, "doc_id long, ids array<int>, text string")
 

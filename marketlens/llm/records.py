@@ -61,15 +61,10 @@ def write_records(docs: DataFrame, vocabulary: Vocabulary, path: str, end_id: in
     equal ids are ordered by a hash of their texts, so one id on many rows is
     spread over tasks too; an empty table gives no records.
     """
-    ranks, special = vocabulary.pieces, vocabulary.special
-    wide = max([end_id or 0, *ranks]) > 0xFFFF
+    wide = max([end_id or 0, *vocabulary.pieces]) > 0xFFFF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
-
-        by_piece = {piece: i for i, piece in ranks.items() if i not in special.values()}
-        # The same vocabulary and merge order as the tokenizers library reads; the pattern is the byte-level one.
-        coder = tiktoken.Encoding("own", pat_str=r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+", mergeable_ranks=by_piece, special_tokens=special)
+        coder = vocabulary.coder()
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
