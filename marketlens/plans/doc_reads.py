@@ -21,7 +21,7 @@ DOC_READS = {
         ["category", "city", "business_count", "total_category_reviews"], [], None),
     "customer_pain_points__pricing_top10": (
         "customer_pain_points", "primary_pain_point = 'Pricing Transparency'",
-        ["category", "city", "total_complaints", "pricing_pct", "sample_complaints"],
+        ["category", "city", "total_complaints", "pricing_pct", "primary_pain_point"],
         [("pricing_pct", "desc"), ("category", "asc"), ("city", "asc")], 10),
     "customer_pain_points__availability20": (
         "customer_pain_points", "availability_pct >= 20",

@@ -211,29 +211,18 @@ def sentiment_buckets(r: DataFrame) -> DataFrame:
     return r.groupBy(bucket.alias("sentiment")).agg(F.count(F.lit(1)).alias("review_count"))
 
 
-def _joined_values(pairs_col: str, sep: str) -> Column:
-    """STRING_AGG text from a sorted array of (value, count) structs; NULL when empty."""
-    arr = F.col(pairs_col)
-    return F.when(F.size(arr) > 0, F.array_join(F.flatten(F.transform(
-        arr, lambda x: F.array_repeat(x["v"], x["m"].cast("int")))), sep))
-
-
 def complaint_themes(b: DataFrame, r: DataFrame, kw: str = "fee", min_n: int = 3) -> DataFrame:
-    """Q11: per business, ≤2-star reviews containing kw; texts joined ' | '.
+    """Q11: businesses with more than min_n ≤2-star reviews containing kw, and those texts as rows.
 
-    One pass: matching reviews are counted per (business, text), named, then a
-    single aggregate per business name yields the count and the sorted
-    distinct texts with multiplicities; HAVING filters that aggregate.
+    Matching reviews are counted per (business, text) first; a business's
+    total is a second sum, so texts are never gathered in one cell.
     """
     hits = r.filter((F.col("stars") <= 2) & F.col("review_text").ilike(f"%{kw}%"))
     pairs = hits.groupBy("business_id", "review_text").agg(F.count(F.lit(1)).alias("m"))
-    named = pairs.join(b.select(F.col("id").alias("business_id"), "business_name"), "business_id") \
-                 .groupBy("business_name", "review_text").agg(F.sum("m").alias("m"))
-    g = named.groupBy("business_name").agg(
-        F.sum("m").cast("bigint").alias("complaint_count"),
-        F.sort_array(F.collect_list(F.struct(F.col("review_text").alias("v"), "m"))).alias("_s"),
-    ).filter(F.col("complaint_count") > min_n)
-    return g.select("business_name", "complaint_count", _joined_values("_s", " | ").alias("sample_complaints"))
+    named = (pairs.join(b.select(F.col("id").alias("business_id"), "business_name"), "business_id")
+             .groupBy("business_name", F.col("review_text").alias("complaint")).agg(F.sum("m").cast("bigint").alias("mentions")))
+    total = named.groupBy("business_name").agg(F.sum("mentions").cast("bigint").alias("complaint_count")).filter(F.col("complaint_count") > min_n)
+    return named.join(total, "business_name")
 
 
 def worst_shop_complaints(b: DataFrame, r: DataFrame, category_like: str = "auto",
@@ -254,28 +243,21 @@ def worst_shop(b: DataFrame, category_like: str = "auto") -> DataFrame:
 
 
 def success_factors(b: DataFrame, r: DataFrame, min_rating: float = 4.7) -> DataFrame:
-    """High performers → positive reviews → first-match factor tags.
+    """High performers → positive reviews → first-match factor tags, a row per (business, factor).
 
-    One aggregate per business name gives the review count and the sorted
-    factor tags with multiplicities (reviews without a tag count but add no
-    tag, as STRING_AGG skips NULLs).
+    Reviews without a tag count under a NULL factor.  Positive reviews are
+    summed per (business, factor) and joined once.
     """
-    hp = b.filter(F.col("rating") > min_rating)
-    pos = scope_reviews(r, hp).filter(F.col("stars") >= 4)
+    hp = b.filter(F.col("rating") > min_rating).select(F.col("id").alias("business_id"), "business_name")
     text = F.col("review_text")
     factor = None
     for f in T.SUCCESS_FACTORS:
         cond = text.ilike(f"%{f}%")
         factor = F.when(cond, f) if factor is None else factor.when(cond, f)
-    per = pos.groupBy("business_id", factor.alias("factor")).agg(F.count(F.lit(1)).alias("m"))
-    named = per.join(hp.select(F.col("id").alias("business_id"), "business_name"), "business_id") \
-               .groupBy("business_name", "factor").agg(F.sum("m").alias("m"))
-    g = named.groupBy("business_name").agg(
-        F.sum("m").cast("bigint").alias("positive_review_count"),
-        F.sort_array(F.collect_list(F.when(F.col("factor").isNotNull(),
-                                           F.struct(F.col("factor").alias("v"), "m")))).alias("_s"))
-    return (g.select("business_name", "positive_review_count", _joined_values("_s", ", ").alias("success_factors"))
-            .orderBy(F.desc("positive_review_count")))
+    per = r.filter(F.col("stars") >= 4).groupBy("business_id", factor.alias("factor")).agg(F.count(F.lit(1)).alias("m"))
+    named = per.join(hp, "business_id").groupBy("business_name", "factor").agg(F.sum("m").cast("bigint").alias("mentions"))
+    total = named.groupBy("business_name").agg(F.sum("mentions").cast("bigint").alias("positive_review_count"))
+    return named.join(total, "business_name")
 
 
 def orphan_reviews(b: DataFrame, r: DataFrame) -> DataFrame:
@@ -285,7 +267,7 @@ def orphan_reviews(b: DataFrame, r: DataFrame) -> DataFrame:
 
 def businesses_with_reviews(b: DataFrame, r: DataFrame) -> DataFrame:
     """EXISTS (a review) → semi-join."""
-    return b.join(r.select(F.col("business_id").alias("id")), "id", "left_semi").select("id", "business_name")
+    return b.join(r.select(F.col("business_id").alias("id")).distinct(), "id", "left_semi").select("id", "business_name")
 
 
 def counts_per_parent(b: DataFrame, r: DataFrame) -> DataFrame:

@@ -139,7 +139,7 @@ REVIEW_QUERIES: dict[str, Query] = {
     "reviews_of_business": _brq(Q.reviews_of_business),
     "sentiment_by_category": _brq(Q.sentiment_by_category),
     "sentiment_buckets": lambda s, d: Q.sentiment_buckets(_r(s, d)),
-    "complaint_themes": _brq(Q.complaint_themes, min_n=1),
+    "complaint_themes": _brq(Q.complaint_themes),
     "worst_shop_complaints": _brq(Q.worst_shop_complaints),
     "success_factors": _brq(Q.success_factors),
     "orphan_reviews": _brq(Q.orphan_reviews),
@@ -180,7 +180,7 @@ PART_QUERIES: dict[str, Query] = {
                                *[f"{k}_complaints" for k in T.PAIN_THEMES]),
     "pain_pct": _cols("customer_pain_points", "category", "city",                               # F10
                       *[f"{k}_pct" for k in T.PAIN_THEMES]),
-    "sample_complaints": _cols("customer_pain_points", "category", "city", "sample_complaints"),  # A8
+    "sample_complaints": _brq(V.complaint_snippets),  # A8
     "positioning": _cols("niche_service_gaps", "category", "city", "specialty_type",            # F3
                          "positioning_strategy"),
     "strength_list": _cols("niche_swot_analysis", "category", "city", "strength_list",          # F16

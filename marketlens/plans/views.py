@@ -187,33 +187,24 @@ PAIN_LABELS = (
 )
 
 
+def _low_star_texts(reviews: DataFrame) -> DataFrame:
+    return reviews.select("business_id", "stars", "review_text").filter((F.col("stars") <= 2) & F.col("review_text").isNotNull())
+
+
 def customer_pain_points(businesses: DataFrame, reviews: DataFrame, ordered: bool = True) -> DataFrame:
-    """One scan of the negative reviews, one join, two roll-ups.
+    """One scan of the negative reviews, summed per business, then per market.
 
-    Reviews are pre-aggregated per (business, 1-star snippet) — theme counts
-    and the snippet multiplicity together — so the join carries one row per
-    business and distinct snippet, and the final collect per (category,
-    city) holds distinct snippets with counts, never one entry per review.
+    The complaint texts themselves are rows of :func:`complaint_snippets`; no
+    text is gathered here.
     """
     keys = ["category", "city"]
-    neg = reviews.select("business_id", "stars", "review_text").filter(
-        (F.col("stars") <= 2) & F.col("review_text").isNotNull())
     text = F.col("review_text")
-    one_star = F.col("stars") == 1
-    snip = F.when(one_star, F.substring(text, 1, 100))
-    per = neg.groupBy("business_id", snip.alias("snippet")).agg(
+    per = _low_star_texts(reviews).groupBy("business_id").agg(
         *[F.sum(T.flag(T.has_words(text, v))).alias(f"{k}_complaints") for k, v in T.PAIN_THEMES.items()],
-        F.count(F.lit(1)).alias("total_complaints"),
-        F.count(F.when(one_star, 1)).alias("m"))
-    sums = [f"{k}_complaints" for k in T.PAIN_THEMES] + ["total_complaints", "m"]
-    by_snip = _attach(per, businesses, keys).groupBy(*keys, "snippet").agg(
-        *[F.sum(c).alias(c) for c in sums])
-    grp = by_snip.groupBy(*keys).agg(
-        *[F.sum(c).cast("bigint").alias(c) for c in sums if c != "m"],
-        F.sort_array(F.collect_list(F.when(F.col("snippet").isNotNull(), F.struct("snippet", "m")))).alias("_s"),
-    ).filter(F.col("total_complaints") >= 3)
-    sample = F.when(F.size("_s") > 0, F.array_join(F.flatten(F.transform(
-        "_s", lambda x: F.array_repeat(x["snippet"], x["m"].cast("int")))), " | "))
+        F.count(F.lit(1)).alias("total_complaints"))
+    sums = [f"{k}_complaints" for k in T.PAIN_THEMES] + ["total_complaints"]
+    grp = _attach(per, businesses, keys).groupBy(*keys).agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in sums]).filter(F.col("total_complaints") >= 3)
     tot = F.col("total_complaints")
     cols = [F.col("category"), F.col("city"), tot]
     for k in T.PAIN_THEMES:
@@ -226,12 +217,42 @@ def customer_pain_points(businesses: DataFrame, reviews: DataFrame, ordered: boo
         cond = allc[k] >= F.greatest(*others)
         primary = F.when(cond, label) if primary is None else primary.when(cond, label)
     primary = primary.otherwise("Availability & Hours")
-    out = grp.select(*cols, primary.alias("primary_pain_point"), sample.alias("sample_complaints"))
+    out = grp.select(*cols, primary.alias("primary_pain_point"))
     if ordered:
         out = out.orderBy(F.desc("total_complaints"))
     return out
 
 
+def complaint_snippets(businesses: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The 1-star texts of the markets of V2 as rows: (category, city, snippet, mentions).
+
+    Equal snippets are counted in their business first; markets with fewer
+    than three complaints have none, as in the view.
+    """
+    keys = ["category", "city"]
+    low = _low_star_texts(reviews)
+    owner = businesses.select(F.col("id").alias("business_id"), *keys)
+    markets = (low.groupBy("business_id").agg(F.count(F.lit(1)).alias("n")).join(owner, "business_id")
+               .groupBy(*keys).agg(F.sum("n").alias("n")).filter(F.col("n") >= 3)
+               .select(F.col("category").alias("_category"), F.col("city").alias("_city")))
+    per = (low.filter(F.col("stars") == 1).groupBy("business_id", F.substring("review_text", 1, 100).alias("snippet"))
+           .agg(F.count(F.lit(1)).alias("m")).join(owner, "business_id")
+           .groupBy(*keys, "snippet").agg(F.sum("m").cast("bigint").alias("mentions")))
+    same = F.col("category").eqNullSafe(F.col("_category")) & F.col("city").eqNullSafe(F.col("_city"))
+    return per.join(markets, same, "left_semi")
+
+
+def joined_complaints(businesses: DataFrame, reviews: DataFrame) -> DataFrame:
+    """On request: each market's snippets, repeated as often as given, as one text in order.
+
+    A market's text must fit a row; use :func:`complaint_snippets` where it may not.
+    """
+    pairs = complaint_snippets(businesses, reviews).groupBy("category", "city").agg(
+        F.sort_array(F.collect_list(F.struct("snippet", "mentions"))).alias("_s"))
+    each = F.transform("_s", lambda x: F.array_repeat(x["snippet"], x["mentions"].cast("int")))
+    return pairs.select("category", "city", F.array_join(F.flatten(each), " | ").alias("sample_complaints"))
+
+
 # ---------------------------------------------------------------------------
 # V3 market_leaders
 # ---------------------------------------------------------------------------
@@ -604,8 +625,8 @@ def execution_stats(executions: DataFrame, businesses: DataFrame, reviews: DataF
                   .join(nr.withColumnRenamed("execution_id", "id"), "id", "left")
     return e.select(
         *executions.columns,
-        F.coalesce(F.col("total_businesses"), F.lit(0)).cast("int").alias("total_businesses"),
-        F.coalesce(F.col("total_reviews"), F.lit(0)).cast("int").alias("total_reviews"),
+        F.coalesce(F.col("total_businesses"), F.lit(0)).cast("bigint").alias("total_businesses"),
+        F.coalesce(F.col("total_reviews"), F.lit(0)).cast("bigint").alias("total_reviews"),
     )
 
 

@@ -9,7 +9,8 @@ import pytest
 import __spark_entry__ as E
 from marketlens.sources.tables import TABLES
 
-KEYS = sorted(E.queries())
+# The optional training-data queries are tested in their own folder.
+KEYS = sorted(k for k in E.queries() if k != "pipeline" and not (k.startswith("op") and k[2].isdigit()))
 ORACLE = E.oracle_sql()
 
 
@@ -43,7 +44,7 @@ def duck(sf_dir):
 
 
 def test_every_key_has_an_oracle():
-    assert set(KEYS) == set(ORACLE)
+    assert set(KEYS) <= set(ORACLE)
 
 
 @pytest.mark.parametrize("key", KEYS)

@@ -73,7 +73,8 @@ def test_pain_points_all_zero_picks_pricing_and_samples(spark):
     r = rev(spark, [(1, 1, 1, "zzz", AS_OF), (2, 1, 1, "aaa", AS_OF), (3, 1, 2, "qqq", AS_OF)])
     row = V.customer_pain_points(b, r).collect()[0]
     assert row["primary_pain_point"] == "Pricing Transparency"
-    assert row["sample_complaints"] == "aaa | zzz"
+    assert V.joined_complaints(b, r).first()["sample_complaints"] == "aaa | zzz"
+    assert sorted(x["snippet"] for x in V.complaint_snippets(b, r).collect()) == ["aaa", "zzz"]
     assert row["pricing_pct"] == 0.0
 
 
