@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 VALID_STATUS = ("running", "completed", "failed")
 INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+#: A whole ISO date or timestamp, nothing behind it.
+DATE_TEXT = r"^\s*\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[+-]\d{2}(:?\d{2})?)?)?\s*$"
 
 
 def split(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
@@ -38,7 +40,7 @@ def lenient_int(text: Column) -> Column:
 
 def lenient_date(text: Column) -> Column:
     """``text::date`` for ISO dates/timestamps; anything else → NULL."""
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), (F.substring(text, 1, 10)).try_cast("date"))
+    return F.when(text.rlike(DATE_TEXT), F.substring(F.trim(text), 1, 10).try_cast("date"))
 
 
 REVIEW_DOC = "struct<reviewerName:string,stars:string,text:string,publishedAtDate:string>"

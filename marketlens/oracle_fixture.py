@@ -44,7 +44,7 @@ businesses AS (
       c.c_custkey AS id,
       CAST(c.c_nationkey AS INTEGER) AS execution_id,
       c.c_name AS business_name,
-      'place_' || CAST(c.c_custkey AS VARCHAR) AS apify_place_id,
+      'https://maps.example.com/?cid=' || CAST(c.c_custkey AS VARCHAR) AS apify_place_id,
       c.c_mktsegment AS category,
       CASE WHEN c.c_custkey % 50 = 49 THEN NULL
            WHEN c.c_custkey % 2 = 0 THEN 'METRO'

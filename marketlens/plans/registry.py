@@ -234,6 +234,22 @@ def _incoming_rescrape(b: DataFrame) -> DataFrame:
                                     (F.col("review_count") + 2).alias("review_count"), t2.alias("scraped_at"))))
 
 
+def _resolve_branches(spark, d):
+    """S13 with places whose key, then url, then name is the one that still matches; every fourth matches nothing."""
+    b = _b(spark, d)
+    url = F.concat(F.lit("https://old.example.com/"), F.col("id").cast("string"))
+    stored = b.select("id", "apify_place_id", "business_name", F.to_json(F.struct(F.struct(url.alias("url")).alias("overview"))).alias("business_data"))
+    n = F.regexp_extract("apify_place_id", r"(\d+)$", 1).cast("long") % 4
+    flat = P.flatten_reviews(_landed(spark, d))
+    gone = F.concat(F.lit("gone_"), F.col("apify_place_id"))
+    moved = flat.select(
+        "review_id", "review_data",
+        F.when(n == 0, F.col("apify_place_id")).otherwise(gone).alias("apify_place_id"),
+        F.when(n == 1, F.concat(F.lit("https://old.example.com/"), F.regexp_extract("apify_place_id", r"(\d+)$", 1))).otherwise(gone).alias("place_url"),
+        F.when(n <= 2, F.col("place_name")).otherwise(gone).alias("place_name"))
+    return P.resolve_business(moved, stored)[0].select("review_id", "business_id")
+
+
 def _upsert(spark, d):
     b = _b(spark, d)
     existing = b.filter(F.col("id") % 4 != 3).select(
@@ -296,6 +312,7 @@ INGEST_QUERIES: dict[str, Query] = {
         Qa.lenient_date(F.get_json_object("review_data", "$.publishedAtDate")).alias("published_at")),
     "resolve_business": lambda s, d: P.resolve_business(
         P.flatten_reviews(_landed(s, d)), _b(s, d))[0].select("review_id", "business_id"),
+    "resolve_business_branches": _resolve_branches,
     "upsert_businesses": _upsert,
     "open_execution": lambda s, d: St.open_execution(s, _e(s, d), None, NOW),
     "close_execution": lambda s, d: St.close_execution(_e(s, d), 5, NOW),
@@ -337,25 +354,34 @@ SESSION_QUERIES: dict[str, Query] = {
         "conv_id", "turn", "role"),
 }
 
-def _stream_ingest(spark, d):
-    """Landed place files → streaming upsert into versioned snapshots → latest snapshot."""
+def _ingested(spark, d) -> str:
+    """T1 run to its end over the landed items; the folder of the stored businesses."""
     from marketlens.session import scratch_path
-    landing = P.land_places(P.place_items(spark, d), P.landing_path(spark, "stream"))
-    base = scratch_path(spark, "businesses_snapshots")
+    base = scratch_path(spark, "stream_businesses")
     empty = spark.createDataFrame([], "id long, apify_place_id string, business_name string, review_count int, "
-                                      "created_at timestamp_ntz, updated_at timestamp_ntz")
-    SJ.ingest_stream(spark, landing, base, empty, NOW)
-    return St.read_latest(spark, base).select("apify_place_id", "business_name", "review_count",
-                                              "created_at", "updated_at")
+                                      "business_data string, created_at timestamp_ntz, updated_at timestamp_ntz")
+    landing = P.land_places(P.place_items(spark, d), P.landing_path(spark, "stream"))
+    return SJ.ingest_stream(spark, landing, base, empty, NOW)
+
+
+def _ingested_reviews(spark, d):
+    """The stored reviews, told by the business's key as the fixture numbers it."""
+    base = _ingested(spark, d)
+    stored = St.read_latest(spark, base).select(F.col("id").alias("business_id"), "apify_place_id")
+    own = _b(spark, d).select(F.col("id").alias("own_id"), "apify_place_id")
+    return (SJ.stored_reviews(spark, base).join(stored, "business_id").join(own, "apify_place_id")
+            .select("review_id", F.col("own_id").alias("business_id"), "stars", "published_at"))
 
 
 STREAM_QUERIES: dict[str, Query] = {
-    "stream_ingest_places": _stream_ingest,
-    "stream_run_counters": lambda s, d: SJ.run_to_table(SJ.run_counter_stream(s, d), "run_counters", "complete"),
-    "stream_velocity_windows": lambda s, d: SJ.run_to_table(
-        SJ.velocity_window_stream(s, d), "velocity_windows", "update").select(
-        "window_start", "event_type", "events"),
-    "stream_review_dedupe": lambda s, d: SJ.run_to_table(SJ.dedupe_review_stream(s, d), "review_dedupe"),
+    "stream_ingest_places": lambda s, d: St.read_latest(s, _ingested(s, d)).select(
+        "apify_place_id", "business_name", "review_count", "created_at", "updated_at"),
+    "stream_ingest_reviews": _ingested_reviews,
+    "stream_run_counters": SJ.run_counter_stream,
+    "stream_velocity_windows": lambda s, d: SJ.velocity_stream(s, d).select("window_start", "event_type", "events"),
+    "stream_velocity_90d": lambda s, d: SJ.longer_windows(SJ.velocity_stream(s, d)),
+    "stream_velocity_sliding": lambda s, d: SJ.longer_windows(SJ.velocity_stream(s, d), step=1),
+    "stream_review_dedupe": SJ.review_stream,
 }
 
 

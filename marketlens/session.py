@@ -51,8 +51,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) do we create one under the system temp dir.
+    The cluster names it in ``spark.checkpoint.dir``; only a ``local`` master
+    (tests) may leave it unset and gets a folder under the system temp dir.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -62,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001
         sc = None
     if not d:
+        if sc is None or not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="marketlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None:

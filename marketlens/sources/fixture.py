@@ -100,7 +100,7 @@ def businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("id"),
         F.col("c_nationkey").cast("int").alias("execution_id"),
         F.col("c_name").alias("business_name"),
-        F.concat(F.lit("place_"), ks).alias("apify_place_id"),
+        F.concat(F.lit("https://maps.example.com/?cid="), ks).alias("apify_place_id"),
         F.col("c_mktsegment").alias("category"),
         city.alias("city"),
         rating.alias("rating"),

@@ -206,9 +206,9 @@ def lead(items: DataFrame) -> Column:
 
 
 def place_key(items: DataFrame) -> Column:
-    """Deterministic business key: placeId, else url, else a hash of address."""
+    """Deterministic business key: url, else placeId, else a hash of name and address."""
     addr = F.sha2(F.concat_ws("|", F.col("title"), F.col("street"), F.col("postalCode")), 256)
-    return F.coalesce(_falsy_str(F.col("placeId")), _falsy_str(F.col("url")), F.concat(F.lit("h_"), addr))
+    return F.coalesce(_falsy_str(F.col("url")), _falsy_str(F.col("placeId")), F.concat(F.lit("h_"), addr))
 
 
 def combine_business(items: DataFrame) -> DataFrame:
@@ -272,10 +272,10 @@ def resolve_business(flat_reviews: DataFrame, businesses: DataFrame) -> tuple[Da
     """
     desc_cols = ["apify_place_id", "place_url", "place_name"]
     places = flat_reviews.select(*desc_cols).distinct()
-    keyed = businesses.select(F.col("id").alias("_kid"), F.col("apify_place_id"))
-    by_url = businesses.select(F.col("id").alias("_uid"),
-                               F.get_json_object("business_data", "$.overview.url").alias("place_url")) \
-        .filter(F.col("place_url").isNotNull())
+    keyed = businesses.groupBy("apify_place_id").agg(F.min("id").alias("_kid"))      # one hit per key and per url
+    url = F.get_json_object("business_data", "$.overview.url") if "business_data" in businesses.columns else F.lit(None).cast("string")
+    by_url = (businesses.select(F.col("id"), url.alias("place_url")).filter(F.col("place_url").isNotNull())
+              .groupBy("place_url").agg(F.min("id").alias("_uid")))
     names = businesses.groupBy(F.col("business_name").alias("place_name")).agg(
         F.count(F.lit(1)).alias("_n"), F.min("id").alias("_nid")).filter(F.col("_n") == 1).drop("_n")
     resolved = (places.join(keyed, "apify_place_id", "left")

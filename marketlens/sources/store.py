@@ -1,59 +1,147 @@
 """Versioned Parquet tables: upsert, append, run bookkeeping, deletes.
 
-Parquet has no MERGE, so every change produces a **new snapshot directory**
-(``<table>/v=<n>``); a snapshot being read is never overwritten.  The job
-commit of a ``write`` is the atomic unit (the reference's transaction), and
-a failed/lost executor only re-runs tasks of an uncommitted snapshot.
+Parquet has no MERGE, so a change writes new directories (``v=<n>``) and then
+one small manifest that names the directories the table consists of; the
+manifest is the commit.  An upsert rewrites only the buckets of the key that
+its batch touches.  All listing goes through Hadoop's file system, so any
+path that Spark can write to will do, and a version whose writer failed is
+never read and never in the way.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
+import json
 import re
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marketlens.functions.scalar import ntz_lit
-from marketlens.operators.quality import enforce, stars_ok
+from marketlens.operators.quality import enforce, split, stars_ok
+
+BUCKETS = 64   # buckets of a table's key; at 100 TB set it so that a bucket is some GB
+BUCKET = "bucket_of_key"
 
 
 # ---------------------------------------------------------------------------
 # snapshots
 # ---------------------------------------------------------------------------
-def _versions(base: str) -> list[int]:
-    if not os.path.isdir(base):
-        return []
-    out = []
-    for name in os.listdir(base):
-        m = re.fullmatch(r"v=(\d+)", name)
-        if m and os.path.exists(os.path.join(base, name, "_SUCCESS")):
-            out.append(int(m.group(1)))
-    return sorted(out)
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def is_directory(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
+def _names(spark: SparkSession, base: str) -> list[str]:
+    fs, p = _fs(spark, base)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _numbers(spark: SparkSession, base: str, pattern: str) -> list[int]:
+    return sorted(int(m.group(1)) for n in _names(spark, base) if (m := re.fullmatch(pattern, n)))
+
 
+def latest_version(spark: SparkSession, base: str) -> int | None:
+    """The last committed version."""
+    found = _numbers(spark, base, r"manifest-(\d+)\.json")
+    return found[-1] if found else None
 
-def latest_version(base: str) -> int | None:
-    v = _versions(base)
-    return v[-1] if v else None
 
+def _manifest(spark: SparkSession, base: str, version: int) -> dict:
+    rows = spark.read.text(f"{base}/manifest-{version}.json", wholetext=True).collect()
+    return json.loads(rows[0][0])
 
-def write_snapshot(df: DataFrame, base: str, partition_by: list[str] | None = None) -> str:
+
+def _commit(spark: SparkSession, base: str, version: int, manifest: dict) -> None:
+    """Write the manifest under another name, then rename it: readers see all of it or nothing."""
+    fs, p = _fs(spark, f"{base}/manifest-{version}.json")
+    _, draft = _fs(spark, f"{base}/.draft-{version}-{_dt.datetime.now().timestamp()}")
+    out = fs.create(draft, False)
+    try:
+        out.write(bytearray(json.dumps(manifest).encode()))
+    finally:
+        out.close()
+    if fs.exists(p) or not fs.rename(draft, p):
+        raise RuntimeError(f"version {version} under {base} was committed by another writer")
+
+
+def _next(spark: SparkSession, base: str) -> int:
+    """Above every version that was begun, whether or not it was committed."""
+    return max([0, *_numbers(spark, base, r"v=(\d+)"), *_numbers(spark, base, r"manifest-(\d+)\.json")]) + 1
+
+
+def write_snapshot(df: DataFrame, base: str, batch: int | None = None) -> str:
     """Write ``df`` as the next version under ``base`` and return its path."""
-    v = (latest_version(base) or 0) + 1
-    path = os.path.join(base, f"v={v}")
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
+    spark = df.sparkSession
+    v = _next(spark, base)
+    df.write.mode("errorifexists").parquet(f"{base}/v={v}")
+    _commit(spark, base, v, {"schema": df.schema.json(), "parts": {"whole": f"v={v}"}, "batch": batch})
+    return f"{base}/v={v}"
+
+
+def _read(spark: SparkSession, base: str, manifest: dict, parts: list[str] | None = None) -> DataFrame:
+    schema = StructType.fromJson(json.loads(manifest["schema"]))
+    paths = [f"{base}/{p}" for k, p in sorted(manifest["parts"].items()) if parts is None or k in parts]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def read_latest(spark: SparkSession, base: str) -> DataFrame:
-    v = latest_version(base)
+    v = latest_version(spark, base)
     if v is None:
         raise FileNotFoundError(f"no committed snapshot under {base}")
-    return spark.read.parquet(os.path.join(base, f"v={v}"))
+    return _read(spark, base, _manifest(spark, base, v))
+
+
+def last_batch(spark: SparkSession, base: str) -> int | None:
+    """The number of the last stream batch that the table holds."""
+    v = latest_version(spark, base)
+    return None if v is None else _manifest(spark, base, v).get("batch")
+
+
+def change_snapshot(incoming: DataFrame, base: str, key: str, change: Callable[[DataFrame, DataFrame], DataFrame], schema: StructType,
+                    batch: int | None = None, buckets: int = BUCKETS) -> bool:
+    """Replace the buckets of ``key`` that ``incoming`` touches by ``change(existing rows of them, incoming)``.
+
+    ``batch`` is a stream batch's number: one that the table already holds
+    is not applied again, so a batch that is run twice counts once.  Returns
+    whether anything was written.
+    """
+    spark = incoming.sparkSession
+    v = latest_version(spark, base)
+    old = _manifest(spark, base, v) if v is not None else {"schema": schema.json(), "parts": {}, "batch": None}
+    if "whole" in old["parts"]:
+        raise ValueError(f"{base} was written whole; its buckets can't be changed")
+    if batch is not None and old["batch"] is not None and batch <= old["batch"]:
+        return False
+    of = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
+    inc = incoming.filter(F.col(key).isNotNull())
+    touched = [r[0] for r in inc.select(of(key).alias("b")).distinct().collect()]       # at most ``buckets`` numbers
+    if not touched:
+        return False
+    existing = _read(spark, base, old, [str(b) for b in touched])
+    n = _next(spark, base)
+    out = change(existing, inc).select(*schema.names)
+    (out.withColumn(BUCKET, of(key)).repartition(min(len(touched), buckets), BUCKET)
+     .write.mode("errorifexists").partitionBy(BUCKET).parquet(f"{base}/v={n}"))
+    written = {m.group(1) for x in _names(spark, f"{base}/v={n}") if (m := re.fullmatch(rf"{BUCKET}=(\d+)", x))}
+    parts = {k: p for k, p in old["parts"].items() if int(k) not in touched} | {b: f"v={n}/{BUCKET}={b}" for b in written}
+    _commit(spark, base, n, {"schema": schema.json(), "parts": parts, "batch": batch})
+    return True
+
+
+def add_to_snapshot(incoming: DataFrame, base: str, keys: list[str], sums: list[str], batch: int | None = None) -> bool:
+    """Add the sums of ``incoming`` (one row per ``keys``) to those stored; new keys are new rows."""
+    row_key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys])
+    inc = incoming.select(row_key.alias("row_key"), *keys, *sums)
+    merge = lambda old, new: old.unionByName(new).groupBy("row_key", *keys).agg(*[F.sum(s).cast(dict(inc.dtypes)[s]).alias(s) for s in sums])
+    return change_snapshot(inc, base, "row_key", merge, inc.schema, batch)
 
 
 # ---------------------------------------------------------------------------
@@ -112,12 +200,43 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, now: _dt.datetime
     return untouched.unionByName(j.select(*cols))
 
 
+def upsert_snapshot(incoming: DataFrame, base: str, key: str, now: _dt.datetime, schema: StructType,
+                    batch: int | None = None, order_col: str = "scraped_at") -> bool:
+    """:func:`upsert` into the table under ``base``, rewriting only the buckets that the batch touches."""
+    return change_snapshot(incoming, base, key, lambda old, new: checked_ids(upsert(old, new, key, now, order_col=order_col), key), schema, batch)
+
+
+def checked_ids(rows: DataFrame, key: str) -> DataFrame:
+    """Fails the job if two keys were given one surrogate id (a hash of the key): rows of one hash share a bucket."""
+    if "id" not in rows.columns:
+        return rows
+    same = rows.groupBy("id").agg(F.count_distinct(key).alias("n")).filter(F.col("id").isNotNull() & (F.col("n") > 1))
+    if not same.isEmpty():
+        raise ValueError("two keys have the same surrogate id")
+    return rows
+
+
 # ---------------------------------------------------------------------------
 # S14 append, S15/S16 runs, S25/S26 deletes
 # ---------------------------------------------------------------------------
 def append_reviews(batch: DataFrame, path: str, mode: str = "quarantine") -> DataFrame:
-    """Validate (stars range) then append; returns the accepted rows."""
-    good = enforce(batch, stars_ok(F.col("stars")), "stars_range", mode)
+    """Validate, then append; returns the accepted rows.
+
+    Rows outside the stars range, or without the business or document they
+    must have (where the batch has those columns), are written to
+    ``<path>_rejected`` with their reason; in strict mode any such row fails
+    the batch.
+    """
+    ok = {"stars_range": stars_ok(F.col("stars"))}
+    ok |= {f"{c}_missing": F.col(c).isNotNull() for c in ("business_id", "review_data") if c in batch.columns}
+    every = F.lit(True)
+    for rule in ok.values():
+        every = every & rule
+    if mode == "strict":
+        enforce(batch, every, ", ".join(ok), mode)
+    good, bad = split(batch, every)
+    reason = F.concat_ws(", ", *[F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in ok.items()])
+    bad.withColumn("reason", reason).write.mode("append").parquet(f"{path}_rejected")
     good.write.mode("append").parquet(path)
     return good
 

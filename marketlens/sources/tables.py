@@ -21,38 +21,11 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-# Fact-like tables whose row-wise work (regex, JSON, tokenising) should use
-# every core.  Dimensions (nation, region) are never spread out.
-SPREAD_TABLES = frozenset({"orders", "lineitem", "events", "documents", "conversations", "pages"})
-_SPLITS: dict[str, int] = {}
-
-
-def ensure_parallelism(df: DataFrame, key: str) -> DataFrame:
-    """Round-robin the scan when it plans fewer splits than the cluster's cores.
-
-    A directory of many files (the 100 TB case) already yields thousands of
-    splits and is returned untouched; a single unsplittable file (one Parquet
-    row group, a gzip) would otherwise run all row-wise work in one task.
-    The split count comes from planning the scan, not from running it.
-    """
-    spark = df.sparkSession
-    try:
-        target = spark.sparkContext.defaultParallelism
-        if key not in _SPLITS:
-            _SPLITS[key] = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (Spark Connect: no RDD API; leave the scan as planned)
-        return df
-    return df.repartition(target) if _SPLITS[key] < target else df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table as planned by Spark's own file splits."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = table_path(sf_dir, name)
-    df = spark.read.parquet(path)
-    if name in SPREAD_TABLES:
-        df = ensure_parallelism(df, path)
-    return df
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def register_tables(spark: SparkSession, sf_dir: str) -> list[str]:

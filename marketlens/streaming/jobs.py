@@ -1,127 +1,169 @@
 """Structured Streaming jobs.
 
-The reference is trigger-driven (row triggers on insert).  Re-aimed:
-
-* T1 ``ingest_stream`` — landed place files → ``foreachBatch`` upsert into a
-  versioned snapshot; the file source checkpoint makes re-runs idempotent.
-* T2 ``dedupe_review_stream`` — ``dropDuplicatesWithinWatermark`` on the
-  review key, state bounded by the watermark.
-* T3 ``run_counter_stream`` — live review counts per run (stream-static join
-  with the business dimension, one state row per run).
-* T4 ``velocity_window_stream`` — tumbling-window review/event counts with a
-  watermark for late data.
-
-All sources are file streams with declared schemas; ``run_to_table`` drives a
-query to completion with ``trigger(availableNow=True)`` and returns the sink
-table as a batch DataFrame, with checkpoints under ``spark.checkpoint.dir``.
+The reference is trigger-driven (row triggers on insert).  Here every job is
+a file stream whose batches change a stored table under the shared folder:
+
+* T1 ``ingest_stream``: landed place files become businesses (upsert) and
+  their reviews (resolved, extracted, validated, each stored once);
+* T2 ``review_stream``: re-delivered reviews are stored once, by upsert on
+  their id, whichever batch they come in;
+* T3 ``run_counter_stream``: review counts per run are added up;
+* T4 ``velocity_stream``: events per day and type are added up; longer
+  windows (90 days tumbling, or sliding by a day) are sums of days.
+
+No event is late: a batch adds to whatever is stored, so the result does not
+depend on how rows are dealt out to batches or in which order they come.  A
+table's manifest holds the number of the last batch it took, so a batch that
+is run again after a failure counts once.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions.scalar import instant_from_ntz, ntz_from_instant
-from marketlens.session import checkpoint_dir
+from marketlens.operators import quality as Q
+from marketlens.session import checkpoint_dir, scratch_path
 from marketlens.sources import fixture as fx
+from marketlens.sources import places as P
+from marketlens.sources import store as S
 from marketlens.sources.tables import table_path
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """Stream one driver table's parquet file(s) with its batch schema."""
+    """Stream one driver table's parquet file(s) with its batch schema, from any file system."""
     path = table_path(sf_dir, name)
-    schema = spark.read.parquet(path).schema
-    rd = spark.readStream.schema(schema)
+    rd = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         rd = rd.option("maxFilesPerTrigger", max_files)
-    if os.path.isdir(path):
+    if S.is_directory(spark, path):
         return rd.parquet(path)
-    return rd.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
+    folder, _, file = path.rpartition("/")
+    return rd.option("pathGlobFilter", file).parquet(folder)
 
 
-def run_to_table(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a streaming DataFrame to completion into a memory table."""
-    spark = df.sparkSession
-    ckpt = os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:10]}")
-    table = f"{name}_{uuid.uuid4().hex[:8]}"
-    q = (df.writeStream.format("memory").queryName(table).outputMode(mode)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+def run_batches(df: DataFrame, name: str, apply: Callable[[DataFrame, int], None], checkpoint: str | None = None) -> None:
+    """Drive a stream to its end, one call of ``apply`` for each batch."""
+    ckpt = checkpoint or f"{checkpoint_dir(df.sparkSession)}/streams/{name}-{uuid.uuid4().hex[:10]}"
+    q = df.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.table(table)
 
 
-def run_counter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming review counts per execution (complete mode)."""
-    orders = table_stream(spark, sf_dir, "orders")
-    r = fx.reviews_from_orders(orders)
+def _result(spark: SparkSession, base: str, empty: DataFrame) -> DataFrame:
+    """The stored table, or ``empty`` if no batch had a row."""
+    return S.read_latest(spark, base) if S.latest_version(spark, base) is not None else empty
+
+
+def review_stream(spark: SparkSession, sf_dir: str, duplicate_every: int = 19, max_files: int | None = None,
+                  base: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """A review stream with re-delivered rows; every review is stored once, its first delivery kept."""
+    base = base or scratch_path(spark, "stream_reviews")
+    r = fx.reviews_from_orders(table_stream(spark, sf_dir, "orders", max_files))
+    cols = ["id", "business_id", "stars", "published_at"]
+
+    def apply(batch: DataFrame, number: int) -> None:
+        again = batch.filter(F.col("id") % duplicate_every == 0)
+        new = batch.unionByName(again).select(*cols)
+        first = lambda old, inc: old.unionByName(inc.dropDuplicates(["id"]).join(old.select("id"), "id", "left_anti").select(*cols))
+        S.change_snapshot(new, base, "id", first, new.schema, number)
+
+    run_batches(r, "review_dedupe", apply, checkpoint)
+    return _result(spark, base, spark.createDataFrame([], r.select(*cols).schema))
+
+
+def run_counter_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """Review counts per execution, added up batch by batch (a stream-static join with the businesses)."""
+    base = scratch_path(spark, "stream_run_counters")
+    r = fx.reviews_from_orders(table_stream(spark, sf_dir, "orders", max_files))
     b = fx.businesses(spark, sf_dir).select(F.col("id").alias("business_id"), "execution_id")
-    counts = r.join(b, "business_id").groupBy("execution_id").agg(F.count(F.lit(1)).alias("total_reviews"))
-    return counts
 
+    def apply(batch: DataFrame, number: int) -> None:
+        per = batch.groupBy("business_id").agg(F.count(F.lit(1)).alias("n"))
+        counts = per.join(b, "business_id").groupBy("execution_id").agg(F.sum("n").alias("total_reviews"))
+        S.add_to_snapshot(counts, base, ["execution_id"], ["total_reviews"], number)
 
-def velocity_window_stream(spark: SparkSession, sf_dir: str, window: str = "1 day",
-                           watermark: str = "2 days") -> DataFrame:
-    """T4: tumbling-window event counts per type with a watermark.
+    run_batches(r, "run_counters", apply)
+    return _result(spark, base, spark.createDataFrame([], "execution_id long, total_reviews long")).select("execution_id", "total_reviews")
 
-    Run in ``update`` mode: each micro-batch emits the windows it changed and
-    state for windows older than the watermark is dropped, so state stays
-    bounded on an endless stream (late rows beyond the watermark are not
-    counted; the batch views remain the source of truth).
-    """
-    # event time must be a TIMESTAMP instant; read the NTZ wall time as UTC so
-    # windows do not move with the session time zone
-    ev = (table_stream(spark, sf_dir, "events")
-          .withColumn("event_time", instant_from_ntz(F.col("ts")))
-          .withWatermark("event_time", watermark))
-    return (ev.groupBy(F.window("event_time", window).alias("w"), "event_type")
-            .agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("value_sum"))
-            .select(ntz_from_instant(F.col("w.start")).alias("window_start"), "event_type", "events",
-                    "value_sum"))
-
-
-def dedupe_review_stream(spark: SparkSession, sf_dir: str, duplicate_every: int = 19,
-                         watermark: str = "30 days") -> DataFrame:
-    """A review stream with re-delivered rows, deduplicated within the watermark."""
-    orders = table_stream(spark, sf_dir, "orders")
-    r = fx.reviews_from_orders(orders)
-    again = fx.reviews_from_orders(table_stream(spark, sf_dir, "orders")).filter(F.col("id") % duplicate_every == 0)
-    both = r.unionByName(again).withColumn("event_ts", F.col("published_at").cast("timestamp"))
-    return (both.withWatermark("event_ts", watermark)
-            .dropDuplicatesWithinWatermark(["id"])
-            .select("id", "business_id", "stars", "published_at"))
-
-
-def ingest_stream(spark: SparkSession, landing: str, snapshot_base: str, existing: DataFrame,
-                  now: _dt.datetime, checkpoint: str | None = None) -> str:
-    """Every micro-batch of landed place files is upserted as a new snapshot.
-
-    Re-running with the same ``checkpoint`` processes only files not yet
-    committed, so a restarted job (or a lost executor) never re-applies a
-    batch; the snapshot write of a batch is its commit.
+
+def velocity_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """T4: events per day and type (``window_start, event_type, events, value_sum``), added up batch by batch.
+
+    Event times are read as UTC, so windows do not move with the session's
+    time zone.  Rows without a time belong to no window.
     """
-    from marketlens.sources import places as P
-    from marketlens.sources import store as S
+    base = scratch_path(spark, "stream_velocity")
+    ev = table_stream(spark, sf_dir, "events", max_files).withColumn("event_time", instant_from_ntz(F.col("ts")))
+
+    def apply(batch: DataFrame, number: int) -> None:
+        days = (batch.filter(F.col("event_time").isNotNull()).groupBy(F.window("event_time", "1 day").alias("w"), "event_type")
+                .agg(F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast("decimal(38,6)")).cast("decimal(38,6)").alias("value_sum"))
+                .select(ntz_from_instant(F.col("w.start")).alias("window_start"), "event_type", "events", "value_sum"))
+        S.add_to_snapshot(days, base, ["window_start", "event_type"], ["events", "value_sum"], number)
+
+    run_batches(ev, "velocity", apply)
+    empty = spark.createDataFrame([], "window_start timestamp_ntz, event_type string, events long, value_sum decimal(38,6)")
+    return _result(spark, base, empty).select("window_start", "event_type", "events", "value_sum")
 
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "streams", "ingest-" + uuid.uuid4().hex[:10])
-    from marketlens.sources.store import latest_version, read_latest
-    state = {"current": read_latest(spark, snapshot_base) if latest_version(snapshot_base) else existing}
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
+def longer_windows(days: DataFrame, length: int = 90, step: int | None = None) -> DataFrame:
+    """Windows of ``length`` days from daily sums: tumbling (from the epoch on), or starting every ``step`` days."""
+    step = step or length
+    day: Column = F.date_diff(F.col("window_start").cast("date"), F.lit(_dt.date(1970, 1, 1)))
+    last = F.floor(day / step) * step
+    starts = F.sequence(last, last - (length - 1) // step * step, F.lit(-step).cast("long"))
+    inside = F.filter(starts, lambda s: s > day - length)
+    return (days.select(F.explode(inside).alias("start"), "event_type", "events")
+            .groupBy("start", "event_type").agg(F.sum("events").cast("bigint").alias("events"))
+            .select(F.date_add(F.lit(_dt.date(1970, 1, 1)), F.col("start").cast("int")).cast("timestamp_ntz").alias("window_start"), "event_type", "events"))
+
+
+REVIEW = "review_id string, business_id long, reviewer_name string, stars int, review_text string, published_at date"
+
+
+def ingest_stream(spark: SparkSession, landing: str, businesses: str, existing: DataFrame, now: _dt.datetime,
+                  checkpoint: str | None = None, max_files: int | None = None) -> str:
+    """Every batch of landed place files is upserted, and its reviews are stored.
+
+    ``businesses`` is the folder of the stored table; reviews go to
+    ``<businesses>_reviews``, rejected ones to ``<businesses>_rejected`` with
+    a reason.  ``existing`` seeds the businesses if nothing is stored yet.
+    Run again with the same ``checkpoint``, only files not yet taken count.
+    """
+    schema = existing.schema
+    if S.latest_version(spark, businesses) is None:
+        S.change_snapshot(existing, businesses, "apify_place_id", lambda old, new: new, schema)
+    accepted = spark.createDataFrame([], REVIEW).schema
+
+    def apply(batch: DataFrame, number: int) -> None:
+        # The landing files are read again by both parts of a batch; nothing is kept on executors.
         inc = P.combine_business(batch)
-        cur = state["current"]
-        merged = S.upsert(cur, inc.select(*[c for c in inc.columns if c in cur.columns or c == "scraped_at"]),
-                          "apify_place_id", now)
-        path = S.write_snapshot(merged, snapshot_base)
-        state["current"] = spark.read.parquet(path)   # cut lineage at the written table
-
-    q = (spark.readStream.schema(P.PLACE).json(landing).writeStream
-         .foreachBatch(apply).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return snapshot_base
+        S.upsert_snapshot(inc.select(*[c for c in inc.columns if c in schema.names or c == "scraped_at"]), businesses, "apify_place_id", now, schema, number)
+        stored = S.read_latest(spark, businesses)
+        known, unknown = P.resolve_business(P.flatten_reviews(batch), stored)
+        ext = Q.extract_review_fields(known.withColumnRenamed("review_id", "id"))
+        rows = ext.withColumnRenamed("id", "review_id").select(*accepted.names)
+        good, bad = Q.split(rows, Q.stars_ok(F.col("stars")))
+        first = lambda old, new: old.unionByName(new.dropDuplicates(["review_id"]).join(old.select("review_id"), "review_id", "left_anti").select(*old.columns))
+        S.change_snapshot(good, f"{businesses}_reviews", "review_id", first, accepted, number)
+        rejected = (bad.select("review_id", F.lit("stars_range").alias("reason"))
+                    .unionByName(unknown.select("review_id", F.lit("no_business").alias("reason"))))
+        S.change_snapshot(rejected, f"{businesses}_rejected", "review_id", lambda old, new: old.unionByName(new).distinct(), rejected.schema, number)
+
+    stream = spark.readStream.schema(P.PLACE)
+    if max_files:
+        stream = stream.option("maxFilesPerTrigger", max_files)
+    run_batches(stream.json(landing), "ingest", apply, checkpoint)
+    return businesses
+
+
+def stored_reviews(spark: SparkSession, businesses: str) -> DataFrame:
+    """The reviews that :func:`ingest_stream` stored beside ``businesses``."""
+    return _result(spark, f"{businesses}_reviews", spark.createDataFrame([], REVIEW))

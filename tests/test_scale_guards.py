@@ -1,4 +1,4 @@
-"""Decisions of the scale guards: size-checked broadcast and split spreading."""
+"""Decisions of the scale guards: size-checked broadcast, scans as Spark plans them."""
 
 from pyspark.sql import functions as F
 
@@ -25,15 +25,5 @@ def test_broadcast_join_plan_uses_hint_only_when_small(spark):
     assert "BroadcastHashJoin" in plan
 
 
-def test_single_split_tables_are_spread_and_dimensions_are_not(spark, sf_dir):
-    orders = tables.read_table(spark, sf_dir, "orders")
-    nation = tables.read_table(spark, sf_dir, "nation")
-    assert "RoundRobinPartitioning" in orders._jdf.queryExecution().executedPlan().toString()
-    assert "RoundRobinPartitioning" not in nation._jdf.queryExecution().executedPlan().toString()
-
-
-def test_many_split_inputs_are_left_alone(spark, tmp_path):
-    path = str(tmp_path / "many")
-    spark.range(0, 100000, numPartitions=32).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert tables.ensure_parallelism(df, path) is df
+def test_tables_are_read_as_planned(spark, sf_dir):
+    assert "RoundRobinPartitioning" not in tables.read_table(spark, sf_dir, "orders")._jdf.queryExecution().executedPlan().toString()

@@ -31,23 +31,44 @@ def test_upsert_keeps_identity_and_takes_latest(spark):
     assert out[None]["n"] == 30      # NULL keys never match and pass through
 
 
-def test_snapshots_are_versioned(spark):
-    base = tempfile.mkdtemp(prefix="ml-snap-")
-    df = spark.range(3)
-    p1 = S.write_snapshot(df, base)
-    p2 = S.write_snapshot(df.filter("id > 0"), base)
-    assert p1.endswith("v=1") and p2.endswith("v=2")
-    assert S.read_latest(spark, base).count() == 2
-    assert spark.read.parquet(p1).count() == 3
-
-
-def test_append_reviews_strict_rejects_batch(spark):
-    path = os.path.join(tempfile.mkdtemp(prefix="ml-app-"), "reviews")
-    batch = spark.createDataFrame([(1, 5), (2, 99)], "id long, stars int")
+def test_snapshots_are_versioned(spark, tmp_path):
+    for base in (str(tmp_path / "plain"), f"file:{tmp_path}/uri"):
+        df = spark.range(3)
+        p1 = S.write_snapshot(df, base)
+        p2 = S.write_snapshot(df.filter("id > 0"), base)
+        assert p1.endswith("v=1") and p2.endswith("v=2")
+        assert S.read_latest(spark, base).count() == 2
+        assert spark.read.parquet(p1).count() == 3
+
+
+def test_a_failed_version_is_neither_read_nor_in_the_way(spark, tmp_path):
+    base = f"file:{tmp_path}/t"
+    S.write_snapshot(spark.range(3), base)
+    spark.range(9).write.parquet(f"{base}/v=2")          # written, but its manifest never came
+    assert S.read_latest(spark, base).count() == 3
+    assert S.write_snapshot(spark.range(5), base).endswith("v=3")
+    assert S.read_latest(spark, base).count() == 5
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    base = str(tmp_path / "t")
+    rows = spark.range(200).select(F.concat(F.lit("k"), "id").alias("key"), F.lit(1).cast("long").alias("n"))
+    assert S.add_to_snapshot(rows, base, ["key"], ["n"], 0)
+    assert S.add_to_snapshot(rows.filter("key = 'k7'"), base, ["key"], ["n"], 1)
+    assert not S.add_to_snapshot(rows, base, ["key"], ["n"], 1)             # the same batch again
+    got = {r["key"]: r["n"] for r in S.read_latest(spark, base).collect()}
+    assert len(got) == 200 and got["k7"] == 2 and sum(got.values()) == 201
+    assert len([p for p in os.listdir(f"{base}/v=2") if p.startswith(S.BUCKET)]) == 1
+
+
+def test_append_reviews_keeps_rejected_rows(spark, tmp_path):
+    path = str(tmp_path / "reviews")
+    batch = spark.createDataFrame([(1, 5, 7), (2, 99, 7), (3, 4, None)], "id long, stars int, business_id long")
     with pytest.raises(ValueError):
         S.append_reviews(batch, path, mode="strict")
     assert [r["id"] for r in S.append_reviews(batch, path).collect()] == [1]
     assert spark.read.parquet(path).count() == 1
+    assert {(r["id"], r["reason"]) for r in spark.read.parquet(f"{path}_rejected").collect()} == {(2, "stars_range"), (3, "business_id_missing")}
 
 
 def test_open_close_execution(spark, sf_dir):
@@ -84,16 +105,52 @@ def test_session_memory_keeps_last_turns(spark):
     assert out.count() == 11
 
 
-def test_ingest_stream_is_idempotent(spark, sf_dir):
-    items = P.place_items(spark, sf_dir).filter(F.col("placeId").isin("place_1", "place_2", "place_3"))
-    landing = P.land_places(items, P.landing_path(spark, "test"))
-    base = tempfile.mkdtemp(prefix="ml-t1-")
-    ckpt = os.path.join(tempfile.mkdtemp(prefix="ml-ck-"), "c")
-    existing = P.combine_business(items).limit(0).select(
-        F.lit(None).cast("long").alias("id"), "apify_place_id", "business_name", "review_count",
-        F.lit(None).cast("timestamp_ntz").alias("created_at"), F.lit(None).cast("timestamp_ntz").alias("updated_at"))
-    SJ.ingest_stream(spark, landing, base, existing, NOW, checkpoint=ckpt)
-    v1 = S.latest_version(base)
-    assert S.read_latest(spark, base).count() == 3
-    SJ.ingest_stream(spark, landing, base, existing, NOW, checkpoint=ckpt)
-    assert S.latest_version(base) == v1     # nothing new → no new snapshot
+def _four_files(spark, sf_dir, name, tmp_path):
+    spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(4, F.rand(7)).write.parquet(f"{tmp_path}/four/{name}.parquet")
+    for other in ("customer", "nation", "region", "orders"):
+        if other != name:
+            os.symlink(f"{sf_dir}/{other}.parquet", f"{tmp_path}/four/{other}.parquet")
+    return f"{tmp_path}/four"
+
+
+@pytest.mark.parametrize("scheme", ["", "file:"])
+def test_streams_do_not_depend_on_batches(spark, sf_dir, tmp_path, scheme):
+    four = scheme + _four_files(spark, sf_dir, "orders", tmp_path)
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    once = SJ.review_stream(spark, sf_dir)
+    parts = SJ.review_stream(spark, four, max_files=1)
+    assert once.count() == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    assert key(parts) == key(once)
+    assert key(SJ.run_counter_stream(spark, four, max_files=1)) == key(SJ.run_counter_stream(spark, sf_dir))
+
+
+@pytest.mark.parametrize("scheme", ["", "file:"])
+def test_windows_do_not_depend_on_batches(spark, sf_dir, tmp_path, scheme):
+    four = scheme + _four_files(spark, sf_dir, "events", tmp_path)
+    key = lambda df: sorted(map(tuple, df.select("window_start", "event_type", "events").collect()), key=repr)
+    days = SJ.velocity_stream(spark, four, max_files=1)
+    assert key(days) == key(SJ.velocity_stream(spark, sf_dir))
+    assert days.agg(F.sum("events")).first()[0] == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("t", F.col("ts").cast("timestamp"))
+    for step in (90, 1):
+        direct = ev.groupBy(F.window("t", "90 days", f"{step} days").alias("w"), "event_type").agg(F.count("*").alias("events"))
+        assert key(SJ.longer_windows(days, step=step)) == key(direct.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type", "events"))
+
+
+@pytest.mark.parametrize("scheme", ["", "file:"])
+def test_ingest_stream_stores_businesses_and_reviews_once(spark, sf_dir, tmp_path, scheme):
+    items = P.place_items(spark, sf_dir).filter(F.col("placeId").isin("place_1", "place_2", "place_3", "place_4"))
+    landing = P.land_places(items.repartition(3), f"{scheme}{tmp_path}/landing")
+    base, ckpt = f"{scheme}{tmp_path}/businesses", f"{scheme}{tmp_path}/checkpoint"
+    existing = spark.createDataFrame([], "id long, apify_place_id string, business_name string, review_count int, business_data string, "
+                                         "created_at timestamp_ntz, updated_at timestamp_ntz")
+    SJ.ingest_stream(spark, landing, base, existing, NOW, checkpoint=ckpt, max_files=1)
+    v1 = S.latest_version(spark, base)
+    assert S.read_latest(spark, base).count() == 4
+    n = items.select(F.explode("reviews")).count()
+    assert n > 0 and SJ.stored_reviews(spark, base).count() == n
+    SJ.ingest_stream(spark, landing, base, existing, NOW, checkpoint=ckpt, max_files=1)
+    assert S.latest_version(spark, base) == v1           # nothing new → no new version
+    P.land_places(items.repartition(2), f"{scheme}{tmp_path}/again")
+    SJ.ingest_stream(spark, f"{scheme}{tmp_path}/again", base, existing, NOW)   # the same reviews delivered again
+    assert SJ.stored_reviews(spark, base).count() == n
