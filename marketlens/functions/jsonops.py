@@ -1,9 +1,8 @@
 """JSONB operators on JSON text columns.
 
 Documents stay STRING; paths are read with ``get_json_object`` /
-``json_object_keys`` (JVM-side).  ``contains`` expands a pattern's scalar
-leaves into path equalities at plan time, so ``@>`` is a conjunction of
-column predicates, not a per-row Python call.
+``json_object_keys`` (JVM-side).  ``contains`` becomes a conjunction of
+predicates on the parsed VARIANT, built from the pattern at plan time.
 """
 
 from __future__ import annotations
@@ -45,25 +44,64 @@ def has_all_keys(doc: Column, keys: list[str], *path: str) -> Column:
     return F.coalesce(F.size(inter) == len(set(keys)), F.lit(False))
 
 
-def _leaves(obj, prefix=""):
-    if isinstance(obj, dict):
-        for k, v in obj.items():
-            yield from _leaves(v, f"{prefix}.{k}")
-    else:
-        yield prefix, obj
-
-
-def contains(doc: Column, pattern: dict) -> Column:
-    """``doc @> pattern`` for object patterns with scalar leaves."""
-    cond = F.lit(True)
-    for path, v in _leaves(pattern):
-        got = F.get_json_object(doc, "$" + path)
-        if v is None:
-            cond = cond & has_key(doc, path.rsplit(".", 1)[1], *path.strip(".").split(".")[:-1]) & got.isNull()
-        elif isinstance(v, bool):
-            cond = cond & (got == F.lit(json.dumps(v)))
-        elif isinstance(v, (int, float)):
-            cond = cond & ((got).try_cast("double") == F.lit(float(v)))
-        else:
-            cond = cond & (got == F.lit(str(v)))
-    return F.coalesce(cond, F.lit(False))
+def _value(v: Column, pattern) -> Column:
+    """Whether a VARIANT value is this JSON scalar: the kinds must agree, numbers by value."""
+    kind = F.schema_of_variant(v)
+    if pattern is None:
+        return F.is_variant_null(v)
+    if isinstance(pattern, bool):
+        return (kind == "BOOLEAN") & (F.try_variant_get(v, "$", "boolean") == F.lit(pattern))
+    if isinstance(pattern, (int, float)):
+        number = kind.startswith("DECIMAL") | kind.isin("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE")
+        exact = F.try_variant_get(v, "$", "decimal(38,10)") == F.lit(str(pattern)).cast("decimal(38,10)")
+        return number & F.coalesce(exact, F.try_variant_get(v, "$", "double") == F.lit(float(pattern)))
+    return (kind == "STRING") & (F.try_variant_get(v, "$", "string") == F.lit(pattern))
+
+
+def _some(elements: Column, pattern, test) -> Column:
+    return F.coalesce(F.exists(elements, lambda e: F.coalesce(test(e, pattern), F.lit(False))), F.lit(False))
+
+
+def _holds(v: Column, pattern, top: bool = False) -> Column:
+    """``v @> pattern`` on VARIANT values, as a conjunction built from the pattern."""
+    elements = F.try_variant_get(v, "$", "array<variant>")
+    is_array = F.schema_of_variant(v).startswith("ARRAY")
+    if isinstance(pattern, dict):
+        out = F.schema_of_variant(v).startswith("OBJECT")
+        for key, inner in pattern.items():
+            name = json.dumps(key)
+            out = out & F.coalesce(_holds(F.try_variant_get(v, f"$[{name}]", "variant"), inner), F.lit(False))
+        return out
+    if isinstance(pattern, list):
+        out = is_array
+        for inner in pattern:
+            # An element of the pattern must be held by some element (an array by an array, an object by an object).
+            out = out & _some(elements, inner, _holds)
+        return out
+    same = F.coalesce(_value(v, pattern), F.lit(False))
+    if top:   # an array on the outside may hold a bare scalar
+        same = same | (is_array & _some(elements, pattern, _value))
+    return same
+
+
+def contains(doc: Column, pattern) -> Column:
+    """``doc @> pattern`` for objects, arrays and scalars, as in PostgreSQL.
+
+    Kinds count: the string "3" does not hold the number 3.  Arrays hold a
+    pattern's elements in any order and number.  Texts that are no JSON hold
+    nothing.
+    """
+    return F.coalesce(_holds(F.try_parse_json(doc), pattern, top=True), F.lit(False))
+
+
+SQL_NAMES = ("json_has_key", "json_contains_all_keys", "json_contains_any_key")
+
+
+def register_sql(spark) -> None:
+    """SQL functions for JSON key tests, callable from ``spark.sql``: (document, path or '$', key or keys)."""
+    spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION json_has_key(doc STRING, path STRING, key STRING) RETURNS BOOLEAN
+        RETURN coalesce(array_contains(json_object_keys(get_json_object(doc, path)), key), false)""")
+    spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION json_contains_any_key(doc STRING, path STRING, keys ARRAY<STRING>) RETURNS BOOLEAN
+        RETURN coalesce(arrays_overlap(json_object_keys(get_json_object(doc, path)), keys), false)""")
+    spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION json_contains_all_keys(doc STRING, path STRING, keys ARRAY<STRING>) RETURNS BOOLEAN
+        RETURN coalesce(size(array_intersect(json_object_keys(get_json_object(doc, path)), keys)) = size(array_distinct(keys)), false)""")

@@ -1,112 +1,68 @@
 """Full-text search over review (or any) text: X1 term, X2 boolean, X3 phrase.
 
-PostgreSQL's ``to_tsvector('english', t) @@ to_tsquery(q)`` is re-expressed
-without a token-table shuffle: each row's text becomes an array of stems
-(stop words kept as NULL placeholders so positions survive), and a tsquery
-compiles to a predicate over that array.  Everything is a built-in column
-expression (regex, ``transform``, ``exists``), so a search is a filter on
-the scan — no join on hot tokens, no Python in the hot path.
-
-``token_table`` still offers the exploded (id, pos, stem) relation for
-callers that want to aggregate over terms.
+PostgreSQL's ``to_tsvector('english', t) @@ to_tsquery(q)`` without a
+token-table shuffle: each row's text becomes an array of lexemes (stop words
+kept as NULL, so positions survive), and a tsquery compiles to a predicate
+over that array.  Tokens are cut by a built-in expression, rows that cannot
+match are dropped by built-in string tests first, and the rest is stemmed by
+a vectorised UDF that remembers the words it has seen.
+
+``token_table`` offers the exploded (id, pos, stem) relation; it stems each
+distinct token once and joins the stems back.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StringType
 
-TOKEN_PATTERN = r"[\p{L}\p{N}]+"
-
-# Common English stop words dropped by the text configuration.
-STOP_WORDS = (
-    "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "from", "had", "has",
-    "have", "he", "her", "his", "i", "in", "is", "it", "its", "me", "my", "no", "not",
-    "of", "on", "or", "our", "she", "so", "that", "the", "their", "them", "they", "this",
-    "to", "was", "we", "were", "with", "you", "your",
-)
+from marketlens.functions.stemmer import STOP_WORDS, lexeme, stem_word
 
+TOKEN_PATTERN = r"[\p{L}\p{N}]+"
+REMEMBERED = 500_000
 
-def _cut(s: Column, k: int) -> Column:
-    """``s`` without its last ``k`` characters."""
-    return F.substring(s, F.lit(1), F.length(s) - k)
 
+@F.pandas_udf(ArrayType(StringType()))
+def lexemes_of(tokens: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Lexemes of arrays of lowered tokens, NULL for stop words and null arrays."""
+    known: dict[str, str | None] = {}
 
-def _has_vowel(s: Column) -> Column:
-    return F.length(F.translate(s, "aeiouy", "")) < F.length(s)
+    def of(word: str) -> str | None:
+        if word not in known:
+            if len(known) > REMEMBERED:
+                known.clear()
+            known[word] = lexeme(word)
+        return known[word]
 
+    for batch in tokens:
+        yield batch.map(lambda words: None if words is None else [of(w) for w in words])
 
-def _fix_ending(s: Column) -> Column:
-    last = F.substring(s, -1, 1)
-    double = (F.length(s) >= 2) & (last == F.substring(s, -2, 1)) & ~last.isin(*"aeiouylsz")
-    return (F.when(s.endswith("at") | s.endswith("bl") | s.endswith("iz"), F.concat(s, F.lit("e")))
-            .when(double, _cut(s, 1))
-            .otherwise(s))
 
+@F.pandas_udf(StringType())
+def stem_udf(words: pd.Series) -> pd.Series:
+    """The stem of each (lowered) word."""
+    return words.map(lambda w: None if w is None else stem_word(w))
 
-def stem(w: Column) -> Column:
-    """Light English suffix stemmer (plural and -ed/-ing), JVM-side.
 
-    parking/parked/parks → park, missed → miss, agreed → agree, hopping → hop.
-    Documents and queries go through the same function, so matching is
-    consistent whatever the word.  Suffix tests are ``endswith``/``substring``
-    string operations (no regex), so the whole stemmer compiles into the
-    surrounding whole-stage codegen.
-    """
-    n = F.length(w)
-    a = (F.when(w.endswith("sses"), _cut(w, 2))
-         .when(w.endswith("ies") & (n > 4), F.concat(_cut(w, 3), F.lit("i")))
-         .when(w.endswith("ss"), w)
-         .when(w.endswith("s") & ~w.endswith("us") & (n > 3), _cut(w, 1))
-         .otherwise(w))
-    m = F.length(a)
-    ing, ed = _cut(a, 3), _cut(a, 2)
-    return (F.when(a.endswith("eed"), F.when(m > 4, _cut(a, 1)).otherwise(a))
-            .when(a.endswith("ing") & (m >= 5) & _has_vowel(ing), _fix_ending(ing))
-            .when(a.endswith("ed") & (m >= 4) & _has_vowel(ed), _fix_ending(ed))
-            .otherwise(a))
+def tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
 def stems(text: Column) -> Column:
-    """array<string> of stems in token order; stop words become NULL."""
-    toks = F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
-    stops = F.array(*[F.lit(s) for s in STOP_WORDS])
-    return F.transform(toks, lambda t: F.when(F.array_contains(stops, t), F.lit(None)).otherwise(stem(t)))
-
-
-def stem_word(word: str) -> str:
-    """Python twin of ``stem`` for query terms (keeps the query on the driver tiny)."""
-    w = word.lower()
-    if w.endswith("sses"):
-        w = w[:-2]
-    elif w.endswith("ies") and len(w) > 4:
-        w = w[:-3] + "i"
-    elif w.endswith("ss"):
-        pass
-    elif w.endswith("s") and len(w) > 3 and w[-2] not in "su":
-        w = w[:-1]
-
-    def fix(s):
-        if re.search("(at|bl|iz)$", s):
-            return s + "e"
-        if re.search(r"([^aeiouylsz])\1$", s):
-            return s[:-1]
-        return s
-    if w.endswith("eed"):
-        return w[:-1] if len(w) > 4 else w
-    if re.search("[aeiouy].*ing$", w) and len(w) >= 5:
-        return fix(w[:-3])
-    if re.search("[aeiouy].*ed$", w) and len(w) >= 4:
-        return fix(w[:-2])
-    return w
+    """array<string> of lexemes in token order; stop words become NULL."""
+    return lexemes_of(tokens(text))
 
 
 # ---------------------------------------------------------------------------
 # tsquery → predicate
 # ---------------------------------------------------------------------------
-_TOK = re.compile(r"\s*(<->|[&|!()]|[^\s&|!()<>]+)")
+_TOK = re.compile(r"\s*(<->|<\d+>|[&|!()]|[^\W_]+(?::\*)?)")
+_DISTANCE = re.compile(r"<(->|\d+>)")
 
 
 def _lex(q: str) -> list[str]:
@@ -115,33 +71,14 @@ def _lex(q: str) -> list[str]:
     while i < len(q):
         m = _TOK.match(q, i)
         if not m:
-            raise ValueError(f"bad tsquery near {q[i:]!r}")
+            raise ValueError(f"tsquery syntax that is not supported near {q[i:]!r}")
         out.append(m.group(1))
         i = m.end()
     return out
 
 
-def _has(arr: Column, w: str) -> Column:
-    # stop-word slots are NULL; a miss must be FALSE, not NULL, so ``!w`` works
-    return F.coalesce(F.array_contains(arr, F.lit(stem_word(w))), F.lit(False))
-
-
-def _phrase(arr: Column, words: list[str]) -> Column:
-    ws = [stem_word(w) for w in words]
-    k = len(ws)
-    idx = F.sequence(F.lit(1), F.greatest(F.size(arr) - (k - 1), F.lit(1)))
-
-    def at(i):
-        cond = None
-        for j, w in enumerate(ws):
-            c = F.try_element_at(arr, i + j) == F.lit(w)
-            cond = c if cond is None else cond & c
-        return F.coalesce(cond, F.lit(False))
-    return F.when(F.size(arr) >= k, F.exists(idx, at)).otherwise(F.lit(False))
-
-
-def tsquery(arr: Column, query: str) -> Column:
-    """Compile ``& | ! ( ) <->`` tsquery text to a boolean column over ``arr``."""
+def _parse(query: str):
+    """Nested tuples: ("|" or "&", left, right), ("!", x), ("phrase", [(offset, lexeme, prefix?)]); None where only stop words stand."""
     toks = _lex(query)
     pos = 0
 
@@ -155,80 +92,113 @@ def tsquery(arr: Column, query: str) -> Column:
         pos += 1
         return toks[pos - 1]
 
-    def expr():
-        left = conj()
+    def joined(op, left, right):
+        return (op, left, right) if left and right else left or right     # a stop word drops out
+
+    def either():
+        left = both()
         while peek() == "|":
             take()
-            left = left | conj()
+            left = joined("|", left, both())
         return left
 
-    def conj():
+    def both():
         left = unary()
         while peek() == "&":
             take()
-            left = left & unary()
+            left = joined("&", left, unary())
         return left
 
     def unary():
         if peek() == "!":
             take()
-            return ~unary()
+            inner = unary()
+            return ("!", inner) if inner else None
         return phrase()
 
+    def word():
+        t = take()
+        if t in ("&", "|", "!", "(", ")") or _DISTANCE.match(t):
+            raise ValueError(f"a word is wanted at {t!r} in tsquery {query!r}")
+        prefix = t.endswith(":*")
+        found = lexeme(t[:-2] if prefix else t)
+        return found, prefix
+
     def phrase():
         if peek() == "(":
             take()
-            e = expr()
+            inner = either()
             if take() != ")":
                 raise ValueError("unbalanced parentheses in tsquery")
-            return e
-        words = [take()]
-        while peek() == "<->":
-            take()
-            words.append(take())
-        return _has(arr, words[0]) if len(words) == 1 else _phrase(arr, words)
-
-    out = expr()
+            if peek() and _DISTANCE.match(peek()):
+                raise ValueError("a distance behind parentheses is not supported")
+            return inner
+        at, parts = 0, [(0, *word())]
+        while peek() and _DISTANCE.match(peek()):
+            step = take()
+            at += 1 if step == "<->" else int(step[1:-1])
+            parts.append((at, *word()))
+        parts = [p for p in parts if p[1] is not None]
+        return ("phrase", [(o - parts[0][0], w, prefix) for o, w, prefix in parts]) if parts else None
+
+    out = either()
     if pos != len(toks):
         raise ValueError(f"trailing tokens in tsquery: {toks[pos:]}")
     return out
 
 
-def required_substrings(query: str) -> list[str]:
-    """Substrings every matching text must contain (lower-cased).
+def _is(found: Column, word: str, prefix: bool) -> Column:
+    return F.coalesce(found.startswith(word) if prefix else found == F.lit(word), F.lit(False))
+
+
+def _compile(node, arr: Column) -> Column:
+    kind = node[0]
+    if kind == "!":
+        return ~_compile(node[1], arr)
+    if kind in "|&":
+        left, right = _compile(node[1], arr), _compile(node[2], arr)
+        return left | right if kind == "|" else left & right
+    parts = node[1]
+    if len(parts) == 1:
+        return F.coalesce(F.exists(arr, lambda x: _is(x, parts[0][1], parts[0][2])), F.lit(False))
+
+    def at(i):
+        cond = F.lit(True)
+        for o, w, prefix in parts:
+            cond = cond & _is(F.get(arr, i + o), w, prefix)
+        return cond
+
+    return F.coalesce(F.exists(F.sequence(F.lit(0), F.greatest(F.size(arr) - 1, F.lit(0))), at), F.lit(False))
 
-    A stem, minus an 'e' the stemmer may have added, is a prefix of every
-    word it came from; words under OR/NOT give no requirement.
+
+def tsquery(arr: Column, query: str) -> Column:
+    """Compile ``& | ! ( ) <-> <N> word:*`` tsquery text to a boolean column over an array of lexemes.
+
+    Stop words drop out, as in PostgreSQL; a query of nothing else matches
+    nothing.  Syntax that is not supported raises.
     """
-    toks = _lex(query)
-    if "|" in toks and "(" not in toks:
-        return []          # a top-level OR requires nothing
-    parts, cur, depth = [], [], 0
-    for t in toks:
-        depth += (t == "(") - (t == ")")
-        if t == "&" and depth == 0:
-            parts.append(cur)
-            cur = []
-        else:
-            cur.append(t)
-    parts.append(cur)
-    out = []
-    for part in parts:
-        if any(t in ("|", "!", "(", ")") for t in part):
-            continue       # negated or nested conjuncts give no requirement
-        for t in part:
-            if t != "<->":
-                st = stem_word(t)
-                out.append(st[:-1] if st.endswith("e") and len(st) > 1 else st)
-    return out
+    node = _parse(query)
+    return _compile(node, arr) if node else F.lit(False)
 
 
-def matches(text: Column, query: str) -> Column:
-    """Boolean column: ``to_tsvector(text) @@ to_tsquery(query)``.
+def required_substrings(query: str) -> list[str]:
+    """Substrings that every matching text holds (lower-cased): beginnings of lexemes that stemming leaves alone.
 
-    The stem array is bound once through a one-element ``exists`` so the
-    compiled predicate can reference it many times without re-tokenising.
+    Only words that stand under no OR and no NOT are required.
     """
+    def of(node) -> list[str]:
+        if not node or node[0] in ("|", "!"):
+            return []
+        if node[0] == "&":
+            return of(node[1]) + of(node[2])
+        # The last two signs of a stem may differ in the word (company, compani); short stems more (dying, die).
+        return [w[:len(w) - 2] if len(w) > 3 else w[:1] for _, w, _ in node[1]]
+
+    return of(_parse(query))
+
+
+def matches(text: Column, query: str) -> Column:
+    """Boolean column: ``to_tsvector(text) @@ to_tsquery(query)``."""
     return F.coalesce(F.exists(F.array(stems(text)), lambda a: tsquery(a, query)), F.lit(False))
 
 
@@ -241,16 +211,40 @@ def fts_match(df: DataFrame, query: str, text_col: str = "review_text") -> DataF
     return df.filter(pre).filter(matches(F.col(text_col), query))
 
 
+def register_sql(spark) -> None:
+    """``text_matches(text, query)`` for callers of ``spark.sql``; the query may differ from row to row.
+
+    Rows are matched in a vectorised UDF by the same lexemes and the same parsed query.
+    """
+    @F.pandas_udf(BooleanType())
+    def text_matches(texts: pd.Series, queries: pd.Series) -> pd.Series:
+        word = re.compile(r"[^\W_]+")
+        parsed = {q: _parse(q) for q in queries.unique() if q is not None}
+
+        def holds(node, arr) -> bool:
+            if node[0] == "!":
+                return not holds(node[1], arr)
+            if node[0] in "|&":
+                return (any if node[0] == "|" else all)(holds(x, arr) for x in node[1:])
+            same = lambda x, w, prefix: x is not None and (x.startswith(w) if prefix else x == w)
+            return any(all(i + o < len(arr) and same(arr[i + o], w, prefix) for o, w, prefix in node[1]) for i in range(len(arr)))
+
+        return pd.Series([bool(t is not None and q is not None and parsed[q] and holds(parsed[q], [lexeme(w) for w in word.findall(t.lower())]))
+                          for t, q in zip(texts, queries)])
+
+    spark.udf.register("text_matches", text_matches)
+
+
 def token_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, pos, stem) for every non-stop-word token, positions 1-based.
 
-    Tokens are exploded first and stemmed as a plain column expression, so
-    the stemmer runs inside whole-stage codegen (a lambda would not).
+    Each distinct token is stemmed once, vectorised, and joined back (a side
+    that AQE broadcasts while it is small).
     """
-    toks = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0)
-    return (df.select(id_col, F.posexplode(toks).alias("pos", "tok"))
-            .filter(~F.col("tok").isin(*STOP_WORDS))
-            .select(id_col, (F.col("pos") + 1).alias("pos"), stem(F.col("tok")).alias("stem")))
+    tok = (df.select(id_col, F.posexplode(tokens(F.col(text_col))).alias("pos", "tok"))
+           .filter(~F.col("tok").isin(*sorted(STOP_WORDS))))
+    stem = tok.select("tok").distinct().select("tok", stem_udf("tok").alias("stem"))
+    return tok.join(stem, "tok").select(id_col, (F.col("pos") + 1).alias("pos"), "stem")
 
 
 def fts_with_business(b: DataFrame, r: DataFrame, query: str) -> DataFrame:
@@ -261,7 +255,13 @@ def fts_with_business(b: DataFrame, r: DataFrame, query: str) -> DataFrame:
 
 
 def term_frequencies(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Document frequency and total occurrences per stem (partial aggregation)."""
-    t = token_table(df, id_col, text_col)
-    return t.groupBy("stem").agg(F.count(F.lit(1)).alias("occurrences"),
-                                 F.count_distinct(id_col).alias("documents"))
+    """Document frequency and total occurrences per stem.
+
+    Tokens are counted per document first; each distinct token is stemmed
+    once and joined to those counts.
+    """
+    per = (df.select(id_col, F.explode(tokens(F.col(text_col))).alias("tok")).filter(~F.col("tok").isin(*sorted(STOP_WORDS)))
+           .groupBy(id_col, "tok").agg(F.count(F.lit(1)).alias("n")))
+    stem = per.select("tok").distinct().select("tok", stem_udf("tok").alias("stem"))
+    each = per.join(stem, "tok").groupBy("stem", id_col).agg(F.sum("n").alias("n"))
+    return each.groupBy("stem").agg(F.sum("n").cast("bigint").alias("occurrences"), F.count(F.lit(1)).alias("documents"))

@@ -347,6 +347,8 @@ TEXT_QUERIES: dict[str, Query] = {
     # X1 token table over whole documents (up to 20k words each), aggregated per stem
     "document_term_frequencies": lambda s, d: S.term_frequencies(
         read_table(s, d, "documents").select("doc_id", "text"), "doc_id", "text"),
+    "document_search": lambda s, d: S.fts_match(
+        read_table(s, d, "documents").select("doc_id", "text"), "the & licensing | tokens", "text").select("doc_id"),
 }
 
 SESSION_QUERIES: dict[str, Query] = {

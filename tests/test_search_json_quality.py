@@ -6,27 +6,49 @@ from marketlens.operators import quality as Q
 from marketlens.operators import search as S
 
 
-@pytest.mark.parametrize("w,s", [("parking", "park"), ("parked", "park"), ("parks", "park"),
-                                 ("missed", "miss"), ("agreed", "agree"), ("hopping", "hop"),
-                                 ("ponies", "poni"), ("sing", "sing"), ("class", "class")])
-def test_stem_python_and_jvm_agree(spark, w, s):
-    assert S.stem_word(w) == s
-    assert spark.range(1).select(S.stem(F.lit(w)).alias("s")).first()["s"] == s
+# Published stems of the English stemmer.
+STEMS = """consign consign|consigned consign|consignment consign|consistency consist|consistently consist|consolation consol|consolatory consolatori
+|conspicuously conspicu|conspiracy conspiraci|conspirators conspir|constable constabl|constancy constanc|knackeries knackeri|knaves knave|knavish knavish
+|kneel kneel|knightly knight|companies compani|company compani|pricing price|prices price|schedule schedul|scheduled schedul|charge charg|charged charg
+|service servic|servicing servic|quote quot|quoting quot|party parti|parties parti|generate generat|generous generous|community communiti|happy happi|cry cri
+|by by|say say|hopping hop|hoping hope|ties tie|cries cri|gas gas|gaps gap|feed feed|agreed agre|fluently fluentli|rational ration|relational relat
+|hopeful hope|goodness good|formative format|electrical electr|adjustment adjust|adoption adopt|controll control|roll roll|parking park|missed miss
+|appointment appoint|ponies poni|sing sing|news news|dying die|skies sky|proceed proceed|inning inning|boyish boyish|sensibility sensibl"""
+
+
+def test_published_stems(spark, sf_dir):
+    import duckdb
+
+    from marketlens.oracle_stems import stemming
+    pairs = [p.split() for p in STEMS.replace("\n", "").split("|")]
+    assert [S.stem_word(w) for w, _ in pairs] == [s for _, s in pairs]
+    words = "SELECT unnest([" + ", ".join(f"'{w}'" for w, _ in pairs) + "]) AS word"
+    sql = dict(duckdb.sql(f"WITH {stemming(words)} SELECT word, stem FROM stemmed").fetchall())
+    assert sql == {w: s for w, s in pairs if w not in S.STOP_WORDS}
 
 
 def test_tsquery_operators(spark):
     df = spark.createDataFrame([(1, "Parking is tight"), (2, "no parking, bad service"),
-                                (3, "missed the appointment"), (4, "missed appointment"), (5, None)],
+                                (3, "missed the appointment"), (4, "missed appointment"), (5, None), (6, "two companies, upfront pricing"), (7, "the party of parties")],
                                "id long, t string")
+    S.register_sql(spark)
+    df.createOrReplaceTempView("some_texts")
 
     def ids(q):
-        return sorted(r["id"] for r in S.fts_match(df, q, "t").collect())
+        found = sorted(r["id"] for r in S.fts_match(df, q, "t").collect())
+        assert found == sorted(r["id"] for r in spark.sql(f"SELECT id FROM some_texts WHERE text_matches(t, '{q}')").collect())
+        return found
     assert ids("parking") == [1, 2]
     assert ids("parking & !tight") == [2]
     assert ids("(tight | bad) & parking") == [1, 2]
     assert ids("missed <-> appointment") == [4]   # a stop word keeps its position
-    with pytest.raises(ValueError):
-        S.tsquery(F.col("t"), "(a & b")
+    assert ids("missed <2> appointment") == ids("missed <-> the <-> appointment") == [3]
+    assert ids("the & parking") == [1, 2] and ids("the | parking") == [1, 2] and ids("the") == [] and ids("!the & parking") == [1, 2]
+    assert ids("company") == [6] and ids("price") == [6] and ids("party <2> party") == [7]
+    assert ids("servic:*") == [2] and ids("comp:* & pric:*") == [6]
+    for wrong in ("(a & b", "price:A", "a <- b", "a &", "follow-up"):
+        with pytest.raises(ValueError):
+            S.tsquery(F.col("t"), wrong)
 
 
 def test_json_operators(spark):
@@ -35,7 +57,26 @@ def test_json_operators(spark):
                   J.has_any_key(F.col("d"), ["ig", "tw"], "s").alias("a"),
                   J.has_all_keys(F.col("d"), ["ig", "fb"], "s").alias("al"),
                   J.contains(F.col("d"), {"k": 3}).alias("c")).collect()
-    assert [tuple(x) for x in r] == [(True, True, True, True), (False, False, False, True)]
+    assert [tuple(x) for x in r] == [(True, True, True, True), (False, False, False, False)]   # "3" is not 3
+
+
+@pytest.mark.parametrize("doc,pattern,held", [
+    ('{"k":3}', {"k": 3}, True), ('{"k":"3"}', {"k": 3}, False), ('{"k":3}', {"k": "3"}, False), ('{"k":3.0}', {"k": 3}, True), ('{"k":3.5}', {"k": 3.5}, True),
+    ('{"k":null}', {"k": None}, True), ('{}', {"k": None}, False), ('{"k":true}', {"k": True}, True), ('{"k":1}', {"k": True}, False),
+    ('{"tags":["a","b"]}', {"tags": ["a"]}, True), ('{"tags":["b","a"]}', {"tags": ["a", "b", "a"]}, True), ('{"tags":["a"]}', {"tags": ["c"]}, False),
+    ('{"tags":[["a"]]}', {"tags": ["a"]}, False), ('{"tags":[["a","b"]]}', {"tags": [["a"]]}, True), ('{"a":{"b":{"c":1,"d":2}}}', {"a": {"b": {"d": 2}}}, True),
+    ('[{"x":1,"y":2},3]', [{"x": 1}], True), ('["foo",1]', "foo", True), ('"foo"', "foo", True), ('{"a":[]}', {"a": []}, True), ('{"a":{}}', {"a": []}, False),
+    ('{"a.b":1}', {"a.b": 1}, True), ("no json", {}, False), (None, {"k": 1}, False), ('{"k":123456789012345678901}', {"k": 123456789012345678901}, True)])
+def test_json_containment(spark, doc, pattern, held):
+    df = spark.createDataFrame([(doc,)], "d string")
+    assert df.select(J.contains(F.col("d"), pattern)).first()[0] is held
+
+
+def test_sql_key_functions(spark):
+    J.register_sql(spark)
+    one = spark.sql("""SELECT json_has_key('{"s":{"ig":null}}', '$.s', 'ig') AS a, json_contains_any_key('{"x":1}', '$', array('x', 'y')) AS b,
+                              json_contains_all_keys('{"x":1}', '$', array('x', 'y')) AS c, json_has_key('[]', '$', 'x') AS d""").first()
+    assert tuple(one) == (True, True, False, False)
 
 
 def test_lenient_casts(spark):
