@@ -84,10 +84,10 @@ def validate_status(executions: DataFrame) -> DataFrame:
 
 
 def validate_not_null(businesses: DataFrame) -> DataFrame:
-    """NOT NULL on name, document and run id."""
-    ok = (F.col("business_name").isNotNull() & F.col("business_data").isNotNull()
-          & F.col("execution_id").isNotNull())
-    return split(businesses, ok)[1].select("id")
+    """NOT NULL on name, document and run id; names what is missing."""
+    needed = ("business_name", "business_data", "execution_id")
+    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in needed])
+    return businesses.select("id", missing.alias("missing")).filter(F.col("missing") != "")
 
 
 def fk_orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str = "id") -> DataFrame:
@@ -158,6 +158,19 @@ def dq_report(businesses: DataFrame, extracted_reviews: DataFrame) -> DataFrame:
     return _long(brep).unionByName(_long(rrep))
 
 
+def dq_rows(raw: DataFrame) -> DataFrame:
+    """The reviews behind the counts: (rule, id, business_id, reviewer_name, value)."""
+    j = raw.select("id", "business_id", F.from_json("review_data", REVIEW_DOC).alias("_d"))
+    stars_txt, date_txt = F.col("_d.stars"), F.col("_d.publishedAtDate")
+    stars = lenient_int(stars_txt)
+    found = F.array(
+        F.when(stars_txt.isNotNull() & stars.isNull(), F.struct(F.lit("bad_stars").alias("rule"), stars_txt.alias("value"))),
+        F.when(date_txt.isNotNull() & lenient_date(date_txt).isNull(), F.struct(F.lit("bad_date").alias("rule"), date_txt.alias("value"))),
+        F.when(~stars_ok(stars), F.struct(F.lit("stars_out_of_range").alias("rule"), stars_txt.alias("value"))))
+    each = j.select("id", "business_id", F.col("_d.reviewerName").alias("reviewer_name"), F.explode(F.array_compact(found)).alias("f"))
+    return each.select("f.rule", "id", "business_id", "reviewer_name", "f.value")
+
+
 def _long(one_row: DataFrame) -> DataFrame:
     """Unpivot a one-row aggregate into (rule, value) rows."""
     cols = one_row.columns

@@ -335,10 +335,9 @@ def executions_last_7d(e: DataFrame, now: _dt.datetime = DEFAULT_NOW) -> DataFra
     return e.filter(F.col("created_at") > cut).select("id", "created_at", "status", "search_query")
 
 
-def latest_runs(e_with_totals: DataFrame, n: int = 5) -> DataFrame:
+def latest_runs(e: DataFrame, b: DataFrame, r: DataFrame, n: int = 5) -> DataFrame:
     """Q16: latest n runs."""
-    return (e_with_totals.orderBy(F.desc_nulls_first("created_at"), "id").limit(n)
-            .select("id", "created_at", "search_query", "total_businesses", "total_reviews", "status"))
+    return V.latest_with_totals(e, b, r, n).select("id", "created_at", "search_query", "total_businesses", "total_reviews", "status")
 
 
 def run_review_rows(e: DataFrame, b: DataFrame, r: DataFrame) -> DataFrame:

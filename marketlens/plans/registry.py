@@ -107,7 +107,7 @@ VIEW_QUERIES: dict[str, Query] = {
     "business_model_opportunities": _brq(V.business_model_opportunities),
     "niche_swot_analysis": _brq(V.niche_swot_analysis),
     "business_summary": _brq(V.business_summary),
-    "recent_executions": lambda s, d: V.recent_executions(_exec_stats(s, d)),
+    "recent_executions": lambda s, d: V.recent_executions(_e(s, d), _b(s, d), _r(s, d)),
     "execution_stats": _exec_stats,
 }
 
@@ -123,7 +123,7 @@ BUSINESS_QUERIES: dict[str, Query] = {
     "city_stats": _bq(Q.city_stats),
     "rating_buckets": _bq(Q.rating_buckets),
     "name_prefix_search": _bq(Q.name_prefix_search),
-    "null_execution_probe": _bq(Q.null_execution_probe),
+    "null_execution_probe": lambda s, d: Q.null_execution_probe(fx.incoming_businesses(_b(s, d))),
     "busy_categories": _bq(Q.busy_categories),
     "market_gap_labels": _bq(Q.market_gap_labels),
     "first_businesses": _bq(Q.first_businesses),
@@ -142,7 +142,7 @@ REVIEW_QUERIES: dict[str, Query] = {
     "complaint_themes": _brq(Q.complaint_themes),
     "worst_shop_complaints": _brq(Q.worst_shop_complaints),
     "success_factors": _brq(Q.success_factors),
-    "orphan_reviews": _brq(Q.orphan_reviews),
+    "orphan_reviews": lambda s, d: Q.orphan_reviews(_b(s, d), fx.incoming_reviews(_r(s, d))),
     "businesses_with_reviews": _brq(Q.businesses_with_reviews),
     "counts_per_parent": _brq(Q.counts_per_parent),
     "rating_dispersion": _brq(Q.rating_dispersion),
@@ -162,7 +162,7 @@ REVIEW_QUERIES: dict[str, Query] = {
 RUN_QUERIES: dict[str, Query] = {
     "execution_trends": lambda s, d: Q.execution_trends(_e(s, d), _b(s, d)),
     "executions_last_7d": lambda s, d: Q.executions_last_7d(_e(s, d)),
-    "latest_runs": lambda s, d: Q.latest_runs(_exec_stats(s, d)),
+    "latest_runs": lambda s, d: Q.latest_runs(_e(s, d), _b(s, d), _r(s, d)),
     "run_review_rows": lambda s, d: Q.run_review_rows(_e(s, d), _b(s, d), _r(s, d)),
     "run_totals_check": lambda s, d: Q.run_totals_check(_exec_stats(s, d), _b(s, d), _r(s, d)),
 }
@@ -223,17 +223,6 @@ COMPOSITE_QUERIES: dict[str, Query] = {
 }
 
 
-def _incoming_rescrape(b: DataFrame) -> DataFrame:
-    """Two re-scrapes of every odd business; the later one must win."""
-    odd = b.filter(F.col("id") % 2 == 1).select("apify_place_id", "business_name", "review_count")
-    t1 = ntz_lit(NOW - _dt.timedelta(hours=1))
-    t2 = ntz_lit(NOW - _dt.timedelta(minutes=10))
-    return (odd.select("apify_place_id", "business_name", (F.col("review_count") + 1).alias("review_count"),
-                       t1.alias("scraped_at"))
-            .unionByName(odd.select("apify_place_id", "business_name",
-                                    (F.col("review_count") + 2).alias("review_count"), t2.alias("scraped_at"))))
-
-
 def _resolve_branches(spark, d):
     """S13 with places whose key, then url, then name is the one that still matches; every fourth matches nothing."""
     b = _b(spark, d)
@@ -251,12 +240,23 @@ def _resolve_branches(spark, d):
 
 
 def _upsert(spark, d):
-    b = _b(spark, d)
-    existing = b.filter(F.col("id") % 4 != 3).select(
-        "id", "apify_place_id", "business_name", "review_count", "created_at",
-        F.col("created_at").alias("updated_at"))
-    out = St.upsert(existing, _incoming_rescrape(b), "apify_place_id", NOW)
-    return out.select("apify_place_id", "business_name", "review_count", "created_at", "updated_at")
+    """Three quarters of the businesses are stored; all landed places, combined, are upserted, documents included."""
+    existing = _b(spark, d).filter(F.col("id") % 4 != 3).select(
+        "id", "apify_place_id", "business_name", "review_count", "business_data", "created_at", F.col("created_at").alias("updated_at"))
+    incoming = P.combine_business(_landed(spark, d)).select("apify_place_id", "business_name", "review_count", "business_data", "scraped_at")
+    return St.upsert(existing, incoming, "apify_place_id", NOW).select(
+        "apify_place_id", "business_name", "review_count", "created_at", "updated_at", J.arrow_text(F.col("business_data"), "overview", "url").alias("url"))
+
+
+def _chain(spark, d):
+    """The ingest chain over the landed items, some reviews of which have impossible stars; half of the businesses are stored."""
+    from marketlens.plans.ingest import run_ingest
+    number = lambda r: F.substring(r["reviewId"], F.lit(2), F.lit(20)).cast("long")
+    items = _landed(spark, d).withColumn("reviews", F.transform("reviews", lambda r: r.withField(
+        "stars", F.when(number(r) % 41 == 0, F.lit(99)).otherwise(r["stars"]))))
+    stored = _b(spark, d).filter(F.col("id") % 2 == 0).select(
+        "id", "execution_id", "apify_place_id", "business_name", "review_count", "business_data", "created_at", F.col("created_at").alias("updated_at"))
+    return run_ingest(spark, items, stored, _e(spark, d), "chain", NOW)
 
 
 def _cascade(spark, d):
@@ -269,35 +269,45 @@ def _landed(spark, d):
     return W.landed_places(spark, d)
 
 
-def _proj(struct_fn, fields):
-    """One S2–S8 projection of the landed items, flattened to columns."""
+RUN = 1   # the run whose id the projections carry
+
+
+def _proj(struct_fn, fields, *more):
+    """One S2–S8 projection of the landed items, flattened to columns, under its run."""
     def q(s, d):
         items = _landed(s, d)
         st = struct_fn(items)
-        return items.select(P.place_key(items).alias("apify_place_id"), F.col("scrapedAt"),
-                            *[st[f].alias(f) for f in fields])
+        return items.select(F.lit(RUN).alias("execution_id"), P.place_key(items).alias("apify_place_id"), F.col("scrapedAt"),
+                            *[st[f].alias(f) for f in fields], *[F.nullif(F.col(c), F.lit("")).alias(c) for c in more])
     return q
 
 
+def _popular_times(s, d):
+    """A row per place, day and hour; places without a histogram keep one row of NULLs."""
+    items = _landed(s, d)
+    days = items.select(F.lit(RUN).alias("execution_id"), P.place_key(items).alias("apify_place_id"), "title", "url", "scrapedAt",
+                        F.explode_outer("popularTimesHistogram").alias("day", "hours"))
+    each = days.select("execution_id", "apify_place_id", "title", "url", "scrapedAt", "day", F.explode_outer("hours").alias("h"))
+    return each.select("execution_id", "apify_place_id", "title", "url", "scrapedAt", "day", F.col("h.hour").alias("hour"), F.col("h.occupancyPercent").alias("occupancy"))
+
+
 INGEST_QUERIES: dict[str, Query] = {
-    "ingest_popular_times": lambda s, d: _landed(s, d).select(
-        P.place_key(_landed(s, d)).alias("apify_place_id"), "scrapedAt",
-        F.nullif(F.col("popularTimesHistogram"), F.lit("")).alias("popularTimesHistogram")),
+    "ingest_popular_times": _popular_times,
     "append_reviews": _append_reviews,
-    "ingest_overview": _proj(P.overview, ["title", "category", "city", "url", "street", "postalCode",
-                                          "countryCode", "rank", "isAdvertisement", "temporarilyClosed",
-                                          "permanentlyClosed"]),
-    "ingest_contact": _proj(P.contact, ["phone", "phoneUnformatted", "website", "email", "claimThisBusiness"]),
-    "ingest_social": _proj(P.social, ["facebookPages", "instagrams", "twitters"]),
+    "ingest_overview": _proj(P.overview, ["title", "category", "searchString", "url", "city", "state", "street", "postalCode", "countryCode",
+                                          "plusCode", "isAdvertisement", "rank", "searchPageUrl", "temporarilyClosed", "permanentlyClosed"],
+                             "website", "phone"),
+    "ingest_contact": _proj(P.contact, ["phone", "phoneUnformatted", "website", "email", "claimThisBusiness", "menu"], "title", "url"),
+    "ingest_social": _proj(P.social, ["facebookPages", "instagrams", "twitters", "linkedIns", "pinterests", "youtubes"], "title", "url"),
     "ingest_rating": _proj(lambda items: F.struct(
         P.rating(items)["totalScore"].alias("totalScore"), P.rating(items)["reviewsCount"].alias("reviewsCount"),
-        F.col("reviewsDistribution.oneStar").alias("oneStar"), F.col("reviewsDistribution.fiveStar").alias("fiveStar")),
-        ["totalScore", "reviewsCount", "oneStar", "fiveStar"]),
+        *[F.col(f"reviewsDistribution.{k}").alias(k) for k in ("oneStar", "twoStar", "threeStar", "fourStar", "fiveStar")]),
+        ["totalScore", "reviewsCount", "oneStar", "twoStar", "threeStar", "fourStar", "fiveStar"], "title", "url"),
     "ingest_tags": lambda s, d: _landed(s, d).select(
-        P.place_key(_landed(s, d)).alias("apify_place_id"), "scrapedAt",
-        F.coalesce("tags", F.array().cast("array<string>")).alias("tags")),
+        F.lit(RUN).alias("execution_id"), P.place_key(_landed(s, d)).alias("apify_place_id"), "scrapedAt", "title", "url", "tags"),
     "ingest_lead": lambda s, d: _landed(s, d).select(
-        P.place_key(_landed(s, d)).alias("apify_place_id"), "scrapedAt", "placeId", "cid",
+        F.lit(RUN).alias("execution_id"), P.place_key(_landed(s, d)).alias("apify_place_id"), "scrapedAt", "title", "url",
+        "gadId", "placeId", "cid", "dataId", "price", "totalScore", "reviewsCount",
         F.round("location.lat", 6).alias("lat"), F.round("location.lng", 6).alias("lng")),
     "merge_dimensions": lambda s, d: P.combine_business(_landed(s, d)).select(
         "apify_place_id", "business_name", "search_string", "scraped_at", "category", "city"),
@@ -322,11 +332,14 @@ INGEST_QUERIES: dict[str, Query] = {
     "generated_columns": lambda s, d: Qa.generated_columns(_b(s, d)),
     "extract_review_fields": lambda s, d: Qa.extract_review_fields(_raw(s, d)),
     "validate_stars": lambda s, d: Qa.validate_stars(Qa.extract_review_fields(_raw(s, d))),
-    "validate_status": lambda s, d: Qa.validate_status(_e(s, d)),
-    "validate_not_null": lambda s, d: Qa.validate_not_null(_b(s, d)),
-    "fk_orphans": lambda s, d: Qa.fk_orphans(_r(s, d), _b(s, d), "business_id").select("id", "business_id"),
-    "unique_violations": lambda s, d: Qa.unique_violations(
-        read_table(s, d, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"]),
+    "validate_status": lambda s, d: Qa.validate_status(fx.incoming_executions(_e(s, d))),
+    "validate_not_null": lambda s, d: Qa.validate_not_null(fx.incoming_businesses(_b(s, d))),
+    "fk_orphans": lambda s, d: Qa.fk_orphans(
+        fx.incoming_businesses(_b(s, d)).filter("execution_id IS NOT NULL"), _e(s, d), "execution_id").select("id", "execution_id"),
+    "unique_violations": lambda s, d: Qa.unique_violations(fx.incoming_businesses(_b(s, d)), ["apify_place_id"]),
+    "dq_rows": lambda s, d: Qa.dq_rows(_raw(s, d)),
+    "ingest_chain": lambda s, d: _chain(s, d).totals.select("id", "status", "search_query", "total_businesses", "total_reviews"),
+    "ingest_chain_rejects": lambda s, d: _chain(s, d).rejects,
     "dq_report": lambda s, d: Qa.dq_report(_b(s, d), Qa.extract_review_fields(_raw(s, d))),
 }
 

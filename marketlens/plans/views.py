@@ -630,9 +630,17 @@ def execution_stats(executions: DataFrame, businesses: DataFrame, reviews: DataF
     )
 
 
-def recent_executions(executions_with_totals: DataFrame, n: int = 50) -> DataFrame:
-    e = executions_with_totals
+def latest_with_totals(executions: DataFrame, businesses: DataFrame, reviews: DataFrame, n: int) -> DataFrame:
+    """The newest n runs, with totals counted over their own businesses and reviews only."""
+    top = executions.orderBy(F.desc_nulls_first("created_at"), "id").limit(n)
+    b = businesses.join(F.broadcast(top.select(F.col("id").alias("execution_id"))), "execution_id", "left_semi")   # n rows
+    r = reviews.select("business_id").join(b.select(F.col("id").alias("business_id")), "business_id", "left_semi")
+    return execution_stats(top, b, r)
+
+
+def recent_executions(executions: DataFrame, businesses: DataFrame, reviews: DataFrame, n: int = 50) -> DataFrame:
+    e = latest_with_totals(executions, businesses, reviews, n)
     secs = F.timestamp_diff("SECOND", F.col("created_at"), F.col("completed_at"))
     return (e.select("id", "created_at", "completed_at", "status", "search_query", "total_businesses",
                      "total_reviews", dround(secs.cast("double") / 60, 2).alias("duration_minutes"))
-            .orderBy(F.desc_nulls_first("created_at")).limit(n))
+            .orderBy(F.desc_nulls_first("created_at")))

@@ -222,6 +222,30 @@ def raw_reviews_from(r: DataFrame) -> DataFrame:
     return r.select("id", "business_id", doc.alias("review_data"))
 
 
+# ---------------------------------------------------------------------------
+# incoming rows that break rules (for S21-S24, P4, P13)
+# ---------------------------------------------------------------------------
+def incoming_businesses(b: DataFrame) -> DataFrame:
+    """Businesses as a scrape may deliver them: names, runs or documents missing, unknown runs, repeated place keys."""
+    k = F.col("id")
+    return b.select(
+        "id", F.when(k % 101 != 7, F.col("business_name")).alias("business_name"),
+        F.when(k % 103 == 5, F.lit(None)).when(k % 107 == 3, F.lit(999)).otherwise(F.col("execution_id")).cast("int").alias("execution_id"),
+        F.when(k % 109 != 2, F.col("business_data")).alias("business_data"),
+        F.when(k % 113 == 1, F.concat(F.lit("again_"), F.floor(k / 226).cast("string"))).when(k % 127 != 4, F.col("apify_place_id")).alias("apify_place_id"))
+
+
+def incoming_reviews(r: DataFrame) -> DataFrame:
+    """Reviews, some of businesses that do not exist."""
+    return r.select("id", F.when(F.col("id") % 89 == 0, -F.col("id")).otherwise(F.col("business_id")).alias("business_id"))
+
+
+def incoming_executions(e: DataFrame) -> DataFrame:
+    """Runs, some with a status that is missing or unknown."""
+    k = F.col("id")
+    return e.select("id", F.when(k % 7 == 3, F.lit("paused")).when(k % 11 != 4, F.col("status")).alias("status"))
+
+
 def load_market(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF):
     """(businesses, reviews, executions) for one data directory."""
     return businesses(spark, sf_dir), reviews(spark, sf_dir, as_of), executions(spark, sf_dir)

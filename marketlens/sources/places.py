@@ -18,7 +18,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, StringType, StructField,
+from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, MapType, StringType, StructField,
                                StructType)
 
 from marketlens.session import checkpoint_dir
@@ -38,6 +38,7 @@ REVIEW_ITEM = StructType([
 ])
 DISTRIBUTION = StructType([StructField(k, IntegerType()) for k in
                            ("oneStar", "twoStar", "threeStar", "fourStar", "fiveStar")])
+HOURS = MapType(StringType(), ArrayType(StructType([StructField("hour", IntegerType()), StructField("occupancyPercent", IntegerType())])))
 LOCATION = StructType([StructField("lat", DoubleType()), StructField("lng", DoubleType())])
 PLACE = StructType([
     StructField("title", StringType()), StructField("categoryName", StringType()),
@@ -55,7 +56,7 @@ PLACE = StructType([
     StructField("facebookPages", StringType()), StructField("instagrams", StringType()),
     StructField("twitters", StringType()), StructField("linkedIns", StringType()),
     StructField("pinterests", StringType()), StructField("youtubes", StringType()),
-    StructField("popularTimesHistogram", StringType()),
+    StructField("popularTimesHistogram", HOURS),
     StructField("tags", ArrayType(StringType())),
     StructField("gadId", StringType()), StructField("placeId", StringType()),
     StructField("cid", StringType()), StructField("dataId", StringType()),
@@ -122,9 +123,11 @@ def place_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("menu"), F.lit(False).alias("temporarilyClosed"),
         (k % 97 == 0).alias("permanentlyClosed"),
         doc["social"]["facebookPages"].alias("facebookPages"), doc["social"]["instagrams"].alias("instagrams"),
-        *[F.lit(None).cast("string").alias(c) for c in ("twitters", "linkedIns", "pinterests", "youtubes",
-                                                          "popularTimesHistogram")],
-        doc["tags"].alias("tags"),
+        *[F.when(k % n == 0, F.concat(F.lit(f"https://{site}.com/b"), k.cast("string"))).alias(c)
+          for c, site, n in (("twitters", "twitter", 6), ("linkedIns", "linkedin", 8), ("pinterests", "pinterest", 9), ("youtubes", "youtube", 10))],
+        F.when(k % 5 == 0, F.create_map(F.lit("Mo"), F.array(*[
+            F.struct(F.lit(h).alias("hour"), ((k + h) % 100).cast("int").alias("occupancyPercent")) for h in (9, 17)]))).cast(HOURS).alias("popularTimesHistogram"),
+        F.when(k % 9 != 4, doc["tags"]).alias("tags"),
         F.lit(None).cast("string").alias("gadId"), F.concat(F.lit("place_"), k.cast("string")).alias("placeId"),
         k.cast("string").alias("cid"), F.lit(None).cast("string").alias("dataId"),
         F.lit(None).cast("string").alias("price"),
@@ -220,8 +223,8 @@ def combine_business(items: DataFrame) -> DataFrame:
     doc = F.to_json(F.struct(
         overview(items).alias("overview"), contact(items).alias("contact"), social(items).alias("social"),
         rating(items).alias("rating"),
-        F.struct(_falsy_str(F.col("popularTimesHistogram")).alias("popularTimesHistogram")).alias("popular_times"),
-        F.coalesce(F.col("tags"), F.array().cast("array<string>")).alias("tags"),
+        F.struct("popularTimesHistogram").alias("popular_times"),
+        F.col("tags").alias("tags"),
         lead(items).alias("lead_enrichment"),
         F.col("scrapedAt").alias("scraped_at"),
     ))
