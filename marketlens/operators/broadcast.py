@@ -11,19 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_CHECKED: dict[str, bool] = {}
 
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``; counted on every call.
 
-def bounded_broadcast(df: DataFrame, max_rows: int, key: str | None = None) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    ``key`` memoises the verdict for a stable input (e.g. a table path) so
-    repeated plans over the same table don't re-run the check.
+    For sides whose rows are small and of one size (ids, keys), so that the
+    number of rows bounds the bytes.
     """
-    if key is not None and key in _CHECKED:
-        small = _CHECKED[key]
-    else:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        if key is not None:
-            _CHECKED[key] = small
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

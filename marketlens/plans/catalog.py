@@ -29,21 +29,21 @@ def register_market(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -
     """Register base tables and views as temp views; returns their names."""
     b, r, e = fx.load_market(spark, sf_dir, as_of)
     ex = V.execution_stats(e, b, r)
-    f = materialize(V.review_facts(r, as_of), "review_facts")   # one review scan for six views
+    f = materialize(V.review_facts(r, as_of), "review_facts")   # one review scan for all views
     tables = {
         "businesses": b,
         "business_reviews": r,
         "market_executions": ex,
         "niche_opportunities": V.niche_opportunities(b),
-        "customer_pain_points": V.customer_pain_points(b, r),
+        "customer_pain_points": V.customer_pain_points(b, r, facts=f),
         "market_leaders": V.market_leaders(b, r, as_of, facts=f),
         "vulnerable_players": V.vulnerable_players(b, r, as_of, facts=f),
         "review_velocity_trends": V.review_velocity_trends(b, r, as_of, facts=f),
-        "niche_service_gaps": V.niche_service_gaps(b, r),
+        "niche_service_gaps": V.niche_service_gaps(b, r, facts=f),
         "business_model_opportunities": V.business_model_opportunities(b, r, facts=f),
         "niche_swot_analysis": V.niche_swot_analysis(b, r, facts=f),
         "business_summary": V.business_summary(b, r, facts=f),
-        "recent_executions": V.recent_executions(ex),
+        "recent_executions": V.recent_executions(e, b, r),
     }
     for name, df in tables.items():
         df.createOrReplaceTempView(name)

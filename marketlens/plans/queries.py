@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions import themes as T
+from marketlens.functions.jsonops import has_key
 from marketlens.functions.scalar import avg_exact, dround, ntz_lit, safe_div
 from marketlens.plans import views as V
 from marketlens.session import materialize
@@ -27,12 +28,6 @@ def _ig() -> Column:
     return F.get_json_object("business_data", "$.social.instagrams")
 
 
-def has_json_key(doc: Column, path: str, key: str) -> Column:
-    """JSONB ``doc #> path ? key``: true even when the value is JSON null."""
-    obj = F.get_json_object(doc, path)
-    return F.coalesce(F.array_contains(F.json_object_keys(obj), F.lit(key)), F.lit(False))
-
-
 def scope_reviews(reviews: DataFrame, businesses: DataFrame) -> DataFrame:
     """Reviews of the given businesses only (semi-join, before aggregation)."""
     return reviews.join(businesses.select(F.col("id").alias("business_id")), "business_id", "left_semi")
@@ -57,7 +52,7 @@ def high_rated_low_reviews(b: DataFrame, min_rating: float = 4.5, max_reviews: i
 
 def biz_with_instagram(b: DataFrame) -> DataFrame:
     """Q3: social has key 'instagrams' and a non-empty value."""
-    return (b.filter(has_json_key(F.col("business_data"), "$.social", "instagrams") & (_ig() != ""))
+    return (b.filter(has_key(F.col("business_data"), "instagrams", "social") & (_ig() != ""))
             .select("business_name", "city", _ig().alias("instagram")))
 
 
@@ -94,7 +89,7 @@ def social_gap(b: DataFrame, min_rating: float = 4.5, min_reviews: int = 50, n:
                      & (ig.isNull() | (ig == "")))
             .orderBy(F.desc_nulls_first("review_count"), "id").limit(n)
             .select("business_name", "city", "rating", "review_count",
-                    F.when(has_json_key(F.col("business_data"), "$.social", "instagrams"), "Yes")
+                    F.when(has_key(F.col("business_data"), "instagrams", "social"), "Yes")
                     .otherwise("No").alias("has_instagram")))
 
 
@@ -402,20 +397,20 @@ def market_report(b: DataFrame, r: DataFrame, category: str = DEFAULT_CATEGORY,
     reviews before any aggregation.
     """
     bs = b.filter((F.col("category") == category) & (F.col("city") == city))
-    # one scan of the review table for all three review-based views
-    rs = materialize(scope_reviews(r, bs).select("id", "business_id", "stars", "review_text", "published_at"),
-                     "report_reviews")
+    # one scan of the reviews, summed per business, serves all three review-based views
+    rs = scope_reviews(r, bs)
+    facts = materialize(V.review_facts(rs), "report_facts")
     keys = ["category", "city"]
     v1 = V.niche_opportunities(bs, ordered=False).select(*keys, "opportunity_score", "saturation_level",
                                                           "business_count")
-    v6 = V.niche_service_gaps(bs, rs, ordered=False).filter(
+    v6 = V.niche_service_gaps(bs, rs, ordered=False, facts=facts).filter(
         F.col("gap_status").isin("CRITICAL_GAP", "HIGH_OPPORTUNITY"))
     gaps = v6.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_list("specialty_type")), ", ")
                                  .alias("gap_specialties"))
-    v7 = V.business_model_opportunities(bs, rs, ordered=False).select(
+    v7 = V.business_model_opportunities(bs, rs, ordered=False, facts=facts).select(
         *keys, "newsletter_viability_score", "arbitrage_potential", "ticket_classification", "customer_type",
         "business_model_recommendation")
-    v8 = V.niche_swot_analysis(bs, rs, ordered=False).select(
+    v8 = V.niche_swot_analysis(bs, rs, ordered=False, facts=facts).select(
         *keys, "primary_strength", "primary_weakness", "strategic_opportunity", "market_maturity")
     return v1.join(gaps, keys, "left").join(v7, keys, "left").join(v8, keys, "left")
 
@@ -429,7 +424,7 @@ def market_entry(b: DataFrame, r: DataFrame, min_opportunity: int = 7, min_momen
         .select(*keys, "opportunity_score")
     v5 = V.review_velocity_trends(b, r, ordered=False, facts=facts).filter(F.col("momentum_ratio") >= min_momentum) \
         .select(*keys, "momentum_ratio")
-    v6 = V.niche_service_gaps(b, r, ordered=False).filter(F.col("gap_status") == "CRITICAL_GAP") \
+    v6 = V.niche_service_gaps(b, r, ordered=False, facts=facts).filter(F.col("gap_status") == "CRITICAL_GAP") \
         .select(*keys, "specialty_type", "customer_demand")
     strong = V.market_leaders(b, r, ordered=False, facts=facts).filter(F.col("inc_score") >= max_inc).select(*keys)
     return v1.join(v5, keys).join(v6, keys).join(strong, keys, "left_anti")
@@ -438,8 +433,7 @@ def market_entry(b: DataFrame, r: DataFrame, min_opportunity: int = 7, min_momen
 def competitive_intel(b: DataFrame, r: DataFrame) -> DataFrame:
     """Q26 use case 2: leaders, vulnerable targets, SWOT weakness and pain point per market.
 
-    V3/V4/V8 share one per-business facts scan; V2 needs its own snippet-level
-    pass.  Everything meets at (category, city) with plain equi-joins (NULL
+    V2, V3, V4 and V8 share one per-business facts scan.  Everything meets at (category, city) with plain equi-joins (NULL
     keys drop out, as in the reference's USING joins).
     """
     keys = ["category", "city"]
@@ -453,7 +447,7 @@ def competitive_intel(b: DataFrame, r: DataFrame) -> DataFrame:
                   .groupBy(*keys).agg(F.count(F.lit(1)).alias("vulnerable_targets")))
     swot = V.niche_swot_analysis(b, r, ordered=False, facts=facts).select(
         *keys, "primary_weakness", "strategic_opportunity")
-    pain = V.customer_pain_points(b, r, ordered=False).select(*keys, "primary_pain_point")
+    pain = V.customer_pain_points(b, r, ordered=False, facts=facts).select(*keys, "primary_pain_point")
     return (leaders.join(swot, keys).join(pain, keys, "left").join(vulnerable, keys, "left")
             .select(*keys, "strong_incumbents", "top_inc_score",
                     F.coalesce("vulnerable_targets", F.lit(0)).alias("vulnerable_targets"),
@@ -471,7 +465,8 @@ def model_validation(b: DataFrame, r: DataFrame, min_viability: float = 60.0) ->
 def product_development(b: DataFrame, r: DataFrame) -> DataFrame:
     """Q26 use case 4: critical specialty gaps with the market's primary pain point."""
     keys = ["category", "city"]
-    gaps = V.niche_service_gaps(b, r, ordered=False).filter(F.col("gap_status") == "CRITICAL_GAP").select(
+    facts = shared_facts(r)
+    gaps = V.niche_service_gaps(b, r, ordered=False, facts=facts).filter(F.col("gap_status") == "CRITICAL_GAP").select(
         *keys, "specialty_type", "customer_demand", "sentiment_when_mentioned", "positioning_strategy")
-    pain = V.customer_pain_points(b, r, ordered=False).select(*keys, "primary_pain_point")
+    pain = V.customer_pain_points(b, r, ordered=False, facts=facts).select(*keys, "primary_pain_point")
     return gaps.join(pain, keys, "left")

@@ -64,14 +64,14 @@ def _exec_stats(spark, d):
 
 def _views(spark, d) -> dict[str, DataFrame]:
     b, r = _b(spark, d), _r(spark, d)
-    f = Q.shared_facts(r)       # one review scan shared by V3, V4, V5, V7, V8
+    f = Q.shared_facts(r)       # one review scan shared by all views
     return {
         "niche_opportunities": V.niche_opportunities(b, ordered=False),
-        "customer_pain_points": V.customer_pain_points(b, r, ordered=False),
+        "customer_pain_points": V.customer_pain_points(b, r, ordered=False, facts=f),
         "market_leaders": V.market_leaders(b, r, ordered=False, facts=f),
         "vulnerable_players": V.vulnerable_players(b, r, ordered=False, facts=f),
         "review_velocity_trends": V.review_velocity_trends(b, r, ordered=False, facts=f),
-        "niche_service_gaps": V.niche_service_gaps(b, r, ordered=False),
+        "niche_service_gaps": V.niche_service_gaps(b, r, ordered=False, facts=f),
         "business_model_opportunities": V.business_model_opportunities(b, r, ordered=False, facts=f),
         "niche_swot_analysis": V.niche_swot_analysis(b, r, ordered=False, facts=f),
     }

@@ -160,20 +160,44 @@ def _agg_swot() -> list[Column]:
     return aggs
 
 
+def _agg_pain() -> list[Column]:
+    """Counters of V2 over reviews of up to two stars with a text."""
+    text = F.col("review_text")
+    low = (F.col("stars") <= 2) & text.isNotNull()
+    return [*[F.sum(T.flag(low & T.has_words(text, v))).alias(f"{k}_complaints") for k, v in T.PAIN_THEMES.items()],
+            F.count(F.when(low, 1)).alias("total_complaints")]
+
+
+def _agg_keywords() -> list[Column]:
+    """Mentions of each specialty (V6): how many, and the sum and number of the stars of their reviews, mention by mention."""
+    out = []
+    for i, kw in enumerate(T.SERVICE_KEYWORDS):
+        n = F.size(F.filter("_mentions", F.lit(kw).__eq__))
+        rated = F.when(F.col("stars").isNotNull(), n).otherwise(0)
+        out += [F.sum(n).alias(f"kw{i}_n"), F.sum(rated * F.coalesce("stars", F.lit(0))).alias(f"kw{i}_ss"), F.sum(rated).alias(f"kw{i}_sn")]
+    return out
+
+
+def _mentions() -> Column:
+    pattern = r"\b(" + "|".join(T.SERVICE_KEYWORDS) + r")\b"
+    found = F.regexp_extract_all(F.lower("review_text"), F.lit(pattern), F.lit(1))
+    return F.coalesce(found, F.array().cast("array<string>")).alias("_mentions")
+
+
 def _per(reviews: DataFrame, facts: DataFrame | None, aggs: list[Column]) -> DataFrame:
     return facts if facts is not None else reviews.groupBy("business_id").agg(*aggs)
 
 
 def review_facts(reviews: DataFrame, as_of: _dt.date = AS_OF) -> DataFrame:
-    """One row per business with every counter of V3, V4, V5, V7, V8 and V9.
+    """One row per business with every counter of V2 to V9.
 
     A single grouped scan of the (large) review table — partial aggregation
     map-side, one shuffle of at most one row per business per task — that
     multi-view consumers share instead of scanning reviews once per view.
     """
-    return (reviews.select("business_id", "stars", "review_text", "published_at")
+    return (reviews.select("business_id", "stars", "review_text", "published_at", _mentions())
             .groupBy("business_id")
-            .agg(*_agg_common(), *_agg_time(as_of), *_agg_model(), *_agg_swot()))
+            .agg(*_agg_common(), *_agg_time(as_of), *_agg_model(), *_agg_swot(), *_agg_pain(), *_agg_keywords()))
 
 
 # ---------------------------------------------------------------------------
@@ -191,19 +215,17 @@ def _low_star_texts(reviews: DataFrame) -> DataFrame:
     return reviews.select("business_id", "stars", "review_text").filter((F.col("stars") <= 2) & F.col("review_text").isNotNull())
 
 
-def customer_pain_points(businesses: DataFrame, reviews: DataFrame, ordered: bool = True) -> DataFrame:
+def customer_pain_points(businesses: DataFrame, reviews: DataFrame, ordered: bool = True,
+                         facts: DataFrame | None = None) -> DataFrame:
     """One scan of the negative reviews, summed per business, then per market.
 
     The complaint texts themselves are rows of :func:`complaint_snippets`; no
     text is gathered here.
     """
     keys = ["category", "city"]
-    text = F.col("review_text")
-    per = _low_star_texts(reviews).groupBy("business_id").agg(
-        *[F.sum(T.flag(T.has_words(text, v))).alias(f"{k}_complaints") for k, v in T.PAIN_THEMES.items()],
-        F.count(F.lit(1)).alias("total_complaints"))
+    per = facts if facts is not None else _low_star_texts(reviews).groupBy("business_id").agg(*_agg_pain())
     sums = [f"{k}_complaints" for k in T.PAIN_THEMES] + ["total_complaints"]
-    grp = _attach(per, businesses, keys).groupBy(*keys).agg(
+    grp = _attach(per.select("business_id", *sums), businesses, keys).groupBy(*keys).agg(
         *[F.sum(c).cast("bigint").alias(c) for c in sums]).filter(F.col("total_complaints") >= 3)
     tot = F.col("total_complaints")
     cols = [F.col("category"), F.col("city"), tot]
@@ -411,11 +433,17 @@ def service_supply(businesses: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("provider_count")))
 
 
-def niche_service_gaps(businesses: DataFrame, reviews: DataFrame, ordered: bool = True) -> DataFrame:
+def niche_service_gaps(businesses: DataFrame, reviews: DataFrame, ordered: bool = True,
+                       facts: DataFrame | None = None) -> DataFrame:
     keys = ["category", "city"]
-    m = keyword_mentions(reviews.select("business_id", "stars", "review_text"))
-    per = m.groupBy("business_id", "service_keyword").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("stars").alias("_ss"), F.count("stars").alias("_sn"))
+    if facts is not None:
+        each = F.array(*[F.struct(F.lit(kw).alias("service_keyword"), F.col(f"kw{i}_n").alias("_n"), F.col(f"kw{i}_ss").alias("_ss"),
+                                  F.col(f"kw{i}_sn").alias("_sn")) for i, kw in enumerate(T.SERVICE_KEYWORDS)])
+        per = facts.select("business_id", F.inline(F.filter(each, lambda x: x["_n"] > 0)))
+    else:
+        m = keyword_mentions(reviews.select("business_id", "stars", "review_text"))
+        per = m.groupBy("business_id", "service_keyword").agg(
+            F.count(F.lit(1)).alias("_n"), F.sum("stars").alias("_ss"), F.count("stars").alias("_sn"))
     demand = (_attach(per, businesses, keys)
               .groupBy(*keys, "service_keyword")
               .agg(F.sum("_n").cast("bigint").alias("mention_frequency"),

@@ -21,7 +21,6 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.operators.broadcast import bounded_broadcast
 from marketlens.sources.tables import read_table, table_path
 
 # ---------------------------------------------------------------------------
@@ -48,7 +47,6 @@ REVIEW_TEMPLATES = (
 )
 # nation ⋈ region is 25 rows in the TPC-H schema at every scale factor; the
 # broadcast check allows generous headroom and falls back to a shuffle join.
-GEO_MAX_ROWS = 10_000
 
 
 def _jstr(c: Column) -> Column:
@@ -57,15 +55,10 @@ def _jstr(c: Column) -> Column:
 
 
 def _dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """nation and region, each broadcast after a bounded size check.
-
-    Both are joined straight into the fact side, so their two broadcasts are
-    independent and built concurrently (no nested broadcast).
-    """
+    """nation and region, whose joins are left to the planner: it broadcasts them as long as their files are small."""
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return (bounded_broadcast(n, GEO_MAX_ROWS, key="nation:" + table_path(sf_dir, "nation")),
-            bounded_broadcast(r, GEO_MAX_ROWS, key="region:" + table_path(sf_dir, "region")))
+    return n, r
 
 
 def business_tag(k: Column) -> Column:

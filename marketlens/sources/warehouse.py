@@ -24,25 +24,48 @@ from pyspark.sql import DataFrame, SparkSession
 from marketlens.session import materialize
 from marketlens.sources import fixture as fx
 from marketlens.sources.fixture import AS_OF
+from marketlens.sources.tables import table_path
 
 _STORED: dict[tuple, DataFrame] = {}
+#: The driver tables that each stored table is derived from.
+_INPUTS = {"businesses": ("customer", "nation", "region"), "business_reviews": ("orders",), "market_executions": ("nation",),
+           "landed_places": ("customer", "nation", "region", "orders")}
+
+
+def _state(spark: SparkSession, path: str) -> tuple:
+    """What tells one state of a table's files from another."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(p)
+    return size.getLength(), size.getFileCount(), fs.getFileStatus(p).getModificationTime()
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str, as_of: _dt.date) -> tuple:
     try:
         app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001  (Spark Connect)
-        app = spark.conf.get("spark.app.id", None) or id(spark)
-    return (app, sf_dir, name, as_of)
+        state = tuple(_state(spark, table_path(sf_dir, t)) for t in _INPUTS[name])
+    except Exception:  # noqa: BLE001  (Spark Connect has no SparkContext: stored once per session and path)
+        app, state = spark.conf.get("spark.app.id", None) or id(spark), ()
+    return (app, sf_dir, name, as_of, state)
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, as_of: _dt.date, build) -> DataFrame:
+    """The stored table for the present state of its inputs; it is derived anew when they change."""
     k = _key(spark, sf_dir, name, as_of)
     if k not in _STORED:
         _STORED[k] = materialize(build(), f"market-{name}")
     return _STORED[k]
 
 
+def clear_stored(spark: SparkSession) -> None:
+    """Delete every table that this session stored here."""
+    app = spark.sparkContext.applicationId
+    for k in [k for k in _STORED if k[0] == app]:
+        for file in {f.rsplit("/", 1)[0] for f in _STORED.pop(k).inputFiles()}:
+            p = spark._jvm.org.apache.hadoop.fs.Path(file)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "businesses", AS_OF, lambda: fx.businesses(spark, sf_dir))
 

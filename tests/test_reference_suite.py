@@ -34,9 +34,11 @@ def test_1_5_generated_columns_equal_document(spark, sf_dir):
     assert dq(spark, sf_dir)["generated_mismatch"] == 0
 
 
-def test_1_6_foreign_keys_hold(spark, sf_dir):
-    assert q(spark, sf_dir, "fk_orphans").count() == 0
-    assert q(spark, sf_dir, "orphan_reviews").count() == 0
+def test_1_6_foreign_keys_hold_in_store_and_are_checked_on_arrival(spark, sf_dir):
+    b, r, e = W.businesses(spark, sf_dir), W.reviews(spark, sf_dir), W.executions(spark, sf_dir)
+    assert Q.fk_orphans(r, b, "business_id").count() == 0 and Q.fk_orphans(b, e, "execution_id").count() == 0
+    assert q(spark, sf_dir, "fk_orphans").count() > 0
+    assert q(spark, sf_dir, "orphan_reviews").count() > 0
 
 
 def test_1_7_check_constraint_rejects_out_of_range(spark, sf_dir):

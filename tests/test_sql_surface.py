@@ -1,8 +1,10 @@
-"""The reference's SQL patterns run unchanged through spark.sql on temp views."""
+"""Views, filters, aggregates, JSON keys and text search through spark.sql on temp views."""
 
 import pytest
 from pyspark.errors import AnalysisException
 
+from marketlens.functions import jsonops as J
+from marketlens.operators import search as S
 from marketlens.plans.catalog import register_market, view_inventory
 
 
@@ -24,19 +26,18 @@ def test_view_row_counts_union_all(market):
     assert len(rows) == 3 and all(r["n"] > 0 for r in rows)
 
 
-def test_agent_style_queries(market):
+def test_filters_aggregates_and_json_through_sql(market):
+    S.register_sql(market)
+    J.register_sql(market)
     assert market.sql("SELECT * FROM niche_opportunities WHERE opportunity_score >= 8").count() > 0
-    assert market.sql("""SELECT business_name, city, rating, review_count FROM businesses
-                         WHERE rating > 4.5 AND review_count < 30 ORDER BY rating DESC""").count() >= 0
-    n = market.sql("""SELECT b.category, AVG(r.stars) AS avg_stars, COUNT(r.id) AS review_count,
-                        COUNT(CASE WHEN r.stars <= 2 THEN 1 END) AS negative_reviews
-                      FROM business_reviews r JOIN businesses b ON b.id = r.business_id
-                      WHERE b.city = 'METRO' GROUP BY b.category""").count()
-    assert n == 5
-    inst = market.sql("""SELECT business_name FROM businesses
-                         WHERE array_contains(json_object_keys(get_json_object(business_data, '$.social')), 'instagrams')
-                           AND get_json_object(business_data, '$.social.instagrams') != ''""").count()
-    assert inst > 0
+    few = market.sql("SELECT rating, review_count FROM businesses WHERE rating > 4.5 AND review_count < 30 ORDER BY rating DESC").collect()
+    assert few and all(r["rating"] > 4.5 and r["review_count"] < 30 for r in few)
+    mood = market.sql("""SELECT category, mean(stars) AS mood, count_if(stars < 3) AS sour
+                         FROM businesses JOIN business_reviews ON business_reviews.business_id = businesses.id
+                         WHERE city = 'METRO' GROUP BY category""").collect()
+    assert len(mood) == 5 and all(1 <= r["mood"] <= 5 and r["sour"] > 0 for r in mood)
+    assert market.sql("SELECT id FROM businesses WHERE json_has_key(business_data, '$.social', 'instagrams')").count() > 0
+    assert market.sql("SELECT id FROM business_reviews WHERE text_matches(review_text, 'missed <-> appointments')").count() > 0
 
 
 def test_scalar_subquery_and_errors(market):
