@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlens.llm import bpe, chat, classifier, decontaminate, language_model, licenses, line_dedup, quality_rules, records, simhash
 from marketlens.llm.common import id_crc32, shared_path, table
+from marketlens.llm.oracle import llm_oracle_sql  # noqa: F401  (registered beside the queries)
 
 END_ID = 2
 
@@ -43,7 +44,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    return licenses.scan(table(spark, sf_dir, "documents"), name="op5")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +78,3 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
-
-def llm_oracle_sql() -> dict[str, str]:
-    return {}
