@@ -70,7 +70,7 @@ def business_tag(k: Column) -> Column:
 
 
 def businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``businesses`` relation (schema/§1.2 columns + JSON document)."""
+    """The ``businesses`` relation (its columns and the JSON document)."""
     c = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n, r = _dims(spark, sf_dir)
