@@ -54,6 +54,12 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def cells(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of a batch one after another: cells are large, so they aren't all turned into Python objects at once."""
+    for k in range(batch.num_rows):
+        yield tuple(c[k].as_py() for c in batch.columns)
+
+
 class Block:
     """Documents of one block as numbers of its distinct words."""
 

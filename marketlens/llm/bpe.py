@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm import blocks as B
+from marketlens.llm.blocks import cells
+from marketlens.llm.common import map_batches
 
 #: Unicode white space, which ends a word.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -93,8 +95,8 @@ def byte_of_sign() -> dict[str, int]:
 
 
 ROW = "block long, kind int, data binary"
-BLOCK_BYTES = 32 << 20   # text of a block
-REMEMBERED = 2_000_000   # words whose ids a task remembers at a time
+BLOCK_BYTES = 16 << 20   # text of a block
+REMEMBERED = 300_000   # words whose ids a task remembers at a time
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int = BLOCK_BYTES, buckets: int | None = None) -> DataFrame:
@@ -105,12 +107,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int = BLOCK_BYT
     empty array; null and repeated ids are carried row by row; equal texts
     are encoded through the same words; an empty table gives an empty
     result.  Words meet in ``buckets`` of their hash, by default two for each
-    input split and 4,096 at most; a task holds one block's distinct words
-    with their ids, or a bounded number of words of a bucket.
+    shuffle partition; a task holds one block's distinct words with their ids,
+    or a bounded number of words of a bucket.
     """
     keys = vocabulary.cutter()
     rows = B.rows_of(docs)
-    buckets = buckets or min(4096, 2 * max(1, rows.rdd.getNumPartitions()))
+    buckets = buckets or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in B.blocks(batches, keys, block_bytes):
@@ -132,7 +134,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int = BLOCK_BYT
         coder = vocabulary.coder()
         known: dict[bytes, np.ndarray] = {}
         for b in batches:
-            for block, data in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for _, block, data in cells(b):
                 number, size, text = B.unpack(data)
                 if len(known) > REMEMBERED:
                     known.clear()
@@ -150,7 +152,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int = BLOCK_BYT
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts, lookup = None, [], None
         for b in batches:
-            for block, kind, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for block, kind, data in cells(b):
                 if block != key:
                     key, parts, lookup = block, [], None
                 if kind == 0:
@@ -172,9 +174,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int = BLOCK_BYT
                 array = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(values).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), array], names=["doc_id", "ids"])
 
-    coded = rows.mapInArrow(words, "bucket long, block long, data binary").repartition("bucket").mapInArrow(ids, ROW)
-    return (coded.union(rows.mapInArrow(documents, ROW))
-            .repartition("block").sortWithinPartitions("block", "kind").mapInArrow(place, "doc_id long, ids array<int>"))
+    coded = map_batches(map_batches(rows, words, "bucket long, block long, data binary").repartition("bucket"), ids, ROW)
+    return (map_batches(coded.union(map_batches(rows, documents, ROW))
+            .repartition("block").sortWithinPartitions("block", "kind"), place, "doc_id long, ids array<int>"))
 
 
 def by_number(parts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,7 +214,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 texts = [b"".join(map(lookup.__getitem__, flat[end - n:end])).decode("utf-8", "replace") for n, end in zip(sizes.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays([b.column(0), lists, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
-    return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(run, "doc_id long, ids array<int>, text string")
+    return map_batches(encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")), run, "doc_id long, ids array<int>, text string")
 
 
 def default_vocabulary(spark: SparkSession) -> Vocabulary:  # noqa: ARG001

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +16,36 @@ from pyspark.sql import functions as F
 SPACES = b" \t\n\x0b\x0c\r"
 #: A-Z to a-z on bytes, everything else unchanged.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-UPPER_AZ, LOWER_AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+#: Bytes that a batch between Spark and Python may hold; texts are long, so 10,000 rows would be many more.
+BATCH_BYTES = "4m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the batches that go to Python workers by their size, for as long as the session lasts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def release() -> None:
+    """Hand freed memory back to the system: Python workers serve many tasks, of other stages too."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # not glibc
+        pass
+
+
+def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with batches of bounded size and workers that keep nothing from a task."""
+    bounded_batches(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        release()
+
+    return df.mapInArrow(run, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -79,16 +79,23 @@ class EliasFano:
         place = np.full(len(x), self.n, np.int64)
         equal = np.zeros(len(x), bool)
         inside = np.flatnonzero(high < self.zeros[-1])                        # beyond: all values are below
-        h = high[inside]
-        at = np.where(h > 0, self.select(np.maximum(h - 1, 0), self.zeros, True) + 1, 0)
-        while len(inside):
-            i = at - h
-            word = self.high[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) != 0
-            value = self.lows(np.minimum(i, max(0, self.n - 1))) if self.n else np.zeros(len(i), np.uint64)
-            done = ~word | (value >= low[inside])
-            place[inside[done]] = i[done]
-            equal[inside[done]] = (word & (value == low[inside]))[done]
-            inside, at, h = inside[~done], at[~done] + 1, h[~done]
+        if not len(inside) or not self.n:
+            return place, equal
+        h, low = high[inside], low[inside]
+        # Values with the same high part stand between two zeros; their low parts are searched by halves.
+        first = np.where(h > 0, self.select(np.maximum(h - 1, 0), self.zeros, True) + 1 - h, 0)
+        stop = self.select(h, self.zeros, True) - h
+        left, right = first.copy(), stop.copy()
+        open_ = np.flatnonzero(left < right)
+        while len(open_):
+            middle = (left[open_] + right[open_]) >> 1
+            below = self.lows(middle) < low[open_]
+            left[open_] = np.where(below, middle + 1, left[open_])
+            right[open_] = np.where(below, right[open_], middle)
+            open_ = open_[left[open_] < right[open_]]
+        place[inside] = left
+        found = left < stop
+        equal[inside[found]] = self.lows(left[found]) == low[found]
         return place, equal
 
     def dump(self) -> bytes:

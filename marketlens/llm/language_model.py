@@ -1,8 +1,8 @@
 """Language-model scores from a sharded Elias-Fano bigram trie.
 
 1. Documents become blocks of word numbers, written once.
-2. Words of all blocks meet sorted: each gets its count in the training
-   tokens, sent back to its blocks by number.
+2. Words of all blocks meet in buckets of their hash: each gets its count in
+   the training tokens, sent back to its blocks by number.
 3. Bigrams of all blocks meet in shards of their context; contexts that
    exceed a shard's share are spread over several by their second word.  A
    shard sums the training counts, builds its trie, maps its levels into
@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 import os
 import tempfile
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm import blocks as B
-from marketlens.llm.common import LOWER, stored
+from marketlens.llm.blocks import cells
+from marketlens.llm.common import LOWER, map_batches, stored
 from marketlens.llm.ef_trie import Trie, probabilities
 
 WORD_BITS = 40   # successors are kept as 40-bit hashes within their context
@@ -38,8 +40,8 @@ WORD_BITS = 40   # successors are kept as 40-bit hashes within their context
 class Model:
     prior: float = 100.0
     unseen: float = 0.1                 # added to every word's count
-    block_bytes: int = B.BLOCK_BYTES
-    shard_bytes: int = 24 << 20         # of text, whose bigrams a shard's task holds
+    block_bytes: int = 10 << 20
+    shard_bytes: int = 12 << 20         # of text, whose bigrams a task holds
 
     @property
     def hot(self) -> int:
@@ -47,7 +49,7 @@ class Model:
         return max(1, self.shard_bytes // 64)
 
 
-BLOCKS = "block long, bytes long, words binary, docs binary"
+BLOCKS = "block long, bytes long, words binary, hashes binary, docs binary"
 ROW = "block long, kind int, data binary"
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
@@ -73,8 +75,9 @@ def block_table(docs: DataFrame, held_out: Column, model: Model) -> DataFrame:
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
             words = B.pack(np.array([len(w) for w in found], np.int32), np.frombuffer(b"".join(found), np.uint8), counts.astype(np.int64))
             null = np.array([x is None for x in ids], np.uint8)
-            body = B.pack(np.array([x or 0 for x in ids], np.int64), null, np.array(held, np.uint8), sizes, flat.astype(np.int32), hashes)
-            return pa.RecordBatch.from_arrays([pa.array([split << 24 | place], pa.int64()), pa.array([size], pa.int64()), pa.array([words], pa.binary()), pa.array([body], pa.binary())], names=["block", "bytes", "words", "docs"])
+            body = B.pack(np.array([len(found)], np.int64), np.array([x or 0 for x in ids], np.int64), null, np.array(held, np.uint8), sizes, flat.astype(np.int32))
+            binary = [pa.array([x], pa.binary()) for x in (words, B.pack(hashes), body)]
+            return pa.RecordBatch.from_arrays([pa.array([split << 24 | place], pa.int64()), pa.array([size], pa.int64()), *binary], names=["block", "bytes", "words", "hashes", "docs"])
 
         ids, held, texts, number, size, place, split = [], [], [], {b"": 0}, 0, 0, 0
         for b in batches:
@@ -91,13 +94,13 @@ def block_table(docs: DataFrame, held_out: Column, model: Model) -> DataFrame:
         if ids:
             yield out()
 
-    return rows.mapInArrow(run, BLOCKS)
+    return map_batches(rows, run, BLOCKS)
 
 
 def bigrams(docs: bytes) -> tuple:
     """The arrays of a block's documents, its distinct bigrams (first and second word number, training count) and where they stand."""
-    ids, null, held, sizes, flat, hashes = B.unpack(docs)
-    n = len(hashes)
+    n, ids, null, held, sizes, flat = B.unpack(docs)
+    n = int(n[0])
     ends = np.cumsum(sizes + 1)                                # each text is closed by the empty word
     second = np.zeros(int(ends[-1]), np.int64)
     inside = np.ones(len(second), bool)
@@ -106,67 +109,68 @@ def bigrams(docs: bytes) -> tuple:
     first = np.r_[0, second[:-1]]
     pairs, where = np.unique(first * n + second, return_inverse=True)
     counts = np.bincount(where[np.repeat(held == 0, sizes + 1)], minlength=len(pairs))
-    return (ids, null, held, sizes, ends, hashes), (pairs // n, pairs % n, counts), where, second
+    return (ids, null, held, sizes, ends, n), (pairs // n, pairs % n, counts), where, second
 
 
-def word_counts(table: DataFrame, model: Model) -> DataFrame:
-    """For each block the training counts of its words (kind 0); in block -1 totals (kind 8) and hot contexts (kind 9)."""
+def word_counts(table: DataFrame, buckets: int, model: Model) -> DataFrame:
+    """For each block the training counts of its words (kind 0); in block -1 totals (kind 8) and hot contexts (kind 9).
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Words of all blocks meet in ``buckets`` of their hash; a task holds one
+    bucket's distinct words.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for block, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for block, data in cells(b):
                 sizes, text, counts = B.unpack(data)
-                offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
-                words = pa.Array.from_buffers(pa.binary(), len(sizes), [None, offsets.buffers()[1], pa.py_buffer(text.tobytes())])
-                for at in range(0, len(sizes), 50_000):
-                    part = slice(at, at + 50_000)
-                    yield pa.RecordBatch.from_arrays([words[part], pa.array(np.full(len(sizes[part]), block)), pa.array(np.arange(len(sizes), dtype=np.int32)[part]), pa.array(counts[part])], names=["word", "block", "number", "count"])
+                ends, text = np.cumsum(sizes, dtype=np.int64), text.tobytes()
+                words = [text[e - n:e] for e, n in zip(ends.tolist(), sizes.tolist())]
+                bucket = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % buckets
+                order = np.argsort(bucket, kind="stable")
+                names, starts = np.unique(bucket[order], return_index=True)
+                for name, mine in zip(names.tolist(), np.split(order, starts[1:])):
+                    c = counts[mine]
+                    part = B.pack(np.diff(mine, prepend=0).astype(np.uint32), sizes[mine], c.astype(np.int64 if c.max(initial=0) > 255 else np.uint8),
+                                  np.frombuffer(b"".join([words[i] for i in mine.tolist()]), np.uint8))
+                    yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([block], pa.int64()), pa.array([part], pa.binary())], names=["bucket", "block", "data"])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         tokens = distinct = 0
         hot_h, hot_c = [], []
-        words, parts, held = [], [], 0
 
-        def done(cut: int) -> Iterator[pa.RecordBatch]:
-            """Answers for the first rows held, which end with a whole word."""
+        def answers(known: dict[bytes, int], parts: list[tuple]) -> Iterator[pa.RecordBatch]:
             nonlocal tokens, distinct
-            block, number, count = (np.concatenate([p[k] for p in parts])[:cut] for k in range(3))
-            mine = words[:cut]
-            new = np.array([True, *(a != b for a, b in zip(mine, mine[1:]))])
-            group = np.cumsum(new) - 1
-            sums = np.bincount(group, count, minlength=group[-1] + 1).astype(np.int64)
+            sums = np.zeros(len(known), np.int64)
+            for _, _, which, c in parts:
+                sums += np.bincount(which, c, minlength=len(known)).astype(np.int64)
             tokens += int(sums.sum())
             distinct += int((sums > 0).sum())
-            starts = np.flatnonzero(new)
-            for g in np.flatnonzero(sums >= model.hot).tolist():
-                hot_h.append(xxhash.xxh3_64_intdigest(mine[starts[g]]))
-                hot_c.append(int(sums[g]))
-            order = np.argsort(block, kind="stable")
-            keys, at = np.unique(block[order], return_index=True)
-            c = sums[group]
-            rows = [B.pack(number[o], c[o]) for o in np.split(order, at[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.zeros(len(keys), np.int32)), pa.array(rows, pa.binary())], names=["block", "kind", "data"])
-
+            names = list(known)
+            for i in np.flatnonzero(sums >= model.hot).tolist():
+                hot_h.append(xxhash.xxh3_64_intdigest(names[i]))
+                hot_c.append(int(sums[i]))
+            for block, number, which, _ in parts:
+                data = B.pack(number, sums[which].astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([0], pa.int32()), pa.array([data], pa.binary())], names=["block", "kind", "data"])
+
+        bucket, known, parts = None, {}, []
         for b in batches:
-            if not b.num_rows:
-                continue
-            words += b.column(0).to_pylist()
-            parts.append([b.column(k).to_numpy() for k in (1, 2, 3)])
-            if len(words) >= 200_000 and words[0] != words[-1]:
-                cut = len(words) - 1
-                while words[cut - 1] == words[-1]:
-                    cut -= 1
-                yield from done(cut)
-                parts, words = [[np.concatenate([p[k] for p in parts])[cut:] for k in range(3)]], words[cut:]
-        if words:
-            yield from done(len(words))
+            for name, block, data in cells(b):
+                if name != bucket:
+                    yield from answers(known, parts)
+                    bucket, known, parts = name, {}, []
+                number, sizes, counts, text = B.unpack(data)
+                ends, text = np.cumsum(sizes, dtype=np.int64), text.tobytes()
+                which = np.fromiter((known.setdefault(text[e - n:e], len(known)) for e, n in zip(ends.tolist(), sizes.tolist())), np.int32, len(sizes))
+                parts.append((block, np.cumsum(number, dtype=np.int64).astype(np.int32), which, counts))
+        yield from answers(known, parts)
         rows = [B.pack(np.array([tokens, distinct], np.int64)), B.pack(np.array(hot_h, np.uint64), np.array(hot_c, np.int64))]
         yield pa.RecordBatch.from_arrays([pa.array([-1, -1], pa.int64()), pa.array([8, 9], pa.int32()), pa.array(rows, pa.binary())], names=["block", "kind", "data"])
 
-    return (table.select("block", "words").mapInArrow(explode, "word binary, block long, number int, count long")
-            .repartition("word").sortWithinPartitions("word").mapInArrow(total, ROW))
+    return (map_batches(map_batches(table.select("block", "words"), send, "bucket long, block long, data binary")
+            .repartition("bucket").sortWithinPartitions("bucket"), total, ROW))
 
 
 def bigram_codes(table: DataFrame, shards: int, hot: tuple[np.ndarray, np.ndarray], model: Model) -> DataFrame:
@@ -176,8 +180,9 @@ def bigram_codes(table: DataFrame, shards: int, hot: tuple[np.ndarray, np.ndarra
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for block, docs in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                (*_, hashes), (first, second, counts), _, _ = bigrams(docs)
+            for block, packed, docs in cells(b):
+                hashes = B.unpack(packed)[0]
+                _, (first, second, counts), _, _ = bigrams(docs)
                 spread = np.zeros(len(hashes), np.uint64)          # over how many shards a context goes, if hot
                 if len(hot_words):
                     at = np.minimum(np.searchsorted(hot_words, hashes), len(hot_words) - 1)
@@ -237,7 +242,7 @@ def bigram_codes(table: DataFrame, shards: int, hot: tuple[np.ndarray, np.ndarra
 
         shard, parts = None, []
         for b in batches:
-            for key, block, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for key, block, data in cells(b):
                 if key != shard and parts:
                     yield from rows()
                     parts = []
@@ -246,8 +251,8 @@ def bigram_codes(table: DataFrame, shards: int, hot: tuple[np.ndarray, np.ndarra
         if parts:
             yield from rows()
 
-    return (table.select("block", "docs").mapInArrow(send, "shard long, block long, data binary")
-            .repartition("shard").sortWithinPartitions("shard").mapInArrow(serve, ROW))
+    return (map_batches(map_batches(table.select("block", "hashes", "docs"), send, "shard long, block long, data binary")
+            .repartition("shard").sortWithinPartitions("shard"), serve, ROW))
 
 
 def score(docs: DataFrame, held_out: Column, model: Model = Model(), name: str = "lm") -> DataFrame:
@@ -262,7 +267,8 @@ def score(docs: DataFrame, held_out: Column, model: Model = Model(), name: str =
     context they are told apart by 40-bit hashes.
     """
     table = stored(block_table(docs, held_out, model), f"{name}-blocks")
-    counted = stored(word_counts(table, model), f"{name}-counts")
+    size = table.agg(F.sum("bytes")).first()[0] or 0
+    counted = stored(word_counts(table, max(1, math.ceil(size / model.shard_bytes)), model), f"{name}-counts")
     tokens = distinct = 0
     hot_h, hot_c = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for r in counted.where("block = -1").toLocalIterator():        # totals, and contexts above an eighth of a shard's share
@@ -272,14 +278,13 @@ def score(docs: DataFrame, held_out: Column, model: Model = Model(), name: str =
         else:
             hot_h.append(data[0])
             hot_c.append(data[1])
-    size = table.agg(F.sum("bytes")).first()[0] or 0
     codes = bigram_codes(table, max(1, math.ceil(size / model.shard_bytes)), (np.concatenate(hot_h), np.concatenate(hot_c)), model)
     floor = tokens + model.unseen * (distinct + 1)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(block: int, docs: bytes) -> pa.RecordBatch:
-            (ids, null, held, sizes, ends, hashes), (first, second, _), where, token = bigrams(docs)
-            count = np.full(len(hashes), -1.0)
+            (ids, null, held, sizes, ends, n), (first, second, _), where, token = bigrams(docs)
+            count = np.full(n, -1.0)
             for number, c in known:
                 count[number] = c
             if (count < 0).any():
@@ -297,7 +302,7 @@ def score(docs: DataFrame, held_out: Column, model: Model = Model(), name: str =
 
         key, known, asked = None, [], []
         for b in batches:
-            for block, kind, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for block, kind, data in cells(b):
                 if block != key:
                     key, known, asked = block, [], []
                 if kind == 2:
@@ -307,5 +312,5 @@ def score(docs: DataFrame, held_out: Column, model: Model = Model(), name: str =
 
     own = table.select("block", F.lit(2).alias("kind"), F.col("docs").alias("data"))
     parts = counted.where("block >= 0").union(codes).union(own)
-    return (parts.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(finish, RESULT)
+    return (map_batches(parts.repartition("block").sortWithinPartitions("block", "kind"), finish, RESULT)
             .withColumn("train_tokens", F.lit(tokens).cast("long")))
