@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import SPACES
+from marketlens.llm.common import SPACES, map_batches
 
 BINS = 256
 #: Marks whose rate per character is a feature of its own.
@@ -109,9 +109,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int) -> tu
             rows = [features(t).tobytes() for t in b.column(2).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int32()), pa.array(rows, pa.binary())], names=["doc_id", "label", "x"])
 
-    found = (docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-             .dropDuplicates(["doc_id"]).select("doc_id", "label", "text")
-             .mapInArrow(run, "doc_id long, label int, x binary").toPandas().sort_values("doc_id"))
+    found = (map_batches(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+             .dropDuplicates(["doc_id"]).select("doc_id", "label", "text"), run, "doc_id long, label int, x binary").toPandas().sort_values("doc_id"))
     if not len(found):
         return np.zeros((0, N_FEATURES)), np.zeros(0)
     return np.vstack([np.frombuffer(v, np.float32) for v in found.x]).astype(np.float64), found.label.to_numpy()
@@ -139,10 +138,8 @@ def score(docs: DataFrame, ranker: Ranker, keep: list[str] | None = None) -> Dat
     at = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (whole.slice(k, 500) for whole in batches for k in range(0, whole.num_rows, 500)):
             s = ranker.scores(np.vstack([features(t) for t in b.column(at).cast(pa.binary()).to_pylist()]).astype(np.float64))
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(at)] + [pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*kept, "score", "predicted"])
 
-    return docs.select(*kept, docs["text"].cast("string").alias("text_to_score_")).mapInArrow(run, shape)
+    return map_batches(docs.select(*kept, docs["text"].cast("string").alias("text_to_score_")), run, shape)

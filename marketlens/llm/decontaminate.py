@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import stored
+from marketlens.llm.common import map_batches, stored
 from marketlens.operators.broadcast import bounded_broadcast
 
 #: Bytes of words (digits, letters, everything outside ASCII), A-Z lowered; all others become spaces.
@@ -148,7 +148,7 @@ def item_table(benchmark: DataFrame, search: Search) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["item_id", "item_row", "words", "size_class", "keys"])
 
     rows = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), F.monotonically_increasing_id().alias("item_row"), benchmark["text"].cast("string").alias("text"))
-    return rows.mapInArrow(run, ITEM)
+    return map_batches(rows, run, ITEM)
 
 
 def pair_set(items: DataFrame) -> np.ndarray:
@@ -162,7 +162,7 @@ def pair_set(items: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)], pa.binary())], names=["bits"])
 
     out = np.zeros(1 << (PAIR_BITS - 3), np.uint8)
-    for r in items.select("words").mapInArrow(run, "bits binary").toLocalIterator():
+    for r in map_batches(items.select("words"), run, "bits binary").toLocalIterator():
         out |= np.frombuffer(zlib.decompress(bytes(r["bits"])), np.uint8)
     return out
 
@@ -234,7 +234,7 @@ def regions(docs: DataFrame, items: DataFrame, search: Search) -> DataFrame:
     if not classes:
         return spark.createDataFrame([], REGION)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs["text"].cast("string").alias("text"))
-    return rows.mapInArrow(run, REGION)
+    return map_batches(rows, run, REGION)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, search: Search = Search(), name: str = "decontaminate") -> DataFrame:
@@ -258,7 +258,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, search: Search = Search(), na
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["row", "item_id", "distance"])
 
-    checked = both.mapInArrow(verify, "row long, item_id long, distance long")
+    checked = map_batches(both, verify, "row long, item_id long, distance long")
     return checked.groupBy("row", "item_id").agg(F.min("distance").alias("distance"))
 
 

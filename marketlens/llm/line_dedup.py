@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import stored
+from marketlens.llm.common import map_batches, stored
 from marketlens.llm.components import components
 from marketlens.operators.broadcast import bounded_broadcast
 
@@ -126,10 +126,10 @@ def occurrences(docs: DataFrame) -> DataFrame:
                     kinds = (pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[x.split()[0] for x in OCCURRENCE.split(", ")])
 
-    return rows_of(docs).mapInArrow(run, OCCURRENCE)
+    return map_batches(rows_of(docs), run, OCCURRENCE)
 
 
-def each_line(batches: Iterator[pa.RecordBatch], min_chars: int, forget: int = 500_000) -> Iterator[str]:
+def each_line(batches: Iterator[pa.RecordBatch], min_chars: int, forget: int = 200_000) -> Iterator[str]:
     """Lines of at least ``min_chars`` signs, each about once a task (a bounded number is remembered)."""
     seen: set[int] = set()
     for b in batches:
@@ -203,7 +203,7 @@ def meetings(docs: DataFrame, limits: Limits) -> DataFrame:
             yield kept(np.concatenate(held_k), np.concatenate(held_i))
 
     rows = docs.select(docs["text"].cast("string").alias("text"))
-    return rows.mapInArrow(keys, "key long, short_id long").repartition("key").sortWithinPartitions("key").mapInArrow(live, "key long, short_id long")
+    return map_batches(map_batches(rows, keys, "key long, short_id long").repartition("key").sortWithinPartitions("key"), live, "key long, short_id long")
 
 
 def near_links(docs: DataFrame, limits: Limits, name: str) -> DataFrame:
@@ -260,9 +260,9 @@ def near_links(docs: DataFrame, limits: Limits, name: str) -> DataFrame:
 
     rows = docs.select(docs["text"].cast("string").alias("text"))
     wanted = bounded_broadcast(stored(met.select("short_id").distinct(), f"{name}-met"), BROADCAST_ROWS)
-    line = rows.mapInArrow(texts, "short_id long, line_id binary, text string").join(wanted, "short_id", "left_semi").dropDuplicates(["line_id"])
+    line = map_batches(rows, texts, "short_id long, line_id binary, text string").join(wanted, "short_id", "left_semi").dropDuplicates(["line_id"])
     meeting = met.join(line, "short_id").select("key", "line_id", "text")
-    return meeting.repartition("key").sortWithinPartitions("key").mapInArrow(verify, "a binary, b binary").distinct()
+    return map_batches(meeting.repartition("key").sortWithinPartitions("key"), verify, "a binary, b binary").distinct()
 
 
 def duplicate_lines(docs: DataFrame, limits: Limits = Limits(), name: str = "lines") -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from marketlens.llm.common import SPACES
+from marketlens.llm.common import SPACES, map_batches
 
 SYMBOLS = b"#*$%&|<>"
 #: Bytes that may close a sentence, after trailing quotes and brackets are taken off.
@@ -128,4 +128,4 @@ def apply_rules(docs: DataFrame, rules: Rules = Rules(), with_text: bool = False
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     ids = docs["doc_id"].cast("long").alias("doc_id")
-    return docs.select(ids, docs["text"].cast("string").alias("text")).mapInArrow(run, schema)
+    return map_batches(docs.select(ids, docs["text"].cast("string").alias("text")), run, schema)

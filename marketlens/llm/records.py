@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlens.llm.bpe import Vocabulary
+from marketlens.llm.common import map_batches
 
 #: Fixed value: what is added to a rotated checksum, so that checksums of data that hold checksums stay apart.
 MASK = 0xA282EAD8
@@ -77,7 +78,7 @@ def write_records(docs: DataFrame, vocabulary: Vocabulary, path: str, end_id: in
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
-    (ordered.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
+    (map_batches(ordered, run, "record binary").select(F.col("record").cast("string").alias("value"))
      .write.option("maxRecordsPerFile", records_per_file).option("lineSep", "\n").text(f"{path}/data"))
 
 
@@ -107,7 +108,7 @@ def write_index(spark: SparkSession, path: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i == 0 else pa.int64()) for i, c in enumerate(zip(*rows))], names=[x.split()[0] for x in INDEX.split(", ")])
 
     spark_files = files(spark, path).select(F.substring_index("path", "/", -1).alias("file"), "content")
-    spark_files.mapInArrow(run, INDEX).write.parquet(f"{path}/offsets")
+    map_batches(spark_files, run, INDEX).write.parquet(f"{path}/offsets")
     offsets = spark.read.parquet(f"{path}/offsets")
     # Files in the order of their task and of their number within the task.
     place = F.struct(F.regexp_extract("file", r"part-(\d+)", 1).cast("long"), F.regexp_extract("file", r"-c(\d+)", 1).cast("long"))
@@ -129,5 +130,5 @@ def read_records(spark: SparkSession, path: str, wanted: DataFrame | None = None
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1].astype(np.int32) for x in found], pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     places = index.groupBy("file").agg(F.collect_list("offset").alias("offsets"))   # at most records_per_file of each
-    return (files(spark, path).select(F.substring_index("path", "/", -1).alias("file"), "content")
-            .join(places, "file").select("content", "offsets").mapInArrow(run, "doc_id long, ids array<int>"))
+    return (map_batches(files(spark, path).select(F.substring_index("path", "/", -1).alias("file"), "content")
+            .join(places, "file").select("content", "offsets"), run, "doc_id long, ids array<int>"))

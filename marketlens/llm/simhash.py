@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import LOWER, stored
+from marketlens.llm.common import LOWER, map_batches, stored
 from marketlens.llm.components import components
 
 PIECES = ((0, 22), (22, 21), (43, 21))   # first bit and number of bits
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fp.view(np.int64))], names=["doc_id", "row", "fp"])
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
-    return rows.mapInArrow(run, "doc_id long, row long, fp long")
+    return map_batches(rows, run, "doc_id long, row long, fp long")
 
 
 def remainder(x: int) -> int:
@@ -170,8 +170,8 @@ def links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
         if n:
             yield out(np.concatenate(held_k), np.concatenate(held_f))
 
-    met = distinct.select("fp").mapInArrow(spread, "place long, fp long")
-    return met.repartition("place").sortWithinPartitions("place").mapInArrow(compare, "a long, b long").distinct()
+    met = map_batches(distinct.select("fp"), spread, "place long, fp long")
+    return map_batches(met.repartition("place").sortWithinPartitions("place"), compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, name: str = "simhash") -> DataFrame:
