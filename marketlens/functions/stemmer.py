@@ -36,7 +36,6 @@ STEP4 = ("ement", "able", "ance", "ence", "ible", "ment", "ant", "ate", "ent", "
 _VOWEL = "aeiouy"
 _REGION = re.compile(r"[aeiouy][^aeiouy]")
 _START = re.compile(r"gener|commun|arsen")
-_SHORT_END = re.compile(r"(?:^|.*[^aeiouy])[aeiouy][^aeiouywxY]$|^[aeiouy][^aeiouy]$")
 
 
 def _regions(w: str) -> tuple[int, int]:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from marketlens.functions import jsonops as J
 from marketlens.functions import themes as T
-from marketlens.functions.scalar import ntz_lit
 from marketlens.operators import quality as Qa
 from marketlens.operators import search as S
 from marketlens.operators.session_memory import session_memory

@@ -11,7 +11,7 @@ ships none of those, so we derive them by pure arithmetic on given columns:
 Every column is a deterministic expression, so the work grows with the input
 tables and the DuckDB oracle (``marketlens.oracle``) can rebuild identical
 rows.  Nothing is collected: these are lazy projections plus one join with a
-size-checked broadcast of the 25-row nation⋈region dimension.
+the small nation⋈region dimension, planned by its size.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.sources.tables import read_table, table_path
+from marketlens.sources.tables import read_table
 
 # ---------------------------------------------------------------------------
 # Fixed values of the derived fixture (FIXTURES.md part B).
@@ -45,8 +45,6 @@ REVIEW_TEMPLATES = (
     "Our property manager uses them for commercial office maintenance",
     "Friendly family business, upfront estimate and warranty",
 )
-# nation ⋈ region is 25 rows in the TPC-H schema at every scale factor; the
-# broadcast check allows generous headroom and falls back to a shuffle join.
 
 
 def _jstr(c: Column) -> Column:

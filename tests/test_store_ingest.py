@@ -1,6 +1,5 @@
 import datetime as dt
 import os
-import tempfile
 
 import pytest
 from pyspark.sql import functions as F
