@@ -55,7 +55,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and a digest of what they decode to."""
     vocabulary = bpe.default_vocabulary(spark)
-    decoded = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    # Stored in between, so that no task has the workers of both at once.
+    decoded = bpe.decode(stored(bpe.encode(docs, vocabulary), "pipeline-ids"), vocabulary)
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
