@@ -8,10 +8,14 @@ into Hamming distance.  Each of several repetitions walks with bits of its
 own and samples a few steps; windows that agree with an item in all sampled
 words of a repetition are verified exactly.
 
+Sampling misses long items with many edits, so an exact way stands beside it:
+an item is cut into one segment more than edits are allowed, one of which no
+edit touches, and a window that holds a segment is verified too.
+
 Windows are item-sized: items fall into size classes, and a window starts at
 every word.  A walk is only run from starts whose window holds enough word
 pairs of the benchmark: k edits spoil at most 2k pairs, so nothing that could
-be verified is lost there.
+be verified is lost there.  Segments are looked up in the same windows.
 """
 
 from __future__ import annotations
@@ -26,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import map_batches, stored
+from marketlens.llm.line_dedup import segments
 from marketlens.operators.broadcast import bounded_broadcast
 
 #: Bytes of words (digits, letters, everything outside ASCII), A-Z lowered; all others become spaces.
 WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
-PAIR_BITS = 27            # the set of word pairs is a bitmap of 2**27 bits, whatever the benchmark's size
+PAIR_BITS = 27            # the set of word pairs and segments is a bitmap of 2**27 bits, whatever the benchmark's size
+SEGMENT_WORDS = 8         # a longer segment is looked up by its first words
 BROADCAST_ROWS = 500_000  # item keys are broadcast up to so many rows, counted first
 GROWTH = 1.25             # of sizes from class to class
 SPREAD, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -106,6 +112,26 @@ def walk_keys(x: np.ndarray, starts: np.ndarray, size: int, c: int, search: Sear
     return keys
 
 
+def run_keys(x: np.ndarray, size: int) -> np.ndarray:
+    """Keys of all runs of ``size`` words, by their start."""
+    n = max(0, len(x) - size + 1)
+    key = np.full(n, size, np.uint64) * SPREAD
+    for j in range(size):
+        key = (key ^ x[j:j + n]) * TURN
+        key ^= key >> np.uint64(29)
+    return key
+
+
+def segment_sizes(words: int, search: Search) -> list[tuple[int, int]]:
+    """Start and looked-up words of the segments of an item: one more than it may have edits."""
+    return [(at, min(n, SEGMENT_WORDS)) for at, n in segments(words, search.edits(words) + 1) if n]
+
+
+def segment_keys(x: np.ndarray, search: Search) -> np.ndarray:
+    """A key for each segment of an item."""
+    return np.concatenate([run_keys(x[at:at + n], n) for at, n in segment_sizes(len(x), search)])
+
+
 def closest(item: list[int], text: list[int]) -> int:
     """The smallest edit distance of the item to any run of the text, bit-parallel over the item's words."""
     n = len(item)
@@ -131,7 +157,7 @@ ITEM = "item_id long, item_row long, words binary, size_class int, keys array<lo
 
 
 def item_table(benchmark: DataFrame, search: Search) -> DataFrame:
-    """The items with words enough: word hashes, size class, a key per repetition."""
+    """The items with words enough: word hashes, size class, a key per repetition and segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
@@ -142,7 +168,8 @@ def item_table(benchmark: DataFrame, search: Search) -> DataFrame:
                 if len(x) - 1 >= search.min_words:
                     c = search.size_class(len(x) - 1)
                     keys = walk_keys(x, np.zeros(1, np.int64), search.class_size(c), c, search)
-                    out.append((i, row, x[:-1].tobytes(), c, keys[:, 0].view(np.int64).tolist()))
+                    keys = np.r_[keys[:, 0], segment_keys(x[:-1], search)]
+                    out.append((i, row, x[:-1].tobytes(), c, keys.view(np.int64).tolist()))
             if out:
                 kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["item_id", "item_row", "words", "size_class", "keys"])
@@ -151,14 +178,16 @@ def item_table(benchmark: DataFrame, search: Search) -> DataFrame:
     return map_batches(rows, run, ITEM)
 
 
-def pair_set(items: DataFrame) -> np.ndarray:
-    """The bitmap of all word pairs of the items; each task sends its own, compressed, and they are united."""
+def pair_set(items: DataFrame, search: Search) -> np.ndarray:
+    """The bitmap of all word pairs and segments of the items; each task sends its own, compressed, and they are united."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << PAIR_BITS, bool)
         for b in batches:
             for w in b.column(0).to_pylist():
-                bits[pair_bits(np.frombuffer(w, np.uint64))] = True
+                x = np.frombuffer(w, np.uint64)
+                bits[pair_bits(x)] = True
+                bits[segment_keys(x, search) >> np.uint64(64 - PAIR_BITS)] = True
         yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)], pa.binary())], names=["bits"])
 
     out = np.zeros(1 << (PAIR_BITS - 3), np.uint8)
@@ -171,22 +200,26 @@ REGION = "row long, region long, words binary, keys array<long>"
 
 
 def regions(docs: DataFrame, items: DataFrame, search: Search) -> DataFrame:
-    """Parts of documents where an item may stand: their word hashes, and the LSH keys of their windows."""
+    """Parts of documents where an item may stand: their word hashes, the LSH keys of their windows, and the keys of segments in them."""
     spark = docs.sparkSession
-    classes = []
+    classes, segment_words = [], set()
     for r in items.groupBy("size_class").agg(F.min(F.length("words")).alias("least"), F.max(F.length("words")).alias("most")).collect():   # one row per class: some dozens
         sizes = range(r["least"] // 8, r["most"] // 8 + 1)
         need = min(n - 1 - 2 * search.edits(n) for n in sizes)
+        segment_words |= {k for n in sizes for _, k in segment_sizes(n, search)}
         classes.append((r["size_class"], max(1, need), max(n + search.edits(n) for n in sizes)))
-    pairs = spark.sparkContext.broadcast(pair_set(items).tobytes())
+    pairs = spark.sparkContext.broadcast(pair_set(items, search).tobytes())
     classes.sort()
 
     def find(rows: list[int], texts: list[bytes | None], bitmap: np.ndarray, hashes: Hashes, first: int) -> list[tuple]:
         x, ends = symbols(texts, hashes)
         widest = max(w for _, _, w in classes)
         x = np.concatenate([x, np.zeros(widest + 2, np.uint64)])
-        place = pair_bits(x)
-        hit = (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool) & (x[:-1] != 0) & (x[1:] != 0)
+
+        def known(place: np.ndarray) -> np.ndarray:
+            return (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+        hit = known(pair_bits(x)) & (x[:-1] != 0) & (x[1:] != 0)
         if not hit.any():
             return []
         total = np.r_[0, np.cumsum(hit)]
@@ -213,6 +246,13 @@ def regions(docs: DataFrame, items: DataFrame, search: Search) -> DataFrame:
             cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
             for s, part in zip(cuts.tolist(), np.split(k, cuts[1:], axis=1)):
                 keys[int(at[s])].append(part.ravel())
+        inside = np.concatenate([np.arange(s, e) for s, e in zip(a.tolist(), z.tolist())])
+        owners = np.repeat(np.arange(len(a)), z - a)
+        for size in sorted(segment_words):
+            k = run_keys(x, size)[inside]
+            at = np.flatnonzero(known(k >> np.uint64(64 - PAIR_BITS)) & (inside + size <= z[owners]))
+            for p in at.tolist():
+                keys[int(owners[p])].append(k[p:p + 1])
         owner = np.searchsorted(ends, a, "right")
         return [(rows[int(o)], first + n, x[s:e].tobytes(), np.unique(np.concatenate(k)).view(np.int64))
                 for n, (o, s, e, k) in enumerate(zip(owner, a.tolist(), z.tolist(), keys))]
@@ -272,8 +312,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, search: Search = Search
     null id counts for ``contaminated`` only; items of fewer than
     ``min_words`` words (null and empty ones) are not looked for; equal items
     are all reported; an empty table on either side leaves every document
-    clean.  Candidates come from sampling, so a match with edits can be
-    missed; one without never is.
+    clean.  No match is missed, however many of its words are edited inside the
+    limit: it holds a segment of the item that no edit touched.
     """
     hits = stored(matches(docs, benchmark, search, name).groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids")), f"{name}-hits")
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("at"))

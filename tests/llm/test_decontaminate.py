@@ -91,3 +91,17 @@ def test_edges(spark, stored_docs, edge_rows):
     none = spark.createDataFrame([], "item_id long, text string")
     assert not any(r.contaminated for r in D.decontaminate(stored_docs(edge_rows), none).collect())
     assert D.decontaminate(stored_docs([]), bench).count() == 0
+
+
+def test_long_items_at_the_edit_limit_are_all_found(spark, stored_docs):
+    rng = random.Random(6)
+    items = [item(rng, n) for n in (20, 50, 80, 150, 250, 400)]
+    for edits in (0.15, 0.2):
+        rows, truth = planted(rng, items, edits, per_item=10)
+        got = found(spark, stored_docs, rows, items)
+        for k, x in enumerate(items):
+            of = [i for i, own in truth.items() if own == k]
+            print("words", len(x), "edits", edits, "recall", sum(k in got[i] for i in of) / len(of))
+        assert all(k in got[i] for i, k in truth.items())
+        for i, t in rows:
+            assert all(plain([w.encode() for w in items[k]], words(t)) <= int(0.2 * len(items[k]) + 1e-9) for k in got[i] if len(items[k]) <= 80)
