@@ -11,19 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm import bpe, classifier, line_dedup, simhash
-from marketlens.llm.common import stored, table
+from marketlens.llm.common import ROW, numbered, stored, table
 from marketlens.llm.decontaminate import decontaminate as find_benchmark
 from marketlens.operators.broadcast import bounded_broadcast
 
+#: Copies of whole texts stay on the disk until the last stage, so they are packed closer than by default.
+CODEC = "zstd"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Row numbers of documents to drop are broadcast up to so many, counted first; beyond, rows are shuffled.
 BROADCAST_ROWS = 1_000_000
 
 
 def without(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
-    """The rows of a stored table whose number is not in ``dropped`` (column row)."""
+    """The rows of a numbered table whose number is not in ``dropped`` (column row)."""
     numbers = bounded_broadcast(stored(dropped.select("row"), f"pipeline-{name}-dropped"), BROADCAST_ROWS)
-    return docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")).join(numbers, "row", "left_anti").select(*COLUMNS)
+    return docs.select(*COLUMNS, docs[ROW].alias("row")).join(numbers, "row", "left_anti").select(*COLUMNS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,6 +37,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that an earlier document, or an earlier line, has; documents of nothing else go."""
+    docs = numbered(docs, ["doc_id", "text", "lang", "source"], "pipeline-lines", CODEC)
     cleaned = line_dedup.dedup_lines(docs, keep=("doc_id", "lang", "source"), name="pipeline-lines")
     emptied = (F.size("removed") > 0) & ~F.col("text").rlike(r"\S")
     return cleaned.where(~emptied).select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
@@ -42,12 +45,14 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    docs = numbered(docs, COLUMNS, "pipeline-simhash", CODEC)
     found = simhash.near_duplicates(docs, name="pipeline-simhash")
     return without(docs, found.where(~F.col("stays")), "simhash")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item stands."""
+    docs = numbered(docs, COLUMNS, "pipeline-benchmark", CODEC)
     found = find_benchmark(docs, table(spark, sf_dir, "benchmark"), name="pipeline-benchmark")
     return without(docs, found.where("contaminated"), "benchmark")
 
@@ -56,7 +61,7 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Token ids of every text, and a digest of what they decode to."""
     vocabulary = bpe.default_vocabulary(spark)
     # Stored in between, so that no task has the workers of both at once.
-    decoded = bpe.decode(stored(bpe.encode(docs, vocabulary), "pipeline-ids"), vocabulary)
+    decoded = bpe.decode(stored(bpe.encode(docs, vocabulary), "pipeline-ids", CODEC), vocabulary)
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 

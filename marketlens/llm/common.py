@@ -71,14 +71,29 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, computes once."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: The column that :func:`numbered` adds.
+ROW = "row number"
+
+
+def numbered(docs: DataFrame, columns: list[str], name: str, codec: str = "snappy") -> DataFrame:
+    """Some columns, and a number of each row that is written once, so that every pass reads the same one.
+
+    (Numbers made by a scan follow its file splits, and those follow the
+    cores at hand.)  A table that has the numbers is returned as it is.
+    """
+    if ROW in docs.columns:
+        return docs
+    return stored(docs.select(*columns, F.monotonically_increasing_id().alias(ROW)), f"{name}-rows", codec)
+
+
 def id_crc32(doc_id: Column) -> Column:
     """crc32 of the id as text (a null id counts as empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))

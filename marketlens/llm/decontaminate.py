@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import map_batches, stored
+from marketlens.llm.common import ROW, map_batches, numbered, stored
 from marketlens.llm.line_dedup import segments
 from marketlens.operators.broadcast import bounded_broadcast
 
@@ -273,12 +273,12 @@ def regions(docs: DataFrame, items: DataFrame, search: Search) -> DataFrame:
 
     if not classes:
         return spark.createDataFrame([], REGION)
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), docs["text"].cast("string").alias("text"))
+    rows = docs.select(docs[ROW].alias("row"), docs["text"].cast("string").alias("text"))
     return map_batches(rows, run, REGION)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, search: Search = Search(), name: str = "decontaminate") -> DataFrame:
-    """``row, item_id, distance``: documents (by row number) and the items that stand in them, verified."""
+    """``row, item_id, distance``: documents (by row number, see ``numbered``) and the items that stand in them, verified."""
     items = stored(item_table(benchmark, search), f"{name}-items")
     found = stored(regions(docs, items, search), f"{name}-regions")
     item_keys = bounded_broadcast(items.select("item_row", F.explode("keys").alias("key")), BROADCAST_ROWS)
@@ -305,8 +305,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, search: Search = Search(), na
 def decontaminate(docs: DataFrame, benchmark: DataFrame, search: Search = Search(), name: str = "decontaminate") -> DataFrame:
     """``doc_id, row, contaminated, item_ids`` (sorted array), one row per input row.
 
-    ``docs`` must be a stored table (its rows are numbered in every pass);
-    other columns are ignored.  An item stands in a document if some run of
+    Rows are numbered once, in a stored copy of doc_id and text, unless
+    ``docs`` has the numbers (``numbered``); other columns are ignored.  An item stands in a document if some run of
     its words is within ``(1 - similarity) * words`` word edits of the item.
     Null and empty texts hold nothing; null ids are carried; an item with a
     null id counts for ``contaminated`` only; items of fewer than
@@ -315,7 +315,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, search: Search = Search
     clean.  No match is missed, however many of its words are edited inside the
     limit: it holds a segment of the item that no edit touched.
     """
+    docs = numbered(docs, ["doc_id", "text"], name)
     hits = stored(matches(docs, benchmark, search, name).groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids")), f"{name}-hits")
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("at"))
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs[ROW].alias("at"))
     both = rows.join(hits, rows["at"] == hits["row"], "left")
     return both.select("doc_id", F.col("at").alias("row"), F.col("item_ids").isNotNull().alias("contaminated"), F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"))

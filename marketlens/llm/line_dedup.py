@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import map_batches, stored
+from marketlens.llm.common import ROW, map_batches, numbered, stored
 from marketlens.llm.components import components
 from marketlens.operators.broadcast import bounded_broadcast
 
@@ -95,8 +95,8 @@ def edit_distance(a: str, b: str, most: int) -> int:
 
 
 def rows_of(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a number of the row, the same in every pass over a stored table."""
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+    """doc_id, text and the number of the row."""
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), docs[ROW].alias("row"))
 
 
 def lines_of(text: str | None) -> list[str]:
@@ -268,6 +268,7 @@ def near_links(docs: DataFrame, limits: Limits, name: str) -> DataFrame:
 def duplicate_lines(docs: DataFrame, limits: Limits = Limits(), name: str = "lines") -> tuple[DataFrame, DataFrame]:
     """The occurrences of lines, and ``row, removed`` (numbers of the lines that go, from 0) where any go.
 
+    ``docs`` must have row numbers (``numbered``).
     A line goes if an earlier one (by doc_id, row, place) is in its class:
     equal, or reached over links of up to ``max_edits`` edits.
     """
@@ -286,7 +287,7 @@ def duplicate_lines(docs: DataFrame, limits: Limits = Limits(), name: str = "lin
 def dedup_lines(docs: DataFrame, limits: Limits = Limits(), keep: tuple[str, ...] = ("doc_id",), name: str = "lines") -> DataFrame:
     """The columns in ``keep``, ``n_lines``, ``removed`` (line numbers) and ``text`` without them, per input row.
 
-    ``docs`` must be a stored table (its rows are numbered in every pass);
+    Rows are numbered once, in a stored copy of the columns used;
     columns not in ``keep`` are ignored, except doc_id and text.  Blank lines
     neither count as duplicates nor go.  A null text counts as empty and
     comes back empty; null ids come before others, so their lines stay; of
@@ -294,8 +295,9 @@ def dedup_lines(docs: DataFrame, limits: Limits = Limits(), keep: tuple[str, ...
     gives an empty result.  Lines travel as digests; texts only of lines that
     share a segment with another.
     """
+    docs = numbered(docs, list(dict.fromkeys([*keep, "doc_id", "text"])), name)
     gone = bounded_broadcast(stored(duplicate_lines(docs, limits, name)[1], f"{name}-gone"), BROADCAST_ROWS // 4)
-    rows = docs.select(*keep, docs["text"].cast("string").alias("own text"), F.monotonically_increasing_id().alias("own row"))
+    rows = docs.select(*keep, docs["text"].cast("string").alias("own text"), docs[ROW].alias("own row"))
     both = rows.join(gone, rows["own row"] == gone["row"], "left")
     text, removed = F.coalesce("own text", F.lit("")), F.coalesce("removed", F.array().cast("array<int>"))
     lines = F.split(text, "\n", -1)

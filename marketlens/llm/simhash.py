@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import LOWER, map_batches, stored
+from marketlens.llm.common import ROW, LOWER, map_batches, stored
 from marketlens.llm.components import components
 
 PIECES = ((0, 22), (22, 21), (43, 21))   # first bit and number of bits
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
             fp = np.fromiter((fingerprint(t, size) for t in b.column(1).cast(pa.binary()).to_pylist()), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fp.view(np.int64))], names=["doc_id", "row", "fp"])
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), (docs[ROW] if ROW in docs.columns else F.monotonically_increasing_id()).alias("row"))
     return map_batches(rows, run, "doc_id long, row long, fp long")
 
 
@@ -181,7 +181,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, name:
     text with fewer words than a shingle is one shingle, one without words
     (null texts too) has fingerprint zero, which links like any other.
     ``component_id`` is the smallest doc_id reachable over links of up to
-    ``max_bits`` differing bits; ``row`` numbers the rows of ``docs``, and one
+    ``max_bits`` differing bits; ``row`` is the row's number (``numbered``; else one of this pass only), and one
     row of each component ``stays``: the first by doc_id (null ids last),
     then row.  Null ids are carried (a component of none but null ids has a
     null component_id), repeated ids and rows stay rows; other columns are
