@@ -24,6 +24,8 @@ from marketlens.operators.broadcast import bounded_broadcast
 
 #: Sides of joins with texts are broadcast up to so many rows (8 bytes an id), counted first; beyond, texts are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Numbers of removed lines (4 bytes each) that may be broadcast in all; documents may hold any number of them.
+BROADCAST_NUMBERS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -296,7 +298,9 @@ def dedup_lines(docs: DataFrame, limits: Limits = Limits(), keep: tuple[str, ...
     share a segment with another.
     """
     docs = numbered(docs, list(dict.fromkeys([*keep, "doc_id", "text"])), name)
-    gone = bounded_broadcast(stored(duplicate_lines(docs, limits, name)[1], f"{name}-gone"), BROADCAST_ROWS // 4)
+    gone = stored(duplicate_lines(docs, limits, name)[1], f"{name}-gone")
+    if (gone.agg(F.sum(F.size("removed"))).first()[0] or 0) <= BROADCAST_NUMBERS:
+        gone = bounded_broadcast(gone, BROADCAST_ROWS // 4)
     rows = docs.select(*keep, docs["text"].cast("string").alias("own text"), docs[ROW].alias("own row"))
     both = rows.join(gone, rows["own row"] == gone["row"], "left")
     text, removed = F.coalesce("own text", F.lit("")), F.coalesce("removed", F.array().cast("array<int>"))

@@ -101,3 +101,16 @@ def test_one_common_line_and_empty_table(spark, stored_docs):
     got = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
     assert got[0].removed == [] and all(got[k].removed == [0] for k in range(1, 40))
     assert line_dedup.dedup_lines(stored_docs([])).count() == 0
+
+
+def test_many_removed_lines_are_not_broadcast(spark, stored_docs, monkeypatch):
+    docs = stored_docs([(k, "\n".join(["A line that stands everywhere."] * 50)) for k in range(3)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in line_dedup.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(line_dedup, "BROADCAST_NUMBERS", 100, raising=False)
+        found = line_dedup.dedup_lines(docs)
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.doc_id, len(r.removed)) for r in found.collect()) == [(0, 49), (1, 50), (2, 50)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
