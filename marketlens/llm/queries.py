@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, chat, classifier, decontaminate, language_model, licenses, line_dedup, quality_rules, records, simhash
+from marketlens.llm import bpe, chat, classifier, decontaminate, language_model, licenses, line_dedup, quality_rules, records, repair, simhash, vector_codes
 from marketlens.llm.common import id_crc32, shared_path, table
 from marketlens.llm.oracle import llm_oracle_sql  # noqa: F401  (registered beside the queries)
 
@@ -75,6 +75,27 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.score(docs, ranker).select("doc_id", held_out, "score", "predicted")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = vector_codes.encode_vectors(table(spark, sf_dir, "embeddings"), name="op11")
+    return vector_codes.with_label_errors(codes.rows).select("vec_id", "code", "error", "label_error", F.lit(codes.sha256).alias("codebooks_sha256"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The contract's damage: by the crc32 of ``conv_id:turn`` a row goes, loses its text or its sentence ends, comes twice, or becomes a user's."""
+    told = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(told("conv_id"), F.lit(":"), told("turn")).cast("binary")) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.translate(told("text"), ".!?", "")).otherwise(told("text"))
+    role = F.when(fault == 4, "user").otherwise(told("role"))
+    times = F.when(fault == 3, 2).otherwise(1)
+    return rows.where(fault != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(F.array_repeat(F.lit(1), times))).drop("col")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = repair.repair_conversations(damaged(rows), name="op13")
+    return repair.with_all(repaired, rows)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
