@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, chat, classifier, decontaminate, language_model, licenses, line_dedup, quality_rules, records, repair, simhash, vector_codes
+from marketlens.llm import bpe, chat, classifier, decontaminate, language_model, licenses, line_dedup, quality_rules, records, repair, simhash, toxicity, vector_codes
 from marketlens.llm.common import id_crc32, shared_path, table
 from marketlens.llm.oracle import llm_oracle_sql  # noqa: F401  (registered beside the queries)
 
@@ -80,6 +80,14 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.with_label_errors(codes.rows).select("vec_id", "code", "error", "label_error", F.lit(codes.sha256).alias("codebooks_sha256"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = id_crc32(F.col("doc_id")) % 5 == 0
+    lexicon = toxicity.train(docs, labels.where(~held_out))
+    return toxicity.score(docs, lexicon, held_out.alias("held_out")).select("doc_id", "held_out", "score", "predicted")
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """The contract's damage: by the crc32 of ``conv_id:turn`` a row goes, loses its text or its sentence ends, comes twice, or becomes a user's."""
     told = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
