@@ -46,7 +46,7 @@ WORD = re.compile(r"[^\W\d_]+")
 FOLD = {c: b for c in range(0xC0, 0x250) if (b := "".join(x for x in unicodedata.normalize("NFD", chr(c).lower()) if "a" <= x <= "z"))} | {0xDF: "ss", 0xE6: "ae", 0xF8: "o", 0x153: "oe"}
 LETTERS = 27                 # a to z, and 0 for the end of a word
 PIECE = 4096                 # longer spans are read in pieces
-REMEMBERED = 100_000         # spans whose reading a task remembers at a time
+REMEMBERED = 200_000         # spans, and words, that a task remembers at a time
 BEGINNINGS = (4, 5, 6, 7)    # bytes
 CODE = np.zeros(256, np.uint8)
 CODE[97:123] = np.arange(1, 27)
@@ -171,24 +171,68 @@ class Reader:
         return SPAN.sub(self, text.lower())
 
 
-def terms(text: str) -> set[int]:
-    """Numbers (crc32) of a restored text's words and word beginnings, and of how often they come: at least 2 or 4 times, or in so many words of a hundred."""
-    counts = Counter(WORD.findall(text))
-    size, out, starts = counts.total(), set(), Counter()
-    for word, n in counts.items():
-        raw = word.encode("utf-8", "replace")
-        out.add(zlib.crc32(raw, 1))
-        for k in BEGINNINGS:
-            if len(raw) >= k:
-                starts[zlib.crc32(raw[:k])] += n
-    out.update(starts)
+#: How often a word beginning comes: at least so many times, or in so many words of a hundred.
+TIMES, SHARES = (2, 4), (0.5, 1, 2)
+
+
+def leveled(starts: dict[int, int], size: int) -> set[int]:
+    """Numbers of word beginnings, and of how often they come in a text of ``size`` words."""
+    out = set(starts)
     for number, n in starts.items():
         if n > 1:
-            out.update(number ^ (level << 24) for level, least in enumerate((2, 4), 1) if n >= least)
-            out.update(number ^ (level << 24) for level, share in enumerate((0.5, 1, 2), 3) if 100 * n >= share * size)
+            out.update(number ^ (level << 24) for level, least in enumerate(TIMES, 1) if n >= least)
+            out.update(number ^ (level << 24) for level, share in enumerate(SHARES, 1 + len(TIMES)) if 100 * n >= share * size)
     return out
 
 
+def numbers_of(word: str) -> tuple[int, list[int]]:
+    """The number (crc32) of a whole word, and those of its beginnings."""
+    raw = word.encode("utf-8", "replace")
+    return zlib.crc32(raw, 1), [zlib.crc32(raw[:k]) for k in BEGINNINGS if len(raw) >= k]
+
+
+def terms(text: str) -> set[int]:
+    """Numbers of a restored text's words and word beginnings, and of how often these come."""
+    counts = Counter(WORD.findall(text))
+    out, starts = set(), Counter()
+    for word, n in counts.items():
+        whole, begins = numbers_of(word)
+        out.add(whole)
+        for number in begins:
+            starts[number] += n
+    return out | leveled(starts, counts.total())
+
+
+class Watch:
+    """The terms of texts that are in a lexicon; remembers words."""
+
+    def __init__(self, wanted: set[int]):
+        self.wanted = wanted
+        self.near = {t ^ (level << 24) for t in wanted for level in range(1 + len(TIMES) + len(SHARES))}
+        self.known: dict[str, tuple[int, list[int]] | None] = {}
+
+    def terms(self, text: str) -> set[int]:
+        words = WORD.findall(text)
+        known, near, held, starts = self.known, self.near, set(), Counter()
+        for word in words:
+            hit = known.get(word, 0)
+            if hit is None:
+                continue
+            if hit == 0:
+                whole, begins = numbers_of(word)
+                begins = [b for b in begins if b in near]
+                hit = (whole, begins) if begins or whole in near else None
+                if len(known) > REMEMBERED:
+                    known.clear()
+                known[word] = hit
+                if hit is None:
+                    continue
+            held.add(hit[0])
+            for number in hit[1]:
+                starts[number] += 1
+        return (held | leveled(starts, len(words))) & self.wanted
+
+
 # --- lexicon -------------------------------------------------------------------
 
 
@@ -201,8 +245,8 @@ class Lexicon:
     model: np.ndarray
 
     def score(self, found: set[int]) -> float:
-        """By the weights of all terms, and no less than the share of the most telling one."""
-        held = [self.weights[t] for t in found & self.weights.keys()]
+        """By the weights of all terms found, and no less than the share of the most telling one."""
+        held = [self.weights[t] for t in found]
         z = self.bias + sum(w for w, _ in held)
         return max([1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), *(share for _, share in held)])
 
@@ -311,9 +355,9 @@ def score(docs: DataFrame, lexicon: Lexicon, *kept: str | Column) -> DataFrame:
     shape = own.drop("text_to_score_").withColumns({"score": F.lit(0.0).cast("double"), "predicted": F.lit(0)}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(lexicon.model)
+        reader, watch = Reader(lexicon.model), Watch(set(lexicon.weights))
         for b in batches:
-            s = np.array([lexicon.score(terms(reader.restored(t))) for t in b.column(at).to_pylist()], np.float64)
+            s = np.array([lexicon.score(watch.terms(reader.restored(t))) for t in b.column(at).to_pylist()], np.float64)
             yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*b.schema.names[:at], "score", "predicted"])
 
     return map_batches(own, run, shape)

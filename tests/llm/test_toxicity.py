@@ -81,6 +81,15 @@ def test_long_spans_take_no_more_than_time(reader):
         assert isinstance(reader.restored(text), str)
 
 
+def test_watched_terms_are_the_terms_in_the_lexicon(reader, edge_rows):
+    texts = [reader.restored(t or "") for _, t in edge_rows]
+    rng = random.Random(1)
+    every = sorted(set().union(*map(T.terms, texts)))
+    wanted = set(rng.sample(every, 2000))
+    watch = T.Watch(wanted)
+    assert all(watch.terms(t) == T.terms(t) & wanted for t in texts * 2)
+
+
 def labelled(seed=4, n=600):
     rng = random.Random(seed)
     docs, marks = [], []
