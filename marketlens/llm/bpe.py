@@ -54,6 +54,12 @@ class Vocabulary:
         spec = json.loads(self.json)
         if spec["model"]["type"] != "BPE" or spec.get("normalizer") or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["pre_tokenizer"].get("add_prefix_space"):
             raise ValueError("distinct-word encoding needs a byte-level BPE file without a normalizer or a prefix space")
+        model = spec["model"]
+        if any(model.get(k) for k in ("dropout", "ignore_merges", "byte_fallback", "continuing_subword_prefix", "end_of_word_suffix")):
+            raise ValueError("distinct-word encoding needs a plain BPE model")
+        merged = [model["vocab"].get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+        if None in merged or any(a >= b for a, b in zip(merged, merged[1:])):
+            raise ValueError("distinct-word encoding needs ids in the order of the merges")
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         to_byte = byte_of_sign()
         self.pieces = {i: bytes(to_byte[c] for c in piece) for piece, i in spec["model"]["vocab"].items()}
@@ -83,6 +89,25 @@ class Vocabulary:
         return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
 
 
+#: Longer runs of white space are encoded as the one piece that they are: the pattern's look-ahead fails on very long ones.
+LONG_WHITE = re.compile(f"[{WHITE}]{{10000,}}")
+
+
+def encode_text(coder, text: str) -> np.ndarray:
+    """Ids of a text, special strings included, with white space runs of any length."""
+    if len(text) < 10_000 or LONG_WHITE.search(text) is None:
+        return coder.encode_to_numpy(text, allowed_special="all")
+    parts, at = [], 0
+    for run in LONG_WHITE.finditer(text):
+        end = run.end()
+        # The last sign of a run goes with what follows it, but not with a special string.
+        if end < len(text) and not text.startswith(tuple(coder.special_tokens_set), end):
+            end -= 1
+        parts += [coder.encode_to_numpy(text[at:run.start()], allowed_special="all"), np.array(coder._encode_single_piece(text[run.start():end]), np.uint32)]
+        at = end
+    return np.concatenate([*parts, coder.encode_to_numpy(text[at:], allowed_special="all")])
+
+
 #: Fixed value: the pattern by which byte-level files of the tokenizers library cut words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -144,7 +169,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int = BLOCK_BYT
                     at += n
                     code = known.get(w)
                     if code is None:
-                        code = known[w] = np.array(coder.encode(word_of(w.decode()), allowed_special="all"), np.uint32)
+                        code = known[w] = encode_text(coder, word_of(w.decode()))
                     codes.append(code)
                 packed = B.pack(np.cumsum(number, dtype=np.int64).astype(np.uint32), np.fromiter(map(len, codes), np.uint32, len(codes)), np.concatenate(codes))
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([0], pa.int32()), pa.array([packed], pa.binary())], names=["block", "kind", "data"])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.bpe import Vocabulary
+from marketlens.llm.bpe import Vocabulary, encode_text
 from marketlens.llm.common import map_batches
 
 #: Fixed value: what is added to a rotated checksum, so that checksums of data that hold checksums stay apart.
@@ -71,7 +71,7 @@ def write_records(docs: DataFrame, vocabulary: Vocabulary, path: str, end_id: in
                 part = b.slice(at, 500)
                 out = []
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = coder.encode_to_numpy(text or "", allowed_special="all")
+                    ids = encode_text(coder, text or "")
                     out.append(frame(doc_id, np.append(ids, np.uint32(end_id)) if end_id is not None else ids, wide))
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 

@@ -42,6 +42,32 @@ def test_encode_and_decode_equal_the_library(spark, stored_docs, edge_rows, libr
     assert order((r.doc_id, r.text) for r in got) == order((i, t or "") for i, t in edge_rows)
 
 
+LONG = [" " * 2_000_000, "\n" * 2_000_000 + "a", "a" + " \t\n" * 700_000 + " b", "x\n" + "\u3000" * 700_000, " " * 20_000 + "<|endoftext|>" + "\n" * 20_000 + "<|endoftext|> c", "a" * 2_000_000,
+        "\n" * 30_000 + "字" + " " * 30_000 + "'s"]
+
+
+def test_long_white_space_equals_the_library(spark, stored_docs, library, vocabulary, tmp_path):
+    coder = vocabulary.coder()
+    expected = {i: library.encode(t, add_special_tokens=False).ids for i, t in enumerate(LONG)}
+    assert all(bpe.encode_text(coder, t).tolist() == expected[i] for i, t in enumerate(LONG))
+    docs = stored_docs(list(enumerate(LONG)))
+    got = {r.doc_id: (r.ids, r.text) for r in bpe.decode(bpe.encode(docs, vocabulary), vocabulary).collect()}
+    assert got == {i: (expected[i], t) for i, t in enumerate(LONG)}
+    records.write_records(docs, vocabulary, str(tmp_path / "long"))
+    assert {r.doc_id: r.ids_crc32 for r in records.write_index(spark, str(tmp_path / "long")).collect()} == {i: zlib.crc32(np.array(x, "<u4").tobytes()) for i, x in expected.items()}
+
+
+def test_other_models_are_refused(tmp_path):
+    import json
+    spec = json.load(open(FILE, encoding="utf-8"))
+    merges = spec["model"]["merges"]
+    for change in ({"merges": [merges[1], merges[0], *merges[2:]]}, {"dropout": 0.1}, {"byte_fallback": True}, {"ignore_merges": True}):
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps(spec | {"model": spec["model"] | change}))
+        with pytest.raises(ValueError, match="needs"):
+            bpe.Vocabulary(str(path))
+
+
 def test_empty_table(spark, stored_docs, vocabulary, tmp_path):
     docs = stored_docs([])
     assert bpe.decode(bpe.encode(docs, vocabulary), vocabulary).count() == 0
