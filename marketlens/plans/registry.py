@@ -23,6 +23,7 @@ from marketlens.plans.doc_reads import DOC_READS
 from marketlens.plans import views as V
 from marketlens.sources import fixture as fx
 from marketlens.sources import warehouse as W
+from marketlens.sources import landing as L
 from marketlens.sources import places as P
 from marketlens.sources import store as St
 from marketlens.sources.tables import read_table
@@ -323,6 +324,11 @@ INGEST_QUERIES: dict[str, Query] = {
         P.flatten_reviews(_landed(s, d)), _b(s, d))[0].select("review_id", "business_id"),
     "resolve_business_branches": _resolve_branches,
     "upsert_businesses": _upsert,
+    "upsert_businesses_stored": lambda s, d: _upsert_stored(s, d),
+    "cascade_delete_stored": lambda s, d: _cascade_stored(s, d),
+    "delete_by_query_stored": lambda s, d: _delete_stored(s, d),
+    "ingest_rejected_lines": lambda s, d: _rejected_lines(s, d),
+    "ingest_accepted_places": lambda s, d: _accepted_places(s, d),
     "open_execution": lambda s, d: St.open_execution(s, _e(s, d), None, NOW),
     "close_execution": lambda s, d: St.close_execution(_e(s, d), 5, NOW),
     "cascade_delete": _cascade,
@@ -368,27 +374,99 @@ SESSION_QUERIES: dict[str, Query] = {
         "conv_id", "turn", "role"),
 }
 
-def _ingested(spark, d) -> str:
-    """T1 run to its end over the landed items; the folder of the stored businesses."""
+def _ingested(spark, d) -> tuple[str, DataFrame]:
+    """T1 run to its end over the landed items; the folder of the stored items, and the businesses they make."""
     from marketlens.session import scratch_path
-    base = scratch_path(spark, "stream_businesses")
+    base = scratch_path(spark, "stream_items")
     empty = spark.createDataFrame([], "id long, apify_place_id string, business_name string, review_count int, "
                                       "business_data string, created_at timestamp_ntz, updated_at timestamp_ntz")
     landing = P.land_places(P.place_items(spark, d), P.landing_path(spark, "stream"))
-    return SJ.ingest_stream(spark, landing, base, empty, NOW)
+    SJ.ingest_stream(spark, landing, base, NOW)
+    return base, L.stored_businesses(spark, base, empty)
 
 
 def _ingested_reviews(spark, d):
     """The stored reviews, told by the business's key as the fixture numbers it."""
-    base = _ingested(spark, d)
-    stored = St.read_latest(spark, base).select(F.col("id").alias("business_id"), "apify_place_id")
+    base, stored = _ingested(spark, d)
+    reviews, _ = L.stored_reviews(spark, base, stored)
     own = _b(spark, d).select(F.col("id").alias("own_id"), "apify_place_id")
-    return (SJ.stored_reviews(spark, base).join(stored, "business_id").join(own, "apify_place_id")
+    return (reviews.join(stored.select(F.col("id").alias("business_id"), "apify_place_id"), "business_id").join(own, "apify_place_id")
             .select("review_id", F.col("own_id").alias("business_id"), "stars", "published_at"))
 
 
+def _landing_with_errors(spark, d) -> str:
+    """The landed items as text, every 25th line cut short and every 40th no JSON at all."""
+    path = P.land_places(P.place_items(spark, d), P.landing_path(spark, "broken"))
+    lines = spark.read.text(path)
+    n = F.get_json_object("value", "$.cid").cast("long")
+    broken = F.when(n % 40 == 0, F.concat(F.lit("scrape failed for "), n)).when(n % 25 == 0, F.concat(F.lit('{"cid": "'), n, F.lit('", "title": '))).otherwise(F.col("value"))
+    out = P.landing_path(spark, "broken-lines")
+    lines.select(broken.alias("value")).write.text(out)
+    return out
+
+
+def _rejected_lines(spark, d):
+    """Each line that is no place item, with its text."""
+    from marketlens.session import materialize
+    return L.rejected_lines(materialize(L.read_landed(spark, _landing_with_errors(spark, d)), "landed-lines")).select("line")
+
+
+def _accepted_places(spark, d):
+    """The places of the other lines, and of the same items as pretty-printed arrays."""
+    lines = L.accepted_items(L.read_landed(spark, _landing_with_errors(spark, d)))
+    pretty = P.landing_path(spark, "pretty")
+    one = F.to_json(F.struct("cid", "title", "reviewsCount"), {"pretty": "true"})
+    items = P.place_items(spark, d).select(F.floor(F.col("cid").cast("long") / 100).alias("part"), "scrapedAt", one.alias("j"))
+    arrays = items.groupBy("part", "scrapedAt").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("j"), ",\n"), F.lit("\n]")).alias("value"))
+    arrays.select("value").repartition(8).write.option("maxRecordsPerFile", 1).text(pretty)
+    whole = L.accepted_items(L.read_landed(spark, pretty, multi_line=True))
+    each = lambda df, read: df.select("cid", "title", "reviewsCount").distinct().withColumn("read_as", F.lit(read))
+    return each(lines, "lines").unionByName(each(whole, "arrays"))
+
+
+def _upsert_stored(spark, d):
+    """S11 into a bucketed table: as ``upsert_businesses``, the stored side not moved."""
+    import uuid
+    existing = _b(spark, d).filter(F.col("id") % 4 != 3).select(
+        "id", "apify_place_id", "business_name", "review_count", "business_data", "created_at", F.col("created_at").alias("updated_at"))
+    incoming = P.combine_business(_landed(spark, d)).select("apify_place_id", "business_name", "review_count", "business_data", "scraped_at")
+    table, buckets = f"businesses_{uuid.uuid4().hex[:10]}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    St.save_bucketed(existing, table, "apify_place_id", buckets)
+    return St.upsert_bucketed(incoming, table, "apify_place_id", NOW, buckets).select(
+        "apify_place_id", "business_name", "review_count", "created_at", "updated_at", J.arrow_text(F.col("business_data"), "overview", "url").alias("url"))
+
+
+def _stored_by_run(spark, d):
+    """Businesses and reviews stored by run: their frames and paths."""
+    from marketlens.session import scratch_path
+    b = _b(spark, d)
+    r = _r(spark, d).join(b.select(F.col("id").alias("business_id"), "execution_id"), "business_id")
+    paths = [scratch_path(spark, "businesses-by-run"), scratch_path(spark, "reviews-by-run")]
+    for frame, path in zip((b, r), paths):
+        St.save_by_run(frame, path)
+    return b, r, paths
+
+
+def _cascade_stored(spark, d):
+    """S25 on stored tables: the failed runs' partitions go."""
+    e = _e(spark, d)
+    b, r, paths = _stored_by_run(spark, d)
+    St.delete_runs(spark, paths, [x.id for x in e.filter(F.col("status") == "failed").select("id").collect()])    # a few runs
+    return Q.view_row_counts({"market_executions": e.filter(~F.col("status").eqNullSafe("failed")), "businesses": St.stored_by_run(spark, paths[0], b),
+                              "business_reviews": St.stored_by_run(spark, paths[1], r)})
+
+
+def _delete_stored(spark, d):
+    """S26 on stored tables: the reviews of runs with a query go, other partitions are not touched."""
+    b, r, paths = _stored_by_run(spark, d)
+    runs = _e(spark, d).filter(F.col("search_query") == "query_0").select(F.col("id").alias("execution_id"))
+    doomed = b.join(runs, "execution_id", "left_semi").select("execution_id", F.col("id").alias("business_id"))
+    St.delete_rows(St.stored_by_run(spark, paths[1], r), paths[1], doomed, "business_id")
+    return St.stored_by_run(spark, paths[1], r).select("id")
+
+
 STREAM_QUERIES: dict[str, Query] = {
-    "stream_ingest_places": lambda s, d: St.read_latest(s, _ingested(s, d)).select(
+    "stream_ingest_places": lambda s, d: _ingested(s, d)[1].select(
         "apify_place_id", "business_name", "review_count", "created_at", "updated_at"),
     "stream_ingest_reviews": _ingested_reviews,
     "stream_run_counters": SJ.run_counter_stream,

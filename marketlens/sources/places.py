@@ -214,11 +214,11 @@ def place_key(items: DataFrame) -> Column:
     return F.coalesce(_falsy_str(F.col("url")), _falsy_str(F.col("placeId")), F.concat(F.lit("h_"), addr))
 
 
-def combine_business(items: DataFrame) -> DataFrame:
+def combine_business(items: DataFrame, *more: str) -> DataFrame:
     """S9 + S10: all seven dimensions from the same row, one JSON document.
 
     Columns: apify_place_id, business_name, search_string, scraped_at,
-    business_data plus the generated columns.
+    business_data plus the generated columns (and ``more`` of the items).
     """
     doc = F.to_json(F.struct(
         overview(items).alias("overview"), contact(items).alias("contact"), social(items).alias("social"),
@@ -240,16 +240,17 @@ def combine_business(items: DataFrame) -> DataFrame:
         _falsy_str(F.col("website")).alias("website"),
         _falsy_str(F.col("phone")).alias("phone"),
         doc.alias("business_data"),
+        *more,
     )
 
 
 # ---------------------------------------------------------------------------
 # S12 flatten reviews, S13 resolve business
 # ---------------------------------------------------------------------------
-def flatten_reviews(items: DataFrame) -> DataFrame:
-    """One row per nested review (items without reviews emit nothing)."""
+def flatten_reviews(items: DataFrame, *more: str) -> DataFrame:
+    """One row per nested review (items without reviews emit nothing), with ``more`` columns of the item."""
     e = items.select(place_key(items).alias("apify_place_id"), F.col("title").alias("place_name"),
-                     F.col("url").alias("place_url"), F.explode("reviews").alias("r"))
+                     F.col("url").alias("place_url"), F.explode("reviews").alias("r"), *more)
     r = F.col("r")
     doc = F.to_json(F.struct(
         F.col("place_name").alias("placeName"), r["reviewerId"].alias("reviewerId"),
@@ -261,7 +262,7 @@ def flatten_reviews(items: DataFrame) -> DataFrame:
         r["reviewImageUrls"].alias("reviewImageUrls"), r["responseFromOwnerDate"].alias("responseFromOwnerDate"),
         r["responseFromOwnerText"].alias("responseFromOwnerText")))
     return e.select("apify_place_id", "place_name", "place_url", r["reviewId"].alias("review_id"),
-                    doc.alias("review_data"))
+                    doc.alias("review_data"), *more)
 
 
 def resolve_business(flat_reviews: DataFrame, businesses: DataFrame) -> tuple[DataFrame, DataFrame]:

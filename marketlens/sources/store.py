@@ -1,147 +1,36 @@
-"""Versioned Parquet tables: upsert, append, run bookkeeping, deletes.
-
-Parquet has no MERGE, so a change writes new directories (``v=<n>``) and then
-one small manifest that names the directories the table consists of; the
-manifest is the commit.  An upsert rewrites only the buckets of the key that
-its batch touches.  All listing goes through Hadoop's file system, so any
-path that Spark can write to will do, and a version whose writer failed is
-never read and never in the way.
+"""Stored tables: upsert, append, run bookkeeping, deletes.
+
+Businesses are a bucketed catalog table: an upsert joins the stored side
+without moving it, and its result is the table's next version.  Tables that
+runs fill are partitioned by run: a delete rewrites the partitions that hold
+doomed rows, by dynamic partition overwrite, and leaves the others alone.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import json
-import re
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from marketlens.functions.scalar import ntz_lit
 from marketlens.operators.quality import enforce, split, stars_ok
-
-BUCKETS = 64   # buckets of a table's key; at 100 TB set it so that a bucket is some GB
-BUCKET = "bucket_of_key"
+from marketlens.session import materialize, scratch_path
 
 
-# ---------------------------------------------------------------------------
-# snapshots
-# ---------------------------------------------------------------------------
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def is_directory(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
-    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
-
-
-def _names(spark: SparkSession, base: str) -> list[str]:
-    fs, p = _fs(spark, base)
-    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-
-
-def _numbers(spark: SparkSession, base: str, pattern: str) -> list[int]:
-    return sorted(int(m.group(1)) for n in _names(spark, base) if (m := re.fullmatch(pattern, n)))
-
-
-def latest_version(spark: SparkSession, base: str) -> int | None:
-    """The last committed version."""
-    found = _numbers(spark, base, r"manifest-(\d+)\.json")
-    return found[-1] if found else None
-
-
-def _manifest(spark: SparkSession, base: str, version: int) -> dict:
-    rows = spark.read.text(f"{base}/manifest-{version}.json", wholetext=True).collect()
-    return json.loads(rows[0][0])
-
-
-def _commit(spark: SparkSession, base: str, version: int, manifest: dict) -> None:
-    """Write the manifest under another name, then rename it: readers see all of it or nothing."""
-    fs, p = _fs(spark, f"{base}/manifest-{version}.json")
-    _, draft = _fs(spark, f"{base}/.draft-{version}-{_dt.datetime.now().timestamp()}")
-    out = fs.create(draft, False)
-    try:
-        out.write(bytearray(json.dumps(manifest).encode()))
-    finally:
-        out.close()
-    if fs.exists(p) or not fs.rename(draft, p):
-        raise RuntimeError(f"version {version} under {base} was committed by another writer")
+    return fs.exists(p)
 
 
-def _next(spark: SparkSession, base: str) -> int:
-    """Above every version that was begun, whether or not it was committed."""
-    return max([0, *_numbers(spark, base, r"v=(\d+)"), *_numbers(spark, base, r"manifest-(\d+)\.json")]) + 1
-
-
-def write_snapshot(df: DataFrame, base: str, batch: int | None = None) -> str:
-    """Write ``df`` as the next version under ``base`` and return its path."""
-    spark = df.sparkSession
-    v = _next(spark, base)
-    df.write.mode("errorifexists").parquet(f"{base}/v={v}")
-    _commit(spark, base, v, {"schema": df.schema.json(), "parts": {"whole": f"v={v}"}, "batch": batch})
-    return f"{base}/v={v}"
-
-
-def _read(spark: SparkSession, base: str, manifest: dict, parts: list[str] | None = None) -> DataFrame:
-    schema = StructType.fromJson(json.loads(manifest["schema"]))
-    paths = [f"{base}/{p}" for k, p in sorted(manifest["parts"].items()) if parts is None or k in parts]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-
-
-def read_latest(spark: SparkSession, base: str) -> DataFrame:
-    v = latest_version(spark, base)
-    if v is None:
-        raise FileNotFoundError(f"no committed snapshot under {base}")
-    return _read(spark, base, _manifest(spark, base, v))
-
-
-def last_batch(spark: SparkSession, base: str) -> int | None:
-    """The number of the last stream batch that the table holds."""
-    v = latest_version(spark, base)
-    return None if v is None else _manifest(spark, base, v).get("batch")
-
-
-def change_snapshot(incoming: DataFrame, base: str, key: str, change: Callable[[DataFrame, DataFrame], DataFrame], schema: StructType,
-                    batch: int | None = None, buckets: int = BUCKETS) -> bool:
-    """Replace the buckets of ``key`` that ``incoming`` touches by ``change(existing rows of them, incoming)``.
-
-    ``batch`` is a stream batch's number: one that the table already holds
-    is not applied again, so a batch that is run twice counts once.  Returns
-    whether anything was written.
-    """
-    spark = incoming.sparkSession
-    v = latest_version(spark, base)
-    old = _manifest(spark, base, v) if v is not None else {"schema": schema.json(), "parts": {}, "batch": None}
-    if "whole" in old["parts"]:
-        raise ValueError(f"{base} was written whole; its buckets can't be changed")
-    if batch is not None and old["batch"] is not None and batch <= old["batch"]:
-        return False
-    of = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
-    inc = incoming.filter(F.col(key).isNotNull())
-    touched = [r[0] for r in inc.select(of(key).alias("b")).distinct().collect()]       # at most ``buckets`` numbers
-    if not touched:
-        return False
-    existing = _read(spark, base, old, [str(b) for b in touched])
-    n = _next(spark, base)
-    out = change(existing, inc).select(*schema.names)
-    (out.withColumn(BUCKET, of(key)).repartition(min(len(touched), buckets), BUCKET)
-     .write.mode("errorifexists").partitionBy(BUCKET).parquet(f"{base}/v={n}"))
-    written = {m.group(1) for x in _names(spark, f"{base}/v={n}") if (m := re.fullmatch(rf"{BUCKET}=(\d+)", x))}
-    parts = {k: p for k, p in old["parts"].items() if int(k) not in touched} | {b: f"v={n}/{BUCKET}={b}" for b in written}
-    _commit(spark, base, n, {"schema": schema.json(), "parts": parts, "batch": batch})
-    return True
-
-
-def add_to_snapshot(incoming: DataFrame, base: str, keys: list[str], sums: list[str], batch: int | None = None) -> bool:
-    """Add the sums of ``incoming`` (one row per ``keys``) to those stored; new keys are new rows."""
-    row_key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys])
-    inc = incoming.select(row_key.alias("row_key"), *keys, *sums)
-    merge = lambda old, new: old.unionByName(new).groupBy("row_key", *keys).agg(*[F.sum(s).cast(dict(inc.dtypes)[s]).alias(s) for s in sums])
-    return change_snapshot(inc, base, "row_key", merge, inc.schema, batch)
+def is_directory(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
 
 
 # ---------------------------------------------------------------------------
@@ -200,20 +89,76 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, now: _dt.datetime
     return untouched.unionByName(j.select(*cols))
 
 
-def upsert_snapshot(incoming: DataFrame, base: str, key: str, now: _dt.datetime, schema: StructType,
-                    batch: int | None = None, order_col: str = "scraped_at") -> bool:
-    """:func:`upsert` into the table under ``base``, rewriting only the buckets that the batch touches."""
-    return change_snapshot(incoming, base, key, lambda old, new: checked_ids(upsert(old, new, key, now, order_col=order_col), key), schema, batch)
+# ---------------------------------------------------------------------------
+# S11 / S29 the stored side as a bucketed table
+# ---------------------------------------------------------------------------
+NEXT = "__next"
+
+
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Store ``df`` as catalog table ``table``, in ``buckets`` of its key, each sorted by it.
+
+    ``buckets`` is the table's parallelism for good: as many as shuffle
+    partitions at least (with fewer, Spark moves both sides of a join after
+    all), and so many that one is some hundred MB.
+    """
+    path = scratch_path(df.sparkSession, table)
+    spread = df.repartition(buckets, key)          # a file for each bucket, not one for each task and bucket
+    spread.write.format("parquet").mode("errorifexists").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+
+
+def settle(spark: SparkSession, table: str) -> None:
+    """Finish a change that stopped between its last two steps."""
+    if spark.catalog.tableExists(table + NEXT):
+        if spark.catalog.tableExists(table):
+            spark.sql(f"DROP TABLE {table}{NEXT}")             # it never came to be: the old version holds
+        else:
+            spark.sql(f"ALTER TABLE {table}{NEXT} RENAME TO {table}")
+
 
+def upsert_bucketed(incoming: DataFrame, table: str, key: str, now: _dt.datetime, buckets: int, order_col: str = "scraped_at") -> DataFrame:
+    """:func:`upsert` into a table of :func:`save_bucketed`; returns it as it is now.
 
-def checked_ids(rows: DataFrame, key: str) -> DataFrame:
-    """Fails the job if two keys were given one surrogate id (a hash of the key): rows of one hash share a bucket."""
-    if "id" not in rows.columns:
-        return rows
-    same = rows.groupBy("id").agg(F.count_distinct(key).alias("n")).filter(F.col("id").isNotNull() & (F.col("n") > 1))
-    if not same.isEmpty():
-        raise ValueError("two keys have the same surrogate id")
-    return rows
+    One full outer join on the bucketing key: the stored side is read once
+    and not moved, the batch is dealt to its buckets.  The next version is
+    written beside the old one and takes its name once its ids are checked,
+    so a job that fails before leaves the table as it was.
+    """
+    spark = incoming.sparkSession
+    settle(spark, table)
+    save_bucketed(outer_upsert(spark.table(table), incoming, key, now, order_col), table + NEXT, key, buckets)
+    out = spark.table(table + NEXT)
+    if "id" in out.columns:
+        same = out.where(F.col("id").isNotNull()).groupBy("id").agg(F.count_distinct(key).alias("n")).where("n > 1")
+        if not same.isEmpty():
+            spark.sql(f"DROP TABLE {table}{NEXT}")
+            raise ValueError("two keys have the same surrogate id")
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {table}{NEXT} RENAME TO {table}")
+    return spark.table(table)
+
+
+def outer_upsert(existing: DataFrame, incoming: DataFrame, key: str, now: _dt.datetime, order_col: str = "scraped_at") -> DataFrame:
+    """The rows of :func:`upsert` by one full outer join, for a stored side that lies by its key already."""
+    inc = dedupe_latest(incoming.filter(F.col(key).isNotNull()), key, order_col)
+    now_lit, o, i = ntz_lit(now), existing.alias("o"), inc.alias("i")
+    new, old = F.col(f"i.{key}").isNotNull(), F.col(f"o.{key}").isNotNull()
+    cols = []
+    for c in existing.columns:
+        if c == key:
+            value = F.coalesce(F.col(f"o.{key}"), F.col(f"i.{key}"))
+        elif c == "id":
+            value = F.coalesce(F.col("o.id"), F.when(new, F.xxhash64(F.col(f"i.{key}"))))
+        elif c == "created_at":
+            value = F.when(new & ~old, now_lit).otherwise(F.col("o.created_at"))
+        elif c == "updated_at":
+            value = F.when(new, now_lit).otherwise(F.col("o.updated_at"))
+        elif c in inc.columns and c != order_col:
+            value = F.when(new, F.col(f"i.{c}")).otherwise(F.col(f"o.{c}"))
+        else:
+            value = F.col(f"o.{c}")
+        cols.append(value.alias(c))
+    return o.join(i, F.col(f"o.{key}") == F.col(f"i.{key}"), "full_outer").select(*cols)
 
 
 # ---------------------------------------------------------------------------
@@ -279,3 +224,53 @@ def delete_by_query(reviews: DataFrame, businesses: DataFrame, executions: DataF
     runs = executions.filter(F.col("search_query") == search_query).select(F.col("id").alias("execution_id"))
     ids = businesses.join(runs, "execution_id", "left_semi").select(F.col("id").alias("business_id"))
     return reviews.join(ids, "business_id", "left_anti")
+
+
+# ---------------------------------------------------------------------------
+# S25 / S26 on stored tables
+# ---------------------------------------------------------------------------
+RUN = "execution_id"
+
+
+def save_by_run(df: DataFrame, path: str) -> None:
+    """Store rows in a partition for each run; a busy run's rows stay in as many files as tasks wrote them."""
+    df.write.mode("errorifexists").partitionBy(RUN).parquet(path)
+
+
+def stored_by_run(spark: SparkSession, path: str, of: DataFrame) -> DataFrame:
+    """The rows of such a table, ``of`` being the rows it was first made of (for its columns' types)."""
+    kinds = of.schema
+    if not exists(spark, path):
+        return of.where(F.lit(False))
+    return spark.read.schema(kinds).parquet(path).select(*of.columns)
+
+
+def delete_rows(table: DataFrame, path: str, doomed: DataFrame, key: str) -> list[int | None]:
+    """Delete the rows of ``table`` (stored by run under ``path``) whose ``key`` is in ``doomed`` (columns of run and key); returns the runs rewritten.
+
+    Only partitions of runs that ``doomed`` names are read and written.
+    What stays of them is written elsewhere first, then overwrites them;
+    partitions of which nothing stays go.
+    """
+    spark = table.sparkSession
+    runs = [r[0] for r in doomed.select(RUN).distinct().collect()]            # as many as runs
+    if not runs:
+        return []
+    of_runs = F.col(RUN).isin([r for r in runs if r is not None])
+    touched = table.where(of_runs | F.col(RUN).isNull() if None in runs else of_runs)
+    left = materialize(touched.join(doomed.select(key).distinct(), key, "left_anti").select(*table.columns), "rows-left")
+    stay = {r[0] for r in left.select(RUN).distinct().collect()}
+    left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN).parquet(path)
+    for run in runs:
+        if run not in stay:
+            fs, p = _fs(spark, f"{path}/{RUN}={'__HIVE_DEFAULT_PARTITION__' if run is None else run}")
+            fs.delete(p, True)
+    return runs
+
+
+def delete_runs(spark: SparkSession, paths: list[str], runs: list[int]) -> None:
+    """S25 on stored tables: whole partitions of the runs go, from every table that has them; no row is read."""
+    for path in paths:
+        for run in runs:
+            fs, p = _fs(spark, f"{path}/{RUN}={run}")
+            fs.delete(p, True)

@@ -1,39 +1,45 @@
 """Structured Streaming jobs.
 
 The reference is trigger-driven (row triggers on insert).  Here every job is
-a file stream whose batches change a stored table under the shared folder:
-
-* T1 ``ingest_stream``: landed place files become businesses (upsert) and
-  their reviews (resolved, extracted, validated, each stored once);
-* T2 ``review_stream``: re-delivered reviews are stored once, by upsert on
-  their id, whichever batch they come in;
-* T3 ``run_counter_stream``: review counts per run are added up;
-* T4 ``velocity_stream``: events per day and type are added up; longer
-  windows (90 days tumbling, or sliding by a day) are sums of days.
-
-No event is late: a batch adds to whatever is stored, so the result does not
-depend on how rows are dealt out to batches or in which order they come.  A
-table's manifest holds the number of the last batch it took, so a batch that
-is run again after a failure counts once.
+a file stream:
+
+* T1 ``ingest_stream``: landed place files become rows of a growing table,
+  known by the file they came from (:mod:`marketlens.sources.landing`);
+* T2 ``review_stream``: of re-delivered reviews the first is stored; the ids
+  seen are streaming state;
+* T3 ``run_counter_stream``: review counts per run are streaming state, every
+  change of a count is written;
+* T4 ``velocity_stream``: events per window and type, likewise.
+
+State is kept by Spark's RocksDB state store.  T2 to T4 write each batch to
+its own partition (source, run, batch) of a Parquet folder, overwritten if the
+batch is run again; the run is the id of the streaming query, which its
+checkpoint keeps over restarts.  By default the checkpoints lie in the folder
+itself, one for each source.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marketlens.functions.scalar import instant_from_ntz, ntz_from_instant
-from marketlens.operators import quality as Q
-from marketlens.session import checkpoint_dir, scratch_path
+from marketlens.session import scratch_path
 from marketlens.sources import fixture as fx
-from marketlens.sources import places as P
-from marketlens.sources import store as S
+from marketlens.sources import landing as L
+from marketlens.sources.store import exists, is_directory
 from marketlens.sources.tables import table_path
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: RocksDB for state, and the progress of every batch of a call.
+STREAM_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.numRecentProgressUpdates": "100000"}
+
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
     """Stream one driver table's parquet file(s) with its batch schema, from any file system."""
@@ -41,80 +47,166 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
     rd = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         rd = rd.option("maxFilesPerTrigger", max_files)
-    if S.is_directory(spark, path):
+    if is_directory(spark, path):
         return rd.parquet(path)
     folder, _, file = path.rpartition("/")
     return rd.option("pathGlobFilter", file).parquet(folder)
 
 
-def run_batches(df: DataFrame, name: str, apply: Callable[[DataFrame, int], None], checkpoint: str | None = None) -> None:
-    """Drive a stream to its end, one call of ``apply`` for each batch."""
-    ckpt = checkpoint or f"{checkpoint_dir(df.sparkSession)}/streams/{name}-{uuid.uuid4().hex[:10]}"
-    q = df.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-    q.awaitTermination()
+@contextmanager
+def stream_conf(spark: SparkSession) -> Iterator[None]:
+    """Settings of the queries started here (a query keeps its state's place from its first start)."""
+    before = {k: spark.conf.get(k, None) for k in STREAM_CONF}
+    for k, v in STREAM_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def run_batches(df: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> list[dict]:
+    """Drive a stream to the end of what is there, one call of ``apply`` for each batch; returns the progress of its batches."""
+    with stream_conf(df.sparkSession):
+        q = df.writeStream.foreachBatch(apply).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    return [p if isinstance(p, dict) else p.jsonValue for p in q.recentProgress]
+
+
+def query_run(spark: SparkSession) -> str:
+    """Inside a batch: the id of the streaming query, the same over restarts from its checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def source_name(path: str) -> str:
+    """A short name of a source folder; each has a query, and so a checkpoint, of its own (Spark's file log belongs to one folder)."""
+    return hashlib.sha256(path.rstrip("/").encode()).hexdigest()[:16]
+
+
+def checkpoint_of(base: str, path: str) -> str:
+    return f"{base}/_checkpoint/{source_name(path)}"
+
+
+def write_batch(rows: DataFrame, base: str, source: str, number: int) -> None:
+    """The rows of one batch as partition (source, run, batch); a batch that is run again replaces what it wrote."""
+    told = {"source": F.lit(source), "run": F.lit(query_run(rows.sparkSession)), "batch": F.lit(number).cast("long")}
+    rows.withColumns(told).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*told).parquet(f"{base}/rows")
+
+
+def written(spark: SparkSession, base: str, schema: StructType) -> DataFrame:
+    """What the batches wrote, with ``source``, ``run`` and ``batch``."""
+    schema = StructType.fromDDL(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema)}, source string, run string, batch long")
+    if not exists(spark, f"{base}/rows"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{base}/rows")
+
+
+def totals(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The last value written for each key by each source's query, summed over the sources."""
+    values = [c for c in rows.columns if c not in (*keys, "source", "run", "batch")]
+    last = rows.groupBy("source", *keys).agg(F.max_by(F.struct(*values), "batch").alias("_v"))
+    kinds = dict(rows.dtypes)
+    return last.groupBy(*keys).agg(*[F.sum(F.col("_v")[c]).cast(kinds[c]).alias(c) for c in values])
 
 
-def _result(spark: SparkSession, base: str, empty: DataFrame) -> DataFrame:
-    """The stored table, or ``empty`` if no batch had a row."""
-    return S.read_latest(spark, base) if S.latest_version(spark, base) is not None else empty
+def one_run(spark: SparkSession, base: str, source: str) -> None:
+    """Totals begin with a query's first batch: a second query over the same source would count its rows twice."""
+    if not exists(spark, f"{base}/rows"):
+        return
+    run = query_run(spark)
+    others = spark.read.parquet(f"{base}/rows").where((F.col("source") == source) & (F.col("run") != run)).select("run").limit(1).collect()
+    if others:
+        raise ValueError(f"{base} holds this source's rows from query {others[0].run}, whose checkpoint this one does not have: go on from that, or name another folder")
 
 
 def review_stream(spark: SparkSession, sf_dir: str, duplicate_every: int = 19, max_files: int | None = None,
                   base: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """A review stream with re-delivered rows; every review is stored once, its first delivery kept."""
+    """A review stream with re-delivered rows; every review is stored once, its first delivery kept.
+
+    The ids seen are the state of ``dropDuplicates``, one for each review,
+    spread over the shuffle partitions.  Called again, the state goes on; a
+    query over another folder, or with another checkpoint (a lost one), leaves
+    the reviews that other queries stored under ``base`` out of its batches,
+    so none is lost or stored twice.
+    """
     base = base or scratch_path(spark, "stream_reviews")
-    r = fx.reviews_from_orders(table_stream(spark, sf_dir, "orders", max_files))
     cols = ["id", "business_id", "stars", "published_at"]
+    delivered = fx.reviews_from_orders(table_stream(spark, sf_dir, "orders", max_files)).select(*cols)
+    times = F.when(F.col("id") % duplicate_every == 0, 2).otherwise(1)
+    delivered = delivered.select(*cols, F.explode(F.array_repeat(F.lit(0), times)).alias("_again")).drop("_again")
+    schema = delivered.schema
 
     def apply(batch: DataFrame, number: int) -> None:
-        again = batch.filter(F.col("id") % duplicate_every == 0)
-        new = batch.unionByName(again).select(*cols)
-        first = lambda old, inc: old.unionByName(inc.dropDuplicates(["id"]).join(old.select("id"), "id", "left_anti").select(*cols))
-        S.change_snapshot(new, base, "id", first, new.schema, number)
+        earlier = written(spark, base, schema).where(F.col("run") != query_run(spark)).select("id")
+        write_batch(batch.join(earlier, "id", "left_anti").select(*cols), base, source_name(sf_dir), number)
 
-    run_batches(r, "review_dedupe", apply, checkpoint)
-    return _result(spark, base, spark.createDataFrame([], r.select(*cols).schema))
+    run_batches(delivered.dropDuplicates(["id"]), apply, checkpoint or checkpoint_of(base, sf_dir))
+    return written(spark, base, schema).select(*cols)
 
 
-def run_counter_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """Review counts per execution, added up batch by batch (a stream-static join with the businesses)."""
-    base = scratch_path(spark, "stream_run_counters")
+def run_counter_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None, base: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Review counts per execution (a stream-static join with the businesses), as state; changed counts are written."""
+    base = base or scratch_path(spark, "stream_run_counters")
     r = fx.reviews_from_orders(table_stream(spark, sf_dir, "orders", max_files))
     b = fx.businesses(spark, sf_dir).select(F.col("id").alias("business_id"), "execution_id")
+    counts = r.select("business_id").join(b, "business_id").groupBy("execution_id").agg(F.count(F.lit(1)).alias("total_reviews"))
 
     def apply(batch: DataFrame, number: int) -> None:
-        per = batch.groupBy("business_id").agg(F.count(F.lit(1)).alias("n"))
-        counts = per.join(b, "business_id").groupBy("execution_id").agg(F.sum("n").alias("total_reviews"))
-        S.add_to_snapshot(counts, base, ["execution_id"], ["total_reviews"], number)
+        one_run(spark, base, source_name(sf_dir))
+        write_batch(batch, base, source_name(sf_dir), number)
 
-    run_batches(r, "run_counters", apply)
-    return _result(spark, base, spark.createDataFrame([], "execution_id long, total_reviews long")).select("execution_id", "total_reviews")
+    run_batches(counts, apply, checkpoint or checkpoint_of(base, sf_dir), "update")
+    return totals(written(spark, base, counts.schema), ["execution_id"])
 
 
-def velocity_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """T4: events per day and type (``window_start, event_type, events, value_sum``), added up batch by batch.
+def velocity_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None, base: str | None = None, checkpoint: str | None = None,
+                    length: str = "1 day", step: str | None = None, late: str | None = None) -> DataFrame:
+    """T4: events per window and type (``window_start, event_type, events, value_sum``) as state; changed windows are written.
 
-    Event times are read as UTC, so windows do not move with the session's
-    time zone.  Rows without a time belong to no window.
+    Windows tumble, or slide by ``step``.  Event times are read as UTC, so
+    windows do not move with the session's time zone; rows without a time
+    belong to no window.  Without ``late`` no event is too late, and the
+    state has a row for each window and type.  With it (a delay), windows
+    that ended that long before the latest event are closed and leave the
+    state; events that the batch before already had closed windows for are
+    dropped, and their number is told by :func:`late_events`.
     """
-    base = scratch_path(spark, "stream_velocity")
-    ev = table_stream(spark, sf_dir, "events", max_files).withColumn("event_time", instant_from_ntz(F.col("ts")))
+    base = base or scratch_path(spark, "stream_velocity")
+    ev = table_stream(spark, sf_dir, "events", max_files).withColumn("event_time", instant_from_ntz(F.col("ts"))).where(F.col("event_time").isNotNull())
+    if late:
+        ev = ev.withWatermark("event_time", late)
+    windows = (ev.groupBy(F.window("event_time", length, step).alias("w"), "event_type")
+               .agg(F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast("decimal(38,6)")).cast("decimal(38,6)").alias("value_sum"))
+               .select(ntz_from_instant(F.col("w.start")).alias("window_start"), "event_type", "events", "value_sum"))
 
     def apply(batch: DataFrame, number: int) -> None:
-        days = (batch.filter(F.col("event_time").isNotNull()).groupBy(F.window("event_time", "1 day").alias("w"), "event_type")
-                .agg(F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast("decimal(38,6)")).cast("decimal(38,6)").alias("value_sum"))
-                .select(ntz_from_instant(F.col("w.start")).alias("window_start"), "event_type", "events", "value_sum"))
-        S.add_to_snapshot(days, base, ["window_start", "event_type"], ["events", "value_sum"], number)
+        one_run(spark, base, source_name(sf_dir))
+        write_batch(batch, base, source_name(sf_dir), number)
 
-    run_batches(ev, "velocity", apply)
-    empty = spark.createDataFrame([], "window_start timestamp_ntz, event_type string, events long, value_sum decimal(38,6)")
-    return _result(spark, base, empty).select("window_start", "event_type", "events", "value_sum")
+    progress = run_batches(windows, apply, checkpoint or checkpoint_of(base, sf_dir), "update")
+    if late:
+        dropped = [(p["id"], p["batchId"], sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"])) for p in progress]
+        spark.createDataFrame(dropped, "run string, batch long, dropped long").coalesce(1).write.mode("append").parquet(f"{base}/late")
+    return totals(written(spark, base, windows.schema), ["window_start", "event_type"])
+
+
+def late_events(spark: SparkSession, base: str) -> int:
+    """How many rows (events, summed per window, type and task beforehand) came too late for their window."""
+    if not exists(spark, f"{base}/late"):
+        return 0
+    return spark.read.parquet(f"{base}/late").groupBy("run", "batch").agg(F.max("dropped").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def longer_windows(days: DataFrame, length: int = 90, step: int | None = None) -> DataFrame:
-    """Windows of ``length`` days from daily sums: tumbling (from the epoch on), or starting every ``step`` days."""
+    """Windows of ``length`` days from daily sums: tumbling (from the epoch on), or starting every ``step`` days.
+
+    The stream's own sliding windows (``velocity_stream(step=...)``) put every
+    event into ``length / step`` windows before the first sum; from daily sums
+    only a row for each day and type is repeated.
+    """
     step = step or length
     day: Column = F.date_diff(F.col("window_start").cast("date"), F.lit(_dt.date(1970, 1, 1)))
     last = F.floor(day / step) * step
@@ -125,45 +217,25 @@ def longer_windows(days: DataFrame, length: int = 90, step: int | None = None) -
             .select(F.date_add(F.lit(_dt.date(1970, 1, 1)), F.col("start").cast("int")).cast("timestamp_ntz").alias("window_start"), "event_type", "events"))
 
 
-REVIEW = "review_id string, business_id long, reviewer_name string, stars int, review_text string, published_at date"
-
-
-def ingest_stream(spark: SparkSession, landing: str, businesses: str, existing: DataFrame, now: _dt.datetime,
-                  checkpoint: str | None = None, max_files: int | None = None) -> str:
-    """Every batch of landed place files is upserted, and its reviews are stored.
+def ingest_stream(spark: SparkSession, landing: str, base: str, now: _dt.datetime, checkpoint: str | None = None,
+                  max_files: int | None = None, archive: str | None = None) -> int:
+    """Store the items of landing files not yet taken under ``base``; returns how many files these were.
 
-    ``businesses`` is the folder of the stored table; reviews go to
-    ``<businesses>_reviews``, rejected ones to ``<businesses>_rejected`` with
-    a reason.  ``existing`` seeds the businesses if nothing is stored yet.
-    Run again with the same ``checkpoint``, only files not yet taken count.
+    A file is known by its path and time of change, noted beside the items,
+    so calls with other folders, with a new checkpoint, or after a failure
+    store every row once.  With ``archive``, files that are done are moved
+    there by Spark.  The businesses and reviews are read by
+    :mod:`marketlens.sources.landing`.
     """
-    schema = existing.schema
-    if S.latest_version(spark, businesses) is None:
-        S.change_snapshot(existing, businesses, "apify_place_id", lambda old, new: new, schema)
-    accepted = spark.createDataFrame([], REVIEW).schema
-
-    def apply(batch: DataFrame, number: int) -> None:
-        # The landing files are read again by both parts of a batch; nothing is kept on executors.
-        inc = P.combine_business(batch)
-        S.upsert_snapshot(inc.select(*[c for c in inc.columns if c in schema.names or c == "scraped_at"]), businesses, "apify_place_id", now, schema, number)
-        stored = S.read_latest(spark, businesses)
-        known, unknown = P.resolve_business(P.flatten_reviews(batch), stored)
-        ext = Q.extract_review_fields(known.withColumnRenamed("review_id", "id"))
-        rows = ext.withColumnRenamed("id", "review_id").select(*accepted.names)
-        good, bad = Q.split(rows, Q.stars_ok(F.col("stars")))
-        first = lambda old, new: old.unionByName(new.dropDuplicates(["review_id"]).join(old.select("review_id"), "review_id", "left_anti").select(*old.columns))
-        S.change_snapshot(good, f"{businesses}_reviews", "review_id", first, accepted, number)
-        rejected = (bad.select("review_id", F.lit("stars_range").alias("reason"))
-                    .unionByName(unknown.select("review_id", F.lit("no_business").alias("reason"))))
-        S.change_snapshot(rejected, f"{businesses}_rejected", "review_id", lambda old, new: old.unionByName(new).distinct(), rejected.schema, number)
-
-    stream = spark.readStream.schema(P.PLACE)
+    stream = (spark.readStream.schema(L.LANDED).option("columnNameOfCorruptRecord", L.CORRUPT))
     if max_files:
         stream = stream.option("maxFilesPerTrigger", max_files)
-    run_batches(stream.json(landing), "ingest", apply, checkpoint)
-    return businesses
+    if archive:
+        stream = stream.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    taken = []
 
+    def apply(batch: DataFrame, number: int) -> None:
+        taken.append(L.take(batch, base, now))
 
-def stored_reviews(spark: SparkSession, businesses: str) -> DataFrame:
-    """The reviews that :func:`ingest_stream` stored beside ``businesses``."""
-    return _result(spark, f"{businesses}_reviews", spark.createDataFrame([], REVIEW))
+    run_batches(L.with_source(stream.json(landing)), apply, checkpoint or checkpoint_of(base, landing))
+    return sum(taken)
