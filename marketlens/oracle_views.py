@@ -41,7 +41,7 @@ def words_table(groups: list[tuple[str, dict[str, str]]]) -> str:
 
 
 SAID = """said AS (
-  SELECT owner.category, owner.city, review.business_id, review.stars, review.review_text, review.published_at
+  SELECT owner.category, owner.city, review.id AS review_id, review.business_id, review.stars, review.review_text, review.published_at
   FROM business_reviews review JOIN businesses owner ON owner.id = review.business_id)"""
 
 NICHE_OPPORTUNITIES = with_market(f"""
@@ -72,10 +72,21 @@ ranked AS (
 CUSTOMER_PAIN_POINTS = with_market(f"""{_PAIN}
 SELECT category, city, n AS total_complaints,
   {', '.join(f"MAX(hits) FILTER (theme = '{k}') AS {k}_complaints, " + rounded(f"100.0 * MAX(hits) FILTER (theme = '{k}') / n", 1) + f" AS {k}_pct" for k in T.PAIN_THEMES)},
-  list(title ORDER BY hits DESC, place)[1] AS primary_pain_point
+  list(title ORDER BY hits DESC, place)[1] AS primary_pain_point,
+  (SELECT string_agg(substring(review_text, 1, 100), ' | ' ORDER BY substring(review_text, 1, 100), review_id) FROM sour
+   WHERE stars = 1 AND sour.category IS NOT DISTINCT FROM ranked.category AND sour.city IS NOT DISTINCT FROM ranked.city) AS sample_complaints
 FROM ranked GROUP BY category, city, n
 """)
 
+SAMPLE_COMPLAINT_PIECES = with_market(f"""
+WITH {SAID}, snippets AS (
+  SELECT category, city, substring(review_text, 1, 100) AS snippet, review_id,
+    coalesce(sum(length(substring(review_text, 1, 100)) + 3) OVER (PARTITION BY category, city ORDER BY substring(review_text, 1, 100), review_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM said WHERE stars = 1 AND review_text IS NOT NULL)
+SELECT category, city, start // 2000 AS part, CASE WHEN min(start) = 0 THEN '' ELSE ' | ' END || string_agg(snippet, ' | ' ORDER BY start) AS text
+FROM snippets GROUP BY category, city, part
+""")
+
 SAMPLE_COMPLAINTS = with_market(f"""{_PAIN}
 SELECT sour.category, sour.city, substring(review_text, 1, 100) AS snippet, COUNT(*) AS mentions
 FROM sour JOIN market ON market.category IS NOT DISTINCT FROM sour.category AND market.city IS NOT DISTINCT FROM sour.city
@@ -246,7 +257,7 @@ FROM business_reviews JOIN (SELECT id AS shop, business_name, rating FROM busine
 WHERE stars <= 3 ORDER BY stars, id LIMIT 5
 """)
 
-SUCCESS_FACTORS = with_market("""
+SUCCESS_FACTOR_ROWS = with_market("""
 WITH factor(word, place) AS (VALUES ('service', 1), ('quality', 2), ('friendly', 3), ('professional', 4)),
 praise AS (
   SELECT business_name, (SELECT arg_min(word, place) FROM factor WHERE contains(lower(review_text), word)) AS factor
@@ -255,8 +266,22 @@ SELECT business_name, factor, COUNT(*) AS mentions, (SUM(COUNT(*)) OVER (PARTITI
 FROM praise GROUP BY business_name, factor
 """)
 
-COMPLAINT_THEMES = with_market("""
+COMPLAINT_THEME_ROWS = with_market("""
 SELECT business_name, review_text AS complaint, COUNT(*) AS mentions, (SUM(COUNT(*)) OVER (PARTITION BY business_name))::BIGINT AS complaint_count
 FROM business_reviews JOIN businesses b ON b.id = business_id WHERE stars <= 2 AND contains(lower(review_text), 'fee')
 GROUP BY business_name, review_text QUALIFY SUM(COUNT(*)) OVER (PARTITION BY business_name) > 3
 """)
+
+SUCCESS_FACTORS = with_market("""
+WITH praise AS (
+  SELECT business_name, business_reviews.id, CASE WHEN review_text ILIKE '%service%' THEN 'service' WHEN review_text ILIKE '%quality%' THEN 'quality'
+      WHEN review_text ILIKE '%friendly%' THEN 'friendly' WHEN review_text ILIKE '%professional%' THEN 'professional' END AS factor
+  FROM business_reviews JOIN businesses b ON b.id = business_id WHERE b.rating > 4.7 AND stars >= 4)
+SELECT business_name, COUNT(*) AS positive_review_count, string_agg(factor, ', ' ORDER BY id) AS success_factors FROM praise GROUP BY business_name
+""")
+
+COMPLAINT_THEMES = with_market("""
+SELECT business_name, COUNT(*) AS complaint_count, string_agg(review_text, ' | ' ORDER BY business_reviews.id) AS sample_complaints
+FROM business_reviews JOIN businesses b ON b.id = business_id WHERE stars <= 2 AND review_text ILIKE '%fee%'
+GROUP BY business_name HAVING COUNT(*) > 3
+""")

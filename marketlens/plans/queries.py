@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from marketlens.functions import themes as T
 from marketlens.functions.jsonops import has_key
 from marketlens.functions.scalar import avg_exact, dround, ntz_lit, safe_div
+from marketlens.operators.joined_text import joined_pieces, joined_texts
 from marketlens.plans import views as V
 from marketlens.session import materialize
 from marketlens.sources.fixture import AS_OF
@@ -206,13 +207,27 @@ def sentiment_buckets(r: DataFrame) -> DataFrame:
     return r.groupBy(bucket.alias("sentiment")).agg(F.count(F.lit(1)).alias("review_count"))
 
 
+def _keyword_complaints(r: DataFrame, kw: str) -> DataFrame:
+    return r.filter((F.col("stars") <= 2) & F.col("review_text").ilike(f"%{kw}%"))
+
+
 def complaint_themes(b: DataFrame, r: DataFrame, kw: str = "fee", min_n: int = 3) -> DataFrame:
-    """Q11: businesses with more than min_n ≤2-star reviews containing kw, and those texts as rows.
+    """Q11: businesses with more than min_n ≤2-star reviews containing kw, their number, and their texts joined in order of ids."""
+    hits = _keyword_complaints(r, kw).select("id", "business_id", "review_text")
+    named = hits.join(b.select(F.col("id").alias("business_id"), "business_name"), "business_id")
+    counts = (hits.groupBy("business_id").agg(F.count(F.lit(1)).alias("m")).join(b.select(F.col("id").alias("business_id"), "business_name"), "business_id")
+              .groupBy("business_name").agg(F.sum("m").cast("bigint").alias("complaint_count")).filter(F.col("complaint_count") > min_n))
+    pieces = joined_pieces(named, ["business_name"], "review_text", ["id"], " | ")
+    return counts.join(joined_texts(pieces, ["business_name"], "sample_complaints"), "business_name")
+
+
+def complaint_theme_rows(b: DataFrame, r: DataFrame, kw: str = "fee", min_n: int = 3) -> DataFrame:
+    """Q11 with its texts as rows: businesses with more than min_n ≤2-star reviews containing kw, and those texts as rows.
 
     Matching reviews are counted per (business, text) first; a business's
     total is a second sum, so texts are never gathered in one cell.
     """
-    hits = r.filter((F.col("stars") <= 2) & F.col("review_text").ilike(f"%{kw}%"))
+    hits = _keyword_complaints(r, kw)
     pairs = hits.groupBy("business_id", "review_text").agg(F.count(F.lit(1)).alias("m"))
     named = (pairs.join(b.select(F.col("id").alias("business_id"), "business_name"), "business_id")
              .groupBy("business_name", F.col("review_text").alias("complaint")).agg(F.sum("m").cast("bigint").alias("mentions")))
@@ -237,19 +252,34 @@ def worst_shop(b: DataFrame, category_like: str = "auto") -> DataFrame:
             .orderBy(F.asc_nulls_last("rating"), "id").limit(1).select("id", "business_name", "rating"))
 
 
-def success_factors(b: DataFrame, r: DataFrame, min_rating: float = 4.7) -> DataFrame:
-    """High performers → positive reviews → first-match factor tags, a row per (business, factor).
-
-    Reviews without a tag count under a NULL factor.  Positive reviews are
-    summed per (business, factor) and joined once.
-    """
+def _praise(b: DataFrame, r: DataFrame, min_rating: float) -> tuple[DataFrame, DataFrame]:
+    """High performers, and positive reviews with their first-match factor tag."""
     hp = b.filter(F.col("rating") > min_rating).select(F.col("id").alias("business_id"), "business_name")
     text = F.col("review_text")
     factor = None
     for f in T.SUCCESS_FACTORS:
         cond = text.ilike(f"%{f}%")
         factor = F.when(cond, f) if factor is None else factor.when(cond, f)
-    per = r.filter(F.col("stars") >= 4).groupBy("business_id", factor.alias("factor")).agg(F.count(F.lit(1)).alias("m"))
+    return hp, r.filter(F.col("stars") >= 4).select("id", "business_id", factor.alias("factor"))
+
+
+def success_factors(b: DataFrame, r: DataFrame, min_rating: float = 4.7) -> DataFrame:
+    """High performers → positive reviews → their number, and their first-match factor tags joined in order of ids."""
+    hp, praise = _praise(b, r, min_rating)
+    per = praise.groupBy("business_id").agg(F.count(F.lit(1)).alias("m"))
+    total = per.join(hp, "business_id").groupBy("business_name").agg(F.sum("m").cast("bigint").alias("positive_review_count"))
+    pieces = joined_pieces(praise.filter(F.col("factor").isNotNull()).join(hp, "business_id"), ["business_name"], "factor", ["id"], ", ")
+    return total.join(joined_texts(pieces, ["business_name"], "success_factors"), "business_name", "left")
+
+
+def success_factor_rows(b: DataFrame, r: DataFrame, min_rating: float = 4.7) -> DataFrame:
+    """Q19 / X7 with its tags as rows, one for each (business, factor).
+
+    Reviews without a tag count under a NULL factor.  Positive reviews are
+    summed per (business, factor) and joined once.
+    """
+    hp, praise = _praise(b, r, min_rating)
+    per = praise.groupBy("business_id", "factor").agg(F.count(F.lit(1)).alias("m"))
     named = per.join(hp, "business_id").groupBy("business_name", "factor").agg(F.sum("m").cast("bigint").alias("mentions"))
     total = named.groupBy("business_name").agg(F.sum("mentions").cast("bigint").alias("positive_review_count"))
     return named.join(total, "business_name")
@@ -447,7 +477,7 @@ def competitive_intel(b: DataFrame, r: DataFrame) -> DataFrame:
                   .groupBy(*keys).agg(F.count(F.lit(1)).alias("vulnerable_targets")))
     swot = V.niche_swot_analysis(b, r, ordered=False, facts=facts).select(
         *keys, "primary_weakness", "strategic_opportunity")
-    pain = V.customer_pain_points(b, r, ordered=False, facts=facts).select(*keys, "primary_pain_point")
+    pain = V.customer_pain_points(b, r, ordered=False, facts=facts, texts=False).select(*keys, "primary_pain_point")
     return (leaders.join(swot, keys).join(pain, keys, "left").join(vulnerable, keys, "left")
             .select(*keys, "strong_incumbents", "top_inc_score",
                     F.coalesce("vulnerable_targets", F.lit(0)).alias("vulnerable_targets"),
@@ -468,5 +498,5 @@ def product_development(b: DataFrame, r: DataFrame) -> DataFrame:
     facts = shared_facts(r)
     gaps = V.niche_service_gaps(b, r, ordered=False, facts=facts).filter(F.col("gap_status") == "CRITICAL_GAP").select(
         *keys, "specialty_type", "customer_demand", "sentiment_when_mentioned", "positioning_strategy")
-    pain = V.customer_pain_points(b, r, ordered=False, facts=facts).select(*keys, "primary_pain_point")
+    pain = V.customer_pain_points(b, r, ordered=False, facts=facts, texts=False).select(*keys, "primary_pain_point")
     return gaps.join(pain, keys, "left")

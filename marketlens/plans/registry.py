@@ -67,7 +67,7 @@ def _views(spark, d) -> dict[str, DataFrame]:
     f = Q.shared_facts(r)       # one review scan shared by all views
     return {
         "niche_opportunities": V.niche_opportunities(b, ordered=False),
-        "customer_pain_points": V.customer_pain_points(b, r, ordered=False, facts=f),
+        "customer_pain_points": V.customer_pain_points(b, r, ordered=False, facts=f, texts=False),
         "market_leaders": V.market_leaders(b, r, ordered=False, facts=f),
         "vulnerable_players": V.vulnerable_players(b, r, ordered=False, facts=f),
         "review_velocity_trends": V.review_velocity_trends(b, r, ordered=False, facts=f),
@@ -140,8 +140,10 @@ REVIEW_QUERIES: dict[str, Query] = {
     "sentiment_by_category": _brq(Q.sentiment_by_category),
     "sentiment_buckets": lambda s, d: Q.sentiment_buckets(_r(s, d)),
     "complaint_themes": _brq(Q.complaint_themes),
+    "complaint_theme_rows": _brq(Q.complaint_theme_rows),
     "worst_shop_complaints": _brq(Q.worst_shop_complaints),
     "success_factors": _brq(Q.success_factors),
+    "success_factor_rows": _brq(Q.success_factor_rows),
     "orphan_reviews": lambda s, d: Q.orphan_reviews(_b(s, d), fx.incoming_reviews(_r(s, d))),
     "businesses_with_reviews": _brq(Q.businesses_with_reviews),
     "counts_per_parent": _brq(Q.counts_per_parent),
@@ -173,14 +175,19 @@ def _cols(view: str, *cols: str) -> Query:
     return lambda s, d: VIEW_QUERIES[view](s, d).select(*cols)
 
 
+def _pain_cols(*cols: str) -> Query:
+    return lambda s, d: V.customer_pain_points(_b(s, d), _r(s, d), texts=False).select(*cols)
+
+
 PART_QUERIES: dict[str, Query] = {
     "inc_score": _cols("market_leaders", "id", "inc_score", "market_position"),                 # F8
     "rating_consistency": _cols("market_leaders", "id", "rating_variance"),                     # F7
-    "pain_theme_counts": _cols("customer_pain_points", "category", "city", "total_complaints",  # A5
+    "pain_theme_counts": _pain_cols( "category", "city", "total_complaints",  # A5
                                *[f"{k}_complaints" for k in T.PAIN_THEMES]),
-    "pain_pct": _cols("customer_pain_points", "category", "city",                               # F10
+    "pain_pct": _pain_cols( "category", "city",                               # F10
                       *[f"{k}_pct" for k in T.PAIN_THEMES]),
     "sample_complaints": _brq(V.complaint_snippets),  # A8
+    "sample_complaint_pieces": _brq(V.complaint_pieces, piece=2000),
     "positioning": _cols("niche_service_gaps", "category", "city", "specialty_type",            # F3
                          "positioning_strategy"),
     "strength_list": _cols("niche_swot_analysis", "category", "city", "strength_list",          # F16

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import themes as T
+from marketlens.operators.joined_text import PIECE, joined_pieces, joined_texts
 from marketlens.functions.scalar import dround, pct, safe_div
 from marketlens.sources.fixture import AS_OF
 
@@ -212,15 +213,15 @@ PAIN_LABELS = (
 
 
 def _low_star_texts(reviews: DataFrame) -> DataFrame:
-    return reviews.select("business_id", "stars", "review_text").filter((F.col("stars") <= 2) & F.col("review_text").isNotNull())
+    return reviews.select(*[c for c in ("id", "business_id", "stars", "review_text") if c in reviews.columns]).filter((F.col("stars") <= 2) & F.col("review_text").isNotNull())
 
 
 def customer_pain_points(businesses: DataFrame, reviews: DataFrame, ordered: bool = True,
-                         facts: DataFrame | None = None) -> DataFrame:
+                         facts: DataFrame | None = None, texts: bool = True) -> DataFrame:
     """One scan of the negative reviews, summed per business, then per market.
 
-    The complaint texts themselves are rows of :func:`complaint_snippets`; no
-    text is gathered here.
+    With ``texts``, ``sample_complaints`` joins the market's 1-star snippets
+    (:func:`complaint_pieces`); without, no text is read for it.
     """
     keys = ["category", "city"]
     per = facts if facts is not None else _low_star_texts(reviews).groupBy("business_id").agg(*_agg_pain())
@@ -240,6 +241,10 @@ def customer_pain_points(businesses: DataFrame, reviews: DataFrame, ordered: boo
         primary = F.when(cond, label) if primary is None else primary.when(cond, label)
     primary = primary.otherwise("Availability & Hours")
     out = grp.select(*cols, primary.alias("primary_pain_point"))
+    if texts:
+        joined = joined_texts(complaint_pieces(businesses, reviews), keys, "sample_complaints").withColumnsRenamed({k: f"_{k}" for k in keys})
+        same = F.col("category").eqNullSafe(F.col("_category")) & F.col("city").eqNullSafe(F.col("_city"))
+        out = out.join(joined, same, "left").drop("_category", "_city")
     if ordered:
         out = out.orderBy(F.desc("total_complaints"))
     return out
@@ -264,15 +269,17 @@ def complaint_snippets(businesses: DataFrame, reviews: DataFrame) -> DataFrame:
     return per.join(markets, same, "left_semi")
 
 
-def joined_complaints(businesses: DataFrame, reviews: DataFrame) -> DataFrame:
-    """On request: each market's snippets, repeated as often as given, as one text in order.
+def complaint_pieces(businesses: DataFrame, reviews: DataFrame, piece: int = PIECE) -> DataFrame:
+    """Each market's 1-star snippets joined by `` | `` in their order, in pieces (category, city, part, text)."""
+    keys = ["category", "city"]
+    owner = businesses.select(F.col("id").alias("business_id"), *keys)
+    rows = _low_star_texts(reviews).filter(F.col("stars") == 1).select("id", "business_id", F.substring("review_text", 1, 100).alias("snippet")).join(owner, "business_id")
+    return joined_pieces(rows, keys, "snippet", ["snippet", "id"], " | ", piece)
 
-    A market's text must fit a row; use :func:`complaint_snippets` where it may not.
-    """
-    pairs = complaint_snippets(businesses, reviews).groupBy("category", "city").agg(
-        F.sort_array(F.collect_list(F.struct("snippet", "mentions"))).alias("_s"))
-    each = F.transform("_s", lambda x: F.array_repeat(x["snippet"], x["mentions"].cast("int")))
-    return pairs.select("category", "city", F.array_join(F.flatten(each), " | ").alias("sample_complaints"))
+
+def joined_complaints(businesses: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Each market's snippets as one text; it must fit a row."""
+    return joined_texts(complaint_pieces(businesses, reviews), ["category", "city"], "sample_complaints")
 
 
 # ---------------------------------------------------------------------------

@@ -38,7 +38,7 @@ def test_city_filter_is_pushed_to_the_stored_scan(spark, sf_dir):
     assert "EqualTo(city,METRO)" in _plan(df).split("PushedFilters: ", 1)[1].split("ReadSchema", 1)[0]
 
 
-@pytest.mark.parametrize("key", ["customer_pain_points", "complaint_themes", "success_factors"])
+@pytest.mark.parametrize("key", ["pain_pct", "sample_complaints", "complaint_theme_rows", "success_factor_rows"])
 def test_no_texts_are_gathered(spark, sf_dir, key):
     assert "collect_list" not in _plan(E.queries()[key](spark, sf_dir))
 
