@@ -1,46 +1,24 @@
-"""Full-text search over review (or any) text: X1 term, X2 boolean, X3 phrase.
-
-PostgreSQL's ``to_tsvector('english', t) @@ to_tsquery(q)`` without a
-token-table shuffle: each row's text becomes an array of lexemes (stop words
-kept as NULL, so positions survive), and a tsquery compiles to a predicate
-over that array.  Tokens are cut by a built-in expression, rows that cannot
-match are dropped by built-in string tests first, and the rest is stemmed by
-a vectorised UDF that remembers the words it has seen.
-
-``token_table`` offers the exploded (id, pos, stem) relation; it stems each
-distinct token once and joins the stems back.
+"""Full-text search over a stored posting table: X1 term, X2 boolean, X3 phrase.
+
+``postings`` holds for each lexeme (English stem, stop words left out) and
+each text the positions where it stands, sorted by lexeme, so a term reads
+the row groups of its own.  A search is made of DataFrames of ids: a term is
+a filter, a phrase a join of two terms on id whose positions are compared,
+and, or and not are semi joins, unions and anti joins.  Words are stemmed
+when the table is built, each distinct one once; a search's own few words are
+stemmed on the driver, so no Python runs in its plan.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, StringType
+from pyspark.sql.types import StringType
 
 from marketlens.functions.stemmer import STOP_WORDS, lexeme, stem_word
 
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
-REMEMBERED = 500_000
-
-
-@F.pandas_udf(ArrayType(StringType()))
-def lexemes_of(tokens: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Lexemes of arrays of lowered tokens, NULL for stop words and null arrays."""
-    known: dict[str, str | None] = {}
-
-    def of(word: str) -> str | None:
-        if word not in known:
-            if len(known) > REMEMBERED:
-                known.clear()
-            known[word] = lexeme(word)
-        return known[word]
-
-    for batch in tokens:
-        yield batch.map(lambda words: None if words is None else [of(w) for w in words])
 
 
 @F.pandas_udf(StringType())
@@ -53,215 +31,119 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def stems(text: Column) -> Column:
-    """array<string> of lexemes in token order; stop words become NULL."""
-    return lexemes_of(tokens(text))
-
-
-# ---------------------------------------------------------------------------
-# tsquery → predicate
-# ---------------------------------------------------------------------------
-_TOK = re.compile(r"\s*(<->|<\d+>|[&|!()]|[^\W_]+(?::\*)?)")
-_DISTANCE = re.compile(r"<(->|\d+>)")
-
-
-def _lex(q: str) -> list[str]:
-    out, i = [], 0
-    q = q.strip()
-    while i < len(q):
-        m = _TOK.match(q, i)
-        if not m:
-            raise ValueError(f"tsquery syntax that is not supported near {q[i:]!r}")
-        out.append(m.group(1))
-        i = m.end()
-    return out
-
-
-def _parse(query: str):
-    """Nested tuples: ("|" or "&", left, right), ("!", x), ("phrase", [(offset, lexeme, prefix?)]); None where only stop words stand."""
-    toks = _lex(query)
-    pos = 0
-
-    def peek():
-        return toks[pos] if pos < len(toks) else None
-
-    def take():
-        nonlocal pos
-        if pos >= len(toks):
-            raise ValueError(f"unexpected end of tsquery {query!r}")
-        pos += 1
-        return toks[pos - 1]
-
-    def joined(op, left, right):
-        return (op, left, right) if left and right else left or right     # a stop word drops out
-
-    def either():
-        left = both()
-        while peek() == "|":
-            take()
-            left = joined("|", left, both())
-        return left
-
-    def both():
-        left = unary()
-        while peek() == "&":
-            take()
-            left = joined("&", left, unary())
-        return left
-
-    def unary():
-        if peek() == "!":
-            take()
-            inner = unary()
-            return ("!", inner) if inner else None
-        return phrase()
-
-    def word():
-        t = take()
-        if t in ("&", "|", "!", "(", ")") or _DISTANCE.match(t):
-            raise ValueError(f"a word is wanted at {t!r} in tsquery {query!r}")
-        prefix = t.endswith(":*")
-        found = lexeme(t[:-2] if prefix else t)
-        return found, prefix
-
-    def phrase():
-        if peek() == "(":
-            take()
-            inner = either()
-            if take() != ")":
-                raise ValueError("unbalanced parentheses in tsquery")
-            if peek() and _DISTANCE.match(peek()):
-                raise ValueError("a distance behind parentheses is not supported")
-            return inner
-        at, parts = 0, [(0, *word())]
-        while peek() and _DISTANCE.match(peek()):
-            step = take()
-            at += 1 if step == "<->" else int(step[1:-1])
-            parts.append((at, *word()))
-        parts = [p for p in parts if p[1] is not None]
-        return ("phrase", [(o - parts[0][0], w, prefix) for o, w, prefix in parts]) if parts else None
-
-    out = either()
-    if pos != len(toks):
-        raise ValueError(f"trailing tokens in tsquery: {toks[pos:]}")
-    return out
-
-
-def _is(found: Column, word: str, prefix: bool) -> Column:
-    return F.coalesce(found.startswith(word) if prefix else found == F.lit(word), F.lit(False))
-
-
-def _compile(node, arr: Column) -> Column:
-    kind = node[0]
-    if kind == "!":
-        return ~_compile(node[1], arr)
-    if kind in "|&":
-        left, right = _compile(node[1], arr), _compile(node[2], arr)
-        return left | right if kind == "|" else left & right
-    parts = node[1]
-    if len(parts) == 1:
-        return F.coalesce(F.exists(arr, lambda x: _is(x, parts[0][1], parts[0][2])), F.lit(False))
-
-    def at(i):
-        cond = F.lit(True)
-        for o, w, prefix in parts:
-            cond = cond & _is(F.get(arr, i + o), w, prefix)
-        return cond
-
-    return F.coalesce(F.exists(F.sequence(F.lit(0), F.greatest(F.size(arr) - 1, F.lit(0))), at), F.lit(False))
-
-
-def tsquery(arr: Column, query: str) -> Column:
-    """Compile ``& | ! ( ) <-> <N> word:*`` tsquery text to a boolean column over an array of lexemes.
+def token_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, pos, stem) for every non-stop-word token, positions 1-based, stop words counted.
 
-    Stop words drop out, as in PostgreSQL; a query of nothing else matches
-    nothing.  Syntax that is not supported raises.
+    Each distinct token is stemmed once, vectorised, and joined back (a side
+    that AQE broadcasts while it is small).
     """
-    node = _parse(query)
-    return _compile(node, arr) if node else F.lit(False)
+    tok = (df.select(id_col, F.posexplode(tokens(F.col(text_col))).alias("pos", "tok"))
+           .filter(~F.col("tok").isin(*sorted(STOP_WORDS))))
+    stem = tok.select("tok").distinct().select("tok", stem_udf("tok").alias("stem"))
+    return tok.join(stem, "tok").select(id_col, (F.col("pos") + 1).alias("pos"), "stem")
 
 
-def required_substrings(query: str) -> list[str]:
-    """Substrings that every matching text holds (lower-cased): beginnings of lexemes that stemming leaves alone.
+def postings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(stem, id, positions), a row for each lexeme of each text, sorted by stem for storing.
 
-    Only words that stand under no OR and no NOT are required.
+    Positions are gathered per text and token first, then per stem; a list
+    is no longer than its text.  Ids tell texts apart (equal ids count as
+    one text); NULL ids and texts have no postings.  A stem that stands in
+    many texts is spread over partitions by id.
     """
-    def of(node) -> list[str]:
-        if not node or node[0] in ("|", "!"):
-            return []
-        if node[0] == "&":
-            return of(node[1]) + of(node[2])
-        # The last two signs of a stem may differ in the word (company, compani); short stems more (dying, die).
-        return [w[:len(w) - 2] if len(w) > 3 else w[:1] for _, w, _ in node[1]]
-
-    return of(_parse(query))
-
-
-def matches(text: Column, query: str) -> Column:
-    """Boolean column: ``to_tsvector(text) @@ to_tsquery(query)``."""
-    return F.coalesce(F.exists(F.array(stems(text)), lambda a: tsquery(a, query)), F.lit(False))
-
-
-def fts_match(df: DataFrame, query: str, text_col: str = "review_text") -> DataFrame:
-    """Rows whose text matches the tsquery (NULL text never matches)."""
-    pre = F.col(text_col).isNotNull()
-    low = F.lower(F.col(text_col))
-    for sub in required_substrings(query):
-        pre = pre & F.contains(low, F.lit(sub))      # codegen'd pre-filter before tokenising
-    return df.filter(pre).filter(matches(F.col(text_col), query))
-
+    tok = (df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.posexplode(tokens(F.col(text_col))).alias("pos", "tok"))
+           .filter(~F.col("tok").isin(*sorted(STOP_WORDS))))
+    per = tok.groupBy("id", "tok").agg(F.collect_list((F.col("pos") + 1).cast("int")).alias("at"))
+    stem = per.select("tok").distinct().select("tok", stem_udf("tok").alias("stem"))
+    each = per.join(stem, "tok").groupBy("stem", "id").agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("positions"))
+    return each.repartitionByRange("stem", "id").sortWithinPartitions("stem", "id")
 
-def register_sql(spark) -> None:
-    """``text_matches(text, query)`` for callers of ``spark.sql``; the query may differ from row to row.
 
-    Rows are matched in a vectorised UDF by the same lexemes and the same parsed query.
-    """
-    @F.pandas_udf(BooleanType())
-    def text_matches(texts: pd.Series, queries: pd.Series) -> pd.Series:
-        word = re.compile(r"[^\W_]+")
-        parsed = {q: _parse(q) for q in queries.unique() if q is not None}
+# ---------------------------------------------------------------------------
+# searches: DataFrames of ids, None where only stop words stand
+# ---------------------------------------------------------------------------
+def _hits(table: DataFrame, word: str, prefix: bool) -> DataFrame | None:
+    stem = lexeme(word.lower())
+    if stem is None:
+        return None
+    return table.where(F.col("stem").startswith(stem) if prefix else F.col("stem") == stem)
+
+
+def term(table: DataFrame, word: str, prefix: bool = False) -> DataFrame | None:
+    """Texts that hold the word (``prefix``: a lexeme that begins with its stem); None for a stop word."""
+    hits = _hits(table, word, prefix)
+    return hits if hits is None else hits.select("id").distinct() if prefix else hits.select("id")
+
+
+def phrase(table: DataFrame, *words: str, gaps: list[int] | None = None) -> DataFrame | None:
+    """Texts in which the words stand one behind the other, or ``gaps`` positions apart; stop words keep their place."""
+    steps, at = gaps or [1] * (len(words) - 1), 0
+    places = [0] + [at := at + s for s in steps]
+    parts = [(place, hits) for place, word in zip(places, words) if (hits := _hits(table, word, False)) is not None]
+    if not parts:
+        return None
+    first, found = parts[0]
+    found = found.select("id", "positions")
+    for place, hits in parts[1:]:
+        beside = hits.select("id", F.transform("positions", lambda p: p - (place - first)).alias("_beside"))
+        met = found.join(beside, "id").select("id", F.array_intersect("positions", "_beside").alias("positions"))
+        found = met.where(F.size("positions") > 0)
+    return found.select("id")
+
+
+def every(*found: DataFrame | None) -> DataFrame | None:
+    """Texts in all of the searches; stop words drop out."""
+    left = [f for f in found if f is not None]
+    out = left[0] if left else None
+    for f in left[1:]:
+        out = out.join(f, "id", "left_semi")
+    return out
 
-        def holds(node, arr) -> bool:
-            if node[0] == "!":
-                return not holds(node[1], arr)
-            if node[0] in "|&":
-                return (any if node[0] == "|" else all)(holds(x, arr) for x in node[1:])
-            same = lambda x, w, prefix: x is not None and (x.startswith(w) if prefix else x == w)
-            return any(all(i + o < len(arr) and same(arr[i + o], w, prefix) for o, w, prefix in node[1]) for i in range(len(arr)))
 
-        return pd.Series([bool(t is not None and q is not None and parsed[q] and holds(parsed[q], [lexeme(w) for w in word.findall(t.lower())]))
-                          for t, q in zip(texts, queries)])
+def either(*found: DataFrame | None) -> DataFrame | None:
+    """Texts in one of the searches or more."""
+    left = [f for f in found if f is not None]
+    out = left[0] if left else None
+    for f in left[1:]:
+        out = out.unionByName(f)
+    return out.distinct() if len(left) > 1 else out
 
-    spark.udf.register("text_matches", text_matches)
 
+def but_not(found: DataFrame | None, without: DataFrame | None) -> DataFrame | None:
+    """Texts in the first search and not in the second."""
+    return found if found is None or without is None else found.join(without, "id", "left_anti")
 
-def token_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, pos, stem) for every non-stop-word token, positions 1-based.
 
-    Each distinct token is stemmed once, vectorised, and joined back (a side
-    that AQE broadcasts while it is small).
-    """
-    tok = (df.select(id_col, F.posexplode(tokens(F.col(text_col))).alias("pos", "tok"))
-           .filter(~F.col("tok").isin(*sorted(STOP_WORDS))))
-    stem = tok.select("tok").distinct().select("tok", stem_udf("tok").alias("stem"))
-    return tok.join(stem, "tok").select(id_col, (F.col("pos") + 1).alias("pos"), "stem")
+def matching(df: DataFrame, found: DataFrame | None, id_col: str = "id") -> DataFrame:
+    """The rows whose text a search found; a search of stop words only finds nothing."""
+    if found is None:
+        return df.where(F.lit(False))
+    return df.join(found.withColumnRenamed("id", "_found"), F.col(id_col) == F.col("_found"), "left_semi")
 
 
-def fts_with_business(b: DataFrame, r: DataFrame, query: str) -> DataFrame:
+def with_business(b: DataFrame, hits: DataFrame) -> DataFrame:
     """Q8: matching reviews with business context, lowest stars first."""
-    hits = fts_match(r.select("id", "business_id", "review_text", "stars"), query)
-    return (hits.join(b.select(F.col("id").alias("business_id"), "business_name"), "business_id")
+    return (hits.select("business_id", "review_text", "stars").join(b.select(F.col("id").alias("business_id"), "business_name"), "business_id")
             .select("business_name", "review_text", "stars").orderBy(F.asc_nulls_last("stars")))
 
 
-def term_frequencies(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Document frequency and total occurrences per stem.
+def register_sql(spark: SparkSession, table: DataFrame, name: str = "review_postings") -> None:
+    """The posting table as a view, and table functions over it for callers of ``spark.sql``.
 
-    Tokens are counted per document first; each distinct token is stemmed
-    once and joined to those counts.
+    ``texts_with('parking')`` and ``texts_with_phrase('missed', 'appointment')``
+    return ids; ``stem_of(word)`` is the stemmer (it runs on the search's own
+    words, one row each).
     """
-    per = (df.select(id_col, F.explode(tokens(F.col(text_col))).alias("tok")).filter(~F.col("tok").isin(*sorted(STOP_WORDS)))
-           .groupBy(id_col, "tok").agg(F.count(F.lit(1)).alias("n")))
-    stem = per.select("tok").distinct().select("tok", stem_udf("tok").alias("stem"))
-    each = per.join(stem, "tok").groupBy("stem", id_col).agg(F.sum("n").alias("n"))
-    return each.groupBy("stem").agg(F.sum("n").cast("bigint").alias("occurrences"), F.count(F.lit(1)).alias("documents"))
+    table.createOrReplaceTempView(name)
+    spark.udf.register("stem_of", stem_udf)
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION texts_with(word STRING) RETURNS TABLE (id BIGINT)
+        RETURN SELECT id FROM {name} JOIN (SELECT stem_of(lower(texts_with.word)) AS wanted) ON stem = wanted""")
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION texts_with_phrase(a STRING, b STRING) RETURNS TABLE (id BIGINT)
+        RETURN SELECT x.id FROM {name} x JOIN (SELECT stem_of(lower(texts_with_phrase.a)) AS first_stem) ON x.stem = first_stem
+        JOIN {name} y ON y.id = x.id JOIN (SELECT stem_of(lower(texts_with_phrase.b)) AS second_stem) ON y.stem = second_stem
+        WHERE arrays_overlap(transform(x.positions, p -> p + 1), y.positions)""")
+
+
+def term_frequencies(table: DataFrame) -> DataFrame:
+    """Document frequency and total occurrences per stem, from the posting table."""
+    return table.groupBy("stem").agg(F.sum(F.size("positions")).cast("bigint").alias("occurrences"), F.count(F.lit(1)).alias("documents"))

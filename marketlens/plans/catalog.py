@@ -14,8 +14,8 @@ import datetime as _dt
 from pyspark.sql import SparkSession
 
 from marketlens.plans import views as V
+from marketlens.plans.table_functions import register_functions
 from marketlens.sources import warehouse as fx
-from marketlens.session import materialize
 from marketlens.sources.fixture import AS_OF
 
 VIEW_NAMES = (
@@ -26,10 +26,10 @@ VIEW_NAMES = (
 
 
 def register_market(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> list[str]:
-    """Register base tables and views as temp views; returns their names."""
+    """Register base tables and views as temp views, and the parametrised queries as table functions; returns the tables' names."""
     b, r, e = fx.load_market(spark, sf_dir, as_of)
     ex = V.execution_stats(e, b, r)
-    f = materialize(V.review_facts(r, as_of), "review_facts")   # one review scan for all views
+    f = fx.review_facts(spark, sf_dir, as_of)   # one review scan for all views
     tables = {
         "businesses": b,
         "business_reviews": r,
@@ -47,6 +47,7 @@ def register_market(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -
     }
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
+    register_functions(spark)
     return list(tables)
 
 

@@ -315,10 +315,8 @@ def rating_dispersion(b: DataFrame, r: DataFrame) -> DataFrame:
                     dround(F.sqrt(F.greatest(var, F.lit(0.0))), 4).alias("stars_stddev"))
 
 
-def topic_complaints_per_business(b: DataFrame, r: DataFrame, term: str = "parking") -> DataFrame:
-    """Q17: reviews matching an FTS term, per business."""
-    from marketlens.operators.search import fts_match
-    hits = fts_match(r, term)
+def topic_complaints_per_business(b: DataFrame, hits: DataFrame) -> DataFrame:
+    """Q17: the reviews that a search found, per business."""
     per = hits.groupBy("business_id").agg(F.count("id").alias("_n"), F.sum("stars").alias("_ss"),
                                           F.count("stars").alias("_sn"))
     j = per.join(b.select(F.col("id").alias("business_id"), "business_name", "city", "rating"), "business_id")
@@ -402,9 +400,9 @@ def shared_facts(r: DataFrame, as_of: _dt.date = AS_OF) -> DataFrame:
     return materialize(V.review_facts(r, as_of), "review_facts")
 
 
-def score_ranges(b: DataFrame, r: DataFrame) -> DataFrame:
+def score_ranges(b: DataFrame, r: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """MIN/MAX of each view's score column (one shared review scan)."""
-    facts = shared_facts(r)
+    facts = shared_facts(r) if facts is None else facts
     parts = [
         ("opportunity_score", V.niche_opportunities(b, ordered=False)),
         ("inc_score", V.market_leaders(b, r, ordered=False, facts=facts)),
@@ -446,10 +444,10 @@ def market_report(b: DataFrame, r: DataFrame, category: str = DEFAULT_CATEGORY,
 
 
 def market_entry(b: DataFrame, r: DataFrame, min_opportunity: int = 7, min_momentum: float = 1.0,
-                 max_inc: float = 70.0) -> DataFrame:
+                 max_inc: float = 70.0, facts: DataFrame | None = None) -> DataFrame:
     """Q26: underserved + growing + critical gap, excluding markets with a strong incumbent."""
     keys = ["category", "city"]
-    facts = shared_facts(r)
+    facts = shared_facts(r) if facts is None else facts
     v1 = V.niche_opportunities(b, ordered=False).filter(F.col("opportunity_score") >= min_opportunity) \
         .select(*keys, "opportunity_score")
     v5 = V.review_velocity_trends(b, r, ordered=False, facts=facts).filter(F.col("momentum_ratio") >= min_momentum) \
@@ -460,14 +458,14 @@ def market_entry(b: DataFrame, r: DataFrame, min_opportunity: int = 7, min_momen
     return v1.join(v5, keys).join(v6, keys).join(strong, keys, "left_anti")
 
 
-def competitive_intel(b: DataFrame, r: DataFrame) -> DataFrame:
+def competitive_intel(b: DataFrame, r: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Q26 use case 2: leaders, vulnerable targets, SWOT weakness and pain point per market.
 
     V2, V3, V4 and V8 share one per-business facts scan.  Everything meets at (category, city) with plain equi-joins (NULL
     keys drop out, as in the reference's USING joins).
     """
     keys = ["category", "city"]
-    facts = shared_facts(r)
+    facts = shared_facts(r) if facts is None else facts
     leaders = (V.market_leaders(b, r, ordered=False, facts=facts)
                .groupBy(*keys).agg(
                    F.count(F.when(F.col("market_position").isin("DOMINANT_LEADER", "STRONG_INCUMBENT"), 1))
@@ -492,10 +490,10 @@ def model_validation(b: DataFrame, r: DataFrame, min_viability: float = 60.0) ->
                     "market_fragmentation", "ticket_classification", "customer_type"))
 
 
-def product_development(b: DataFrame, r: DataFrame) -> DataFrame:
+def product_development(b: DataFrame, r: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Q26 use case 4: critical specialty gaps with the market's primary pain point."""
     keys = ["category", "city"]
-    facts = shared_facts(r)
+    facts = shared_facts(r) if facts is None else facts
     gaps = V.niche_service_gaps(b, r, ordered=False, facts=facts).filter(F.col("gap_status") == "CRITICAL_GAP").select(
         *keys, "specialty_type", "customer_demand", "sentiment_when_mentioned", "positioning_strategy")
     pain = V.customer_pain_points(b, r, ordered=False, facts=facts, texts=False).select(*keys, "primary_pain_point")

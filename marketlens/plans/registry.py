@@ -64,7 +64,7 @@ def _exec_stats(spark, d):
 
 def _views(spark, d) -> dict[str, DataFrame]:
     b, r = _b(spark, d), _r(spark, d)
-    f = Q.shared_facts(r)       # one review scan shared by all views
+    f = W.review_facts(spark, d)       # one review scan shared by all views
     return {
         "niche_opportunities": V.niche_opportunities(b, ordered=False),
         "customer_pain_points": V.customer_pain_points(b, r, ordered=False, facts=f, texts=False),
@@ -133,6 +133,11 @@ BUSINESS_QUERIES: dict[str, Query] = {
         _b(s, d).filter(F.col("category").isNotNull()), ["category", "city"]),
 }
 
+def _search(found) -> Query:
+    """Reviews that a search over their posting table finds, with their business."""
+    return lambda s, d: S.with_business(_b(s, d), S.matching(_r(s, d), found(W.review_postings(s, d))))
+
+
 REVIEW_QUERIES: dict[str, Query] = {
     "reviews_with_business": _brq(Q.reviews_with_business),
     "review_keyword_search": _brq(Q.review_keyword_search),
@@ -148,11 +153,12 @@ REVIEW_QUERIES: dict[str, Query] = {
     "businesses_with_reviews": _brq(Q.businesses_with_reviews),
     "counts_per_parent": _brq(Q.counts_per_parent),
     "rating_dispersion": _brq(Q.rating_dispersion),
-    "topic_complaints_per_business": _brq(Q.topic_complaints_per_business),
+    "topic_complaints_per_business": lambda s, d: Q.topic_complaints_per_business(
+        _b(s, d), S.matching(_r(s, d), S.term(W.review_postings(s, d), "parking"))),
     "load_summary": _brq(Q.load_summary),
-    "fts_term": _brq(S.fts_with_business, query="parking"),
-    "fts_boolean": _brq(S.fts_with_business, query="appointment & !weekend"),
-    "fts_phrase": _brq(S.fts_with_business, query="missed <-> appointment"),
+    "fts_term": _search(lambda p: S.term(p, "parking")),
+    "fts_boolean": _search(lambda p: S.but_not(S.term(p, "appointment"), S.term(p, "weekend"))),
+    "fts_phrase": _search(lambda p: S.phrase(p, "missed", "appointment")),
     "theme_flags": lambda s, d: _r(s, d).select(
         "id", *[c.alias(k) for k, c in T.theme_flag_columns(F.col("review_text"), F.col("stars")).items()]),
     "keyword_mentions": lambda s, d: V.keyword_mentions(_r(s, d)),
@@ -217,15 +223,20 @@ def _doc_read(key: str) -> Query:
     return q
 
 
+def _facts_query(fn) -> Query:
+    """A query over several views, which share the stored counters of each business."""
+    return lambda s, d: fn(_b(s, d), _r(s, d), facts=W.review_facts(s, d))
+
+
 COMPOSITE_QUERIES: dict[str, Query] = {
     **{k: _doc_read(k) for k in DOC_READS},
     "view_row_counts": lambda s, d: Q.view_row_counts(_views(s, d)),
-    "score_ranges": _brq(Q.score_ranges),
+    "score_ranges": _facts_query(Q.score_ranges),
     "market_report": _brq(Q.market_report),
-    "market_entry": _brq(Q.market_entry),
-    "competitive_intel": _brq(Q.competitive_intel),
+    "market_entry": _facts_query(Q.market_entry),
+    "competitive_intel": _facts_query(Q.competitive_intel),
     "model_validation": _brq(Q.model_validation),
-    "product_development": _brq(Q.product_development),
+    "product_development": _facts_query(Q.product_development),
     **{k: _view_filter(k) for k in VIEW_FILTERS},
 }
 
@@ -369,11 +380,11 @@ JSON_QUERIES: dict[str, Query] = {
 }
 
 TEXT_QUERIES: dict[str, Query] = {
-    # X1 token table over whole documents (up to 20k words each), aggregated per stem
-    "document_term_frequencies": lambda s, d: S.term_frequencies(
-        read_table(s, d, "documents").select("doc_id", "text"), "doc_id", "text"),
-    "document_search": lambda s, d: S.fts_match(
-        read_table(s, d, "documents").select("doc_id", "text"), "the & licensing | tokens", "text").select("doc_id"),
+    # X1 over whole documents (up to 20k words each)
+    "document_term_frequencies": lambda s, d: S.term_frequencies(W.document_postings(s, d)),
+    "document_search": lambda s, d: S.matching(
+        read_table(s, d, "documents").select("doc_id"), S.either(S.every(S.term(W.document_postings(s, d), "the"), S.term(W.document_postings(s, d), "licensing")),
+                                                                 S.term(W.document_postings(s, d), "tokens")), "doc_id"),
 }
 
 SESSION_QUERIES: dict[str, Query] = {

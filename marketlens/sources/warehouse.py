@@ -21,15 +21,16 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marketlens.operators import search
 from marketlens.session import materialize
 from marketlens.sources import fixture as fx
 from marketlens.sources.fixture import AS_OF
-from marketlens.sources.tables import table_path
+from marketlens.sources.tables import read_table, table_path
 
 _STORED: dict[tuple, DataFrame] = {}
 #: The driver tables that each stored table is derived from.
 _INPUTS = {"businesses": ("customer", "nation", "region"), "business_reviews": ("orders",), "market_executions": ("nation",),
-           "landed_places": ("customer", "nation", "region", "orders")}
+           "landed_places": ("customer", "nation", "region", "orders"), "review_postings": ("orders",), "document_postings": ("documents",), "review_facts": ("orders",)}
 
 
 def _state(spark: SparkSession, path: str) -> tuple:
@@ -66,12 +67,21 @@ def clear_stored(spark: SparkSession) -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Files of even size, as many as the cluster reads at once: sizes are measured while writing (AQE rebalance).
+
+    A source file of one row group is one task however large; what is stored
+    from it need not be.
+    """
+    return df.hint("rebalance")
+
+
 def businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir, "businesses", AS_OF, lambda: fx.businesses(spark, sf_dir))
+    return _stored(spark, sf_dir, "businesses", AS_OF, lambda: spread(fx.businesses(spark, sf_dir)))
 
 
 def reviews(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> DataFrame:
-    return _stored(spark, sf_dir, "business_reviews", as_of, lambda: fx.reviews(spark, sf_dir, as_of))
+    return _stored(spark, sf_dir, "business_reviews", as_of, lambda: spread(fx.reviews(spark, sf_dir, as_of)))
 
 
 def executions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,3 +101,19 @@ def landed_places(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = P.land_places(P.place_items(spark, sf_dir), P.landing_path(spark))
         _STORED[k] = P.read_places(spark, path)
     return _STORED[k]
+
+
+def review_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posting table (stem, id, positions) of the reviews' texts."""
+    return _stored(spark, sf_dir, "review_postings", AS_OF, lambda: search.postings(reviews(spark, sf_dir), "id", "review_text"))
+
+
+def document_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posting table of the documents' whole texts."""
+    return _stored(spark, sf_dir, "document_postings", AS_OF, lambda: search.postings(read_table(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
+def review_facts(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> DataFrame:
+    """Every counter of the views for each business, by one scan of the reviews."""
+    from marketlens.plans.views import review_facts as counters
+    return _stored(spark, sf_dir, "review_facts", as_of, lambda: counters(reviews(spark, sf_dir, as_of), as_of))

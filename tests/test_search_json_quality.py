@@ -27,28 +27,51 @@ def test_published_stems(spark, sf_dir):
     assert sql == {w: s for w, s in pairs if w not in S.STOP_WORDS}
 
 
-def test_tsquery_operators(spark):
-    df = spark.createDataFrame([(1, "Parking is tight"), (2, "no parking, bad service"),
-                                (3, "missed the appointment"), (4, "missed appointment"), (5, None), (6, "two companies, upfront pricing"), (7, "the party of parties")],
-                               "id long, t string")
-    S.register_sql(spark)
-    df.createOrReplaceTempView("some_texts")
-
-    def ids(q):
-        found = sorted(r["id"] for r in S.fts_match(df, q, "t").collect())
-        assert found == sorted(r["id"] for r in spark.sql(f"SELECT id FROM some_texts WHERE text_matches(t, '{q}')").collect())
-        return found
-    assert ids("parking") == [1, 2]
-    assert ids("parking & !tight") == [2]
-    assert ids("(tight | bad) & parking") == [1, 2]
-    assert ids("missed <-> appointment") == [4]   # a stop word keeps its position
-    assert ids("missed <2> appointment") == ids("missed <-> the <-> appointment") == [3]
-    assert ids("the & parking") == [1, 2] and ids("the | parking") == [1, 2] and ids("the") == [] and ids("!the & parking") == [1, 2]
-    assert ids("company") == [6] and ids("price") == [6] and ids("party <2> party") == [7]
-    assert ids("servic:*") == [2] and ids("comp:* & pric:*") == [6]
-    for wrong in ("(a & b", "price:A", "a <- b", "a &", "follow-up"):
-        with pytest.raises(ValueError):
-            S.tsquery(F.col("t"), wrong)
+@pytest.fixture(scope="module")
+def texts(spark):
+    df = spark.createDataFrame([(1, "Parking is tight"), (2, "no parking, bad service"), (3, "missed the appointment"), (4, "missed appointment"), (5, None),
+                                (6, "two companies, upfront pricing"), (7, "the party of parties"), (None, "parking"), (8, ""), (9, "parking parking")], "id long, t string")
+    return df, S.postings(df, "id", "t")
+
+
+def test_postings_hold_positions(texts):
+    _, table = texts
+    assert {(r.stem, r.id): r.positions for r in table.where("id IN (3, 7, 9)").collect()} == {
+        ("miss", 3): [1], ("appoint", 3): [3], ("parti", 7): [2, 4], ("park", 9): [1, 2]}
+
+
+def test_searches(texts):
+    df, table = texts
+    w = lambda word, prefix=False: S.term(table, word, prefix)
+    ids = lambda found: sorted(r["id"] for r in S.matching(df, found).collect())
+    assert ids(w("parking")) == [1, 2, 9]
+    assert ids(S.but_not(w("parking"), w("tight"))) == [2, 9]
+    assert ids(S.every(S.either(w("tight"), w("bad")), w("parking"))) == [1, 2]
+    assert ids(S.phrase(table, "missed", "appointment")) == [4]                  # a stop word keeps its position
+    assert ids(S.phrase(table, "missed", "appointment", gaps=[2])) == ids(S.phrase(table, "missed", "the", "appointment")) == [3]
+    assert ids(S.every(w("the"), w("parking"))) == ids(S.either(w("the"), w("parking"))) == ids(S.but_not(w("parking"), w("the"))) == [1, 2, 9]
+    assert ids(w("the")) == ids(S.every()) == ids(S.phrase(table, "of", "the")) == []
+    assert ids(w("company")) == [6] and ids(w("price")) == [6] and ids(S.phrase(table, "party", "party", gaps=[2])) == [7]
+    assert ids(w("servic", True)) == [2] and ids(S.every(w("comp", True), w("pric", True))) == [6]
+    assert ids(S.phrase(table, "parking", "parking")) == [9] and ids(w("nowhere")) == []
+
+
+def test_sql_searches(spark, texts):
+    df, table = texts
+    S.register_sql(spark, table)
+    ids = lambda sql: sorted(r.id for r in spark.sql(sql).collect())
+    assert ids("SELECT * FROM texts_with('Parked')") == [1, 2, 9]
+    assert ids("SELECT * FROM texts_with('parking') WHERE id NOT IN (SELECT id FROM texts_with('tight'))") == [2, 9]
+    assert ids("SELECT * FROM texts_with_phrase('missed', 'appointments')") == [4]
+
+
+@pytest.mark.parametrize("key", ["fts_term", "fts_boolean", "fts_phrase", "topic_complaints_per_business", "document_search", "document_term_frequencies"])
+def test_no_python_runs_in_a_search(spark, sf_dir, key):
+    import __spark_entry__ as E
+    plan = E.queries()[key](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    if key in ("fts_term", "topic_complaints_per_business"):
+        assert "EqualTo(stem,park)" in plan                                   # a term reads its own row groups
 
 
 def test_json_operators(spark):
