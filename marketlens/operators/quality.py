@@ -149,15 +149,16 @@ def dq_report(businesses: DataFrame, extracted_reviews: DataFrame) -> DataFrame:
         F.count_if(F.col("rating").isNotNull()).alias("populated_rating"),
         F.count_if(F.col("business_name").isNull() | F.col("business_data").isNull()).alias("null_required"),
     )
-    rrep = extracted_reviews.agg(
-        F.count(F.lit(1)).alias("reviews"),
-        F.count_if(F.col("bad_stars")).alias("bad_stars"),
-        F.count_if(F.col("bad_date")).alias("bad_date"),
-        F.count_if(~stars_ok(F.col("stars"))).alias("stars_out_of_range"),
-    )
+    rrep = extracted_reviews.agg(*[c.alias(rule) for rule, c in review_warnings().items()])
     return _long(brep).unionByName(_long(rrep))
 
 
+def review_warnings() -> dict[str, Column]:
+    """The review rules of :func:`dq_report` as aggregates over extracted reviews."""
+    return {"reviews": F.count(F.lit(1)), "bad_stars": F.count_if(F.col("bad_stars")), "bad_date": F.count_if(F.col("bad_date")),
+            "stars_out_of_range": F.count_if(~stars_ok(F.col("stars")))}
+
+
 def dq_rows(raw: DataFrame) -> DataFrame:
     """The reviews behind the counts: (rule, id, business_id, reviewer_name, value)."""
     j = raw.select("id", "business_id", F.from_json("review_data", REVIEW_DOC).alias("_d"))

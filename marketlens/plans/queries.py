@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from marketlens.functions import themes as T
 from marketlens.functions.jsonops import has_key
 from marketlens.functions.scalar import avg_exact, dround, ntz_lit, safe_div
+from marketlens.operators.distinct_rollup import bitmaps, merged
 from marketlens.operators.joined_text import joined_pieces, joined_texts
 from marketlens.plans import views as V
 from marketlens.session import materialize
@@ -327,13 +328,21 @@ def topic_complaints_per_business(b: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def load_summary(b: DataFrame, r: DataFrame) -> DataFrame:
-    """Q22: distinct businesses / cities / categories and review rows."""
+    """Q22: distinct businesses / cities / categories and review rows.
+
+    Businesses are aggregated once, to bitmaps of their ids by market; cities
+    and categories are counted over the markets.
+    """
     per = r.groupBy("business_id").agg(F.count("id").alias("_n"))
     j = b.select("id", "city", "category").join(per.withColumnRenamed("business_id", "id"), "id", "left")
-    return j.agg(F.count_distinct("id").alias("businesses_loaded"),
-                 F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("reviews_loaded"),
-                 F.count_distinct("city").alias("unique_cities"),
-                 F.count_distinct("category").alias("unique_categories"))
+    markets = bitmaps(j, ["city", "category"], "id", F.sum("_n").alias("_n"))
+    ids = merged(markets, [], F.sum("_n").alias("_n")).agg(F.sum(F.bitmap_count("ids")).alias("businesses_loaded"), F.sum("_n").alias("reviews_loaded"))
+    parts = [ids.select(F.lit(name).alias("part"), F.col(name).cast("bigint").alias("value")) for name in ("businesses_loaded", "reviews_loaded")]
+    parts += [markets.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1)).alias("value")).select(F.lit(f"unique_{name}").alias("part"), "value")
+              for c, name in (("city", "cities"), ("category", "categories"))]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return every.agg(*[F.coalesce(F.max(F.when(F.col("part") == name, F.col("value"))), F.lit(0)).alias(name)
+                       for name in ("businesses_loaded", "reviews_loaded", "unique_cities", "unique_categories")])
 
 
 # ---------------------------------------------------------------------------

@@ -17,6 +17,7 @@ from marketlens.functions import jsonops as J
 from marketlens.functions import themes as T
 from marketlens.operators import quality as Qa
 from marketlens.operators import search as S
+from marketlens.operators.distinct_rollup import distinct_rollup
 from marketlens.operators.session_memory import session_memory
 from marketlens.plans import queries as Q
 from marketlens.plans.doc_reads import DOC_READS
@@ -156,6 +157,8 @@ REVIEW_QUERIES: dict[str, Query] = {
     "topic_complaints_per_business": lambda s, d: Q.topic_complaints_per_business(
         _b(s, d), S.matching(_r(s, d), S.term(W.review_postings(s, d), "parking"))),
     "load_summary": _brq(Q.load_summary),
+    "distinct_rollup": lambda s, d: distinct_rollup(
+        _r(s, d).select("business_id").join(_b(s, d).select(F.col("id").alias("business_id"), "city", "category"), "business_id"), ["city", "category"], "business_id", "businesses"),
     "fts_term": _search(lambda p: S.term(p, "parking")),
     "fts_boolean": _search(lambda p: S.but_not(S.term(p, "appointment"), S.term(p, "weekend"))),
     "fts_phrase": _search(lambda p: S.phrase(p, "missed", "appointment")),
@@ -211,6 +214,13 @@ def _append_reviews(spark, d):
     return spark.read.parquet(path)
 
 
+def _observed_warnings(spark, d):
+    """S19 as S14 writes: the counts observed in the writing pass, as rows."""
+    from marketlens.session import scratch_path
+    _, counts, _ = St.append_observed(Qa.extract_review_fields(_raw(spark, d)), scratch_path(spark, "reviews_observed"))
+    return spark.createDataFrame(list(counts.items()), "rule string, value long")
+
+
 def _doc_read(key: str) -> Query:
     view, pred, cols, order, limit = DOC_READS[key]
 
@@ -312,6 +322,7 @@ def _popular_times(s, d):
 INGEST_QUERIES: dict[str, Query] = {
     "ingest_popular_times": _popular_times,
     "append_reviews": _append_reviews,
+    "append_warnings": _observed_warnings,
     "ingest_overview": _proj(P.overview, ["title", "category", "searchString", "url", "city", "state", "street", "postalCode", "countryCode",
                                           "plusCode", "isAdvertisement", "rank", "searchPageUrl", "temporarilyClosed", "permanentlyClosed"],
                              "website", "phone"),

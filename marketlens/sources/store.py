@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions.scalar import ntz_lit
-from marketlens.operators.quality import enforce, split, stars_ok
+from marketlens.operators.quality import enforce, review_warnings, split, stars_ok
 from marketlens.session import materialize, scratch_path
 
 
@@ -186,6 +186,26 @@ def append_reviews(batch: DataFrame, path: str, mode: str = "quarantine") -> Dat
     return good
 
 
+def append_observed(extracted: DataFrame, path: str) -> tuple[DataFrame, dict[str, int], dict[str, tuple | None]]:
+    """S14 with S19 in one pass: extracted reviews are stored once, the warnings counted as they go by.
+
+    Accepted and rejected rows are partitions of one write.  Returns the
+    accepted rows of the folder, the counts of :func:`dq_report`'s review
+    rules over this batch, and for each rule the row with the least id that
+    breaks it (id and value; None if none does).
+    """
+    ok = F.coalesce(stars_ok(F.col("stars")), F.lit(False))
+    broken = {"bad_stars": F.col("bad_stars"), "bad_date": F.col("bad_date"), "stars_out_of_range": ~ok}
+    samples = [F.min(F.when(c, F.struct("id", F.col("stars").cast("string").alias("value")))).alias(f"sample_{rule}") for rule, c in broken.items()]
+    seen = Observation("append-warnings")
+    watched = extracted.observe(seen, *[c.alias(rule) for rule, c in review_warnings().items()], *samples)
+    watched.withColumn("accepted", ok).write.mode("append").partitionBy("accepted").parquet(path)
+    told = seen.get
+    counts = {rule: told[rule] for rule in review_warnings()}
+    first = {rule: (tuple(told[f"sample_{rule}"]) if told[f"sample_{rule}"] is not None else None) for rule in broken}
+    return extracted.sparkSession.read.parquet(path).where(F.col("accepted").cast("string") == "true").drop("accepted"), counts, first
+
+
 def open_execution(spark: SparkSession, executions: DataFrame, search_query: str | None,
                    now: _dt.datetime) -> DataFrame:
     """Add a 'running' run with the next id (``max(id)+1`` is one aggregate)."""

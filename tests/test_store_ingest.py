@@ -290,3 +290,24 @@ def test_late_events_are_counted(spark, tmp_path):
     kept = SJ.velocity_stream(spark, str(tmp_path), max_files=1, base=base, late="5 days").agg(F.sum("events")).first()[0]
     assert SJ.late_events(spark, base) == 1 and kept == 8
     assert SJ.velocity_stream(spark, str(tmp_path), max_files=1).agg(F.sum("events")).first()[0] == 9
+
+
+def test_warnings_are_counted_in_the_writing_pass(spark, tmp_path):
+    ext = spark.createDataFrame([(1, 7, 5, False, False), (2, 7, 99, False, False), (3, 7, None, True, False), (4, 7, None, False, True), (5, 8, -1, False, False)],
+                                "id long, business_id long, stars int, bad_stars boolean, bad_date boolean")
+    rows, counts, samples = S.append_observed(ext, str(tmp_path / "observed"))
+    assert counts == {"reviews": 5, "bad_stars": 1, "bad_date": 1, "stars_out_of_range": 2}
+    assert samples == {"bad_stars": (3, None), "bad_date": (4, None), "stars_out_of_range": (2, "99")}
+    assert sorted(r.id for r in rows.collect()) == [1, 3, 4]
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "observed/accepted=false")).collect()) == [2, 5]
+
+
+def test_distinct_rollup_equals_count_distinct(spark):
+    from marketlens.operators.distinct_rollup import distinct_rollup
+    df = spark.range(5000).select((F.col("id") % 7).cast("string").alias("a"), F.when(F.col("id") % 3 > 0, F.col("id") % 11).alias("b"), (F.col("id") * 37 % 200_000).alias("k"))
+    df = df.unionByName(df.limit(300)).unionByName(spark.createDataFrame([("0", 1, None), (None, None, -5)], "a string, b long, k long"))
+    got = sorted(map(tuple, distinct_rollup(df, ["a", "b"], "k").collect()), key=repr)
+    want = []
+    for level, keys in ((2, ["a", "b"]), (1, ["a"]), (0, [])):
+        want += [(level, r["a"] if level > 0 else None, r["b"] if level > 1 else None, r["n"]) for r in df.groupBy(*keys).agg(F.count_distinct("k").alias("n")).collect()]
+    assert got == sorted(want, key=repr)
