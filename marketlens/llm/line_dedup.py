@@ -6,16 +6,23 @@ puts its segments into an index by length and segment number, and probes the
 indexes of lengths up to t below its own with the substrings that the
 positions allow.  Lines that meet are verified by banded bit-parallel edit
 distance, and linked lines form classes, of which the first line stays.
+
+Lines of one template share whole segments, so a segment may gather very many
+of them.  Such a group is cut again, at places chosen for it where its lines
+differ (:func:`cut_points`): what is said above holds for any t+1 segments,
+so no pair is lost, and only lines that share a telling segment meet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import ROW, map_batches, numbered, stored
@@ -26,6 +33,11 @@ from marketlens.operators.broadcast import bounded_broadcast
 BROADCAST_ROWS = 1_000_000
 #: Numbers of removed lines (4 bytes each) that may be broadcast in all; documents may hold any number of them.
 BROADCAST_NUMBERS = 4_000_000
+#: Groups of more lines than this are cut again before lines are compared, up to so many times.
+GROUP_LINES, LEVELS = 64, 3
+#: Lines of a group (and signs of them) that the choice of its cuts looks at; whatever the cuts, the result is the same.
+SAMPLE_LINES, SAMPLE_CHARS = 128, 4_000_000
+MEETING = "key long, short_id long, n int"
 
 
 @dataclass(frozen=True)
@@ -43,17 +55,55 @@ def segments(size: int, parts: int) -> list[tuple[int, int]]:
     return [(sum(lengths[:k]), n) for k, n in enumerate(lengths)]
 
 
+def probe_places(size: int, other: int, parts: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(segment, start, length) of the substrings in which a line must look for the segments of a line of size ``other``."""
+    longer, edits, places = size - other, len(parts) - 1, []
+    for k, (at, n) in enumerate(parts):
+        left, right = k, edits - k                           # edits that may lie before and behind the segment
+        first = max(0, at - left, at + longer - right)
+        last = min(size - n, at + left, at + longer + right)
+        places += [(k, p, n) for p in range(first, last + 1)]
+    return places
+
+
 def probe_plan(size: int, edits: int) -> list[tuple[int, int, int, int]]:
     """(indexed length, segment, start, length) of every substring that a line of this size must look up."""
-    plan = []
-    for other in range(max(edits + 1, size - edits), size + 1):
-        longer = size - other
-        for k, (at, n) in enumerate(segments(other, edits + 1)):
-            left, right = k, edits - k                       # edits that may lie before and behind the segment
-            first = max(0, at - left, at + longer - right)
-            last = min(size - n, at + left, at + longer + right)
-            plan += [(other, k, p, n) for p in range(first, last + 1)]
-    return plan
+    return [(other, *place) for other in range(max(edits + 1, size - edits), size + 1)
+            for place in probe_places(size, other, segments(other, edits + 1))]
+
+
+def cut_points(lines: list[str], parts: int) -> list[int] | None:
+    """Where to cut lines of one length into ``parts`` segments that tell most of them apart; None if no cuts do.
+
+    The number of pairs that agree in a segment is to be small for the segment
+    where it is largest: for a growing number, segments are made as short as
+    it allows, from the left, until the last one keeps to it too.
+    """
+    size, pairs = len(lines[0]), len(lines) * (len(lines) - 1) // 2
+    signs = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).reshape(len(lines), size)
+    telling = np.flatnonzero((signs != signs[0]).any(axis=0))
+
+    def agreeing(group: np.ndarray) -> int:
+        n = np.bincount(group)
+        return int((n * (n - 1)).sum()) // 2
+
+    most = 0
+    while most * 2 < pairs:
+        cuts, group = [], np.zeros(len(lines), np.int64)
+        for at in telling:
+            if at >= size - (parts - 1 - len(cuts)):
+                break
+            group = np.unique(group << 32 | signs[:, at], return_inverse=True)[1]
+            if len(cuts) < parts - 1 and agreeing(group) <= most:
+                cuts.append(int(at) + 1)
+                group = np.zeros(len(lines), np.int64)
+        if len(cuts) == parts - 1:
+            for at in telling[telling >= cuts[-1]]:
+                group = np.unique(group << 32 | signs[:, at], return_inverse=True)[1]
+            if agreeing(group) <= most:
+                return cuts
+        most = most * 2 or 1
+    return None
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
@@ -131,21 +181,68 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return map_batches(rows_of(docs), run, OCCURRENCE)
 
 
-def each_line(batches: Iterator[pa.RecordBatch], min_chars: int, forget: int = 200_000) -> Iterator[str]:
-    """Lines of at least ``min_chars`` signs, each about once a task (a bounded number is remembered)."""
-    seen: set[int] = set()
+def each_line(batches: Iterator[pa.RecordBatch], min_chars: int, forget: int = 200_000) -> Iterator[tuple[str, bytes]]:
+    """Lines of at least ``min_chars`` signs and their digests, each about once a task (a bounded number is remembered)."""
+    import xxhash
+
+    seen: set[bytes] = set()
     for b in batches:
         for t in b.column(0).to_pylist():
             for x in lines_of(t):
-                if len(x) >= min_chars and (h := hash(x)) not in seen and not x.isspace():
-                    seen.add(h)
-                    yield x
+                if len(x) >= min_chars and (i := xxhash.xxh3_128_digest(x)) not in seen and not x.isspace():
+                    seen.add(i)
+                    yield x, i
         if len(seen) > forget:
             seen.clear()
 
 
+def short_id(line_id: bytes) -> int:
+    """Part of a digest, with the low bit free to mark an index entry."""
+    return int.from_bytes(line_id[:8], "little") & ~1
+
+
+def key_batch(key: list[int], ids: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.array(x, np.uint64).view(np.int64)) for x in (key, ids)], names=["key", "short_id"])
+
+
+def live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key, the lines whose key holds another line and an index entry, and how many lines it holds."""
+
+    def kept(key: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        start = np.r_[True, key[1:] != key[:-1]]
+        group = np.cumsum(start) - 1
+        me = ids & ~np.int64(1)
+        first = me[np.flatnonzero(start)][group]
+        two = np.bincount(group, me != first) > 0                        # more than one line
+        index = np.bincount(group, ids & 1) > 0                          # one of them as an index entry
+        take = (two & index)[group]
+        pairs = np.unique(np.stack([key[take], me[take]]), axis=1)
+        _, place, n = np.unique(pairs[0], return_inverse=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(n[place], pa.int32())], names=["key", "short_id", "n"])
+
+    held_k, held_i, n = [], [], 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k, i = b.column(0).to_numpy(), b.column(1).to_numpy()
+        held_k.append(k)
+        held_i.append(i)
+        n += len(k)
+        if n >= 200_000 and held_k[0][0] != k[-1]:
+            key, ids = np.concatenate(held_k), np.concatenate(held_i)
+            cut = int(np.searchsorted(key, key[-1]))
+            yield kept(key[:cut], ids[:cut])
+            held_k, held_i, n = [key[cut:]], [ids[cut:]], len(key) - cut
+    if n:
+        yield kept(np.concatenate(held_k), np.concatenate(held_i))
+
+
+def lines_that_meet(keys: DataFrame) -> DataFrame:
+    return map_batches(keys.repartition("key").sortWithinPartitions("key"), live, MEETING)
+
+
 def meetings(docs: DataFrame, limits: Limits) -> DataFrame:
-    """``key, short_id``: lines that share a segment with another line where the edit limit allows it."""
+    """``key, short_id, n``: lines that share a segment with another line where the edit limit allows it, n in all."""
     edits = limits.max_edits
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,58 +251,70 @@ def meetings(docs: DataFrame, limits: Limits) -> DataFrame:
         digest = xxhash.xxh64_intdigest
         plans: dict[int, list] = {}
         key, ids = [], []
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.array(key, np.uint64).view(np.int64)), pa.array(np.array(ids, np.uint64).view(np.int64))], names=["key", "short_id"])
-
-        for x in each_line(batches, max(limits.min_chars, edits + 1)):
+        for x, i in each_line(batches, max(limits.min_chars, edits + 1)):
             n = len(x)
             if n not in plans:
                 plans[n] = ([((n << 4) + k, p, p + m) for k, (p, m) in enumerate(segments(n, edits + 1))],
                             [((o << 4) + k, p, p + m) for o, k, p, m in probe_plan(n, edits)])
             own, probes = plans[n]
-            me = int.from_bytes(xxhash.xxh3_128_digest(x)[:8], "little") & ~1
+            me = short_id(i)
             key += [digest(x[a:b], seed) for seed, a, b in own]
             ids += [me | 1] * len(own)                                   # the low bit marks an index entry
             key += [digest(x[a:b], seed) for seed, a, b in probes]
             ids += [me] * len(probes)
             if len(key) > 100_000:
-                yield out()
+                yield key_batch(key, ids)
                 key.clear()
                 ids.clear()
         if key:
-            yield out()
+            yield key_batch(key, ids)
 
-    def live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def kept(key: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-            start = np.r_[True, key[1:] != key[:-1]]
-            group = np.cumsum(start) - 1
-            me = ids & ~np.int64(1)
-            first = me[np.flatnonzero(start)][group]
-            two = np.bincount(group, me != first) > 0                    # more than one line
-            index = np.bincount(group, ids & 1) > 0                      # one of them as an index entry
-            take = (two & index)[group]
-            pairs = np.unique(np.stack([key[take], me[take]]), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["key", "short_id"])
-
-        held_k, held_i, n = [], [], 0
-        for b in batches:
-            if not b.num_rows:
-                continue
-            k, i = b.column(0).to_numpy(), b.column(1).to_numpy()
-            held_k.append(k)
-            held_i.append(i)
-            n += len(k)
-            if n >= 200_000 and held_k[0][0] != k[-1]:
-                key, ids = np.concatenate(held_k), np.concatenate(held_i)
-                cut = int(np.searchsorted(key, key[-1]))
-                yield kept(key[:cut], ids[:cut])
-                held_k, held_i, n = [key[cut:]], [ids[cut:]], len(key) - cut
-        if n:
-            yield kept(np.concatenate(held_k), np.concatenate(held_i))
+    return lines_that_meet(map_batches(docs.select(docs["text"].cast("string").alias("text")), keys, "key long, short_id long"))
 
-    rows = docs.select(docs["text"].cast("string").alias("text"))
-    return map_batches(map_batches(rows, keys, "key long, short_id long").repartition("key").sortWithinPartitions("key"), live, "key long, short_id long")
+
+def split_groups(large: DataFrame, line: DataFrame, edits: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """Lines of large groups that still meet when their group is cut anew, and the groups for which no cuts are found.
+
+    The shortest lines of a group are those indexed in it (the others probe,
+    and meet each other under keys of their own lengths), so they are cut.
+    Cuts come from a bounded number of lines a group; the lines themselves
+    stay spread over all tasks.
+    """
+    met = large.select("key", "short_id").join(line, "short_id").select("key", "short_id", "text")
+    place = Window.partitionBy("key").orderBy(F.length("text"), "short_id")
+    sample = met.withColumn("place", F.row_number().over(place)).where(F.col("place") <= SAMPLE_LINES)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((k, x) for b in batches for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        for key, group in groupby(rows, lambda r: r[0]):
+            some: list[str] = []
+            for _, x in group:
+                if not some or len(x) == len(some[0]) and len(some) * len(x) < SAMPLE_CHARS:
+                    some.append(x)
+            size = len(some[0])
+            cuts = cut_points(some, edits + 1) if len(some) > 1 else [at for at, _ in segments(size, edits + 1)[1:]]
+            yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([size], pa.int32()), pa.array([cuts], pa.list_(pa.int32()))], names=["key", "size", "cuts"])
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for b in batches:
+            key, ids = [], []
+            for old, me, x, size, cuts in zip(*[c.to_pylist() for c in b.columns]):
+                bounds = [0, *cuts, size]
+                parts = [(p, q - p) for p, q in zip(bounds, bounds[1:])]
+                own = list(enumerate(parts)) if len(x) == size else []
+                for k, p, m, mark in [(k, p, m, 1) for k, (p, m) in own] + [(*place, 0) for place in probe_places(len(x), size, parts)]:
+                    key.append(xxhash.xxh64_intdigest(x[p:p + m], (old + k + 1) % (1 << 64)))
+                    ids.append(me % (1 << 64) | mark)
+            yield key_batch(key, ids)
+
+    cuts = stored(map_batches(sample.select("key", "text", "place").repartition("key").sortWithinPartitions("key", "place").select("key", "text"),
+                              choose, "key long, size int, cuts array<int>"), f"{name}-cuts")
+    cut = bounded_broadcast(cuts.where(F.col("cuts").isNotNull()), BROADCAST_ROWS // 4)
+    again = map_batches(met.join(cut, "key").select("key", "short_id", "text", "size", "cuts"), keys, "key long, short_id long")
+    rest = large.join(bounded_broadcast(cuts.where(F.col("cuts").isNull()), BROADCAST_ROWS // 4), "key", "left_semi")
+    return stored(lines_that_meet(again), f"{name}-meetings"), rest
 
 
 def near_links(docs: DataFrame, limits: Limits, name: str) -> DataFrame:
@@ -213,19 +322,19 @@ def near_links(docs: DataFrame, limits: Limits, name: str) -> DataFrame:
     met = stored(meetings(docs, limits), f"{name}-meetings")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         def out() -> pa.RecordBatch:
-            ids = [xxhash.xxh3_128_digest(x) for x in lines]
-            short = np.array([int.from_bytes(i[:8], "little") & ~1 for i in ids], np.uint64).view(np.int64)
+            short = np.array([short_id(i) for i in ids], np.uint64).view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(short), pa.array(ids, pa.binary()), pa.array(lines, pa.string())], names=["short_id", "line_id", "text"])
 
         lines: list[str] = []
-        for x in each_line(batches, limits.min_chars):
+        ids: list[bytes] = []
+        for x, i in each_line(batches, limits.min_chars):
             lines.append(x)
+            ids.append(i)
             if len(lines) >= 5000:
                 yield out()
                 lines.clear()
+                ids.clear()
         if lines:
             yield out()
 
@@ -263,6 +372,16 @@ def near_links(docs: DataFrame, limits: Limits, name: str) -> DataFrame:
     rows = docs.select(docs["text"].cast("string").alias("text"))
     wanted = bounded_broadcast(stored(met.select("short_id").distinct(), f"{name}-met"), BROADCAST_ROWS)
     line = map_batches(rows, texts, "short_id long, line_id binary, text string").join(wanted, "short_id", "left_semi").dropDuplicates(["line_id"])
+    large = met.where(F.col("n") > GROUP_LINES)
+    if not large.isEmpty():
+        line, small = stored(line, f"{name}-texts"), [met.where(F.col("n") <= GROUP_LINES)]
+        for level in range(LEVELS):
+            again, whole = split_groups(large, line, limits.max_edits, f"{name}-level{level}")
+            small += [again.where(F.col("n") <= GROUP_LINES), whole]
+            large = again.where(F.col("n") > GROUP_LINES)
+            if large.isEmpty():
+                break
+        met = reduce(DataFrame.unionByName, [*small, large])
     meeting = met.join(line, "short_id").select("key", "line_id", "text")
     return map_batches(meeting.repartition("key").sortWithinPartitions("key"), verify, "a binary, b binary").distinct()
 
@@ -305,5 +424,6 @@ def dedup_lines(docs: DataFrame, limits: Limits = Limits(), keep: tuple[str, ...
     both = rows.join(gone, rows["own row"] == gone["row"], "left")
     text, removed = F.coalesce("own text", F.lit("")), F.coalesce("removed", F.array().cast("array<int>"))
     lines = F.split(text, "\n", -1)
-    left = F.when(F.col("removed").isNull(), text).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("removed"), i)), "\n"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed")
+    left = F.when(F.col("removed").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
     return both.select(*[rows[c] for c in keep], F.size(lines).alias("n_lines"), removed.alias("removed"), left.alias("text"))

@@ -1,6 +1,8 @@
 import random
 
+import numpy as np
 import pytest
+import xxhash
 
 from marketlens.llm import line_dedup
 from marketlens.llm.line_dedup import Limits, edit_distance
@@ -114,3 +116,51 @@ def test_many_removed_lines_are_not_broadcast(spark, stored_docs, monkeypatch):
         assert sorted((r.doc_id, len(r.removed)) for r in found.collect()) == [(0, 49), (1, 50), (2, 50)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def template_lines(count, digits=10, seed=3):
+    rng = random.Random(seed)
+    out = {f"Order number {rng.randrange(10 ** digits):0{digits}d} has been shipped from the main warehouse to the customer" for _ in range(count)}
+    return sorted(out)
+
+
+def with_near_copies(lines, step, seed=5):
+    """Every ``step``-th line also with two edits, each a dropped, changed or added sign."""
+    rng = random.Random(seed)
+    out = list(lines)
+    for x in lines[::step]:
+        y = list(x)
+        for _ in range(2):
+            p = rng.randrange(len(y))
+            y[p:p + rng.randint(0, 1)] = rng.choice(["", "7", "x"])
+        out.append("".join(y))
+    return sorted(set(out))
+
+
+def test_cuts_lie_where_lines_differ():
+    cuts = line_dedup.cut_points(template_lines(128), 3)
+    assert len(cuts) == 2 and 14 <= cuts[0] < cuts[1] <= 22
+    assert line_dedup.cut_points(["a" * 20 + c for c in "bcdefg"], 3) is None
+    assert line_dedup.cut_points(["\U0001f600" * 3 + x + "é" * 9 for x in ("abc", "bcd", "cde", "def")], 3) == [4, 5]
+
+
+@pytest.mark.parametrize("digits", [3, 5, 10])
+def test_lines_of_one_template_equal_all_pairs(spark, stored_docs, monkeypatch, digits):
+    monkeypatch.setattr(line_dedup, "GROUP_LINES", 8)
+    lines = with_near_copies(template_lines(250, digits), 5)
+    random.Random(1).shuffle(lines)
+    docs = stored_docs([(k, x) for k, x in enumerate(lines)], 3)
+    got = line_dedup.dedup_lines(docs).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(brute(list(enumerate(lines)), Limits()))
+
+
+def test_large_groups_are_cut_before_lines_are_compared(spark, stored_docs):
+    lines = template_lines(3000)
+    docs = stored_docs([(k, "\n".join(lines[k::300])) for k in range(300)], 4)
+    met = line_dedup.stored(line_dedup.meetings(docs, Limits()), "m")
+    ids = np.array([line_dedup.short_id(xxhash.xxh3_128_digest(x)) for x in lines], np.uint64).view(np.int64)
+    line = spark.createDataFrame(list(zip(ids.tolist(), lines)), "short_id long, text string")
+    large = met.where("n > 64")
+    assert large.groupBy("key").count().where("count = 3000").count() >= 2
+    again, whole = line_dedup.split_groups(large, line, 2, "s")
+    assert whole.isEmpty() and (again.agg({"n": "max"}).first()[0] or 0) < 64
