@@ -422,8 +422,10 @@ def dedup_lines(docs: DataFrame, limits: Limits = Limits(), keep: tuple[str, ...
         gone = bounded_broadcast(gone, BROADCAST_ROWS // 4)
     rows = docs.select(*keep, docs["text"].cast("string").alias("own text"), docs[ROW].alias("own row"))
     both = rows.join(gone, rows["own row"] == gone["row"], "left")
-    text, removed = F.coalesce("own text", F.lit("")), F.coalesce("removed", F.array().cast("array<int>"))
-    lines = F.split(text, "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed")
-    left = F.when(F.col("removed").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    return both.select(*[rows[c] for c in keep], F.size(lines).alias("n_lines"), removed.alias("removed"), left.alias("text"))
+    text = F.coalesce("own text", F.lit(""))
+    cut = both.select(*[rows[c] for c in keep], text.alias("own text"), F.split(text, "\n", -1).alias("own lines"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+    # An array of one element binds the lines, so that a text is split once and not for each line.
+    joined = F.transform(F.array("own lines"), lambda own: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(own) - 1), "removed"), lambda i: F.get(own, i)), "\n"))[0]
+    left = F.when(F.size("removed") == 0, F.col("own text")).otherwise(joined)
+    return cut.select(*keep, F.size("own lines").alias("n_lines"), "removed", left.alias("text"))
