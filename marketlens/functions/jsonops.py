@@ -1,18 +1,61 @@
-"""JSONB operators on JSON text columns.
+"""JSONB operators (F18–F23) on stored VARIANT columns and on JSON text.
 
-Documents stay STRING; paths are read with ``get_json_object`` /
-``json_object_keys`` (JVM-side).  ``contains`` becomes a conjunction of
-predicates on the parsed VARIANT, built from the pattern at plan time.
+A stored document is parsed once, when its table is written, into a VARIANT
+that Parquet holds shredded; ``text_at`` and ``has_key_at`` read only the
+fields of their paths.  The functions that take JSON text serve columns that
+are not stored so.  ``contains`` becomes a conjunction of predicates on the
+VARIANT, built from the pattern at plan time.
 """
 
 from __future__ import annotations
 
 import json
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: The parsed twin of ``business_data`` in the stored table.
+DOCUMENT = "business_doc"
+
+
+def document(businesses: DataFrame) -> Column:
+    """The businesses' document as VARIANT: the stored one, or the text parsed where a frame has only that."""
+    return F.col(DOCUMENT) if DOCUMENT in businesses.columns else F.try_parse_json("business_data")
+
+
+def _path(*path: str) -> str:
+    return "$" + "".join(f"[{json.dumps(p)}]" for p in path)
+
+
+def text_at(v: Column, *path: str) -> Column:
+    """``v #>> path`` of a VARIANT: text of the value; JSON null or no such path → SQL NULL."""
+    return F.try_variant_get(v, _path(*path), "string")
+
+
+def has_value_at(v: Column, *path: str) -> Column:
+    """Whether the path holds anything but JSON null."""
+    found = F.try_variant_get(v, _path(*path), "variant")
+    return found.isNotNull() & ~F.is_variant_null(found)
+
+
+def has_key_at(v: Column, key: str, *path: str) -> Column:
+    """``v #> path ? key`` for objects — true even when the value is JSON null."""
+    return F.try_variant_get(v, _path(*path, key), "variant").isNotNull()
+
+
+def has_any_key_at(v: Column, keys: list[str], *path: str) -> Column:
+    """``?|`` on a VARIANT."""
+    return reduce(or_, [has_key_at(v, k, *path) for k in keys], F.lit(False))
+
+
+def has_all_keys_at(v: Column, keys: list[str], *path: str) -> Column:
+    """``?&`` on a VARIANT."""
+    return reduce(and_, [has_key_at(v, k, *path) for k in keys], F.lit(True))
+
+
 def arrow(doc: Column, *path: str) -> Column:
     """``doc -> a -> b`` (JSON text of the object/array/scalar)."""
     return F.get_json_object(doc, "$." + ".".join(path))
@@ -91,7 +134,12 @@ def contains(doc: Column, pattern) -> Column:
     pattern's elements in any order and number.  Texts that are no JSON hold
     nothing.
     """
-    return F.coalesce(_holds(F.try_parse_json(doc), pattern, top=True), F.lit(False))
+    return holds(F.try_parse_json(doc), pattern)
+
+
+def holds(v: Column, pattern) -> Column:
+    """:func:`contains` for a VARIANT."""
+    return F.coalesce(_holds(v, pattern, top=True), F.lit(False))
 
 
 SQL_NAMES = ("json_has_key", "json_contains_all_keys", "json_contains_any_key")

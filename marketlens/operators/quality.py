@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.functions.jsonops import DOCUMENT, document, has_value_at, text_at
+
 VALID_STATUS = ("running", "completed", "failed")
 INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 #: A whole ISO date or timestamp, nothing behind it.
@@ -110,37 +112,41 @@ BUSINESS_DOC = ("struct<overview:struct<city:string,category:string>,"
                 "contact:struct<website:string,phone:string>>")
 
 
-def _generated_exprs(strict: bool = False) -> dict[str, Column]:
-    """The six generated columns from one ``from_json`` parse of the document."""
-    d = F.from_json(F.col("business_data"), BUSINESS_DOC)
+def _generated_exprs(businesses: DataFrame, strict: bool = False) -> dict[str, Column]:
+    """The six generated columns: fields of the stored VARIANT, or one ``from_json`` parse where there is only text."""
+    if DOCUMENT in businesses.columns:
+        at = lambda *path: text_at(F.col(DOCUMENT), *path)
+    else:
+        d = F.from_json(F.col("business_data"), BUSINESS_DOC)
+        at = lambda part, name: d[part][name]
     cast = (lambda c, t: c.cast(t)) if strict else (lambda c, t: c.try_cast(t))
     return {
-        "city": d["overview"]["city"],
-        "category": d["overview"]["category"],
-        "rating": cast(d["rating"]["totalScore"], "decimal(3,1)"),
-        "review_count": cast(d["rating"]["reviewsCount"], "int"),
-        "website": d["contact"]["website"],
-        "phone": d["contact"]["phone"],
+        "city": at("overview", "city"),
+        "category": at("overview", "category"),
+        "rating": cast(at("rating", "totalScore"), "decimal(3,1)"),
+        "review_count": cast(at("rating", "reviewsCount"), "int"),
+        "website": at("contact", "website"),
+        "phone": at("contact", "phone"),
     }
 
 
 def generated_columns(businesses: DataFrame, strict: bool = False) -> DataFrame:
-    """The six stored columns re-derived from ``business_data``."""
-    return businesses.select("id", *[c.alias(k) for k, c in _generated_exprs(strict).items()])
+    """The six stored columns re-derived from the document."""
+    return businesses.select("id", *[c.alias(k) for k, c in _generated_exprs(businesses, strict).items()])
 
 
 def dq_report(businesses: DataFrame, extracted_reviews: DataFrame) -> DataFrame:
     """(rule, value) rows of rule counts (count_if per rule)."""
-    gen = _generated_exprs()
+    gen = _generated_exprs(businesses)
+    doc = document(businesses)
     j = businesses.select("city", "rating", "business_data", "business_name",
+                          *[has_value_at(doc, k).alias("has_" + k) for k in ("overview", "rating", "contact")],
                           *[F.col(k).eqNullSafe(c).alias("eq_" + k) for k, c in gen.items()])
     mism = None
     for c in ("city", "category", "rating", "review_count", "website", "phone"):
         m = ~F.col("eq_" + c)
         mism = m if mism is None else mism | m
-    d = F.col("business_data")
-    missing_keys = (F.get_json_object(d, "$.overview").isNull() | F.get_json_object(d, "$.rating").isNull()
-                    | F.get_json_object(d, "$.contact").isNull())
+    missing_keys = ~F.col("has_overview") | ~F.col("has_rating") | ~F.col("has_contact")
     brep = j.agg(
         F.count(F.lit(1)).alias("businesses"),
         F.count_if(mism).alias("generated_mismatch"),

@@ -27,7 +27,8 @@ VIEW_NAMES = (
 
 def register_market(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> list[str]:
     """Register base tables and views as temp views, and the parametrised queries as table functions; returns the tables' names."""
-    b, r, e = fx.load_market(spark, sf_dir, as_of)
+    _, r, e = fx.load_market(spark, sf_dir, as_of)
+    b = fx.business_documents(spark, sf_dir)
     ex = V.execution_stats(e, b, r)
     f = fx.review_facts(spark, sf_dir, as_of)   # one review scan for all views
     tables = {

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions import themes as T
-from marketlens.functions.jsonops import has_key
+from marketlens.functions.jsonops import document, has_key_at, text_at
 from marketlens.functions.scalar import avg_exact, dround, ntz_lit, safe_div
 from marketlens.operators.distinct_rollup import bitmaps, merged
 from marketlens.operators.joined_text import joined_pieces, joined_texts
@@ -26,8 +26,8 @@ DEFAULT_CATEGORY = "BUILDING"
 DEFAULT_NOW = _dt.datetime(2025, 9, 25, 0, 0, 0)
 
 
-def _ig() -> Column:
-    return F.get_json_object("business_data", "$.social.instagrams")
+def _ig(b: DataFrame) -> Column:
+    return text_at(document(b), "social", "instagrams")
 
 
 def scope_reviews(reviews: DataFrame, businesses: DataFrame) -> DataFrame:
@@ -54,8 +54,8 @@ def high_rated_low_reviews(b: DataFrame, min_rating: float = 4.5, max_reviews: i
 
 def biz_with_instagram(b: DataFrame) -> DataFrame:
     """Q3: social has key 'instagrams' and a non-empty value."""
-    return (b.filter(has_key(F.col("business_data"), "instagrams", "social") & (_ig() != ""))
-            .select("business_name", "city", _ig().alias("instagram")))
+    return (b.filter(has_key_at(document(b), "instagrams", "social") & (_ig(b) != ""))
+            .select("business_name", "city", _ig(b).alias("instagram")))
 
 
 def category_analysis(b: DataFrame, city: str = DEFAULT_CITY, min_n: int = 3) -> DataFrame:
@@ -79,19 +79,19 @@ def category_city_stats(b: DataFrame, min_n: int = 3) -> DataFrame:
 
 def influencer_potential(b: DataFrame, max_reviews: int = 50) -> DataFrame:
     """Q6: Instagram present and few reviews."""
-    return (b.filter(_ig().isNotNull() & (F.col("review_count") < max_reviews))
-            .select("business_name", "city", "rating", "review_count", _ig().alias("instagram"))
+    return (b.filter(_ig(b).isNotNull() & (F.col("review_count") < max_reviews))
+            .select("business_name", "city", "rating", "review_count", _ig(b).alias("instagram"))
             .orderBy(F.desc_nulls_first("rating")))
 
 
 def social_gap(b: DataFrame, min_rating: float = 4.5, min_reviews: int = 50, n: int = 20) -> DataFrame:
     """Q12: good businesses without an Instagram value, top n by review_count."""
-    ig = _ig()
+    ig = _ig(b)
     return (b.filter((F.col("rating") > min_rating) & (F.col("review_count") > min_reviews)
                      & (ig.isNull() | (ig == "")))
             .orderBy(F.desc_nulls_first("review_count"), "id").limit(n)
             .select("business_name", "city", "rating", "review_count",
-                    F.when(has_key(F.col("business_data"), "instagrams", "social"), "Yes")
+                    F.when(has_key_at(document(b), "instagrams", "social"), "Yes")
                     .otherwise("No").alias("has_instagram")))
 
 

@@ -51,11 +51,11 @@ def _raw(spark, d):
 
 
 def _bq(fn, **kw):
-    return lambda s, d: fn(_b(s, d), **kw)
+    return lambda s, d: fn(W.business_documents(s, d), **kw)
 
 
 def _brq(fn, **kw):
-    return lambda s, d: fn(_b(s, d), _r(s, d), **kw)
+    return lambda s, d: fn(W.business_documents(s, d), _r(s, d), **kw)
 
 
 def _exec_stats(spark, d):
@@ -64,7 +64,7 @@ def _exec_stats(spark, d):
 
 
 def _views(spark, d) -> dict[str, DataFrame]:
-    b, r = _b(spark, d), _r(spark, d)
+    b, r = W.business_documents(spark, d), _r(spark, d)
     f = W.review_facts(spark, d)       # one review scan shared by all views
     return {
         "niche_opportunities": V.niche_opportunities(b, ordered=False),
@@ -235,7 +235,7 @@ def _doc_read(key: str) -> Query:
 
 def _facts_query(fn) -> Query:
     """A query over several views, which share the stored counters of each business."""
-    return lambda s, d: fn(_b(s, d), _r(s, d), facts=W.review_facts(s, d))
+    return lambda s, d: fn(W.business_documents(s, d), _r(s, d), facts=W.review_facts(s, d))
 
 
 COMPOSITE_QUERIES: dict[str, Query] = {
@@ -363,7 +363,7 @@ INGEST_QUERIES: dict[str, Query] = {
     "cascade_delete": _cascade,
     "delete_by_query": lambda s, d: St.delete_by_query(_r(s, d), _b(s, d), _e(s, d), "query_0")
     .select("id"),
-    "generated_columns": lambda s, d: Qa.generated_columns(_b(s, d)),
+    "generated_columns": lambda s, d: Qa.generated_columns(W.business_documents(s, d)),
     "extract_review_fields": lambda s, d: Qa.extract_review_fields(_raw(s, d)),
     "validate_stars": lambda s, d: Qa.validate_stars(Qa.extract_review_fields(_raw(s, d))),
     "validate_status": lambda s, d: Qa.validate_status(fx.incoming_executions(_e(s, d))),
@@ -374,19 +374,19 @@ INGEST_QUERIES: dict[str, Query] = {
     "dq_rows": lambda s, d: Qa.dq_rows(_raw(s, d)),
     "ingest_chain": lambda s, d: _chain(s, d).totals.select("id", "status", "search_query", "total_businesses", "total_reviews"),
     "ingest_chain_rejects": lambda s, d: _chain(s, d).rejects,
-    "dq_report": lambda s, d: Qa.dq_report(_b(s, d), Qa.extract_review_fields(_raw(s, d))),
+    "dq_report": lambda s, d: Qa.dq_report(W.business_documents(s, d), Qa.extract_review_fields(_raw(s, d))),
 }
 
 JSON_QUERIES: dict[str, Query] = {
-    "json_paths": lambda s, d: read_table(s, d, "events").select(
-        "event_id", J.arrow_text(F.col("props"), "k").cast("int").alias("k")).filter(F.col("k") >= 90),
-    "json_has_key": lambda s, d: _b(s, d).filter(J.has_key(F.col("business_data"), "facebookPages", "social"))
+    "json_paths": lambda s, d: W.event_documents(s, d).select(
+        "event_id", J.text_at(F.col("props"), "k").cast("int").alias("k")).filter(F.col("k") >= 90),
+    "json_has_key": lambda s, d: W.business_documents(s, d).filter(J.has_key_at(F.col(J.DOCUMENT), "facebookPages", "social"))
     .select("id"),
-    "json_any_all_keys": lambda s, d: _b(s, d).select(
+    "json_any_all_keys": lambda s, d: W.business_documents(s, d).select(
         "id",
-        J.has_any_key(F.col("business_data"), ["facebookPages", "twitters"], "social").alias("any_key"),
-        J.has_all_keys(F.col("business_data"), ["instagrams", "facebookPages"], "social").alias("all_keys")),
-    "json_contains": lambda s, d: read_table(s, d, "events").filter(J.contains(F.col("props"), {"k": 69}))
+        J.has_any_key_at(F.col(J.DOCUMENT), ["facebookPages", "twitters"], "social").alias("any_key"),
+        J.has_all_keys_at(F.col(J.DOCUMENT), ["instagrams", "facebookPages"], "social").alias("all_keys")),
+    "json_contains": lambda s, d: W.event_documents(s, d).filter(J.holds(F.col("props"), {"k": 69}))
     .select("event_id"),
 }
 

@@ -12,8 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-INSTAGRAM = "get_json_object(business_data, '$.social.instagrams')"
-HAS_INSTAGRAM = "array_contains(json_object_keys(get_json_object(business_data, '$.social')), 'instagrams')"
+INSTAGRAM = "try_variant_get(business_doc, '$.social.instagrams', 'string')"
+HAS_INSTAGRAM = "(try_variant_get(business_doc, '$.social.instagrams', 'variant') IS NOT NULL)"
 
 #: name: (parameters with defaults, returned columns, query)
 FUNCTIONS: dict[str, tuple[str, str, str]] = {

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import themes as T
+from marketlens.functions.jsonops import DOCUMENT, document, text_at
 from marketlens.operators.joined_text import PIECE, joined_pieces, joined_texts
 from marketlens.functions.scalar import dround, pct, safe_div
 from marketlens.sources.fixture import AS_OF
@@ -285,15 +286,20 @@ def joined_complaints(businesses: DataFrame, reviews: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # V3 market_leaders
 # ---------------------------------------------------------------------------
-_DOC_SCHEMA = ("struct<social:struct<instagrams:string,facebookPages:string,facebooks:string>,"
+_DOC_SCHEMA = ("struct<social:struct<instagrams:string,facebookPages:string>,"
                "rating:struct<reviewsDistribution:struct<oneStar:string,twoStar:string,"
                "threeStar:string,fourStar:string,fiveStar:string>>>")
 _DIST_KEYS = ("oneStar", "twoStar", "threeStar", "fourStar", "fiveStar")
 
 
 def parse_document(businesses: DataFrame) -> Column:
-    """One ``from_json`` parse of the paths the views read (shared struct)."""
-    return F.from_json(F.col("business_data"), _DOC_SCHEMA)
+    """The paths that V3 reads, as a struct: fields of the stored VARIANT, or one ``from_json`` parse where there is only text."""
+    if DOCUMENT not in businesses.columns:
+        return F.from_json(F.col("business_data"), _DOC_SCHEMA)
+    at = lambda *path: text_at(F.col(DOCUMENT), *path).alias(path[-1])
+    stars = F.struct(*[at("rating", "reviewsDistribution", k) for k in _DIST_KEYS]).alias("reviewsDistribution")
+    return F.struct(F.struct(*[at("social", k) for k in ("instagrams", "facebookPages")]).alias("social"),
+                    F.struct(stars).alias("rating"))
 
 
 def market_leaders(businesses: DataFrame, reviews: DataFrame, as_of: _dt.date = AS_OF,
@@ -637,14 +643,14 @@ def niche_swot_analysis(businesses: DataFrame, reviews: DataFrame, ordered: bool
 def business_summary(businesses: DataFrame, reviews: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     per = _per(reviews.select("business_id", "stars"), facts, _agg_common())
     b = businesses.select("id", "business_name", "city", "category", "rating", "review_count", "phone",
-                          "website", "created_at", parse_document(businesses).alias("_doc"))
+                          "website", "created_at", *[text_at(document(businesses), "social", k).alias("_" + k) for k in ("instagrams", "facebooks")])
     j = b.join(per.withColumnRenamed("business_id", "id"), "id", "left")
     return j.select(
         "id", "business_name", "city", "category", "rating", "review_count", "phone", "website",
         F.coalesce(F.col("n_reviews"), F.lit(0)).alias("stored_reviews"),
         safe_div(F.col("stars_sum"), F.col("stars_n")).alias("avg_review_rating"),
-        F.col("_doc.social.instagrams").alias("instagram"),
-        F.col("_doc.social.facebooks").alias("facebook"),
+        F.col("_instagrams").alias("instagram"),
+        F.col("_facebooks").alias("facebook"),
         "created_at",
     )
 
