@@ -1,17 +1,22 @@
 """Full-text search over a stored posting table: X1 term, X2 boolean, X3 phrase.
 
 ``postings`` holds for each lexeme (English stem, stop words left out) and
-each text the positions where it stands, sorted by lexeme, so a term reads
-the row groups of its own.  A search is made of DataFrames of ids: a term is
+each text the positions where it stands.  It is built where the texts lie, in
+long runs sorted by lexeme, so a term reads the pages of its own and no token
+is moved.  A search is made of DataFrames of ids: a term is
 a filter, a phrase a join of two terms on id whose positions are compared,
 and, or and not are semi joins, unions and anti joins.  Words are stemmed
-when the table is built, each distinct one once; a search's own few words are
-stemmed on the driver, so no Python runs in its plan.
+when the table is built, each distinct one once a task; a search's own few words
+are stemmed on the driver, so no Python runs in its plan.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -19,6 +24,8 @@ from pyspark.sql.types import StringType
 from marketlens.functions.stemmer import STOP_WORDS, lexeme, stem_word
 
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
+#: Tokens of a sorted run of postings; rows handed on at once; words whose stems a task remembers.
+RUN_TOKENS, RUN_ROWS, KNOWN_WORDS = 1_000_000, 50_000, 500_000
 
 
 @F.pandas_udf(StringType())
@@ -43,20 +50,67 @@ def token_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return tok.join(stem, "tok").select(id_col, (F.col("pos") + 1).alias("pos"), "stem")
 
 
+def _run(texts: pa.Table, known: dict[str, str | None]) -> pa.Table:
+    """(stem, id, positions) of some tokenised texts, sorted by stem and place of the text."""
+    lists = texts.column(1).combine_chunks()
+    size = lists.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+    coded = lists.flatten().dictionary_encode()
+    for word in (words := coded.dictionary.to_pylist()):
+        if word not in known:
+            known[word] = lexeme(word)
+    stems = sorted({known[w] for w in words} - {None})
+    number = {None: -1} | {x: k for k, x in enumerate(stems)}
+    stem = np.array([number[known[w]] for w in words], np.int64)[coded.indices.to_numpy()]
+    text = np.repeat(np.arange(len(size)), size)
+    at = np.arange(len(text)) - (np.cumsum(size) - size)[text] + 1
+    kept = np.flatnonzero(stem >= 0)
+    group = stem[kept] * len(size) + text[kept]
+    order = np.argsort(group, kind="stable")                                  # positions of a group stay in order
+    first = np.flatnonzero(np.diff(group[order], prepend=-1))
+    own = kept[order][first]
+    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), pa.array(at[kept][order], pa.int32()))
+    return pa.table([pa.array(stems, pa.string()).take(pa.array(stem[own])), texts.column(0).take(pa.array(text[own])), lists], names=["stem", "id", "positions"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The postings of a task's texts, in runs of about ``RUN_TOKENS`` tokens."""
+    known: dict[str, str | None] = {}
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for b in batches:
+        ends = np.cumsum(b.column(1).value_lengths().fill_null(0).to_numpy())
+        start = 0
+        while start < b.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = min(b.num_rows, int(np.searchsorted(ends, before + RUN_TOKENS - n)) + 1)
+            held.append(b.slice(start, stop - start))
+            n += int(ends[stop - 1] - before)
+            start = stop
+            if n >= RUN_TOKENS:
+                yield from _run(pa.Table.from_batches(held), known).to_batches(RUN_ROWS)
+                held, n = [], 0
+                if len(known) > KNOWN_WORDS:
+                    known.clear()
+    if n:
+        yield from _run(pa.Table.from_batches(held), known).to_batches(RUN_ROWS)
+
+
 def postings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(stem, id, positions), a row for each lexeme of each text, sorted by stem for storing.
+    """(stem, id, positions), a row for each lexeme of each text.
 
-    Positions are gathered per text and token first, then per stem; a list
-    is no longer than its text.  Ids tell texts apart (equal ids count as
-    one text); NULL ids and texts have no postings.  A stem that stands in
-    many texts is spread over partitions by id.
+    The postings of a text are made in one place and not moved; those of a
+    task come in runs sorted by stem.  Ids tell texts apart (equal ids count as
+    one text): only texts whose id another text has too are gathered by stem
+    and id.  NULL ids and texts have no postings.
     """
-    tok = (df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.posexplode(tokens(F.col(text_col))).alias("pos", "tok"))
-           .filter(~F.col("tok").isin(*sorted(STOP_WORDS))))
-    per = tok.groupBy("id", "tok").agg(F.collect_list((F.col("pos") + 1).cast("int")).alias("at"))
-    stem = per.select("tok").distinct().select("tok", stem_udf("tok").alias("stem"))
-    each = per.join(stem, "tok").groupBy("stem", "id").agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("positions"))
-    return each.repartitionByRange("stem", "id").sortWithinPartitions("stem", "id")
+    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("tokens"))
+    schema = f"stem string, id {rows.schema['id'].dataType.simpleString()}, positions array<int>"
+    again = df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+    if again.isEmpty():
+        return rows.mapInArrow(_runs, schema)
+    parts = rows.join(again, "id", "left_semi").mapInArrow(_runs, schema)
+    merged = parts.groupBy("stem", "id").agg(F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions"))
+    return rows.join(again, "id", "left_anti").mapInArrow(_runs, schema).unionByName(merged)
 
 
 # ---------------------------------------------------------------------------

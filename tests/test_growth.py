@@ -2,9 +2,11 @@
 
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from marketlens.operators import search as S
 from marketlens.plans import registry as R
 from marketlens.sources import places as P
 
@@ -61,3 +63,33 @@ def test_arrays_are_as_many_as_their_items_need(spark, market_dir, tmp_path):
     assert len(_files(path, ".txt")) == 1
     got = {(r.cid, r.title, r.reviewsCount) for r in R.INGEST_QUERIES["ingest_accepted_places"](spark, market_dir).where("read_as = 'arrays'").collect()}
     assert got == {(r.cid, r.title, r.reviewsCount) for r in items.select("cid", "title", "reviewsCount").collect()}
+
+
+def test_runs_of_postings_are_bounded_and_sorted(monkeypatch):
+    monkeypatch.setattr(S, "RUN_TOKENS", 50)
+    monkeypatch.setattr(S, "KNOWN_WORDS", 3)
+    texts = {k: [f"word{(k * j) % 13}" for j in range(k % 40)] + ["the"] * (k % 3) for k in range(120)} | {200: ["cats"] * 300, 201: None}
+    batches = pa.table({"id": list(texts), "tokens": pa.array(list(texts.values()), pa.list_(pa.string()))}).to_batches(50)
+    out = list(S._runs(iter(batches)))
+    got = sorted(r for b in out for r in zip(b.column(1).to_pylist(), b.column(0).to_pylist(), b.column(2).to_pylist()))
+    want = {}
+    for k, words in texts.items():
+        for at, w in enumerate(words or [], 1):
+            if w != "the":
+                want.setdefault((k, S.lexeme(w)), []).append(at)
+    assert got == sorted((*k, at) for k, at in want.items())
+    assert len(out) > 20 and all(b.column(0).to_pylist() == sorted(b.column(0).to_pylist()) for b in out)
+
+
+def test_postings_are_not_moved_and_equal_grouped_tokens(spark):
+    """Stop words only, no words, NULL texts and ids; then ids that come twice."""
+    once = [(k, " ".join(f"Parking w{(k * j) % 13} the É{j % 5}-lists" for j in range(k % 40))) for k in range(120)] + [(500, "the of and"), (501, ""), (502, None), (None, "parking")]
+    for rows in (once, once + [(3, "parking, parked and parks"), (4, None), (500, "Lists")]):
+        df = spark.createDataFrame(rows, "id long, t string").repartition(3)
+        table = S.postings(df, "id", "t")
+        got = sorted((r.id, r.stem, r.positions) for r in table.collect())
+        want = {}
+        for r in S.token_table(df.where("id IS NOT NULL"), "id", "t").collect():
+            want.setdefault((r.id, r.stem), []).append(r.pos)
+        assert got == sorted((i, s, sorted(at)) for (i, s), at in want.items())
+        assert rows is not once or "hashpartitioning" not in table._jdf.queryExecution().executedPlan().toString()
