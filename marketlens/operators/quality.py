@@ -48,14 +48,14 @@ def lenient_date(text: Column) -> Column:
 REVIEW_DOC = "struct<reviewerName:string,stars:string,text:string,publishedAtDate:string>"
 
 
-def extract_review_fields(raw: DataFrame) -> DataFrame:
-    """Typed review columns from ``review_data`` plus bad-value flags.
+def extract_review_fields(raw: DataFrame, *more: str) -> DataFrame:
+    """Typed review columns from ``review_data`` plus bad-value flags (and ``more`` columns as they are).
 
     One ``from_json`` parse per row with string leaves (a JSON number or
     string becomes its text, JSON null becomes NULL — the ``->>`` rule), then
     the defensive casts.
     """
-    j = raw.select("id", "business_id", F.from_json("review_data", REVIEW_DOC).alias("_d"))
+    j = raw.select("id", "business_id", F.from_json("review_data", REVIEW_DOC).alias("_d"), *more)
     stars_txt, date_txt = F.col("_d.stars"), F.col("_d.publishedAtDate")
     stars = lenient_int(stars_txt)
     pub = lenient_date(date_txt)
@@ -67,6 +67,7 @@ def extract_review_fields(raw: DataFrame) -> DataFrame:
         pub.alias("published_at"),
         (stars_txt.isNotNull() & stars.isNull()).alias("bad_stars"),
         (date_txt.isNotNull() & pub.isNull()).alias("bad_date"),
+        *more,
     )
 
 
@@ -167,7 +168,7 @@ def review_warnings() -> dict[str, Column]:
 
 def dq_rows(raw: DataFrame) -> DataFrame:
     """The reviews behind the counts: (rule, id, business_id, reviewer_name, value)."""
-    j = raw.select("id", "business_id", F.from_json("review_data", REVIEW_DOC).alias("_d"))
+    j = raw.select("id", "business_id", F.from_json("review_data", REVIEW_DOC).alias("_d"), *more)
     stars_txt, date_txt = F.col("_d.stars"), F.col("_d.publishedAtDate")
     stars = lenient_int(stars_txt)
     found = F.array(

@@ -39,8 +39,7 @@ def is_directory(spark: SparkSession, path: str) -> bool:
 def dedupe_latest(incoming: DataFrame, key: str, order_col: str) -> DataFrame:
     """One row per key: the newest by ``order_col`` (ties: greatest row)."""
     other = [c for c in incoming.columns if c != key]
-    order = F.struct(order_col, *[c for c in other if c != order_col])
-    g = incoming.groupBy(key).agg(F.max_by(F.struct(*other), order).alias("_r"))
+    g = incoming.groupBy(key).agg(F.max(F.struct(order_col, *[c for c in other if c != order_col])).alias("_r"))     # the row once, not beside its order
     return g.select(key, *[F.col("_r")[c].alias(c) for c in other])
 
 
@@ -62,7 +61,13 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, now: _dt.datetime
     the existing table is never shuffled (a full outer join would shuffle it
     every batch).  Only the matched rows meet the incoming payload.
     """
-    inc = dedupe_latest(incoming.filter(F.col(key).isNotNull()), key, order_col)
+    return upsert_latest(existing, dedupe_latest(incoming.filter(F.col(key).isNotNull()), key, order_col), key, now, keep_cols, order_col, payload_cols)
+
+
+def upsert_latest(existing: DataFrame, inc: DataFrame, key: str, now: _dt.datetime,
+                  keep_cols: tuple[str, ...] = ("id", "created_at"), order_col: str = "scraped_at",
+                  payload_cols: list[str] | None = None) -> DataFrame:
+    """:func:`upsert` of incoming rows that are one for each key already; they are read three times, so a caller may store them."""
     payload = payload_cols or [c for c in inc.columns if c not in (key, order_col)]
     keys = inc.select(key)
     untouched = existing.join(keys, key, "left_anti")
