@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from marketlens.operators import search as S
 from marketlens.plans import registry as R
+from marketlens.sources import landing as L
 from marketlens.sources import places as P
+from marketlens.streaming import jobs as SJ
 
 
 @pytest.fixture(scope="module")
@@ -93,3 +95,36 @@ def test_postings_are_not_moved_and_equal_grouped_tokens(spark):
             want.setdefault((r.id, r.stem), []).append(r.pos)
         assert got == sorted((i, s, sorted(at)) for (i, s), at in want.items())
         assert rows is not once or "hashpartitioning" not in table._jdf.queryExecution().executedPlan().toString()
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_chain_reads_its_items_for_what_it_stores_only(spark, market_dir):
+    """Of reviews delivered twice one stays; stars out of range, and places nobody knows, are told once."""
+    found = R._chain(spark, market_dir)
+    assert "] json" not in _plan(found.rejects) and "] json" not in _plan(found.reviews)
+    orders = {17 * k for k in range(1, 2000)}
+    assert sorted((r.review_id, r.reason) for r in found.rejects.collect()) == sorted((f"r{o}", "stars_range") for o in orders if o % 41 == 0)
+    assert sorted(r.review_id for r in found.reviews.select("review_id").collect()) == sorted(f"r{o}" for o in orders if o % 41)
+
+
+def test_rejects_of_unknown_places_and_bad_stars_are_told_in_one_pass(spark):
+    rows = spark.createDataFrame([("a", 1, 5), ("b", 1, None), ("c", 1, 99), ("d", None, 4), ("e", None, 99)], "review_id string, business_id long, stars int")
+    good, bad = L.accepted_and_rejected(rows)
+    assert [r.review_id for r in good.collect()] == ["a", "b"]
+    assert sorted(map(tuple, bad.collect())) == [("c", "stars_range"), ("d", "no_business"), ("e", "no_business")]
+    assert "Union" not in _plan(bad)
+
+
+def test_items_are_dealt_by_place_before_they_are_sorted_and_reviews_resolved_without_documents(spark, market_dir, tmp_path):
+    landing, base = P.land_places(P.place_items(spark, market_dir), str(tmp_path / "landing")), str(tmp_path / "stored")
+    SJ.ingest_stream(spark, landing, base, R.NOW)
+    empty = spark.createDataFrame([], "id long, apify_place_id string, business_name string, review_count int, business_data string, created_at timestamp_ntz, updated_at timestamp_ntz")
+    stored = L.stored_businesses(spark, base, empty)
+    sides = stored._jdf.queryExecution().executedPlan().toString()
+    assert sides.count("SortAggregate") and all("Exchange" in x for x in sides.split("partial_max(struct(")[1:])
+    assert {r.apify_place_id for r in stored.collect()} == {f"https://maps.example.com/?cid={k}" for k in range(1, 41)}
+    good, bad = L.stored_reviews(spark, base, stored)
+    assert "review_data" not in _plan(good) and good.count() == 1999 and bad.count() == 0
