@@ -1,5 +1,6 @@
 """What stored and moved data must not do as tables grow."""
 
+import json
 import os
 
 import pyarrow as pa
@@ -67,6 +68,60 @@ def test_arrays_are_as_many_as_their_items_need(spark, market_dir, tmp_path):
     assert got == {(r.cid, r.title, r.reviewsCount) for r in items.select("cid", "title", "reviewsCount").collect()}
 
 
+def _held(v):
+    """A value as its JSON text says it: fields that are NULL left out, reviews in the order of their ids."""
+    if isinstance(v, list):
+        return sorted(map(_held, v), key=lambda x: x["reviewId"]) if v and "reviewId" in v[0] else [_held(x) for x in v]
+    return {k: _held(x) for k, x in v.items() if x is not None} if isinstance(v, dict) else v
+
+
+def _items(rows):
+    return sorted((_held(r) for r in rows), key=lambda x: (x["cid"], x["scrapedAt"]))
+
+
+def test_accepted_places_are_whole_items_from_lines_and_arrays(spark, market_dir):
+    """A place that comes twice is told once; each of its pages is an item of its own, with its reviews."""
+    items = P.place_items(spark, market_dir)
+    once = {json.dumps(x, sort_keys=True): x for x in _items(r.asDict(recursive=True) for r in items.collect())}
+    want = _items(once.values())
+    got = R.INGEST_QUERIES["ingest_accepted_places"](spark, market_dir).collect()
+    assert _items(json.loads(r.item) for r in got if r.read_as == "arrays") == want
+    assert _items(json.loads(r.item) for r in got if r.read_as == "lines") == [x for x in want if int(x["cid"]) not in (25, 40)]
+    assert sum(len(x["reviews"]) for x in want) == 1999 and all((r.cid, r.title, r.reviewsCount) == tuple(json.loads(r.item)[k] for k in ("cid", "title", "reviewsCount")) for r in got)
+
+
+def test_arrays_hold_all_fields_and_reviews_of_their_items(spark, market_dir, tmp_path):
+    items = P.place_items(spark, market_dir)
+    path = str(tmp_path / "pretty")
+    R._land_arrays(items, items.count(), path, **P.LANDED_FILES)
+    assert len(_files(path, ".txt.gz")) == 1
+    read = L.accepted_items(L.read_landed(spark, path, multi_line=True)).select(*P.PLACE.names)
+    assert _items(r.asDict(recursive=True) for r in read.collect()) == _items(r.asDict(recursive=True) for r in items.collect())
+
+
+def test_arrays_are_bounded_by_their_signs(monkeypatch):
+    monkeypatch.setattr(R, "ARRAY_SIZE", 100)
+    items = [json.dumps({"cid": str(k), "title": "é" * (k % 60)}, ensure_ascii=False) for k in range(200)] + [json.dumps({"cid": "long", "title": "x" * 500})]
+    batches = pa.table({"item": items}).to_batches(7)
+    texts = [b.column(0)[0].as_py() for b in R._arrays(iter(batches))]
+    assert [x for t in texts for x in json.loads(t)] == [json.loads(x) for x in items]
+    assert all(len(json.loads(t)) == 1 or sum(len(json.dumps(x, ensure_ascii=False)) for x in json.loads(t)) <= 100 for t in texts) and len(texts) < len(items)
+    assert not list(R._arrays(iter([])))
+
+
+def test_an_item_one_of_whose_fields_cannot_be_read_is_not_accepted(spark, market_dir, monkeypatch, tmp_path):
+    """A field of the item's review counts as any other."""
+    lines = ['{"cid": "1", "title": "a", "reviewsCount": 1, "scrapedAt": "x", "reviews": [{"reviewId": "r1", "stars": 4}]}',
+             '{"cid": "2", "title": "b", "reviewsCount": 1, "scrapedAt": "x", "reviews": [{"reviewId": "r2", "stars": "many"}]}',
+             '{"cid": "3", "title": "c", "reviewsCount": 1, "scrapedAt": "x", "rank": {}}']
+    path = str(tmp_path / "lines")
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    monkeypatch.setattr(R, "_landing_with_errors", lambda s, d: path)
+    got = R.INGEST_QUERIES["ingest_accepted_places"](spark, market_dir).where("read_as = 'lines'").collect()
+    assert [r.cid for r in got] == ["1"] and json.loads(got[0].item)["reviews"] == [{"reviewId": "r1", "stars": 4}]
+    assert [r.line for r in R.INGEST_QUERIES["ingest_rejected_lines"](spark, market_dir).orderBy("line").collect()] == lines[1:]
+
+
 def test_runs_of_postings_are_bounded_and_sorted(monkeypatch):
     monkeypatch.setattr(S, "RUN_TOKENS", 50)
     monkeypatch.setattr(S, "KNOWN_WORDS", 3)
