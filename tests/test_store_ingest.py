@@ -1,4 +1,6 @@
 import datetime as dt
+import decimal
+import json
 import os
 
 import pytest
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 
 from marketlens.operators.session_memory import session_memory
 from marketlens.plans import queries as Qy
+from marketlens.plans import registry as R
 from marketlens.session import materialize
 from marketlens.sources import fixture as fx
 from marketlens.sources import landing as L
@@ -242,6 +245,34 @@ def test_broken_lines_and_pretty_printed_arrays(spark, tmp_path):
     assert sorted(r.review_id for r in L.stored_reviews(spark, base, empty)[1].where("reason = 'corrupt_line'").collect()) == ["not json", '{"title": "B", "cid": ', '{"title": 7, "rank": "no number"}']
 
 
+def test_merged_dimensions_hold_all_seven_of_each_item(spark, tmp_path, monkeypatch):
+    """Empty texts and zeros are left out, as what is missing; an item without a name keeps its other fields."""
+    dist = {"oneStar": 1, "twoStar": 0, "threeStar": 2, "fourStar": 3, "fiveStar": 4}
+    full = {"title": 'Bob\'s "Café"', "categoryName": "Plumber", "searchString": "q", "url": "https://x/1", "city": "Tempe", "state": "AZ", "street": "1 Main", "postalCode": "85281", "countryCode": "US",
+            "plusCode": "p+1", "isAdvertisement": True, "rank": 3, "searchPageUrl": "https://s/1", "totalScore": 4.5, "reviewsCount": 7, "reviewsDistribution": dist, "website": "https://b", "phone": "+1-5",
+            "phoneUnformatted": "+15", "email": "a@b.c", "claimThisBusiness": True, "menu": "m", "temporarilyClosed": True, "permanentlyClosed": False, "facebookPages": "f", "instagrams": "i", "twitters": "t",
+            "linkedIns": "l", "pinterests": "pi", "youtubes": "y", "popularTimesHistogram": {"Mo": [{"hour": 9, "occupancyPercent": 40}]}, "tags": ["a", "b"], "gadId": "g", "placeId": "p1", "cid": "1",
+            "dataId": "d", "price": "$", "location": {"lat": 33.5, "lng": -112.25}, "scrapedAt": "2025-10-01T06:00:00", "reviews": []}
+    bare = {"title": "", "url": "https://x/2", "rank": 0, "totalScore": 0.0, "reviewsCount": 0, "website": "", "scrapedAt": "2025-10-01T06:00:01", "reviews": []}
+    path = str(tmp_path / "items")
+    spark.createDataFrame([(json.dumps(x),) for x in (full, bare)], "value string").write.text(path)
+    monkeypatch.setattr(R.W, "landed_places", lambda s, d: P.read_places(s, path))
+    got = {r.apify_place_id: r for r in R.INGEST_QUERIES["merge_dimensions"](spark, "none").collect()}
+    some = lambda *names: {k: full[k] for k in names}
+    assert json.loads(got["https://x/1"].business_data) == {
+        "overview": some("title", "searchString", "url", "city", "state", "street", "postalCode", "countryCode", "plusCode", "isAdvertisement", "rank", "searchPageUrl", "temporarilyClosed",
+                         "permanentlyClosed") | {"category": "Plumber"},
+        "contact": some("phone", "phoneUnformatted", "website", "email", "claimThisBusiness", "menu"),
+        "social": some("facebookPages", "instagrams", "twitters", "linkedIns", "pinterests", "youtubes"),
+        "rating": some("totalScore", "reviewsCount", "reviewsDistribution"), "popular_times": some("popularTimesHistogram"), "tags": ["a", "b"],
+        "lead_enrichment": some("gadId", "placeId", "cid", "dataId", "price", "location"), "scraped_at": full["scrapedAt"]}
+    off = {"isAdvertisement": False, "temporarilyClosed": False, "permanentlyClosed": False}
+    assert json.loads(got["https://x/2"].business_data) == {"overview": {"url": "https://x/2"} | off, "contact": {"claimThisBusiness": False}, "social": {}, "rating": {}, "popular_times": {},
+                                                            "lead_enrichment": {}, "scraped_at": bare["scrapedAt"]}
+    assert (got["https://x/1"].rating, got["https://x/1"].review_count, got["https://x/1"].website, got["https://x/1"].phone) == (decimal.Decimal("4.5"), 7, "https://b", "+1-5")
+    assert got["https://x/2"].business_name == "Unknown" and got["https://x/2"].review_count is None
+
+
 def test_first_delivery_is_kept_over_restarts_folders_and_lost_checkpoints(spark, sf_dir, tmp_path):
     four = _four_files(spark, sf_dir, "orders", tmp_path)
     base = f"{tmp_path}/reviews"
